@@ -368,11 +368,14 @@ def embedded_pairs(html: Column, variant: str) -> Column:
     )
 
 
-def is_challenge(title: Column, heading: Column, host: str) -> Column:
+# Titles of interstitial pages.
+CHALLENGE_TITLES = ("Just a moment", "Cloudflare")
+
+
+def is_challenge(title: Column, heading: Column, host: str, titles: tuple[str, ...] = CHALLENGE_TITLES) -> Column:
     """Interstitial page instead of the product: known title, or the bare host as heading."""
     title, heading = F.coalesce(title, F.lit("")), F.coalesce(heading, F.lit(""))
-    return (
-        F.contains(title, F.lit("Just a moment"))
-        | F.contains(title, F.lit("Cloudflare"))
-        | F.contains(F.lower(heading), F.lit(host.lower()))
-    )
+    found = F.contains(F.lower(heading), F.lit(host.lower()))
+    for known in titles:
+        found = found | F.contains(title, F.lit(known))
+    return found

@@ -169,7 +169,7 @@ def _gearvn(html: Column, n: Column) -> dict[str, Column]:
         return _text_or_none(found, M.lines_text(n, found))
 
     current, original = prices.with_structured_fallback(
-        span("red-700", "bold"), span("line-through"), ld["offers.price"], ld["offers.priceSpecification.price"]
+        span("red-700", "bold"), span("line-through"), ld["offers"]["price"], ld["offers"]["priceSpecification"]["price"]
     )
 
     section = M.first(M.elements(n, M.all_of(M.tag("section"), M.attr_has("class", "surface-red"))))
@@ -565,3 +565,22 @@ def embedded_specs(pages: DataFrame, variant: str) -> DataFrame:
     carried = [c for c in pages.columns if c != "html"]
     pairs = specs.dedup_pairs(M.embedded_pairs(F.col("html"), variant), keep="first")
     return pages.select(*carried, pairs.alias("specs"))
+
+
+def drop_challenges(pages: DataFrame, host: str, titles: tuple[str, ...] = M.CHALLENGE_TITLES) -> DataFrame:
+    """Pages that are not an interstitial, judged by title and first heading (JVM side, before any parsing)."""
+    title, heading = M.tag_body(F.col("html"), "title"), M.strip_tags(M.tag_body(F.col("html"), "h1"))
+    return pages.filter(~M.is_challenge(title, heading, host, titles))
+
+
+def page_fields(pages: DataFrame) -> DataFrame:
+    """Title, first heading and first paragraph of any page, by regular expressions."""
+
+    def shown(tag: str) -> Column:
+        return text.collapse(M.unescape(M.strip_tags(M.tag_body(F.col("html"), tag))))
+
+    carried = [c for c in pages.columns if c != "html"]
+    fields = pages.select(
+        *carried, shown("title").alias("title"), shown("h1").alias("h1"), shown("p").alias("paragraph")
+    )
+    return fields.withColumn("name", text.first_non_empty(F.col("h1"), F.col("title"))).filter(F.col("name") != "")

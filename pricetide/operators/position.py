@@ -8,7 +8,7 @@ rows before it, taken from a small table of counts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricetide.session import stage
@@ -52,16 +52,17 @@ def with_position(df: DataFrame, order: list[str], group: list[str] | None = Non
     )
 
 
-def chunk_of(idx: Column, n_total: Column, total: int) -> Column:
-    """Chunk of a 1-based position: equal slices of ``ceil(n / total)`` rows, the last ones may be short."""
-    size = F.ceil(n_total / F.lit(total))
-    return (F.floor((idx - 1) / size) + 1).cast("int")
-
-
 def assign_chunks(df: DataFrame, key: str, total: int) -> DataFrame:
-    """Distinct keys in ascending order with ``idx`` and ``chunk``."""
+    """Distinct keys in ascending order with ``idx``, ``chunk`` and ``chunk_idx`` (place in the chunk).
+
+    Chunks are equal slices of ``ceil(n / total)`` keys; the last ones may be short or empty.
+    """
     placed = with_position(df.select(key).filter(F.col(key).isNotNull()).distinct(), [key])
-    return placed.select(key, "idx", chunk_of(F.col("idx"), F.col("n_total"), total).alias("chunk"))
+    size = F.ceil(F.col("n_total") / F.lit(total))
+    before = F.col("idx") - 1
+    return placed.select(
+        key, "idx", (F.floor(before / size) + 1).cast("int").alias("chunk"), (before % size + 1).alias("chunk_idx")
+    )
 
 
 def shuffled(df: DataFrame, key: str, seed: str) -> DataFrame:

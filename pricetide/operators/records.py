@@ -23,7 +23,9 @@ def key_column(columns: list[str]) -> str | None:
     return next((c for c in (S.URL, S.LINK) if c in columns), None)
 
 
-def shop_rows(extracted: DataFrame, headers: tuple[str, ...], spec_sep: str = " | ") -> DataFrame:
+def shop_rows(
+    extracted: DataFrame, headers: tuple[str, ...], spec_sep: str = " | ", carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Extracted fields as a shop table: nested fields flattened to text, columns by the shop's headers.
 
     Needs ``discount_text``; ``captured_at`` and ``source_lastmod`` are used when present.
@@ -50,7 +52,7 @@ def shop_rows(extracted: DataFrame, headers: tuple[str, ...], spec_sep: str = "
         S.CRAWLED: captured,
         S.COLLECTED: captured,
     }
-    return extracted.select(*[by_header[h].alias(h) for h in headers])
+    return extracted.select(*[by_header[h].alias(h) for h in headers], *carry)
 
 
 def union_tables(frames: list[DataFrame]) -> DataFrame:
@@ -63,6 +65,15 @@ def union_stores(frames: dict[str, DataFrame]) -> DataFrame:
     return union_tables([df.withColumn("store", F.lit(store)) for store, df in frames.items()])
 
 
+def merge_shards(bronze: DataFrame, order: list[str]) -> DataFrame:
+    """Shards of any number of stores to canonical records: first row per store and product.
+
+    Duplicates go before any cell is parsed.
+    """
+    url = F.coalesce(*[text.blank_to_null(F.col(c)) for c in (S.URL, S.LINK) if c in bronze.columns])
+    return silver(keep_first(bronze.withColumn("_url", url), ["store", "_url"], order))
+
+
 def merge_shop(df: DataFrame, order: list[str]) -> DataFrame:
     """First row per product, price columns numeric with the text of unreadable cells kept next to them."""
     key = key_column(df.columns)
@@ -84,7 +95,7 @@ def silver(bronze: DataFrame) -> DataFrame:
 
     price, original, shown = cell(S.PRICE), cell(S.LIST_PRICE), cell(S.DISCOUNT)
     pct = F.regexp_extract(F.coalesce(shown, F.lit("")), r"\A-(\d+)%\z", 1).try_cast("int")
-    record = bronze.select(
+    return bronze.select(
         F.col("store"),
         cell(S.NAME).alias("name"),
         price.alias("price_text"),
@@ -95,15 +106,15 @@ def silver(bronze: DataFrame) -> DataFrame:
         pct.alias("discount_pct"),
         F.coalesce(shown, F.lit("")).alias("discount_text"),
         cell(S.STOCK).alias("stock_status"),
-        F.filter(F.split(F.coalesce(cell(S.PROMOS), F.lit("")), r" \| "), lambda t: t != "").alias("promos"),
+        F.filter(F.split(F.coalesce(cell(S.PROMOS), F.lit("")), r" \| "), lambda t: t != "")
+        .cast(S.SILVER["promos"].dataType)
+        .alias("promos"),
         cell(S.GIFT).alias("gift_note"),
         specs.spec_map(specs.parse_spec_text(F.coalesce(cell(S.SPECS), F.lit("")))).alias("specs"),
         cell(S.URL, S.LINK).alias("url"),
         cell(S.LASTMOD).alias("source_lastmod"),
         dates.parse_local_time(cell(S.COLLECTED, S.CRAWLED)).alias("crawled_at"),
-        *[F.col(c) for c in bronze.columns if c.startswith("_")],
     )
-    return record
 
 
 def topic_numbers(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricetide.functions import specs
@@ -24,3 +24,8 @@ def spec_rows(pairs: DataFrame, record: list[str], keep: str = "last", order: st
 def with_spec(df: DataFrame, key_words: list[str], value_part: str, column: str = "specs") -> DataFrame:
     """Records with a pair whose key contains one of the words and whose value contains the part."""
     return df.filter(specs.any_spec(F.col(column), key_words, value_part))
+
+
+def clean(pairs: Column) -> Column:
+    """Complete pairs only, last value per key."""
+    return specs.dedup_pairs(specs.clean_pairs(pairs))
