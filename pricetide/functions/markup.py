@@ -1,12 +1,15 @@
 """Captured page markup as columns.
 
 Simple fields come from regular expressions (JVM side). Where nesting matters,
-``page_nodes`` turns a page into an array of node structs once, in Arrow
-batches; every selection on that array is again a built-in expression.
+``pick`` parses each page once, in Arrow batches, and hands back only the texts
+of the elements named by a set of rules; choosing between them, cleaning and
+pairing them stay built-in expressions on those short arrays.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -14,23 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricetide.functions.text import PY_SPACE, pystrip
-
-NODE = T.StructType(
-    [
-        T.StructField("id", T.IntegerType()),  # document order
-        T.StructField("last", T.IntegerType()),  # id of the last node inside
-        T.StructField("parent", T.IntegerType()),
-        T.StructField("nth", T.IntegerType()),  # 1-based place among sibling elements, 0 for text
-        T.StructField("tag", T.StringType()),  # '#text' for text
-        T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("text", T.StringType()),
-        T.StructField("line", T.IntegerType()),  # rendered line: grows at block borders and <br>
-        T.StructField("start", T.IntegerType()),  # 0-based character range in the page
-        T.StructField("stop", T.IntegerType()),
-    ]
-)
-NODES = T.ArrayType(NODE)
+from pricetide.functions.text import pystrip
 
 # Elements without an end tag, and elements that start a new line.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -40,271 +27,304 @@ BLOCK = frozenset(
 )
 
 
-class _Flatten(HTMLParser):
-    """One page to a flat node list, in document order."""
+# --- rules -------------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class El:
+    """Test of one element. ``has``: parts of attribute values; ``child``: directly below the step before."""
+
+    tag: str = ""  # names separated by blanks
+    cls: str = ""  # classes, all needed
+    attrs: tuple[tuple[str, str | None], ...] = ()  # exact values; None: only set
+    has: tuple[tuple[str, str], ...] = ()
+    nth: int = 0
+    child: bool = False
+
+    def fits(self, page: _Page, i: int) -> bool:
+        if self.tag and page.tag[i] not in self.tag.split():
+            return False
+        attrs = page.attrs[i]
+        if self.cls and not page.classes(i).issuperset(self.cls.split()):
+            return False
+        if self.nth and page.nth[i] != self.nth:
+            return False
+        for name, value in self.attrs:
+            if name not in attrs or (value is not None and attrs[name] != value):
+                return False
+        return all(part in attrs.get(name, "") for name, part in self.has)
+
+
+@dataclass(frozen=True)
+class Part:
+    """Texts taken from elements below a picked element (from itself without ``paths``).
+
+    ``take``: ``own`` direct texts, ``deep`` all texts, ``inner`` texts of inner elements, ``raw`` text content,
+    ``lines`` text as shown (one line per block), ``outer`` markup, ``@name`` an attribute.
+    """
+
+    take: str
+    paths: tuple[tuple[El, ...], ...] = ()
+    at: int | None = None  # only this match
+    child: bool = False  # direct children only
+    without: tuple[El, ...] = ()  # elements cut out of ``raw``
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Elements matching any of the paths (outermost step first), and what to take from each."""
+
+    paths: tuple[tuple[El, ...], ...]
+    parts: tuple[Part, ...] = ()
+
+
+def any_of(*paths) -> tuple[tuple[El, ...], ...]:
+    return tuple(p if isinstance(p, tuple) else (p,) for p in paths)
+
+
+def rule(*paths, take: str | None = None, parts: tuple[Part, ...] = ()) -> Rule:
+    return Rule(any_of(*paths), parts or ((Part(take),) if take else ()))
+
+
+# --- one page ----------------------------------------------------------------------------------
+
+
+class _Page(HTMLParser):
+    """Nodes of one page in document order; texts have the tag ''."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.html = html
-        self.nodes: list[list] = []
-        self.open: list[int] = []
-        self.kids: dict[int, int] = {}
-        self.line = 0
-        self.line_starts = [0]
+        self.html, self.line, self.open, self.kids = html, 0, [], {}
+        self.tag, self.attrs, self.parent, self.last = [], [], [], []
+        self.nth, self.text, self.lines, self.start, self.stop = [], [], [], [], []
+        self._classes: dict[int, frozenset] = {}
+        # Elements by tag, by class and by attribute name, so that a rule looks at few of them.
+        self.by: dict[tuple[str, str], list[int]] = {}
+        self.breaks = [0]
         at = html.find("\n")
         while at >= 0:
-            self.line_starts.append(at + 1)
+            self.breaks.append(at + 1)
             at = html.find("\n", at + 1)
         self.feed(html)
         self.close()
         while self.open:
-            self._end(len(html))
+            self._shut(len(html))
+
+    def classes(self, i: int) -> frozenset:
+        found = self._classes.get(i)
+        if found is None:
+            found = self._classes[i] = frozenset(self.attrs[i].get("class", "").split())
+        return found
 
     def _at(self) -> int:
         line, col = self.getpos()
-        return self.line_starts[line - 1] + col
-
-    def _add(self, nth: int, tag: str, attrs: dict, text, start: int, stop: int) -> int:
-        node = len(self.nodes)
-        parent = self.open[-1] if self.open else -1
-        self.nodes.append([node, node, parent, nth, tag, attrs, text, self.line, start, stop])
-        return node
-
-    def _end(self, stop: int) -> None:
-        node = self.nodes[self.open.pop()]
-        node[1], node[9] = len(self.nodes) - 1, stop
-        if node[4] in BLOCK:
-            self.line += 1
+        return self.breaks[line - 1] + col
+
+    def _add(self, tag, attrs, nth, text, start, stop) -> int:
+        i = len(self.tag)
+        self.tag.append(tag)
+        self.attrs.append(attrs)
+        self.parent.append(self.open[-1] if self.open else -1)
+        self.last.append(i)
+        self.nth.append(nth)
+        self.text.append(text)
+        self.lines.append(self.line)
+        self.start.append(start)
+        self.stop.append(stop)
+        return i
+
+    def _shut(self, stop: int) -> None:
+        i = self.open.pop()
+        self.last[i], self.stop[i] = len(self.tag) - 1, stop
+        self.line += self.tag[i] in BLOCK
 
     def handle_starttag(self, tag, attrs):
-        if tag in BLOCK:
-            self.line += 1
-        parent = self.open[-1] if self.open else -1
-        self.kids[parent] = nth = self.kids.get(parent, 0) + 1
+        self.line += tag in BLOCK
+        above = self.open[-1] if self.open else -1
+        self.kids[above] = nth = self.kids.get(above, 0) + 1
         start = self._at()
-        raw = self.get_starttag_text() or ""
-        node = self._add(nth, tag, {k: v or "" for k, v in attrs}, None, start, start + len(raw))
+        values = {k: v or "" for k, v in attrs}
+        i = self._add(tag, values, nth, None, start, start + len(self.get_starttag_text() or ""))
+        for key in (("*", ""), ("tag", tag), *(("attr", a) for a in values), *(("class", c) for c in self.classes(i))):
+            self.by.setdefault(key, []).append(i)
         if tag not in VOID:
-            self.open.append(node)
+            self.open.append(i)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        if any(self.nodes[n][4] == tag for n in self.open):
+        if any(self.tag[i] == tag for i in self.open):
             start = self._at()
-            stop = self.html.find(">", start) + 1 or len(self.html)
-            while self.nodes[self.open[-1]][4] != tag:
-                self._end(start)
-            self._end(stop)
+            while self.tag[self.open[-1]] != tag:
+                self._shut(start)
+            self._shut(self.html.find(">", start) + 1 or len(self.html))
 
     def handle_data(self, data):
-        if self.open and self.nodes and self.nodes[-1][4] == "#text" and self.nodes[-1][2] == self.open[-1]:
-            self.nodes[-1][6] += data
+        if self.tag and not self.tag[-1] and self.parent[-1] == (self.open[-1] if self.open else -1):
+            self.text[-1] += data
         else:
-            self._add(0, "#text", {}, data, self._at(), self._at() + len(data))
-
-
-_ARROW_NODE = pa.struct(
+            self._add("", None, 0, data, self._at(), 0)
+
+    # matching
+
+    def on_path(self, path: tuple[El, ...], i: int) -> bool:
+        if not path[-1].fits(self, i):
+            return False
+        step, direct, above = len(path) - 2, path[-1].child, self.parent[i]
+        while step >= 0:
+            if above < 0:
+                return False
+            if path[step].fits(self, above):
+                direct, step = path[step].child, step - 1
+            elif direct:
+                return False
+            above = self.parent[above]
+        return True
+
+    def candidates(self, el: El):
+        if el.cls:
+            keys = [("class", el.cls.split()[0])]
+        elif el.attrs or el.has:
+            keys = [("attr", (el.attrs or el.has)[0][0])]
+        else:
+            keys = [("tag", t) for t in el.tag.split()] or [("*", "")]
+        for key in keys:
+            yield self.by.get(key, ())
+
+    def matches(self, paths, low: int, high: int) -> list[int]:
+        found = set()
+        for path in paths:
+            for ids in self.candidates(path[-1]):
+                for i in ids[bisect_left(ids, low) : bisect_left(ids, high)]:
+                    if i not in found and self.on_path(path, i):
+                        found.add(i)
+        return sorted(found)
+
+    # taking
+
+    def take(self, part: Part, i: int) -> list[str] | None:
+        found = [i]
+        if part.paths:
+            found = self.matches(part.paths, i, self.last[i] + 1)
+            if part.child:
+                found = [j for j in found if self.parent[j] == i]
+            if part.at is not None:
+                found = found[part.at : part.at + 1]
+        if not found:
+            return None
+        how = part.take
+        if how.startswith("@"):
+            return [self.attrs[j].get(how[1:], "") for j in found]
+        if how == "outer":
+            return [self.html[self.start[j] : self.stop[j]] for j in found]
+        if how == "raw":
+            return ["".join(self.text[t] for t in self.texts(j, part.without)) for j in found]
+        if how == "lines":
+            return [self.shown(j) for j in found]
+        if how == "own":
+            wanted = set(found)
+            keep = lambda t: self.parent[t] in wanted
+        elif how == "inner":
+            keep = lambda t: any(j < self.parent[t] <= self.last[j] for j in found)
+        else:
+            keep = lambda t: True
+        picked = sorted({t for j in found for t in self.texts(j) if keep(t)})
+        return [self.text[t] for t in picked]
+
+    def texts(self, i: int, without: tuple[El, ...] = ()) -> list[int]:
+        out, j, end = [], i, self.last[i]
+        while j <= end:
+            if not self.tag[j]:
+                out.append(j)
+            elif j > i and any(el.fits(self, j) for el in without):
+                j = self.last[j]
+            j += 1
+        return out
+
+    def shown(self, i: int) -> str:
+        lines: dict[int, list[str]] = {}
+        for t in self.texts(i):
+            lines.setdefault(self.lines[t], []).append(self.text[t])
+        joined = (" ".join("".join(parts).split()) for parts in lines.values())
+        return "\n".join(line for line in joined if line)
+
+
+PICK = T.StructType(
     [
-        ("id", pa.int32()),
-        ("last", pa.int32()),
-        ("parent", pa.int32()),
-        ("nth", pa.int32()),
-        ("tag", pa.string()),
-        ("attrs", pa.map_(pa.string(), pa.string())),
-        ("text", pa.string()),
-        ("line", pa.int32()),
-        ("start", pa.int32()),
-        ("stop", pa.int32()),
+        T.StructField("id", T.IntegerType()),  # place in document order
+        T.StructField("last", T.IntegerType()),  # place of the last node inside
+        T.StructField("parts", T.ArrayType(T.ArrayType(T.StringType()))),
     ]
 )
+_ARROW_PICK = pa.struct([("id", pa.int32()), ("last", pa.int32()), ("parts", pa.list_(pa.list_(pa.string())))])
 
 
-@F.arrow_udf(NODES)
-def page_nodes(html: pa.Array) -> pa.Array:
-    """Page markup to its node array; null stays null."""
-    pages = [None if page is None else _Flatten(page).nodes for page in html.to_pylist()]
-    offsets, columns = [0], [[] for _ in NODE.fields]
-    for nodes in pages:
-        for node in nodes or ():
-            for column, value in zip(columns, node):
-                column.append(value)
-        offsets.append(len(columns[0]))
-    attrs = pa.array([list(a.items()) for a in columns[5]], type=_ARROW_NODE.field("attrs").type)
-    arrays = [
-        attrs if field.name == "attrs" else pa.array(column, type=field.type)
-        for field, column in zip(_ARROW_NODE, columns)
-    ]
-    structs = pa.StructArray.from_arrays(arrays, fields=list(_ARROW_NODE))
-    mask = pa.array([page is None for page in pages])
-    return pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), structs, mask=mask)
-
-
-# --- node tests: each takes a node and gives a boolean ---------------------------------------
-
-
-def tag(*names: str):
-    return lambda n: n["tag"].isin(*names) if len(names) > 1 else n["tag"] == names[0]
+def pick(html: Column, rules: dict[str, Rule]) -> Column:
+    """Struct with one array of picked elements per rule; null markup gives empty arrays."""
+    schema = T.StructType([T.StructField(name, T.ArrayType(PICK)) for name in rules])
 
+    @F.arrow_udf(schema)
+    def picks(pages: pa.Array) -> pa.Array:
+        columns = {name: [] for name in rules}
+        for value in pages:
+            markup = value.as_py()
+            page = None if markup is None else _Page(markup)
+            for name, r in rules.items():
+                ids = [] if page is None else page.matches(r.paths, 0, len(page.tag))
+                columns[name].append(
+                    [{"id": i, "last": page.last[i], "parts": [page.take(p, i) for p in r.parts]} for i in ids]
+                )
+        arrays = [pa.array(columns[name], type=pa.list_(_ARROW_PICK)) for name in rules]
+        return pa.StructArray.from_arrays(arrays, names=list(rules))
 
-def attr(n: Column, name: str) -> Column:
-    return F.coalesce(F.try_element_at(n["attrs"], F.lit(name)), F.lit(""))
+    return picks(html)
 
 
-def has_class(*names: str):
-    """Element carries all the classes."""
-
-    def test(n: Column) -> Column:
-        padded = F.concat(F.lit(" "), F.regexp_replace(attr(n, "class"), r"\s+", " "), F.lit(" "))
-        ok = F.lit(True)
-        for name in names:
-            ok = ok & F.contains(padded, F.lit(f" {name} "))
-        return ok
-
-    return test
-
-
-def attr_is(name: str, value: str):
-    return lambda n: attr(n, name) == value
-
-
-def attr_has(name: str, *parts: str):
-    """Attribute value contains all the parts."""
-
-    def test(n: Column) -> Column:
-        ok = F.lit(True)
-        for part in parts:
-            ok = ok & F.contains(attr(n, name), F.lit(part))
-        return ok
-
-    return test
-
-
-def attr_set(name: str):
-    return lambda n: F.map_contains_key(n["attrs"], F.lit(name))
-
-
-def nth(k: int):
-    return lambda n: n["nth"] == k
-
-
-def all_of(*tests):
-    def test(n: Column) -> Column:
-        ok = tests[0](n)
-        for t in tests[1:]:
-            ok = ok & t(n)
-        return ok
-
-    return test
-
-
-def any_of(*tests):
-    def test(n: Column) -> Column:
-        ok = tests[0](n)
-        for t in tests[1:]:
-            ok = ok | t(n)
-        return ok
-
-    return test
-
-
-# --- selections on a node array --------------------------------------------------------------
-
-
-def elements(nodes: Column, test) -> Column:
-    """Matching elements, in document order."""
-    return F.filter(nodes, lambda n: (n["nth"] > 0) & test(n))
-
-
-def inside(nodes: Column, scopes: Column, test=None, child: bool = False, strict: bool = True) -> Column:
-    """Elements below any of the scope elements (``child``: directly below)."""
-
-    def below(n: Column) -> Column:
-        if child:
-            return F.exists(scopes, lambda s: n["parent"] == s["id"])
-        low = (lambda s: n["id"] > s["id"]) if strict else (lambda s: n["id"] >= s["id"])
-        return F.exists(scopes, lambda s: low(s) & (n["id"] <= s["last"]))
-
-    picked = elements(nodes, test) if test is not None else F.filter(nodes, lambda n: n["nth"] > 0)
-    return F.filter(picked, below)
-
-
-def within(nodes: Column, scope: Column) -> Column:
-    """The nodes of one element, itself included (a slice of the array)."""
-    return F.when(
-        scope.isNotNull(), F.slice(nodes, scope["id"] + 1, scope["last"] - scope["id"] + 1)
-    ).otherwise(F.slice(nodes, 1, 0))
+# --- choosing among picks ----------------------------------------------------------------------
 
 
 def first(items: Column) -> Column:
     return F.get(items, F.lit(0))
 
 
-def own_texts(nodes: Column, scopes: Column) -> Column:
-    """Text nodes directly below any of the scope elements."""
-    ids = F.transform(scopes, lambda s: s["id"])
-    texts = F.filter(nodes, lambda n: (n["nth"] == 0) & F.array_contains(ids, n["parent"]))
-    return F.transform(texts, lambda n: n["text"])
-
-
-def own_text(nodes: Column, scopes: Column) -> Column:
-    """First text directly below the first element that has one, stripped; '' if none."""
-    return pystrip(F.coalesce(F.get(own_texts(nodes, scopes), F.lit(0)), F.lit("")))
-
-
-def deep_texts(nodes: Column, scope: Column, skip_own: bool = False) -> Column:
-    """All text nodes of one element in document order."""
-    texts = F.filter(
-        within(nodes, scope),
-        lambda n: (n["nth"] == 0) & ((n["parent"] != scope["id"]) if skip_own else F.lit(True)),
-    )
-    return F.transform(texts, lambda n: n["text"])
+def part(item: Column, k: int = 0) -> Column:
+    """Texts of one part of a picked element; empty when it is missing."""
+    return F.coalesce(F.get(item["parts"], F.lit(k)), F.array().cast("array<string>"))
 
 
-def joined_text(texts: Column, sep: str = " ") -> Column:
-    """Non-blank texts, stripped and joined."""
-    return F.concat_ws(sep, F.filter(F.transform(texts, pystrip), lambda t: t != ""))
+def has_part(item: Column, k: int) -> Column:
+    return F.get(item["parts"], F.lit(k)).isNotNull()
 
 
-def raw_text(nodes: Column, scope: Column) -> Column:
-    """Text content of one element as it stands in the page."""
-    return F.concat_ws("", deep_texts(nodes, scope))
+def texts(items: Column, k: int = 0) -> Column:
+    """Texts of one part over all picked elements, in page order."""
+    return F.flatten(F.transform(items, lambda x: part(x, k)))
 
 
-def lines_text(nodes: Column, scope: Column) -> Column:
-    """Text of one element as a browser shows it: one line per block, blanks collapsed."""
-    texts = F.filter(within(nodes, scope), lambda n: n["nth"] == 0)
-    start = F.struct(F.lit("").alias("text"), F.lit(-1).alias("line"))
+def first_text(items: Column, k: int = 0) -> Column:
+    """First text over all picked elements, stripped; '' if none."""
+    return pystrip(F.coalesce(first(texts(items, k)), F.lit("")))
 
-    def step(acc: Column, n: Column) -> Column:
-        piece = F.regexp_replace(n["text"], rf"(?U){PY_SPACE}+", " ")
-        blank = pystrip(piece) == ""
-        new_line = (acc["line"] >= 0) & (acc["line"] != n["line"])
-        return F.struct(
-            F.when(blank & new_line, acc["text"])
-            .otherwise(F.concat(acc["text"], F.when(new_line, F.lit("\n")).otherwise(F.lit("")), piece))
-            .alias("text"),
-            F.when(blank & new_line, acc["line"]).when(blank, acc["line"]).otherwise(n["line"]).alias("line"),
-        )
 
-    shown = F.aggregate(texts, start, step, lambda acc: acc["text"])
-    return pystrip(F.regexp_replace(shown, r" *\n *", "\n"))
+def below(items: Column, scope: Column) -> Column:
+    """Picked elements strictly inside another one."""
+    return F.filter(items, lambda x: (x["id"] > scope["id"]) & (x["id"] <= scope["last"]))
 
 
-def outer_html(html: Column, scope: Column) -> Column:
-    return F.substring(html, scope["start"] + 1, scope["stop"] - scope["start"])
+def joined_text(items: Column, sep: str = " ") -> Column:
+    """Non-blank texts, stripped and joined."""
+    return F.concat_ws(sep, F.filter(F.transform(items, pystrip), lambda t: t != ""))
 
 
-def block_or_body(html: Column, nodes: Column, *tests, max_chars: int | None = None) -> Column:
-    """Markup of the first element matching the first successful test, else the body
+def block_or_body(html: Column, found: list[Column], max_chars: int | None = None) -> Column:
+    """Markup of the first element of the first successful pick (part ``outer``), else the body
     (its first ``max_chars`` characters when given)."""
-    found = [first(elements(nodes, test)) for test in tests]
-    body = F.regexp_extract(html, r"(?is)<body\b[^>]*>(.*)</body\s*>", 1)
+    body = F.regexp_replace(F.regexp_extract(html, r"(?is)<body\b[^>]*>(.*)", 1), r"(?is)</body\s*>.*", "")
     body = F.when(body == "", html).otherwise(body)
     if max_chars is not None:
         body = F.substring(body, 1, max_chars)
-    return F.coalesce(*[F.when(f.isNotNull(), outer_html(html, f)) for f in found], body)
+    return F.coalesce(*[first(texts(f)) for f in found], body)
 
 
 # --- regular expressions on the raw page -------------------------------------------------------

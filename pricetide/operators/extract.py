@@ -1,8 +1,8 @@
 """Product fields from captured pages, by shop.
 
-``pages`` has ``url`` and ``html``; other columns are carried along. Each shop
-is a function from the node array to field columns, so one page is one row all
-the way and no shuffle takes place.
+``pages`` has ``url`` and ``html``; other columns are carried along. One page is
+one row all the way, so no shuffle takes place. Each shop has a set of pick
+rules and a function from the picks to field columns.
 """
 
 from __future__ import annotations
@@ -12,452 +12,396 @@ from pyspark.sql import functions as F
 
 from pricetide.functions import markup as M
 from pricetide.functions import prices, specs, text
+from pricetide.functions.markup import El, Part, any_of, rule
 
 FIELDS = ["name", "price_text", "list_price_text", "percent_text", "stock_status", "promos", "gift_note", "specs"]
 
-def _empty() -> Column:
-    return F.lit("")
-
 
 def _pair(key: Column, value: Column) -> Column:
     return F.struct(key.alias("key"), value.alias("value"))
 
 
-def _fields(**given: Column) -> dict[str, Column]:
-    blank = {"stock_status": _empty(), "gift_note": _empty(), "percent_text": _empty()}
-    return {f: {**blank, **given}[f] for f in FIELDS}
-
-
-def _text_or_none(scope: Column, value: Column) -> Column:
-    return F.when(scope.isNotNull(), value).otherwise(_empty())
+def _pairs(rows: Column, pair) -> Column:
+    """Pairs of the rows for which ``pair`` gives one."""
+    return F.filter(F.transform(rows, pair), lambda p: p.isNotNull())
 
 
-# --- shops -----------------------------------------------------------------------------------
-
-
-def _cellphones(html: Column, n: Column) -> dict[str, Column]:
-    h1 = M.tag("h1")
-    name = text.first_non_empty(
-        M.own_text(n, M.inside(n, M.elements(n, M.has_class("box-product-name")), h1)),
-        M.own_text(n, M.elements(n, h1)),
-    )
-
-    modal_rows = M.inside(n, M.elements(n, M.has_class("modal-content")), M.has_class("item-technical-content"))
-    table_rows = M.elements(n, M.all_of(M.tag("tr"), M.has_class("technical-content-item")))
-    rows = F.array_sort(
-        F.array_distinct(F.concat(_ids(modal_rows), _ids(table_rows)))
-    )
-    list_rows = _ids(
-        M.inside(n, M.elements(n, M.all_of(M.tag("ul"), M.has_class("technical-content"))), M.tag("li"))
-    )
+def _fields(**given: Column) -> dict[str, Column]:
+    blank = {f: F.lit("") for f in ("stock_status", "gift_note", "percent_text")}
+    return {f: {**blank, **given}[f] for f in FIELDS}
 
-    def row_pair(i: Column) -> Column:
-        item = F.element_at(n, i + 1)
-        here = M.within(n, item)
-        cells = M.elements(here, M.tag("td"))
-        key_cell, value_cell = F.get(cells, F.lit(0)), F.get(cells, F.lit(1))
-        key_2 = M.own_text(
-            here, M.elements(here, M.any_of(M.has_class("item-technical-name"), M.all_of(M.tag("p"), M.nth(1))))
-        )
-        values_2 = M.elements(
-            here,
-            M.any_of(M.has_class("item-technical-value"), M.all_of(M.tag("p"), M.nth(2)), M.tag("div")),
-        )
-        inner = M.inside(here, values_2)
-        value_2 = M.joined_text(F.filter(M.own_texts(here, inner), lambda t: text.pystrip(t) != key_2))
-        table = F.size(cells) >= 2
-        return _pair(
-            F.when(table, text.pystrip(F.coalesce(F.get(M.deep_texts(n, key_cell), F.lit(0)), _empty()))).otherwise(key_2),
-            F.when(table, M.joined_text(M.deep_texts(n, value_cell))).otherwise(value_2),
-        )
 
-    pairs = F.transform(F.when(F.size(rows) > 0, rows).otherwise(list_rows), row_pair)
-
-    box = M.within(
-        n,
-        M.first(
-            M.elements(
-                n,
-                M.any_of(
-                    M.has_class("box-product-price-wrapper"),
-                    M.has_class("box-info__box-price"),
-                    M.has_class("tpt-box-price"),
+def _first_full(*lists: Column) -> Column:
+    """The first non-empty list, else the last one."""
+    chosen = lists[-1]
+    for items in reversed(lists[:-1]):
+        chosen = F.when(F.size(items) > 0, items).otherwise(chosen)
+    return chosen
+
+
+# --- shop with technical tables and promotion boxes --------------------------------------------
+
+_SPEC_ROW = (
+    Part("deep", any_of(El("td")), at=0),
+    Part("deep", any_of(El("td")), at=1),
+    Part("own", any_of(El(cls="item-technical-name"), El("p", nth=1))),
+    Part("inner", any_of(El(cls="item-technical-value"), El("p", nth=2), El("div"))),
+)
+CELLPHONES = {
+    "boxed_name": rule((El(cls="box-product-name"), El("h1")), take="own"),
+    "name": rule(El("h1"), take="own"),
+    "row": rule(
+        (El(cls="modal-content"), El(cls="item-technical-content")),
+        El("tr", cls="technical-content-item"),
+        parts=_SPEC_ROW,
+    ),
+    "item": rule((El("ul", cls="technical-content"), El("li")), parts=_SPEC_ROW),
+    "box": rule(El(cls="box-product-price-wrapper"), El(cls="box-info__box-price"), El(cls="tpt-box-price")),
+    "current": rule(El(cls="tpt-price"), El(cls="product__price--show"), El(cls="sale-price"), take="own"),
+    "original": rule(El(cls="tpt-price-through"), El(cls="product__price--through"), El(cls="base-price"), take="own"),
+    "percent": rule((El(cls="product__price--percent-detail"), El("span")), take="own"),
+    "stock": rule((El(cls="order-button"), El("strong")), take="raw"),
+    "promo": rule(
+        (El(cls="box-promotions"), El(cls="promotion-item")),
+        El(cls="item-promotions"),
+        El(cls="block-smem-price"),
+        (El(cls="exclusive-price-block"), El(cls="txt")),
+        El(cls="trade-price-label"),
+        (El(cls="box-product-promotion-content"), El(cls="button__promotion")),
+        parts=(
+            Part(
+                "raw",
+                without=(
+                    El("a button"),
+                    El(cls="icon-pc"),
+                    El(cls="btn-estimate-price-trade"),
+                    El(cls="dang_nhap_xem_gia"),
                 ),
-            )
+            ),
         ),
-    )
+    ),
+}
 
-    def shown(*classes: str) -> Column:
-        return M.own_text(box, M.elements(box, M.any_of(*[M.has_class(c) for c in classes])))
 
-    percent = M.own_text(
-        box, M.inside(box, M.elements(box, M.has_class("product__price--percent-detail")), M.tag("span"))
-    )
+def _cellphones(html: Column, p: Column) -> dict[str, Column]:
+    box = M.first(p["box"])
 
-    strong = M.first(M.inside(n, M.elements(n, M.has_class("order-button")), M.tag("strong")))
+    def shown(field: str) -> Column:
+        return M.first_text(M.below(p[field], box))
 
-    promo_blocks = M.any_of(
-        M.has_class("item-promotions"),
-        M.has_class("block-smem-price"),
-        M.has_class("trade-price-label"),
-    )
-    scoped = [
-        M.inside(n, M.elements(n, M.has_class(outer)), M.has_class(inner))
-        for outer, inner in (
-            ("box-promotions", "promotion-item"),
-            ("exclusive-price-block", "txt"),
-            ("box-product-promotion-content", "button__promotion"),
-        )
-    ]
-    block_ids = F.array_sort(F.array_distinct(F.concat(_ids(M.elements(n, promo_blocks)), *map(_ids, scoped))))
-    removed = M.any_of(
-        M.tag("a", "button"),
-        M.has_class("icon-pc"),
-        M.has_class("btn-estimate-price-trade"),
-        M.has_class("dang_nhap_xem_gia"),
-    )
-
-    def promo(i: Column) -> Column:
-        scope = F.element_at(n, i + 1)
-        gone = M.inside(M.within(n, scope), F.array(scope), removed)
-        kept = F.filter(
-            M.within(n, scope),
-            lambda t: (t["nth"] == 0) & ~F.exists(gone, lambda g: (t["id"] > g["id"]) & (t["id"] <= g["last"])),
+    def pair(row: Column) -> Column:
+        name = M.first_text(F.array(row), 2)
+        inner = F.filter(M.part(row, 3), lambda t: text.pystrip(t) != name)
+        table = M.has_part(row, 1)
+        first_cell = text.pystrip(F.coalesce(M.first(M.part(row, 0)), F.lit("")))
+        return _pair(
+            F.when(table, first_cell).otherwise(name),
+            F.when(table, M.joined_text(M.part(row, 1))).otherwise(M.joined_text(inner)),
         )
-        return text.promo_line(F.concat_ws("", F.transform(kept, lambda t: t["text"])))
 
     return _fields(
-        name=name,
-        price_text=prices.checked_current_a(shown("tpt-price", "product__price--show", "sale-price")),
-        list_price_text=prices.checked_original_a(shown("tpt-price-through", "product__price--through", "base-price")),
-        percent_text=percent,
-        stock_status=_text_or_none(strong, prices.stock_flag(M.raw_text(n, strong))),
-        promos=text.keep_lines(F.transform(block_ids, promo)),
-        specs=specs.dedup_pairs(specs.clean_pairs(pairs)),
+        name=text.first_non_empty(M.first_text(p["boxed_name"]), M.first_text(p["name"])),
+        price_text=prices.checked_current_a(shown("current")),
+        list_price_text=prices.checked_original_a(shown("original")),
+        percent_text=shown("percent"),
+        stock_status=prices.stock_flag(M.first(M.texts(p["stock"]))),
+        promos=text.keep_lines(F.transform(M.texts(p["promo"]), text.promo_line)),
+        specs=specs.dedup_pairs(specs.clean_pairs(F.transform(_first_full(p["row"], p["item"]), pair))),
     )
 
 
-def _ids(items: Column) -> Column:
-    return F.transform(items, lambda e: e["id"])
-
+# --- shop with structured product data ---------------------------------------------------------
 
-def _old_gift_promos(n: Column) -> Column:
-    """Title-and-note promotions and the gift list of the older page layout."""
-    by_id = lambda name: M.elements(n, M.attr_is("id", name))
-    cards = M.inside(n, by_id("gvn-promotions"), M.has_class("gvn-promo-item"))
+_OLD_PROMOS = {
+    "card": rule(
+        (El(attrs=(("id", "gvn-promotions"),)), El(cls="gvn-promo-item")),
+        parts=(
+            Part("lines", any_of(El(cls="gvn-promo-title")), at=0),
+            Part("lines", any_of(El(cls="gvn-promo-desc")), at=0),
+        ),
+    ),
+    "gift": rule((El(attrs=(("id", "gift-promo--app"),)), El(cls="gift-promo--lists"), El("li")), take="lines"),
+}
+GEARVN = {
+    "region": rule(El(attrs=(("data-product-summary-region", "true"),))),
+    "current": rule(El("span", has=(("class", "red-700"), ("class", "bold"))), take="lines"),
+    "original": rule(El("span", has=(("class", "line-through"),)), take="lines"),
+    "percent": rule(El("span", has=(("class", "red-600"), ("class", "red-50"))), take="lines"),
+    "section": rule(El("section", has=(("class", "surface-red"),))),
+    "offer": rule(El("div", has=(("class", "gap"), ("class", "py"))), take="lines"),
+    **_OLD_PROMOS,
+}
 
-    def card(item: Column) -> Column:
-        here = M.within(n, item)
-        title = M.first(M.elements(here, M.has_class("gvn-promo-title")))
-        note = M.first(M.elements(here, M.has_class("gvn-promo-desc")))
-        return text.title_with_note(
-            _text_or_none(title, M.lines_text(n, title)), _text_or_none(note, M.lines_text(n, note))
-        )
 
-    gift_lists = M.inside(n, by_id("gift-promo--app"), M.has_class("gift-promo--lists"))
-    gifts = F.transform(M.inside(n, gift_lists, M.tag("li")), lambda li: M.lines_text(n, li))
-    return text.keep_lines(F.concat(F.transform(cards, card), gifts), distinct=False)
+def _old_promos(p: Column) -> Column:
+    """Titles with notes and the gift list of the older page layout."""
+    cards = F.transform(p["card"], lambda c: text.title_with_note(M.first(M.part(c, 0)), M.first(M.part(c, 1))))
+    return text.keep_lines(F.concat(cards, M.texts(p["gift"])), distinct=False)
 
 
-def _gearvn(html: Column, n: Column) -> dict[str, Column]:
+def _gearvn(html: Column, p: Column) -> dict[str, Column]:
     ld = M.json_ld_product(html)
-    region = M.first(M.elements(n, M.attr_is("data-product-summary-region", "true")))
-    scope = F.when(region.isNotNull(), M.within(n, region)).otherwise(n)
+    region = M.first(p["region"])
 
-    def span(*parts: str) -> Column:
-        found = M.first(M.elements(scope, M.all_of(M.tag("span"), M.attr_has("class", *parts))))
-        return _text_or_none(found, M.lines_text(n, found))
+    def shown(field: str) -> Column:
+        scoped = F.when(region.isNull(), p[field]).otherwise(M.below(p[field], region))
+        return M.first_text(scoped)
 
     current, original = prices.with_structured_fallback(
-        span("red-700", "bold"), span("line-through"), ld["offers"]["price"], ld["offers"]["priceSpecification"]["price"]
+        shown("current"), shown("original"), ld["offers"]["price"], ld["offers"]["priceSpecification"]["price"]
     )
-
-    section = M.first(M.elements(n, M.all_of(M.tag("section"), M.attr_has("class", "surface-red"))))
-    blocks = M.elements(M.within(n, section), M.all_of(M.tag("div"), M.attr_has("class", "gap", "py")))
-    offers = F.filter(F.transform(blocks, lambda b: M.lines_text(n, b)), text.longer_than(5))
+    offers = F.filter(M.texts(M.below(p["offer"], M.first(p["section"]))), text.longer_than(5))
     offers = F.filter(F.transform(offers, text.drop_scope_label), lambda t: t != "")
-    props = F.transform(
-        F.coalesce(ld["additionalProperty"], F.array().cast("array<struct<name:string,value:string>>")),
-        lambda p: _pair(F.coalesce(p["name"], _empty()), F.coalesce(p["value"], _empty())),
-    )
+    given = F.coalesce(ld["additionalProperty"], F.array().cast("array<struct<name:string,value:string>>"))
+    props = F.transform(given, lambda x: _pair(F.coalesce(x["name"], F.lit("")), F.coalesce(x["value"], F.lit(""))))
     return _fields(
         # Null name: no structured product on the page.
-        name=F.when(ld.isNotNull(), text.pystrip(F.coalesce(ld["name"], _empty()))),
+        name=F.when(ld.isNotNull(), text.pystrip(F.coalesce(ld["name"], F.lit("")))),
         price_text=current,
         list_price_text=original,
-        percent_text=span("red-600", "red-50"),
-        promos=F.when(F.size(offers) > 0, offers).otherwise(_old_gift_promos(n)),
+        percent_text=shown("percent"),
+        promos=_first_full(offers, _old_promos(p)),
         specs=specs.dedup_pairs(specs.clean_pairs(props)),
     )
 
 
-def _gearvn_topic(html: Column, n: Column) -> dict[str, Column]:
-    """Older layout, used for the single-topic table."""
-    block = M.first(M.elements(n, M.has_class("product-info")))
-    here = M.within(n, block)
-
-    def shown(outer: str, test) -> Column:
-        return M.own_text(here, M.inside(here, M.elements(here, M.has_class(outer)), test))
+# --- the same shop's older layout, used for the single-topic table -----------------------------
+
+_INFO = El(cls="product-info")
+_MONEY = El(cls="product-price")
+GEARVN_TOPIC = {
+    "info": rule(_INFO),
+    "name": rule((_INFO, El(cls="product-name"), El("h1")), take="own"),
+    "current": rule((_INFO, _MONEY, El(cls="pro-price")), take="own"),
+    "original": rule((_INFO, _MONEY, El("del")), take="own"),
+    "percent": rule((_INFO, _MONEY, El(cls="pro-percent")), take="own"),
+    "note": rule((_INFO, El(cls="product-desc-short"), El()), take="own"),
+    "row": rule(
+        (El(attrs=(("id", "gvn-specs-container-table"),)), El("tr", cls="gvn-spec-row")),
+        parts=(
+            Part("own", any_of(El("th", attrs=(("colspan", None),)))),
+            Part("own", any_of(El("th"))),
+            Part("own", any_of(El("td"))),
+        ),
+    ),
+    **_OLD_PROMOS,
+}
 
-    table = M.elements(n, M.attr_is("id", "gvn-specs-container-table"))
-    rows = M.inside(n, table, M.all_of(M.tag("tr"), M.has_class("gvn-spec-row")))
 
-    def row_pair(row: Column) -> Column:
-        cells = M.within(n, row)
-        return _pair(
-            M.own_text(cells, M.elements(cells, M.tag("th"))),
-            M.joined_text(M.own_texts(cells, M.elements(cells, M.tag("td")))),
-        )
+def _gearvn_topic(html: Column, p: Column) -> dict[str, Column]:
+    def pair(row: Column) -> Column:
+        return F.when(~M.has_part(row, 0), _pair(M.first_text(F.array(row), 1), M.joined_text(M.part(row, 2))))
 
-    titled = M.all_of(M.tag("th"), M.attr_set("colspan"))
-    body = F.filter(rows, lambda r: F.size(M.elements(M.within(n, r), titled)) == 0)
-    notes = M.own_texts(here, M.inside(here, M.elements(here, M.has_class("product-desc-short"))))
     return _fields(
         # Null name: the product block is missing.
-        name=F.when(block.isNotNull(), shown("product-name", M.tag("h1"))),
-        price_text=shown("product-price", M.has_class("pro-price")),
-        list_price_text=shown("product-price", M.tag("del")),
-        percent_text=shown("product-price", M.has_class("pro-percent")),
-        promos=_old_gift_promos(n),
-        gift_note=M.joined_text(notes, " | "),
-        specs=F.transform(body, row_pair),
-    )
-
-
-def _tgdd(html: Column, n: Column) -> dict[str, Column]:
-    lists = M.elements(
-        n, M.any_of(M.has_class("parameter__list"), M.has_class("parameter"), M.has_class("text-specifi"))
-    )
-    rows = M.inside(n, lists, M.tag("li"))
-
-    def row_pair(li: Column) -> Column:
-        here = M.within(n, li)
-
-        def side(place: int, cls: str, word: str):
-            strict = M.any_of(M.all_of(M.tag("aside"), M.nth(place)), M.has_class(cls))
-            loose = M.any_of(strict, M.all_of(M.tag("p", "div"), M.attr_has("class", word)))
-            return M.elements(here, strict), M.elements(here, loose)
-
-        left, left_any = side(1, "lileft", "left")
-        _, right_any = side(2, "liright", "right")
-        own_key = M.own_text(here, left_any)
-        key = F.when(own_key != "", own_key).otherwise(M.joined_text(M.own_texts(here, M.inside(here, left))))
-        deep_value = M.joined_text(M.own_texts(here, M.inside(here, right_any)))
-        value = F.when(deep_value != "", deep_value).otherwise(M.own_text(here, right_any))
-        line = text.pystrip(F.concat_ws(" ", M.deep_texts(n, li)))
-        split = F.contains(line, F.lit(":"))
-        return (
-            F.when((key != "") & (value != ""), _pair(key, value))
-            .when(
-                split,
-                _pair(
-                    text.pystrip(F.substring_index(line, ":", 1)),
-                    text.pystrip(F.element_at(F.split(line, ":", 2), 2)),
-                ),
-            )
-        )
-
-    pairs = F.filter(F.transform(rows, row_pair), lambda p: p.isNotNull())
-
-    pack = M.elements(n, M.all_of(M.has_class("active"), M.any_of(M.attr_set("data-pack"), M.attr_set("data-id"))))
-    spans = M.inside(n, pack, M.tag("span"))
+        name=F.when(F.size(p["info"]) > 0, M.first_text(p["name"])),
+        price_text=M.first_text(p["current"]),
+        list_price_text=M.first_text(p["original"]),
+        percent_text=M.first_text(p["percent"]),
+        promos=_old_promos(p),
+        gift_note=M.joined_text(M.texts(p["note"]), " | "),
+        specs=_pairs(p["row"], pair),
+    )
+
+
+# --- shop with service packs and parameter lists -----------------------------------------------
+
+_LEFT = any_of(El("aside", nth=1), El(cls="lileft"))
+_RIGHT = any_of(El("aside", nth=2), El(cls="liright"), El("p div", has=(("class", "right"),)))
+_PACKS = (El(cls="active", attrs=(("data-pack", None),)), El(cls="active", attrs=(("data-id", None),)))
+TGDD = {
+    "name": rule(El("h1"), take="own"),
+    "row": rule(
+        *[(El(cls=c), El("li")) for c in ("parameter__list", "parameter", "text-specifi")],
+        parts=(
+            Part("own", (*_LEFT, (El("p div", has=(("class", "left"),)),))),
+            Part("inner", _LEFT),
+            Part("inner", _RIGHT),
+            Part("own", _RIGHT),
+            Part("deep"),
+        ),
+    ),
+    "pack_current": rule(*[(pack, El("span"), El("b")) for pack in _PACKS], take="own"),
+    "present": rule(El(cls="box-price-present"), take="own"),
+    "price": rule(El(cls="price"), take="own"),
+    "pack_original": rule(*[(pack, El("span"), El("em")) for pack in _PACKS], take="own"),
+    "old": rule(El(cls="box-price-old"), take="own"),
+    "price_old": rule(El(cls="price-old"), take="own"),
+    "percent": rule(El(cls="percent"), El(cls="box-price-percent"), take="own"),
+    "promo": rule(El(cls="divb-right"), take="lines"),
+    "season": rule(
+        (El(cls="backtoschool"), El("div", child=True)),
+        parts=(Part("lines", any_of(El("b")), at=0), Part("lines", any_of(El("span")), at=0)),
+    ),
+}
 
-    def shown(*classes: str) -> Column:
-        return M.own_text(n, M.elements(n, M.any_of(*[M.has_class(c) for c in classes])))
 
-    plain = F.transform(
-        M.elements(n, M.has_class("divb-right")), lambda e: text.newline_to_dash(M.lines_text(n, e))
-    )
-
-    def seasonal(e: Column) -> Column:
-        here = M.within(n, e)
-        title, note = (M.first(M.elements(here, M.tag(t))) for t in ("b", "span"))
-        return text.title_dash_note(
-            _text_or_none(title, M.lines_text(n, title)), _text_or_none(note, M.lines_text(n, note))
+def _tgdd(html: Column, p: Column) -> dict[str, Column]:
+    def pair(row: Column) -> Column:
+        one = F.array(row)
+        key = text.first_non_empty(M.first_text(one, 0), M.joined_text(M.part(row, 1)))
+        value = text.first_non_empty(M.joined_text(M.part(row, 2)), M.first_text(one, 3))
+        line = text.pystrip(F.concat_ws(" ", M.part(row, 4)))
+        split = _pair(
+            text.pystrip(F.substring_index(line, ":", 1)), text.pystrip(F.element_at(F.split(line, ":", 2), -1))
         )
+        return F.when((key != "") & (value != ""), _pair(key, value)).when(F.contains(line, F.lit(":")), split)
 
-    season = F.transform(
-        M.inside(n, M.elements(n, M.has_class("backtoschool")), M.tag("div"), child=True), seasonal
-    )
+    season = F.transform(p["season"], lambda s: text.title_dash_note(M.first(M.part(s, 0)), M.first(M.part(s, 1))))
+    plain = F.transform(M.texts(p["promo"]), text.newline_to_dash)
     return _fields(
-        name=M.own_text(n, M.elements(n, M.tag("h1"))),
+        name=M.first_text(p["name"]),
         price_text=prices.drop_marks(
-            text.first_non_empty(
-                M.own_text(n, M.inside(n, spans, M.tag("b"))), shown("box-price-present"), shown("price")
-            )
+            text.first_non_empty(*[M.first_text(p[f]) for f in ("pack_current", "present", "price")])
         ),
-        list_price_text=text.first_non_empty(
-            M.own_text(n, M.inside(n, spans, M.tag("em"))), shown("box-price-old"), shown("price-old")
-        ),
-        percent_text=shown("percent", "box-price-percent"),
+        list_price_text=text.first_non_empty(*[M.first_text(p[f]) for f in ("pack_original", "old", "price_old")]),
+        percent_text=M.first_text(p["percent"]),
         promos=text.keep_lines(F.concat(plain, season)),
-        specs=specs.dedup_pairs(pairs),
-    )
+        specs=specs.dedup_pairs(_pairs(p["row"], pair)),
+    )
+
+
+# --- shop with utility classes and a spec popup ------------------------------------------------
+
+_OFFER = "text-textOnWhitePrimary"
+_CELLS = any_of(El("td th"))
+FPTSHOP = {
+    "name": rule(El("h1"), take="deep"),
+    "current": rule(
+        El(cls="text-black-opacity-100 h4-bold"),
+        (El(attrs=(("id", "price-product"),)), El("span", cls="text-black-opacity-100")),
+        El(cls="st-price-main"),
+        El(cls="text-black-opacity-100 h6-semibold"),
+        take="own",
+    ),
+    "original": rule(
+        El(cls="text-neutral-gray-5 line-through"),
+        El(cls="text-textOnWhiteSecondary line-through"),
+        El(cls="st-price-sub"),
+        take="own",
+    ),
+    "offers": rule(
+        (El("li", cls="flex items-start"), El("span", cls=_OFFER)), El("span", cls=f"{_OFFER} f1-regular"), take="own"
+    ),
+    "lines": rule(
+        El("p", cls="relative pl-5 f1-regular"),
+        El("p", cls=f"line-clamp-1 {_OFFER}"),
+        El("p", cls=f"{_OFFER} f1-regular pc:b2-regular"),
+        take="own",
+    ),
+    "items": rule((El(cls="promo-item"), El()), (El(cls="promotion-item"), El()), take="own"),
+    "popup": rule(El(has=(("class", "modal"),)), El(has=(("class", "popup"),)), El(cls="relative z-50")),
+    "dashed": rule(
+        El(cls="border-dashed"), parts=tuple(Part("deep", any_of(El()), at=k, child=True) for k in range(3))
+    ),
+    "row": rule(
+        (El("table"), El("tr")),
+        El(cls="technical-content-item"),
+        parts=(Part("deep", _CELLS, at=0), Part("deep", _CELLS, at=1)),
+    ),
+}
 
 
-def _fptshop(html: Column, n: Column) -> dict[str, Column]:
-    h1 = M.first(M.elements(n, M.tag("h1")))
-    price_zone = M.elements(n, M.attr_is("id", "price-product"))
-    in_zone = _ids(M.inside(n, price_zone, M.all_of(M.tag("span"), M.has_class("text-black-opacity-100"))))
-    current = M.elements(
-        n,
-        M.any_of(
-            M.has_class("text-black-opacity-100", "h4-bold"),
-            M.has_class("st-price-main"),
-            M.has_class("text-black-opacity-100", "h6-semibold"),
-            lambda e: F.array_contains(in_zone, e["id"]),
-        ),
-    )
-    original = M.elements(
-        n,
-        M.any_of(
-            M.has_class("text-neutral-gray-5", "line-through"),
-            M.has_class("text-textOnWhiteSecondary", "line-through"),
-            M.has_class("st-price-sub"),
-        ),
-    )
-
-    offer = M.all_of(M.tag("span"), M.has_class("text-textOnWhitePrimary"))
-    listed = _ids(M.inside(n, M.elements(n, M.all_of(M.tag("li"), M.has_class("flex", "items-start"))), offer))
-    layouts = [
-        M.own_texts(
-            n,
-            M.elements(
-                n,
-                M.any_of(
-                    lambda e: F.array_contains(listed, e["id"]), M.all_of(offer, M.has_class("f1-regular"))
-                ),
-            ),
-        ),
-        M.own_texts(
-            n,
-            M.elements(
-                n,
-                M.all_of(
-                    M.tag("p"),
-                    M.any_of(
-                        M.has_class("relative", "pl-5", "f1-regular"),
-                        M.has_class("line-clamp-1", "text-textOnWhitePrimary"),
-                        M.has_class("text-textOnWhitePrimary", "f1-regular", "pc:b2-regular"),
-                    ),
-                ),
-            ),
-        ),
-        M.own_texts(
-            n, M.inside(n, M.elements(n, M.any_of(M.has_class("promo-item"), M.has_class("promotion-item"))))
-        ),
-    ]
-    promos = layouts[2]
-    for layout in (layouts[1], layouts[0]):
-        promos = F.when(F.size(layout) > 0, layout).otherwise(promos)
-
-    popup = M.first(
-        M.elements(
-            n,
-            M.any_of(M.attr_has("class", "modal"), M.attr_has("class", "popup"), M.has_class("relative", "z-50")),
-        )
-    )
-    # Rows strictly inside the popup, or anywhere when there is none.
-    rows = F.filter(
-        M.elements(n, M.has_class("border-dashed")),
-        lambda r: popup.isNull() | ((r["id"] > popup["id"]) & (r["id"] <= popup["last"])),
-    )
+def _fptshop(html: Column, p: Column) -> dict[str, Column]:
+    popup = M.first(p["popup"])
+    rows = F.when(popup.isNull(), p["dashed"]).otherwise(M.below(p["dashed"], popup))
 
     def dashed(row: Column) -> Column:
-        kids = F.filter(M.within(n, row), lambda c: (c["nth"] > 0) & (c["parent"] == row["id"]))
-        left, right = F.get(kids, F.lit(0)), F.get(kids, F.lit(1))
+        # Exactly two children.
         return F.when(
-            F.size(kids) == 2,
-            _pair(M.joined_text(M.deep_texts(n, left), ""), M.joined_text(M.deep_texts(n, right), "")),
+            M.has_part(row, 1) & ~M.has_part(row, 2),
+            _pair(M.joined_text(M.part(row, 0), ""), M.joined_text(M.part(row, 1), "")),
         )
 
     def cells(row: Column) -> Column:
-        tds = M.elements(M.within(n, row), M.tag("td", "th"))
-        left, right = F.get(tds, F.lit(0)), F.get(tds, F.lit(1))
         return F.when(
-            F.size(tds) >= 2,
-            _pair(F.concat_ws(" ", M.deep_texts(n, left)), F.concat_ws(" ", M.deep_texts(n, right))),
+            M.has_part(row, 1), _pair(F.concat_ws(" ", M.part(row, 0)), F.concat_ws(" ", M.part(row, 1)))
         )
 
-    table_rows = _ids(M.inside(n, M.elements(n, M.tag("table")), M.tag("tr")))
-    old_rows = M.elements(
-        n,
-        M.any_of(lambda e: F.array_contains(table_rows, e["id"]), M.has_class("technical-content-item")),
-    )
-    found = specs.clean_pairs(F.filter(F.transform(rows, dashed), lambda p: p.isNotNull()))
-    fallback = specs.clean_pairs(F.filter(F.transform(old_rows, cells), lambda p: p.isNotNull()))
+    found, fallback = specs.clean_pairs(_pairs(rows, dashed)), specs.clean_pairs(_pairs(p["row"], cells))
+    promos = _first_full(*[M.texts(p[f]) for f in ("offers", "lines", "items")])
+    heading = F.coalesce(M.part(M.first(p["name"])), F.array().cast("array<string>"))
     return _fields(
-        name=_text_or_none(h1, text.collapse(M.joined_text(M.deep_texts(n, h1)))),
-        price_text=prices.checked_b(M.own_text(n, current)),
-        list_price_text=prices.checked_b(M.own_text(n, original)),
+        name=text.collapse(M.joined_text(heading)),
+        price_text=prices.checked_b(M.first_text(p["current"])),
+        list_price_text=prices.checked_b(M.first_text(p["original"])),
         promos=F.filter(F.transform(promos, text.pystrip), lambda t: t != ""),
-        specs=specs.dedup_pairs(F.when(F.size(found) > 0, found).otherwise(fallback)),
+        specs=specs.dedup_pairs(_first_full(found, fallback)),
     )
 
 
-def _phongvu(html: Column, n: Column) -> dict[str, Column]:
-    def glued(scope: Column) -> Column:
-        return M.joined_text(M.deep_texts(n, scope), "")
+# --- shop with typed div elements --------------------------------------------------------------
 
-    h1 = M.first(M.elements(n, M.tag("h1")))
-    div = M.tag("div")
-    price_tag = M.first(M.elements(n, M.all_of(div, M.attr_is("type", "title"), M.attr_is("color", "primary500"))))
-    price = F.when(price_tag.isNotNull(), glued(price_tag)).otherwise(F.lit("N/A"))
-    gray = F.filter(
-        M.elements(n, M.all_of(div, M.attr_is("type", "body"), M.attr_is("color", "textSecondary"))),
-        lambda e: M.attr(F.get(n, e["parent"]), "direction") == "row",
-    )
-    list_price = F.get(
-        F.filter(F.transform(gray, glued), lambda t: F.contains(t, F.lit("₫")) & (t != price)), F.lit(0)
-    )
 
-    titles = F.filter(
-        F.transform(M.elements(n, M.all_of(div, M.attr_is("color", "textTitle"))), glued),
-        text.contains_any("Giảm", "áp dụng"),
-    )
-    items = M.inside(n, M.elements(n, M.tag("ul")), M.tag("li"))
-    spans = F.filter(
-        F.transform(items, lambda li: M.first(M.elements(M.within(n, li), M.tag("span")))),
-        lambda s: s.isNotNull(),
-    )
+def _div(child: bool = False, **attrs: str) -> El:
+    return El("div", attrs=tuple(attrs.items()), child=child)
+
+
+PHONGVU = {
+    "name": rule(El("h1"), take="deep"),
+    "price": rule(_div(type="title", color="primary500"), take="deep"),
+    "gray": rule(
+        (El(attrs=(("direction", "row"),)), _div(child=True, type="body", color="textSecondary")), take="deep"
+    ),
+    "title": rule(_div(color="textTitle"), take="deep"),
+    "item": rule((El("ul"), El("li")), parts=(Part("deep", any_of(El("span")), at=0),)),
+    "row": rule(
+        _div(direction="row", width="100%"),
+        parts=tuple(Part("deep", any_of(El("div")), at=k, child=True) for k in range(2)),
+    ),
+}
 
-    def row_pair(row: Column) -> Column:
-        kids = F.filter(M.within(n, row), lambda c: (c["tag"] == "div") & (c["parent"] == row["id"]))
-        return F.when(
-            F.size(kids) >= 2, _pair(glued(F.get(kids, F.lit(0))), glued(F.get(kids, F.lit(1))))
-        )
 
-    rows = M.elements(n, M.all_of(div, M.attr_is("direction", "row"), M.attr_is("width", "100%")))
-    pairs = F.filter(F.transform(rows, row_pair), lambda p: p.isNotNull())
+def _phongvu(html: Column, p: Column) -> dict[str, Column]:
+    def glued(item: Column) -> Column:
+        return M.joined_text(M.part(item), "")
+
+    def side(row: Column, k: int) -> Column:
+        return M.joined_text(M.part(row, k), "")
+
+    price = F.when(F.size(p["price"]) > 0, glued(M.first(p["price"]))).otherwise(F.lit("N/A"))
+    others = F.filter(
+        F.transform(p["gray"], glued), lambda t: F.contains(t, F.lit("₫")) & (t != price)
+    )
+    titles = F.filter(F.transform(p["title"], glued), text.contains_any("Giảm", "áp dụng"))
+    items = F.transform(F.filter(p["item"], lambda i: M.has_part(i, 0)), glued)
+    pairs = _pairs(p["row"], lambda r: F.when(M.has_part(r, 1), _pair(side(r, 0), side(r, 1))))
     return _fields(
         # Null name: no heading on the page.
-        name=F.when(h1.isNotNull(), glued(h1)),
+        name=F.when(F.size(p["name"]) > 0, glued(M.first(p["name"]))),
         price_text=price,
-        list_price_text=F.coalesce(list_price, F.lit("N/A")),
-        promos=F.array_sort(F.array_distinct(F.concat(titles, F.transform(spans, glued)))),
+        list_price_text=F.coalesce(M.first(others), F.lit("N/A")),
+        promos=F.array_sort(F.array_distinct(F.concat(titles, items))),
         specs=specs.clean_pairs(pairs, ["xem thêm", "thông số kỹ thuật"]),
     )
 
 
-RULES = {
-    "cellphones": _cellphones,
-    "gearvn": _gearvn,
-    "gearvn_topic": _gearvn_topic,
-    "tgdd": _tgdd,
-    "fptshop": _fptshop,
-    "phongvu": _phongvu,
+LAYOUTS = {
+    "cellphones": (CELLPHONES, _cellphones),
+    "gearvn": (GEARVN, _gearvn),
+    "gearvn_topic": (GEARVN_TOPIC, _gearvn_topic),
+    "tgdd": (TGDD, _tgdd),
+    "fptshop": (FPTSHOP, _fptshop),
+    "phongvu": (PHONGVU, _phongvu),
 }
 
 
-def extract_fields(pages: DataFrame, rules: str) -> DataFrame:
+# --- operators ---------------------------------------------------------------------------------
+
+
+def _carried(pages: DataFrame) -> list[str]:
+    return [c for c in pages.columns if c != "html"]
+
+
+def extract_fields(pages: DataFrame, layout: str) -> DataFrame:
     """One row per page that holds a product, with the raw fields of one shop's layout.
 
     Pages without a product (null name) are dropped.
     """
-    carried = [c for c in pages.columns if c != "html"]
-    parsed = pages.withColumn("_nodes", M.page_nodes("html"))
-    fields = RULES[rules](F.col("html"), F.col("_nodes"))
-    found = parsed.select(*carried, *[c.alias(name) for name, c in fields.items()])
+    rules, assemble = LAYOUTS[layout]
+    parsed = pages.withColumn("_picks", M.pick(F.col("html"), rules))
+    fields = assemble(F.col("html"), F.col("_picks"))
+    found = parsed.select(*_carried(pages), *[c.alias(name) for name, c in fields.items()])
     return found.filter(F.col("name").isNotNull())
 
 
@@ -471,116 +415,104 @@ def with_discount(extracted: DataFrame, keep_scraped: bool = False) -> DataFrame
     return extracted.withColumn("discount_text", shown)
 
 
-def product_blocks(pages: DataFrame, base: str) -> DataFrame:
-    """Product cards of listing pages: ``name, link, sku, pos`` per card with a link."""
-    n = F.col("_nodes")
-
-    def card(block: Column) -> Column:
-        here = M.within(n, block)
-        anchors = M.inside(here, M.elements(here, M.has_class("proloop-name")), M.tag("a"))
-        href = F.coalesce(M.attr(M.first(anchors), "href"), _empty())
-        return F.struct(
-            M.own_text(here, anchors).alias("name"),
-            text.absolute_url(href, base).alias("link"),
-            text.pystrip(M.attr(block, "data-product-sku")).alias("sku"),
-        )
+def drop_challenges(pages: DataFrame, host: str, titles: tuple[str, ...] = M.CHALLENGE_TITLES) -> DataFrame:
+    """Pages that are not an interstitial, judged by title and first heading (JVM side, before any parsing)."""
+    title, heading = M.tag_body(F.col("html"), "title"), M.strip_tags(M.tag_body(F.col("html"), "h1"))
+    return pages.filter(~M.is_challenge(title, heading, host, titles))
 
-    carried = [c for c in pages.columns if c != "html"]
-    cards = F.transform(M.elements(n, M.has_class("proloop-block")), card)
-    return (
-        pages.withColumn("_nodes", M.page_nodes("html"))
-        .select(*carried, F.posexplode(cards).alias("pos", "card"))
-        .select(*carried, "pos", "card.*")
-    )
 
+def page_fields(pages: DataFrame) -> DataFrame:
+    """Title, first heading and first paragraph of any page, by regular expressions."""
 
-def card_links(pages: DataFrame, base: str) -> DataFrame:
-    """Links of product cards in the main list of a listing page: ``link, pos``."""
-    n = F.col("_nodes")
-    lists = M.elements(n, M.has_class("filter-sort__list-product"))
-    boxes = M.inside(n, lists, M.has_class("product-info-container"))
-    anchors = M.inside(n, boxes, M.all_of(M.tag("a"), M.has_class("product__link")))
-    carried = [c for c in pages.columns if c != "html"]
-    return (
-        pages.withColumn("_nodes", M.page_nodes("html"))
-        .select(*carried, F.posexplode(F.transform(anchors, lambda a: M.attr(a, "href"))).alias("pos", "href"))
-        .filter(F.col("href") != "")
-        .select(*carried, "pos", text.absolute_url(F.col("href"), base).alias("link"))
+    def shown(tag: str) -> Column:
+        return text.collapse(M.unescape(M.strip_tags(M.tag_body(F.col("html"), tag))))
+
+    fields = pages.select(
+        *_carried(pages), shown("title").alias("title"), shown("h1").alias("h1"), shown("p").alias("paragraph")
     )
+    return fields.withColumn("name", text.first_non_empty(F.col("h1"), F.col("title"))).filter(F.col("name") != "")
 
 
 def page_links(pages: DataFrame, base: str) -> DataFrame:
     """All anchors of a page, absolute and without query string: ``link, pos``."""
-    carried = [c for c in pages.columns if c != "html"]
-    return pages.select(*carried, F.posexplode(M.hrefs(F.col("html"))).alias("pos", "href")).select(
-        *carried, "pos", text.drop_query(text.absolute_url(F.col("href"), base)).alias("link")
+    anchors = pages.select(*_carried(pages), F.posexplode(M.hrefs(F.col("html"))).alias("pos", "href"))
+    return anchors.select(
+        *_carried(pages), "pos", text.drop_query(text.absolute_url(F.col("href"), base)).alias("link")
     )
 
 
-def element_texts(pages: DataFrame, tags: list[str], words: list[str]) -> DataFrame:
-    """Elements of the given kinds whose text contains one of the words (any case): ``id, tag, text``."""
-    n = F.col("_nodes")
-    picked = F.transform(
-        M.elements(n, M.tag(*tags)),
-        lambda e: F.struct(e["id"].alias("id"), e["tag"].alias("tag"), text.pystrip(M.raw_text(n, e)).alias("text")),
-    )
-    carried = [c for c in pages.columns if c != "html"]
-    return (
-        pages.withColumn("_nodes", M.page_nodes("html"))
-        .select(*carried, F.explode(picked).alias("e"))
-        .select(*carried, "e.*")
-        .filter(text.mentions_any(F.col("text"), words))
+def _picked(pages: DataFrame, rules: dict) -> DataFrame:
+    return pages.select(*_carried(pages), M.pick(F.col("html"), rules).alias("_picks")).select(
+        *_carried(pages), "_picks.*"
     )
 
 
-def elements_by_class(pages: DataFrame, words: list[str]) -> DataFrame:
-    """Elements whose class attribute contains one of the words (any case): ``id, tag, class``."""
-    picked = F.filter(
-        F.col("_nodes"), lambda e: (e["nth"] > 0) & text.mentions_any(M.attr(e, "class"), words)
-    )
-    found = F.transform(
-        picked,
-        lambda e: F.struct(e["id"].alias("id"), e["tag"].alias("tag"), M.attr(e, "class").alias("class")),
+def product_blocks(pages: DataFrame, base: str) -> DataFrame:
+    """Product cards of listing pages: ``pos, name, link, sku``."""
+    anchor = any_of((El(cls="proloop-name"), El("a")))
+    parts = (Part("own", anchor), Part("@href", anchor), Part("@data-product-sku"))
+    cards = _picked(pages, {"card": rule(El(cls="proloop-block"), parts=parts)})
+    c = F.array("card")
+    return cards.select(*_carried(pages), F.posexplode("card").alias("pos", "card")).select(
+        *_carried(pages),
+        "pos",
+        M.first_text(c, 0).alias("name"),
+        text.absolute_url(F.coalesce(M.first(M.texts(c, 1)), F.lit("")), base).alias("link"),
+        M.first_text(c, 2).alias("sku"),
     )
-    carried = [c for c in pages.columns if c != "html"]
+
+
+def card_links(pages: DataFrame, base: str) -> DataFrame:
+    """Links of product cards in the main list of a listing page: ``link, pos``."""
+    path = (El(cls="filter-sort__list-product"), El(cls="product-info-container"), El("a", cls="product__link"))
+    anchors = _picked(pages, {"a": rule(path, take="@href")})
     return (
-        pages.withColumn("_nodes", M.page_nodes("html"))
-        .select(*carried, F.explode(found).alias("e"))
-        .select(*carried, "e.*")
+        anchors.select(*_carried(pages), F.posexplode(M.texts(F.col("a"))).alias("pos", "href"))
+        .filter(F.col("href") != "")
+        .select(*_carried(pages), "pos", text.absolute_url(F.col("href"), base).alias("link"))
     )
 
 
-def selector_hits(pages: DataFrame, selectors: dict) -> DataFrame:
-    """Per page, the number of elements each selector finds.
+def element_texts(pages: DataFrame, tags: list[str], words: list[str]) -> DataFrame:
+    """Elements of the given kinds whose text contains one of the words (any case): ``tag, id, text``."""
+    found = _picked(pages, {t: rule(El(t), take="raw") for t in tags})
+
+    def labelled(t: str) -> Column:
+        return F.transform(
+            t,
+            lambda e: F.struct(
+                F.lit(t).alias("tag"), e["id"].alias("id"), text.pystrip(M.first(M.part(e))).alias("text")
+            ),
+        )
 
-    A selector maps the node array to an array of elements.
-    """
-    carried = [c for c in pages.columns if c != "html"]
-    parsed = pages.withColumn("_nodes", M.page_nodes("html"))
-    return parsed.select(*carried, *[F.size(pick(F.col("_nodes"))).alias(name) for name, pick in selectors.items()])
+    tagged = F.concat(*[labelled(t) for t in tags])
+    rows = found.select(*_carried(pages), F.explode(tagged).alias("e")).select(*_carried(pages), "e.*")
+    return rows.filter(text.mentions_any(F.col("text"), words))
 
 
-def embedded_specs(pages: DataFrame, variant: str) -> DataFrame:
-    """Adds ``specs``: name/value pairs in page scripts, first value per name."""
-    carried = [c for c in pages.columns if c != "html"]
-    pairs = specs.dedup_pairs(M.embedded_pairs(F.col("html"), variant), keep="first")
-    return pages.select(*carried, pairs.alias("specs"))
+def elements_by_class(pages: DataFrame, words: list[str]) -> DataFrame:
+    """Elements whose class attribute contains one of the words (any case): ``id, class``."""
+    found = _picked(pages, {"e": rule(El(attrs=(("class", None),)), take="@class")})
+    rows = found.select(*_carried(pages), F.explode("e").alias("e"))
+    named = rows.select(*_carried(pages), F.col("e.id").alias("id"), M.first(M.part(F.col("e"))).alias("class"))
+    return named.filter(text.mentions_any(F.col("class"), words))
 
 
-def drop_challenges(pages: DataFrame, host: str, titles: tuple[str, ...] = M.CHALLENGE_TITLES) -> DataFrame:
-    """Pages that are not an interstitial, judged by title and first heading (JVM side, before any parsing)."""
-    title, heading = M.tag_body(F.col("html"), "title"), M.strip_tags(M.tag_body(F.col("html"), "h1"))
-    return pages.filter(~M.is_challenge(title, heading, host, titles))
+def selector_hits(pages: DataFrame, selectors: dict) -> DataFrame:
+    """Per page, the number of elements each rule finds."""
+    found = _picked(pages, selectors)
+    return found.select(*_carried(pages), *[F.size(name).alias(name) for name in selectors])
 
 
-def page_fields(pages: DataFrame) -> DataFrame:
-    """Title, first heading and first paragraph of any page, by regular expressions."""
+def page_block(pages: DataFrame, blocks: list, max_chars: int | None = None) -> DataFrame:
+    """Adds ``block``: markup of the first element found by the first successful path, else the body."""
+    rules = {f"_b{i}": rule(path, take="outer") for i, path in enumerate(blocks)}
+    parsed = pages.withColumn("_picks", M.pick(F.col("html"), rules))
+    found = [F.col(f"_picks.{name}") for name in rules]
+    return parsed.select(*_carried(pages), M.block_or_body(F.col("html"), found, max_chars).alias("block"))
 
-    def shown(tag: str) -> Column:
-        return text.collapse(M.unescape(M.strip_tags(M.tag_body(F.col("html"), tag))))
 
-    carried = [c for c in pages.columns if c != "html"]
-    fields = pages.select(
-        *carried, shown("title").alias("title"), shown("h1").alias("h1"), shown("p").alias("paragraph")
-    )
-    return fields.withColumn("name", text.first_non_empty(F.col("h1"), F.col("title"))).filter(F.col("name") != "")
+def embedded_specs(pages: DataFrame, variant: str) -> DataFrame:
+    """Adds ``specs``: name/value pairs in page scripts, first value per name."""
+    pairs = specs.dedup_pairs(M.embedded_pairs(F.col("html"), variant), keep="first")
+    return pages.select(*_carried(pages), pairs.alias("specs"))

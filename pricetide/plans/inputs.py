@@ -208,4 +208,6 @@ def product_pages(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
     }
     for mark, value in marks.items():
         html = F.replace(html, F.lit("{" + mark + "}"), value)
-    return products(spark, sf_dir).select("p_partkey", "url", html.alias("html"))
+    # Rendering and parsing cost far more than the narrow rows: spread them over all tasks first.
+    spread = products(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+    return spread.select("p_partkey", "url", html.alias("html"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pricetide import schema as S
 from pricetide.functions import dates, markup, prices, specs, text
+from pricetide.functions.markup import El, rule
 from pricetide.operators import audit, breaker, extract, links, position, records
 from pricetide.operators import specs as spec_ops
 from pricetide.plans import inputs as I
@@ -334,7 +335,8 @@ def period_prune(spark, sf_dir):
 
 @query(f"""
 WITH {SLUG_SQL}
-SELECT page_id, url FROM segments WHERE contains(url, '/may-tinh-xach-tay/') AND contains(slug, '-')
+SELECT page_id, CASE WHEN contains(url, '-the') THEN replace(replace(url, '&quot;', '"'), '&amp;', '&') ELSE url END AS url
+FROM segments WHERE contains(url, '/may-tinh-xach-tay/') AND contains(slug, '-')
   AND length(slug) > 20 AND NOT contains(url, 'linh-kien')""")
 def sitemap_raw(spark, sf_dir):
     entry = F.when(F.contains("url", F.lit("-the")), F.concat(F.lit("<LOC x='1'>\n "), F.col("url"), F.lit("\n</LOC>"))).otherwise(
@@ -421,14 +423,14 @@ SELECT page_id, CAST(len(regexp_extract_all(nav, '<li>')) AS INTEGER) AS nav_ite
   CAST(len(regexp_extract_all(html, '<div class="ad">')) AS INTEGER) AS ads,
   CAST(len(regexp_extract_all(html, '<h1>')) AS INTEGER) AS headings FROM n""")
 def selector_hits(spark, sf_dir):
-    nav_items = lambda n: markup.inside(n, markup.elements(n, markup.tag("nav")), markup.tag("li"))
+    nav, li = El("nav"), El("li")
     return extract.selector_hits(
         table(spark, sf_dir, "pages").select("page_id", "html"),
         {
-            "nav_items": nav_items,
-            "nav_anchors": lambda n: markup.inside(n, nav_items(n), markup.tag("a"), child=True),
-            "ads": lambda n: markup.elements(n, markup.all_of(markup.tag("div"), markup.has_class("ad"))),
-            "headings": lambda n: markup.elements(n, markup.tag("h1")),
+            "nav_items": rule((nav, li)),
+            "nav_anchors": rule((nav, li, El("a", child=True))),
+            "ads": rule(El("div", cls="ad")),
+            "headings": rule(El("h1")),
         },
     )
 
@@ -443,16 +445,13 @@ def element_texts(spark, sf_dir):
 
 
 @query(r"""
-SELECT page_id, regexp_extract(html, '(?s)<nav>.*?</nav>') AS block, length(regexp_extract(html, '(?s)<body>(.*)</body>', 1)) AS body_chars
+SELECT page_id, regexp_extract(html, '(?s)<nav>.*?</nav>') AS block, length(regexp_replace(regexp_extract(html, '(?s)<body>(.*)', 1), '(?s)</body>.*', '')) AS body_chars
 FROM pages""")
 def page_block(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").withColumn("nodes", markup.page_nodes("html"))
-    html, nodes = F.col("html"), F.col("nodes")
-    return pages.select(
-        "page_id",
-        markup.block_or_body(html, nodes, markup.tag("table"), markup.tag("nav")).alias("block"),
-        F.length(markup.block_or_body(html, nodes, markup.has_class("modal"))).cast("bigint").alias("body_chars"),
-    )
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    found = extract.page_block(pages, [El("table"), El("nav")])
+    bodies = extract.page_block(pages, [El(cls="modal")]).select("page_id", F.length("block").cast("bigint").alias("body_chars"))
+    return found.join(bodies, "page_id")
 
 
 @query("""
@@ -535,8 +534,8 @@ def spec_map_first(spark, sf_dir):
 
 @query(f"""
 WITH {PAIRS_SQL},
-k AS (SELECT p_partkey, key, arg_max(value, pos) AS value, min(pos) AS at FROM pairs GROUP BY p_partkey, key)
-SELECT p_partkey, string_agg(key || ': ' || value, ' | ' ORDER BY at) AS spec_text,
+k AS (SELECT p_partkey, key, arg_max(value, pos) AS value, min(pos) AS place FROM pairs GROUP BY p_partkey, key)
+SELECT p_partkey, string_agg(key || ': ' || value, ' | ' ORDER BY place) AS spec_text,
   max(CASE WHEN key = 'CPU' THEN value END) AS cpu FROM k GROUP BY p_partkey""")
 def spec_text(spark, sf_dir):
     kept = specs.clean_pairs(F.col("specs"), ["xem thêm", "thông số kỹ thuật"])
@@ -590,7 +589,7 @@ def promo_titles(spark, sf_dir):
 
 @query("""
 SELECT p_partkey, 'embedded' AS source, 'CPU: ' || p_brand || ' | RAM: ' || p_name AS description,
-  'CPU: 1 | RAM: ' || CAST(p_size AS VARCHAR) || ' GB' AS lazy_value, 'Màu: ' || p_type || ' | RAM: 1' AS same_object FROM part""")
+  'CPU: 1 | RAM: ' || CAST(p_size AS VARCHAR) || ' GB | Màu: ' || p_type AS lazy_value, 'Màu: ' || p_type || ' | RAM: 1' AS same_object FROM part""")
 def embedded_specs(spark, sf_dir):
     # Escaped the way page scripts carry it.
     script = (

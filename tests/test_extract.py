@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pricetide import schema as S
 from pricetide.functions import markup as M
+from pricetide.functions.markup import El
 from pricetide.operators import extract, records
 
 
@@ -170,30 +171,36 @@ def test_shop_rows_and_back(spark):
     assert back.at == "2026-07-01 20:30:00"
 
 
-def test_node_ranges(spark):
-    html = '<div id="a">x\n<br/>y<p>é</p></div><div id="b">z'
-    n = M.page_nodes("html")
-    row = pages(spark, html).withColumn("n", n).select(
-        "n",
-        M.outer_html(F.col("html"), M.first(M.elements(F.col("n"), M.attr_is("id", "a")))).alias("a"),
-        M.outer_html(F.col("html"), M.first(M.elements(F.col("n"), M.attr_is("id", "b")))).alias("b"),
-        M.lines_text(F.col("n"), M.first(M.elements(F.col("n"), M.tag("div")))).alias("lines"),
-    ).first()
-    assert row.a == '<div id="a">x\n<br/>y<p>é</p></div>' and row.b == '<div id="b">z'
-    assert row.lines == "x\ny\né"
-    assert [x.tag for x in row.n] == ["div", "#text", "br", "#text", "p", "#text", "div", "#text"]
-    nulls = spark.createDataFrame([(None,), ("<b>x",)], "html string").select(n.alias("n")).collect()
-    assert nulls[0].n is None and len(nulls[1].n) == 2
+def test_takes(spark):
+    html = '<div id="a">x\n<br/>y<p>é</p><i> &amp; </i></div><div id="b">z'
+    a, b = El(attrs=(("id", "a"),)), El(attrs=(("id", "b"),))
+    takes = ("own", "deep", "inner", "raw", "lines", "outer", "@id")
+    rules = {
+        "a": M.rule(a, parts=tuple(M.Part(t) for t in takes)),
+        "b": M.rule(b, take="outer"),
+        "cut": M.rule(a, parts=(M.Part("raw", without=(El("p"),)), M.Part("own", M.any_of(El("em"))))),
+        "child": M.rule((a, El("p i", child=True)), take="own"),
+    }
+    row = pages(spark, html).select(M.pick("html", rules).alias("p")).select("p.*").first()
+    assert row.a[0].parts == [
+        ["x\n", "y"], ["x\n", "y", "é", " & "], ["é", " & "], ["x\nyé & "], ["x\ny\né\n&"],
+        ['<div id="a">x\n<br/>y<p>é</p><i> &amp; </i></div>'], ["a"],
+    ]
+    assert row.b[0].parts == [['<div id="b">z']]
+    assert row.cut[0].parts == [["x\ny & "], None]
+    assert [x.parts for x in row.child] == [[["é"]], [[" & "]]]
+    nulls = spark.createDataFrame([(None,), ("<b>x",)], "html string").select(M.pick("html", rules).alias("p")).collect()
+    assert [r.p.a for r in nulls] == [[], []]
 
 
-def test_block_or_body(spark):
+def test_page_block(spark):
     html = '<html><body class="x"><div class="my-spec"><i>1</i></div><table><tr></tr></table></body></html>'
-    df = pages(spark, html, "<body>only</body>").withColumn("n", M.page_nodes("html"))
-    out = df.orderBy("page_id").select(
-        M.block_or_body(F.col("html"), F.col("n"), M.tag("table"), M.attr_has("class", "spec")).alias("table"),
-        M.block_or_body(F.col("html"), F.col("n"), M.attr_has("class", "modal"), max_chars=4).alias("modal"),
-    ).collect()
-    assert [tuple(r) for r in out] == [("<table><tr></tr></table>", "<div"), ("only", "only")]
+    p = pages(spark, html, "<body>only</body>")
+    spec = El(has=(("class", "spec"),))
+    got = extract.page_block(p, [El("table"), spec]).orderBy("page_id").collect()
+    assert [r.block for r in got] == ["<table><tr></tr></table>", "only"]
+    short = extract.page_block(p, [El(has=(("class", "modal"),))], max_chars=4).orderBy("page_id").collect()
+    assert [r.block for r in short] == ["<div", "only"]
 
 
 def test_embedded_specs(spark):
@@ -228,15 +235,12 @@ def test_card_links_and_probes(spark):
     <button>Xem CẤU HÌNH chi tiết</button><span>khác</span><div class="My-Spec-Table">t</div>"""
     p = pages(spark, html)
     assert [r.link for r in extract.card_links(p, "https://h").collect()] == ["https://h/l.html"]
-    item = lambda n: M.elements(n, M.all_of(M.tag("li"), M.has_class("item")))
     hits = extract.selector_hits(
         p,
         {
-            "card": lambda n: M.inside(n, item(n), M.all_of(M.tag("a"), M.has_class("main-contain"))),
-            "child": lambda n: M.inside(
-                n, M.elements(n, M.all_of(M.tag("li"), M.attr_set("data-id"))), M.tag("a"), child=True
-            ),
-            "none": lambda n: M.elements(n, M.tag("h1")),
+            "card": M.rule((El("li", cls="item"), El("a", cls="main-contain"))),
+            "child": M.rule((El("li", attrs=(("data-id", None),)), El("a", child=True))),
+            "none": M.rule(El("h1")),
         },
     ).first()
     assert (hits.card, hits.child, hits.none) == (1, 1, 0)
