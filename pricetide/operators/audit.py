@@ -61,9 +61,7 @@ def store_report(catalog: DataFrame, registry: DataFrame, present: DataFrame | N
     store not listed is ``missing``. Without it, a store without rows is ``missing``.
     """
     counts = catalog.groupBy("store").agg(F.count(F.lit(1)).alias("_n"))
-    # The registry is a fixed list of stores.
-    known = F.broadcast(registry.select("store", "sheet_name"))
-    joined = known.join(counts, "store", "left")
+    joined = registry.select("store", "sheet_name").join(counts, "store", "left")
     if present is not None:
         joined = joined.join(present.select("store").distinct().withColumn("_here", F.lit(True)), "store", "left")
         here = F.col("_here").isNotNull()

@@ -16,6 +16,7 @@ def pending_links(
     limit: int = 3,
     overlap: int = 0,
     block_rows: int = 1_000_000,
+    block: str | None = None,
 ) -> DataFrame:
     """Rows still to do for every shard that stopped.
 
@@ -23,12 +24,14 @@ def pending_links(
     other without an ``ok``; the last ``limit + overlap`` positions up to the
     stop and everything after it are pending. Adds ``stop_idx``.
 
-    Positions are cut into blocks, so one shard may hold any share of the log:
-    streaks inside a block are found by a window on (shard, block); a streak
-    that crosses a border is closed on a table with one row per block.
+    Positions are cut into blocks (of ``block_rows``, or by the column
+    ``block``, which grows with the position), so one shard may hold any share
+    of the log: streaks inside a block are found by a window on (shard, block);
+    a streak that crosses a border is closed on a table with one row per block.
     """
+    cut = F.col(block) if block else F.floor((F.col("idx") - 1) / F.lit(block_rows))
+    work = log.withColumn("_block", cut)
     block = [*shard, "_block"]
-    work = log.withColumn("_block", F.floor((F.col("idx") - 1) / F.lit(block_rows)))
     fail = (F.col("outcome") == "fail").cast("int")
     ok = F.coalesce(F.col("outcome") == "ok", F.lit(False))
 

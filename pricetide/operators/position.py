@@ -1,9 +1,9 @@
 """Exact positions in a sort order without a single-task sort.
 
 The rows are range-partitioned on (group, order), so a large group spreads over
-many partitions. The partition number is stored with the rows (staged once);
-row numbers are then local, and each partition only needs the count of the
-rows before it, taken from a small table of counts.
+many partitions, and sorted within them. Partition number and place are stored
+with the rows (staged once); each partition then only needs the count of the
+rows before it, taken from a small table of counts. The rows are shuffled once.
 """
 
 from __future__ import annotations
@@ -14,40 +14,47 @@ from pyspark.sql import functions as F
 from pricetide.session import stage
 
 
-def with_position(df: DataFrame, order: list[str], group: list[str] | None = None) -> DataFrame:
+def with_position(
+    df: DataFrame, order: list[str], group: list[str] | None = None, part: str | None = None
+) -> DataFrame:
     """Adds ``idx`` (1-based place within the group) and ``n_total`` (size of the group).
 
-    ``order`` must be unique within the group.
+    ``order`` must be unique within the group. ``part`` names a column for the
+    range partition of a row: within a group it grows with ``idx``.
     """
     group = group or []
+    # The id counts rows within a partition; its upper 31 bits are the partition number.
     ranged = stage(
-        df.repartitionByRange(*group, *order).withColumn("_part", F.spark_partition_id()), "ranged"
+        df.repartitionByRange(*group, *order)
+        .sortWithinPartitions(*group, *order)
+        .withColumn("_at", F.monotonically_increasing_id())
+        .withColumn("_part", F.shiftright("_at", 33).cast("int")),
+        "ranged",
     )
     keys = [*group, "_part"]
     by_group = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
     before = by_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
         .select(
             *keys,
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+            (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
             F.sum("_n").over(by_group).alias("n_total"),
         )
     )
-    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     # Null group values form one group, as in the windows above.
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
-    condition = same[0]
-    for c in same[1:]:
-        condition = condition & c
+    condition = F.col("l._part") == F.col("o._part")
+    for k in group:
+        condition = condition & F.col(f"l.{k}").eqNullSafe(F.col(f"o.{k}"))
     return (
-        local.alias("l")
+        ranged.alias("l")
         .join(offsets.alias("o"), condition)
         .select(
             *[F.col(f"l.{c}").alias(c) for c in df.columns],
-            (F.col("_before") + F.col("_local")).alias("idx"),
-            F.col("n_total"),
+            (F.col("l._at") + F.col("o._shift")).alias("idx"),
+            F.col("o.n_total"),
+            *([F.col("l._part").alias(part)] if part else []),
         )
     )
 

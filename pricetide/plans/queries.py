@@ -193,7 +193,7 @@ def _crawl_log(spark, sf_dir):
         F.when(F.col("event_type") == "error", "fail").when(F.col("event_type") == "view", "neutral").otherwise("ok")
     )
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", outcome.alias("outcome"))
-    return position.with_position(events, ["ts", "event_id"], ["user_id"])
+    return position.with_position(events, ["ts", "event_id"], ["user_id"], part="part")
 
 
 PENDING_SQL = """
@@ -208,7 +208,7 @@ stops AS (SELECT user_id, min(idx) AS stop_idx FROM streaks WHERE streak >= 3 AN
 WITH {PENDING_SQL}
 SELECT user_id, event_id, idx, stop_idx FROM log JOIN stops USING (user_id) WHERE idx > stop_idx - 3""")
 def breaker_pending(spark, sf_dir):
-    return breaker.pending_links(_crawl_log(spark, sf_dir), ["user_id"]).select(
+    return breaker.pending_links(_crawl_log(spark, sf_dir), ["user_id"], block="part").select(
         "user_id", "event_id", "idx", "stop_idx"
     )
 
@@ -218,7 +218,7 @@ WITH {PENDING_SQL}
 SELECT user_id, count(*) AS n_pending, min(idx) AS first_idx FROM log JOIN stops USING (user_id) WHERE idx > stop_idx - 3 - 1
 GROUP BY user_id""")
 def breaker_overlap(spark, sf_dir):
-    pending = breaker.pending_links(_crawl_log(spark, sf_dir), ["user_id"], overlap=1)
+    pending = breaker.pending_links(_crawl_log(spark, sf_dir), ["user_id"], overlap=1, block="part")
     return pending.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_pending"), F.min("idx").alias("first_idx"))
 
 

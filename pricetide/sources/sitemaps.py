@@ -20,7 +20,7 @@ def read_sitemap(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     The files count in the order of ``paths``; a path may be a folder or glob.
     """
-    rows = spark.read.format("xml").option("rowTag", "url").schema(S.SITEMAP_URL).load(",".join(paths))
+    rows = spark.read.format("xml").option("rowTag", "url").schema(S.SITEMAP_URL).load(paths)
     placed = with_file_position(rows).withColumn("file_rank", file_order(F.col("file"), paths))
     return placed.select(
         F.coalesce("loc", F.lit("")).alias("loc"), F.coalesce("lastmod", F.lit("")).alias("lastmod"), *POSITION
@@ -35,7 +35,7 @@ def sitemap_links(sitemap: DataFrame, rule: str) -> DataFrame:
 
 def read_sitemap_index(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Sub-sitemap addresses of an index: ``loc``."""
-    rows = spark.read.format("xml").option("rowTag", "sitemap").schema(S.SITEMAP_INDEX).load(",".join(paths))
+    rows = spark.read.format("xml").option("rowTag", "sitemap").schema(S.SITEMAP_INDEX).load(paths)
     return rows.filter(F.col("loc") != "")
 
 
