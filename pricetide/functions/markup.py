@@ -8,9 +8,10 @@ pairing them stay built-in expressions on those short arrays.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from dataclasses import dataclass
-from html.parser import HTMLParser
+from html import unescape as unescape_entities
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -41,12 +42,18 @@ class El:
     nth: int = 0
     child: bool = False
 
+    def __post_init__(self):
+        object.__setattr__(self, "tags", self.tag.split())
+        object.__setattr__(self, "classes", self.cls.split())
+
     def fits(self, page: _Page, i: int) -> bool:
-        if self.tag and page.tag[i] not in self.tag.split():
+        if self.tags and page.tag[i] not in self.tags:
             return False
         attrs = page.attrs[i]
-        if self.cls and not page.classes(i).issuperset(self.cls.split()):
-            return False
+        if self.classes:
+            present = page.classes(i)
+            if not all(c in present for c in self.classes):
+                return False
         if self.nth and page.nth[i] != self.nth:
             return False
         for name, value in self.attrs:
@@ -89,42 +96,70 @@ def rule(*paths, take: str | None = None, parts: tuple[Part, ...] = ()) -> Rule:
 # --- one page ----------------------------------------------------------------------------------
 
 
-class _Page(HTMLParser):
-    """Nodes of one page in document order; texts have the tag ''."""
+# Comment, tag (end mark, name, attributes) or declaration; one attribute.
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?][^>]*>""", re.S
+)
+_ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+# Elements whose content is text up to their end tag.
+_TEXT_ONLY = {t: re.compile(rf"</{t}\b", re.I) for t in ("script", "style", "textarea", "title")}
+
+
+def _attributes(source: str) -> dict[str, str]:
+    out: dict[str, str] = {}
+    for m in _ATTR.finditer(source):
+        value = m[2] or m[3] or m[4] or ""
+        out.setdefault(m[1].lower(), unescape_entities(value) if "&" in value else value)
+    return out
+
+
+class _Page:
+    """Nodes of one page in document order, as parallel lists; texts have the tag ''."""
 
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
-        self.html, self.line, self.open, self.kids = html, 0, [], {}
+        self.html, self.line, self.open = html, 0, [-1]
         self.tag, self.attrs, self.parent, self.last = [], [], [], []
         self.nth, self.text, self.lines, self.start, self.stop = [], [], [], [], []
-        self._classes: dict[int, frozenset] = {}
-        # Elements by tag, by class and by attribute name, so that a rule looks at few of them.
-        self.by: dict[tuple[str, str], list[int]] = {}
-        self.breaks = [0]
-        at = html.find("\n")
-        while at >= 0:
-            self.breaks.append(at + 1)
-            at = html.find("\n", at + 1)
-        self.feed(html)
-        self.close()
-        while self.open:
+        # Elements by tag, by attribute name and by class, so that a rule looks at few of them.
+        self.all: list[int] = []
+        self.by_tag: dict[str, list[int]] = {}
+        self.by_attr: dict[str, list[int]] = {}
+        self.by_class: dict[str, list[int]] = {}
+        self._kids: dict[int, int] = {}
+        self._classes: dict[int, list[str]] = {}
+        self._read()
+
+    def classes(self, i: int) -> list[str]:
+        return self._classes.get(i, [])
+
+    def _read(self) -> None:
+        html, at = self.html, 0
+        token = _TOKEN.search(html)
+        while token:
+            if token.start() > at:
+                self._words(html[at : token.start()])
+            at, name = token.end(), token[2]
+            if name:
+                name = name.lower()
+                if token[1]:
+                    self._end(name, token)
+                elif not self._begin(name, token) and name in _TEXT_ONLY:
+                    close = _TEXT_ONLY[name].search(html, at)
+                    end = close.start() if close else len(html)
+                    if end > at:
+                        self._words(html[at:end], raw=name in ("script", "style"))
+                    at = end
+            token = _TOKEN.search(html, at)
+        if at < len(html):
+            self._words(html[at:])
+        while len(self.open) > 1:
             self._shut(len(html))
 
-    def classes(self, i: int) -> frozenset:
-        found = self._classes.get(i)
-        if found is None:
-            found = self._classes[i] = frozenset(self.attrs[i].get("class", "").split())
-        return found
-
-    def _at(self) -> int:
-        line, col = self.getpos()
-        return self.breaks[line - 1] + col
-
     def _add(self, tag, attrs, nth, text, start, stop) -> int:
         i = len(self.tag)
         self.tag.append(tag)
         self.attrs.append(attrs)
-        self.parent.append(self.open[-1] if self.open else -1)
+        self.parent.append(self.open[-1])
         self.last.append(i)
         self.nth.append(nth)
         self.text.append(text)
@@ -133,39 +168,43 @@ class _Page(HTMLParser):
         self.stop.append(stop)
         return i
 
+    def _words(self, text: str, raw: bool = False) -> None:
+        self._add("", None, 0, unescape_entities(text) if "&" in text and not raw else text, 0, 0)
+
+    def _begin(self, tag: str, token: re.Match) -> bool:
+        """Opens an element; true if it has no end tag."""
+        self.line += tag in BLOCK
+        above = self.open[-1]
+        self._kids[above] = nth = self._kids.get(above, 0) + 1
+        attrs = _attributes(token[3]) if token[3] else {}
+        i = self._add(tag, attrs, nth, None, token.start(), token.end())
+        self.all.append(i)
+        self.by_tag.setdefault(tag, []).append(i)
+        for name in attrs:
+            self.by_attr.setdefault(name, []).append(i)
+        if attrs.get("class"):
+            self._classes[i] = names = attrs["class"].split()
+            for name in dict.fromkeys(names):
+                self.by_class.setdefault(name, []).append(i)
+        if tag in VOID:
+            return True
+        self.open.append(i)
+        return False
+
+    def _end(self, tag: str, token: re.Match) -> None:
+        depth = len(self.open) - 1
+        while depth > 0 and self.tag[self.open[depth]] != tag:
+            depth -= 1
+        if depth:
+            while len(self.open) - 1 > depth:
+                self._shut(token.start())
+            self._shut(token.end())
+
     def _shut(self, stop: int) -> None:
         i = self.open.pop()
         self.last[i], self.stop[i] = len(self.tag) - 1, stop
         self.line += self.tag[i] in BLOCK
 
-    def handle_starttag(self, tag, attrs):
-        self.line += tag in BLOCK
-        above = self.open[-1] if self.open else -1
-        self.kids[above] = nth = self.kids.get(above, 0) + 1
-        start = self._at()
-        values = {k: v or "" for k, v in attrs}
-        i = self._add(tag, values, nth, None, start, start + len(self.get_starttag_text() or ""))
-        for key in (("*", ""), ("tag", tag), *(("attr", a) for a in values), *(("class", c) for c in self.classes(i))):
-            self.by.setdefault(key, []).append(i)
-        if tag not in VOID:
-            self.open.append(i)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag):
-        if any(self.tag[i] == tag for i in self.open):
-            start = self._at()
-            while self.tag[self.open[-1]] != tag:
-                self._shut(start)
-            self._shut(self.html.find(">", start) + 1 or len(self.html))
-
-    def handle_data(self, data):
-        if self.tag and not self.tag[-1] and self.parent[-1] == (self.open[-1] if self.open else -1):
-            self.text[-1] += data
-        else:
-            self._add("", None, 0, data, self._at(), 0)
-
     # matching
 
     def on_path(self, path: tuple[El, ...], i: int) -> bool:
@@ -183,14 +222,12 @@ class _Page(HTMLParser):
         return True
 
     def candidates(self, el: El):
+        """Lists of elements among which are all that fit."""
         if el.cls:
-            keys = [("class", el.cls.split()[0])]
-        elif el.attrs or el.has:
-            keys = [("attr", (el.attrs or el.has)[0][0])]
-        else:
-            keys = [("tag", t) for t in el.tag.split()] or [("*", "")]
-        for key in keys:
-            yield self.by.get(key, ())
+            return [self.by_class.get(el.classes[0], ())]
+        if el.attrs or el.has:
+            return [self.by_attr.get((el.attrs or el.has)[0][0], ())]
+        return [self.by_tag.get(t, ()) for t in el.tags] or [self.all]
 
     def matches(self, paths, low: int, high: int) -> list[int]:
         found = set()
@@ -278,7 +315,9 @@ def pick(html: Column, rules: dict[str, Rule]) -> Column:
         arrays = [pa.array(columns[name], type=pa.list_(_ARROW_PICK)) for name in rules]
         return pa.StructArray.from_arrays(arrays, names=list(rules))
 
-    return picks(html)
+    # Parsing is the dear step: as a deterministic function a later filter on a field would be pushed below
+    # it and parse every page twice.
+    return picks.asNondeterministic()(html)
 
 
 # --- choosing among picks ----------------------------------------------------------------------

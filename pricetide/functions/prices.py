@@ -22,13 +22,13 @@ _AS_ASCII = "".join(str(unicodedata.digit(ch)) for ch in _OTHER_DIGITS)
 
 def digit_text(c: Column) -> Column:
     """Digits only, in ASCII; null counts as no digits."""
-    kept = F.regexp_replace(text_or_empty(c), r"[^\p{Nd}]", "")
-    return F.when(F.rlike(kept, F.lit(r"[^0-9]")), F.translate(kept, _OTHER_DIGITS, _AS_ASCII)).otherwise(kept)
+    return F.regexp_replace(F.translate(text_or_empty(c), _OTHER_DIGITS, _AS_ASCII), "[^0-9]+", "")
 
 
 def digits(c: Column) -> Column:
     """Digits of a text as a whole number; null when there are none."""
-    return digit_text(c).try_cast("bigint")
+    # A cast that fails costs an exception per row, so text without digits becomes null before it.
+    return F.concat(F.lit("0"), F.nullif(digit_text(c), F.lit(""))).try_cast("bigint")
 
 
 def price(c: Column) -> Column:
@@ -45,40 +45,79 @@ def percent_text(p: Column) -> Column:
     return F.concat(F.lit("-"), p.cast("int").cast("string"), F.lit("%"))
 
 
-def discount_percent(current: Column, original: Column, cap: int | None = 70) -> Column:
-    """Drop in whole per cent, half to even; null when it cannot be computed or exceeds ``cap``."""
-    cur, orig = digits(current), digits(original)
-    pct = F.rint((orig - cur).cast("double") / orig.cast("double") * F.lit(100.0))
-    usable = (cur > 0) & (orig > cur)
-    if cap is not None:
-        usable = usable & (pct <= cap)
-    contact = mentions(current, CONTACT) | mentions(original, CONTACT)
-    return F.when(~contact & usable, pct.cast("int"))
+def is_contact(c: Column) -> Column:
+    return mentions(c, CONTACT)
 
 
-def discount_text(current: Column, original: Column, scraped: Column | None = None, cap: int | None = 70) -> Column:
-    """Discount such as ``-20%``: computed if plausible, else the shop's own text, else ''."""
-    contact = mentions(current, CONTACT) | mentions(original, CONTACT)
-    shown = pystrip(text_or_empty(scraped if scraped is not None else F.lit("")))
+def drop_percent(current: Column, original: Column) -> Column:
+    """Drop between two whole numbers in per cent, half to even; null unless 0 < current < original."""
+    pct = F.rint((original - current).cast("double") / original.cast("double") * F.lit(100.0))
+    return F.when((current > 0) & (original > current), pct)
+
+
+def shown_discount(scraped: Column | None) -> Column:
+    return pystrip(text_or_empty(scraped)) if scraped is not None else F.lit("")
+
+
+def chosen_discount(contact: Column, pct: Column, shown: Column) -> Column:
+    """Discount text from its parts: none for a contact price, the computed one, else the shop's own text,
+    which gets a sign when it ends in per cent."""
     signed = F.when(
         F.endswith(shown, F.lit("%")) & ~F.startswith(shown, F.lit("-")), F.concat(F.lit("-"), shown)
     ).otherwise(shown)
-    pct = discount_percent(current, original, cap)
     return F.when(contact, F.lit("")).when(pct.isNotNull(), percent_text(pct)).otherwise(signed)
 
 
+def capped(pct: Column, cap: int | None) -> Column:
+    """A drop above ``cap`` is not believed."""
+    return pct if cap is None else F.when(pct <= cap, pct)
+
+
+def _bound(body, **values: Column) -> Column:
+    """``body`` of a struct of values, each evaluated once per row."""
+    one = F.array(F.struct(*[v.alias(name) for name, v in values.items()]))
+    return F.get(F.transform(one, body), F.lit(0))
+
+
+def _parsed_discount(current: Column, original: Column, body) -> Column:
+    contact = is_contact(current) | is_contact(original)
+    rate = lambda v: body(v, F.when(~v["contact"], drop_percent(v["cur"], v["orig"])))
+    return _bound(rate, cur=digits(current), orig=digits(original), contact=contact)
+
+
+def discount_percent(current: Column, original: Column, cap: int | None = 70) -> Column:
+    """Drop in whole per cent; null when it cannot be computed or exceeds ``cap``."""
+    return _parsed_discount(current, original, lambda v, pct: capped(pct, cap).cast("int"))
+
+
+def discount_text(current: Column, original: Column, scraped: Column | None = None, cap: int | None = 70) -> Column:
+    """Discount such as ``-20%``: computed if plausible, else the shop's own text, else ''.
+
+    For whole tables ``operators.records.add_discount`` stays in generated code.
+    """
+    shown = shown_discount(scraped)
+    return _parsed_discount(
+        current, original, lambda v, pct: chosen_discount(v["contact"], capped(pct, cap), shown)
+    )
+
+
 def _plain_number(c: Column) -> Column:
     # Only decimal notation: a Java cast would also take forms such as '1d'.
-    return F.when(F.rlike(c, F.lit(r"\A[+-]?[0-9]+([eE][+-]?[0-9]+)?\z")), c.try_cast("double"))
+    return F.nullif(F.regexp_extract(c, r"\A[+-]?[0-9]+([eE][+-]?[0-9]+)?\z", 0), F.lit("")).cast("double")
+
+
+def repair_number(c: Column) -> Column:
+    return _plain_number(pystrip(F.translate(c.cast("string"), "₫.,", "")))
 
 
 def repaired_discount(current: Column, original: Column) -> Column:
     """Discount recomputed from price text without a cap; '' when there is no drop."""
+    return _bound(
+        lambda v: repaired_from(v["cur"], v["orig"]), cur=repair_number(current), orig=repair_number(original)
+    )
 
-    def value(c: Column) -> Column:
-        return _plain_number(pystrip(F.translate(c.cast("string"), "₫.,", "")))
 
-    cur, orig = value(current), value(original)
+def repaired_from(cur: Column, orig: Column) -> Column:
     pct = F.rint((orig - cur) / F.nullif(orig, F.lit(0.0)) * F.lit(100.0))
     return F.when((orig > 0) & (cur < orig), F.concat(F.lit("-"), pct.cast("bigint").cast("string"), F.lit("%"))).otherwise(
         F.lit("")

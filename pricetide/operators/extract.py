@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pricetide.functions import markup as M
 from pricetide.functions import prices, specs, text
 from pricetide.functions.markup import El, Part, any_of, rule
+from pricetide.operators.records import add_discount
 
 FIELDS = ["name", "price_text", "list_price_text", "percent_text", "stock_status", "promos", "gift_note", "specs"]
 
@@ -407,12 +408,9 @@ def extract_fields(pages: DataFrame, layout: str) -> DataFrame:
 
 def with_discount(extracted: DataFrame, keep_scraped: bool = False) -> DataFrame:
     """Adds ``discount_text``; ``keep_scraped`` shows the shop's text unchanged."""
-    shown = (
-        F.col("percent_text")
-        if keep_scraped
-        else prices.discount_text(F.col("price_text"), F.col("list_price_text"), F.col("percent_text"))
-    )
-    return extracted.withColumn("discount_text", shown)
+    if keep_scraped:
+        return extracted.withColumn("discount_text", F.col("percent_text"))
+    return add_discount(extracted, "price_text", "list_price_text", "percent_text").drop("discount_pct")
 
 
 def drop_challenges(pages: DataFrame, host: str, titles: tuple[str, ...] = M.CHALLENGE_TITLES) -> DataFrame:

@@ -12,6 +12,32 @@ from pricetide.functions import dates, prices, specs, text
 from pricetide.operators.links import keep_first
 
 
+def add_discount(
+    df: DataFrame, current: str, original: str, scraped: str | None = None, cap: int | None = 70
+) -> DataFrame:
+    """Adds ``discount_pct`` and ``discount_text`` from price text columns.
+
+    The parsed numbers are columns of their own, so each text is read once.
+    """
+    cur, orig = F.col(f"`{current}`"), F.col(f"`{original}`")
+    parsed = df.withColumns(
+        {
+            "_cur": prices.digits(cur),
+            "_orig": prices.digits(orig),
+            "_contact": prices.is_contact(cur) | prices.is_contact(orig),
+            "_shown": prices.shown_discount(F.col(f"`{scraped}`") if scraped else None),
+        }
+    )
+    pct = prices.capped(prices.drop_percent(F.col("_cur"), F.col("_orig")), cap)
+    rated = parsed.withColumn("_pct", F.when(~F.col("_contact"), pct))
+    return rated.withColumns(
+        {
+            "discount_pct": F.col("_pct").cast("int"),
+            "discount_text": prices.chosen_discount(F.col("_contact"), F.col("_pct"), F.col("_shown")),
+        }
+    ).drop("_cur", "_orig", "_contact", "_shown", "_pct")
+
+
 def price_columns(columns: list[str]) -> list[str]:
     """Columns that hold a price, found by name."""
     lowered = [(c, c.lower()) for c in columns]
@@ -131,11 +157,17 @@ def topic_clean_text(df: DataFrame) -> DataFrame:
 
 def topic_repair_discount(df: DataFrame, store: str | None = None) -> DataFrame:
     """Recompute the discount column, of one store's rows only when ``store`` is given."""
-    fixed = prices.repaired_discount(F.col(f"`{S.PRICE}`"), F.col(f"`{S.LIST_PRICE}`"))
+    parsed = df.withColumns(
+        {
+            "_cur": prices.repair_number(F.col(f"`{S.PRICE}`")),
+            "_orig": prices.repair_number(F.col(f"`{S.LIST_PRICE}`")),
+        }
+    )
+    fixed = prices.repaired_from(F.col("_cur"), F.col("_orig"))
     if store is not None:
         current = F.col(f"`{S.DISCOUNT}`") if S.DISCOUNT in df.columns else F.lit(None).cast("string")
         fixed = F.when(F.col("store") == store, fixed).otherwise(current)
-    return df.withColumn(S.DISCOUNT, fixed)
+    return parsed.withColumn(S.DISCOUNT, fixed).drop("_cur", "_orig")
 
 
 def sheet_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pricetide import schema as S
 from pricetide.functions import prices
+from pricetide.operators.records import add_discount
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,15 +96,19 @@ SHOP_OF_FLAG = {"A": "tgdd", "N": "fptshop", "R": "cellphones"}
 
 def shop_shards(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Per shop, a table under the shop's own headers plus the concat order ``_file, _row``."""
-    li = table(spark, sf_dir, "lineitem")
-    current = prices.vnd_text(whole(F.col("l_extendedprice") * (1 - F.col("l_discount"))))
-    original = prices.vnd_text(whole(F.col("l_extendedprice")))
-    contact = F.col("l_linenumber") == 1
+    shown = prices.vnd_text(whole(F.col("l_extendedprice") * (1 - F.col("l_discount"))))
+    li = table(spark, sf_dir, "lineitem").withColumns(
+        {
+            "current": F.when(F.col("l_linenumber") == 1, F.lit("Liên hệ")).otherwise(shown),
+            "original": prices.vnd_text(whole(F.col("l_extendedprice"))),
+        }
+    )
+    rated = add_discount(li, "current", "original")
     cells = {
         S.NAME: F.concat(F.lit("Laptop "), F.col("l_partkey").cast("string")),
-        S.PRICE: F.when(contact, F.lit("Liên hệ")).otherwise(current),
-        S.LIST_PRICE: F.when(F.col("l_linenumber") == 2, F.lit("N/A")).otherwise(original),
-        S.DISCOUNT: prices.discount_text(F.when(contact, F.lit("Liên hệ")).otherwise(current), original),
+        S.PRICE: F.col("current"),
+        S.LIST_PRICE: F.when(F.col("l_linenumber") == 2, F.lit("N/A")).otherwise(F.col("original")),
+        S.DISCOUNT: F.col("discount_text"),
         S.STOCK: F.when(F.col("l_linestatus") == "O", F.lit("SẮP VỀ HÀNG")).otherwise(F.lit("")),
         S.PROMOS: F.concat_ws(" | ", F.lit("Giảm giá"), F.col("l_linestatus")),
         S.SPECS: F.concat(F.lit("CPU: "), F.col("l_suppkey").cast("string"), F.lit(" | RAM: 16 GB")),
@@ -116,7 +121,7 @@ def shop_shards(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         shop = S.SHOPS[store]
         link = F.concat(F.lit(shop.host + "/laptop/"), F.col("l_partkey").cast("string"))
         here = {**cells, S.LINK: link, S.URL: link}
-        tables[store] = li.filter(F.col("l_returnflag") == flag).select(
+        tables[store] = rated.filter(F.col("l_returnflag") == flag).select(
             *[here[h].alias(h) for h in shop.headers],
             F.col("l_suppkey").alias("_file"),
             F.struct("l_orderkey", "l_linenumber").alias("_row"),

@@ -69,12 +69,8 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN contact THEN ''
   WHEN s LIKE '%\\%' ESCAPE '\\' AND s NOT LIKE '-%' THEN '-' || s ELSE s END AS discount_text,
   CASE WHEN NOT contact AND pct <= 70 THEN CAST(pct AS INTEGER) END AS discount_pct FROM p""")
 def discount_rule(spark, sf_dir):
-    cur, orig = F.col("current"), F.col("original")
-    return I.offers(spark, sf_dir).select(
-        *I.LINE_KEY,
-        prices.discount_text(cur, orig, F.col("scraped")).alias("discount_text"),
-        prices.discount_percent(cur, orig).alias("discount_pct"),
-    )
+    rated = records.add_discount(I.offers(spark, sf_dir), "current", "original", "scraped")
+    return rated.select(*I.LINE_KEY, "discount_text", "discount_pct")
 
 
 @query(f"""
@@ -84,12 +80,10 @@ v AS (SELECT *, TRY_CAST(trim(replace(replace(replace(current, 'đ', ''), '.', '
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN o2 > 0 AND c2 < o2
   THEN '-' || CAST(CAST(round_even((o2 - c2) / o2 * 100, 0) AS BIGINT) AS VARCHAR) || '%' ELSE '' END AS discount_text FROM v""")
 def discount_repair(spark, sf_dir):
-    bare = I.offers(spark, sf_dir).withColumns(
-        {c: F.replace(F.col(c), F.lit("đ"), F.lit("₫")) for c in ("current", "original")}
-    )
-    return bare.select(
-        *I.LINE_KEY, prices.repaired_discount(F.col("current"), F.col("original")).alias("discount_text")
-    )
+    names = {"current": S.PRICE, "original": S.LIST_PRICE}
+    cells = [F.replace(F.col(c), F.lit("đ"), F.lit("₫")).alias(header) for c, header in names.items()]
+    bare = I.offers(spark, sf_dir).select(*I.LINE_KEY, *cells)
+    return records.topic_repair_discount(bare).select(*I.LINE_KEY, F.col(f"`{S.DISCOUNT}`").alias("discount_text"))
 
 
 @query(f"""

@@ -13,6 +13,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Pages are large: few per Arrow batch, so that a batch fits in a Python worker.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
 }
 
 
