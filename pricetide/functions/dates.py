@@ -11,9 +11,16 @@ PERIOD = r"sitemap-product-(\d{4})-(\d{1,2})"
 
 
 def local_time_text(ts: Column) -> Column:
-    """Capture time (UTC) as ``yyyy-MM-dd HH:mm:ss`` in UTC+7."""
-    shifted = ts.cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(7))
-    return F.date_format(shifted, "yyyy-MM-dd HH:mm:ss")
+    """Capture time as ``yyyy-MM-dd HH:mm:ss`` in UTC+7, whatever the session's zone.
+
+    An instant is taken as it is; a time without zone is read as UTC.
+    """
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    utc = F.when(
+        F.typeof(ts) == "timestamp",
+        F.make_dt_interval(secs=F.unix_seconds(ts.cast("timestamp")).cast("decimal(18,6)")) + epoch,
+    ).otherwise(ts.cast("timestamp_ntz"))
+    return F.date_format(utc + F.make_dt_interval(hours=F.lit(7)), "yyyy-MM-dd HH:mm:ss")
 
 
 def parse_local_time(text: Column) -> Column:

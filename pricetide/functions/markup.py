@@ -419,11 +419,13 @@ EMBEDDED_PATTERNS = {
 def embedded_pairs(html: Column, variant: str) -> Column:
     """Name/value pairs from escaped JSON inside page scripts, in page order."""
     plain = F.replace(F.replace(html, F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\"))
-    pattern = F.lit("(?d)" + EMBEDDED_PATTERNS[variant])
-    return F.zip_with(
-        F.regexp_extract_all(plain, pattern, F.lit(1)),
-        F.regexp_extract_all(plain, pattern, F.lit(2)),
-        lambda k, v: F.struct(k.alias("key"), v.alias("value")),
+    pattern = "(?d)" + EMBEDDED_PATTERNS[variant]
+    # The page is searched once; the groups are read from the short matches.
+    return F.transform(
+        F.regexp_extract_all(plain, F.lit(pattern), F.lit(0)),
+        lambda m: F.struct(
+            F.regexp_extract(m, pattern, 1).alias("key"), F.regexp_extract(m, pattern, 2).alias("value")
+        ),
     )
 
 

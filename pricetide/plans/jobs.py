@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricetide import schema as S
+from pricetide.functions import markup
 from pricetide.operators import audit, breaker, extract, links, position, records, specs
 from pricetide.sinks import tables as sink
 from pricetide.sources import tables as source
@@ -31,6 +32,24 @@ def plan_shards(product_links: DataFrame, store: str, total: int, pending: DataF
     )
 
 
+def crawl_log(work: DataFrame, pages: DataFrame, store: str) -> DataFrame:
+    """Outcome of every link of a work list, judged from its captured page.
+
+    ``fail``: no page, or an interstitial instead of it; ``neutral``: a page
+    without the structured product its layout needs; ``ok`` otherwise.
+    ``pages``: one row per ``url``.
+    """
+    shop = S.SHOPS[store]
+    html = F.col("html")
+    title, heading = markup.tag_body(html, "title"), markup.strip_tags(markup.tag_body(html, "h1"))
+    blocked = markup.is_challenge(title, heading, shop.host.split("//")[1])
+    outcome = F.when(html.isNull() | blocked, "fail")
+    if store == "gearvn":
+        outcome = outcome.when(markup.json_ld_product(html).isNull(), "neutral")
+    judged = pages.select("url", outcome.otherwise("ok").alias("outcome"))
+    return work.join(judged, "url", "left").withColumn("outcome", F.coalesce("outcome", F.lit("fail")))
+
+
 def after_run(log: DataFrame, overlap: int = 0) -> DataFrame:
     """Pending links of a crawl log (``store, chunk, idx, url, lastmod, outcome``); finished shards leave none."""
     left = breaker.pending_links(log, ["store", "chunk"], overlap=overlap)

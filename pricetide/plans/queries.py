@@ -786,7 +786,7 @@ SELECT store, url, name, price, list_price, CASE WHEN price IS NULL THEN 'Liên
   CASE WHEN store = 'cellphones' AND l_linestatus = 'O' THEN 'SẮP VỀ HÀNG' END AS stock_status,
   'Giảm giá | ' || l_linestatus AS promos, CAST(l_suppkey AS VARCHAR) AS cpu,
   CASE WHEN store = 'tgdd' THEN strftime(l_shipdate, '%Y-%m-%d') END AS source_lastmod,
-  strftime(l_shipdate - INTERVAL 7 HOUR, '%Y-%m-%d %H:%M') AS crawled FROM firsts""")
+  strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS crawled FROM firsts""")
 def catalog_merge(spark, sf_dir):
     merged = records.merge_shards(records.union_stores(I.shop_shards(spark, sf_dir)), ["_file", "_row"])
     return merged.select(
@@ -794,7 +794,7 @@ def catalog_merge(spark, sf_dir):
         text.join_list(F.col("promos")).alias("promos"),
         F.try_element_at("specs", F.lit("CPU")).alias("cpu"),
         "source_lastmod",
-        F.date_format(F.col("crawled_at"), "yyyy-MM-dd HH:mm").alias("crawled"),
+        dates.local_time_text(F.col("crawled_at")).alias("crawled"),
     )
 
 

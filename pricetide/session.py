@@ -46,9 +46,19 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def _stage_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/pricetide-{spark.sparkContext.applicationId}"
+
+
 def stage_path(spark: SparkSession, label: str) -> str:
     """New, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/pricetide/{label}-{uuid.uuid4().hex}"
+    return f"{_stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove the staged tables of this application, once its results are written."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_stage_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

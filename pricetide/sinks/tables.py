@@ -23,10 +23,10 @@ def write_shard(df: DataFrame, root: str) -> None:
 def write_stores(df: DataFrame, path: str) -> None:
     """Per-store table; the stores in ``df`` replace their former content, others stay.
 
-    Stores differ in size, so the rows are not gathered by store: every task
-    writes to the folders of the stores it holds.
+    Rebalanced by store for files of even size: a store that holds much of the
+    rows is split over several tasks.
     """
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("store").parquet(path)
+    df.hint("rebalance", F.col("store")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("store").parquet(path)
 
 
 def write_catalog(df: DataFrame, path: str, clear: bool = False) -> None:
@@ -46,13 +46,13 @@ def rewrite(df: DataFrame, path: str, partition: str | None = "store") -> None:
 def compact(spark: SparkSession, root: str, transform, path: str, store: str) -> int:
     """Merge a store's shards into its table, then remove the shard files that were read.
 
-    Files that could not be read stay. Returns the number of files removed. The
-    list of files is metadata: one name per shard file, fetched in batches.
+    The rows are staged first, so exactly the files whose rows were merged are
+    removed; files that could not be read stay. Returns the number of files
+    removed. Their names are metadata and are fetched partition by partition.
     """
-    shards = read_shards(spark, root, store)
-    files = stage(shards.select("_file").distinct(), "compacted")
-    merged = transform(shards.join(files, "_file", "left_semi")).drop("_file", "_row")
-    write_stores(merged, path)
+    shards = stage(read_shards(spark, root, store), "shards")
+    write_stores(transform(shards), path)
+    files = shards.select("_file").distinct()
     removed = 0
     hadoop = spark._jsc.hadoopConfiguration()
     for row in files.toLocalIterator():

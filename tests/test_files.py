@@ -6,11 +6,13 @@ import json
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from pricetide import schema as S
 from pricetide.operators import audit, links, records
 from pricetide.plans import jobs
+from pricetide.session import drop_staged, stage_path
 from pricetide.sinks import tables as sink
 from pricetide.sinks import text as text_sink
 from pricetide.sources import files, listings, sitemaps
@@ -253,3 +255,23 @@ def test_links_keep_first_over_sources(spark):
     a = spark.createDataFrame([("x", 1)], "url string, pos int")
     b = spark.createDataFrame([("x", 2), ("y", 3)], "url string, pos int")
     assert sorted(map(tuple, links.keep_first(records.union_tables([a, b]), ["url"], ["pos"]).collect())) == [("x", 1), ("y", 3)]
+
+
+def test_crawl_log_outcomes(spark):
+    ok = "<title>t</title><script type='application/ld+json'>{\"@type\":\"Product\",\"name\":\"L\"}</script>"
+    htmls = {"u1": ok, "u2": "<title>Just a moment...</title>", "u3": "<title>t</title>", "u4": None, "u5": "<h1>GearVN.com</h1>"}
+    pages = spark.createDataFrame(list(htmls.items()), "url string, html string")
+    work = spark.createDataFrame([("gearvn", 1, i, f"u{i}", "") for i in range(1, 7)], "store string, chunk int, idx int, url string, lastmod string")
+    log = jobs.crawl_log(work, pages, "gearvn")
+    assert [r.outcome for r in log.orderBy("idx").collect()] == ["ok", "fail", "neutral", "fail", "fail", "fail"]
+    assert sorted(r.url for r in jobs.after_run(log).collect()) == ["u3", "u4", "u5", "u6"]
+    assert jobs.crawl_log(work, pages, "tgdd").filter("outcome = 'ok'").count() == 3
+
+
+def test_drop_staged(spark):
+    path = stage_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    drop_staged(spark)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)

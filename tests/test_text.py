@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from pricetide.functions import specs, text
+from pricetide.functions import dates, specs, text
 
 
 def one(spark, value, expr):
@@ -76,3 +76,17 @@ def test_clean_and_find(spark):
         specs.any_spec(F.col("v"), ["cpu"], "3050"),
     ).first()
     assert [tuple(p) for p in row[0]] == [("VGA", "RTX 3050")] and row[1] is True and row[2] is False
+
+
+def test_local_time_in_any_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # The second instant lies in the hour that occurs twice in that zone.
+        df = spark.sql("select timestamp'2026-07-01 18:30:05Z' a, timestamp'2026-11-01 06:30:00Z' b, timestamp_ntz'2026-07-01 18:30:05' c")
+        shown = df.select(*[dates.local_time_text(F.col(c)).alias(c) for c in "abc"])
+        assert tuple(shown.first()) == ("2026-07-02 01:30:05", "2026-11-01 13:30:00", "2026-07-02 01:30:05")
+        back = shown.select(F.unix_seconds(dates.parse_local_time(F.col("a"))).alias("s")).first()
+        assert back.s == 1782930605
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
