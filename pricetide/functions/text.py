@@ -6,25 +6,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# White space as `str.strip` / `str.split` see it, and as JavaScript's `trim` / `\s` do.
-PY_SPACE = r"[\s\x1c-\x1f]"
+# White space as `str.split` sees it, and as JavaScript's `\s` does.
+PY_SPACE = r"[\s\x1c-\x1f]"  # with (?U)
 JS_SPACE = r"[\t\n\x0b\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
 
-CONTACT = "liên hệ"
-
+# The same sets as characters; by rule, all of them lie below U+3001 but for the byte order mark.
+_PY_SPACES = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+_JS_SPACES = "".join(ch for ch in _PY_SPACES if ch not in "\x1c\x1d\x1e\x1f\x85") + "\ufeff"
 
-def _strip(c: Column, space: str) -> Column:
-    return F.regexp_replace(c, rf"(?U)\A{space}+|{space}+\z", "")
+CONTACT = "liên hệ"
 
 
 def pystrip(c: Column) -> Column:
     """Remove all Unicode white space at both ends."""
-    return _strip(c, PY_SPACE)
+    return F.btrim(c, F.lit(_PY_SPACES))
 
 
 def jstrim(c: Column) -> Column:
     """Remove JavaScript white space at both ends."""
-    return _strip(c, JS_SPACE)
+    return F.btrim(c, F.lit(_JS_SPACES))
 
 
 def collapse(c: Column) -> Column:

@@ -88,4 +88,4 @@ def report_lines(report: DataFrame) -> DataFrame:
         .when(F.col("status") == "empty", F.format_string("%s: bảng trống (0 sản phẩm)", "sheet_name"))
         .otherwise(F.format_string("%s: không có dữ liệu", "sheet_name"))
     )
-    return report.select("is_total", "sheet_name", line.alias("value")).orderBy("is_total", "sheet_name")
+    return report.withColumn("value", line).orderBy("is_total", "sheet_name")

@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Narrow rows over all tasks, before each becomes a page: rendering and parsing cost far more than moving them."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def whole(c: Column) -> Column:
     return F.round(c).cast("bigint")
 
@@ -124,7 +129,7 @@ def shop_shards(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         tables[store] = rated.filter(F.col("l_returnflag") == flag).select(
             *[here[h].alias(h) for h in shop.headers],
             F.col("l_suppkey").alias("_file"),
-            F.struct("l_orderkey", "l_linenumber").alias("_row"),
+            F.struct("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_discount").alias("_row"),
         )
     return tables
 
@@ -137,11 +142,11 @@ shards AS (
     'Laptop ' || CAST(l_partkey AS VARCHAR) AS name,
     CASE WHEN l_linenumber <> 1 THEN CAST(round(l_extendedprice * (1 - l_discount)) AS BIGINT) END AS price,
     CASE WHEN l_linenumber <> 2 THEN CAST(round(l_extendedprice) AS BIGINT) END AS list_price,
-    CAST(round(l_extendedprice) AS BIGINT) AS o, l_linestatus, l_shipdate, l_suppkey, l_orderkey, l_linenumber
+    CAST(round(l_extendedprice) AS BIGINT) AS o, l_linestatus, l_shipdate, l_suppkey, l_orderkey, l_linenumber, l_extendedprice, l_discount
   FROM lineitem),
 firsts AS (
   SELECT * FROM shards
-  QUALIFY row_number() OVER (PARTITION BY store, url ORDER BY l_suppkey, l_orderkey, l_linenumber) = 1)"""
+  QUALIFY row_number() OVER (PARTITION BY store, url ORDER BY l_suppkey, l_orderkey, l_linenumber, l_shipdate, l_extendedprice, l_discount) = 1)"""
 
 
 # --- product pages of parts --------------------------------------------------------------------
@@ -213,6 +218,4 @@ def product_pages(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
     }
     for mark, value in marks.items():
         html = F.replace(html, F.lit("{" + mark + "}"), value)
-    # Rendering and parsing cost far more than the narrow rows: spread them over all tasks first.
-    spread = products(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
-    return spread.select("p_partkey", "url", html.alias("html"))
+    return spread(products(spark, sf_dir), "p_partkey").select("p_partkey", "url", html.alias("html"))

@@ -344,15 +344,15 @@ def sitemap_raw(spark, sf_dir):
 
 @query("""
 WITH e AS (SELECT 'https://shop.example/Products/laptop-' || CAST(l_partkey AS VARCHAR) AS url,
-    CASE WHEN l_linenumber = 1 THEN '' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS lastmod, l_suppkey, l_orderkey, l_linenumber
+    CASE WHEN l_linenumber = 1 THEN '' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS lastmod, l_suppkey, strftime(l_shipdate, '%Y-%m-%d') AS day, l_orderkey, l_linenumber
   FROM lineitem)
-SELECT url, arg_min(lastmod, (l_suppkey, l_orderkey, l_linenumber)) AS lastmod FROM e GROUP BY url""")
+SELECT url, arg_min(lastmod, (l_suppkey, day, l_orderkey, l_linenumber)) AS lastmod FROM e GROUP BY url""")
 def sitemap_first(spark, sf_dir):
     entries = table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("https://shop.example/Products/laptop-"), F.col("l_partkey").cast("string")).alias("loc"),
         F.when(F.col("l_linenumber") == 1, F.lit("")).otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("lastmod"),
         F.col("l_suppkey").alias("file_rank"),
-        F.lit("").alias("file"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("file"),
         F.col("l_orderkey").alias("block"),
         F.col("l_linenumber").alias("pos"),
     )
@@ -594,7 +594,7 @@ def embedded_specs(spark, sf_dir):
     html = F.lit(script)
     for mark, column in (("[brand]", "p_brand"), ("[name]", "p_name"), ("[size]", "p_size"), ("[type]", "p_type")):
         html = F.replace(html, F.lit(mark), F.col(column).cast("string"))
-    pages = table(spark, sf_dir, "part").select("p_partkey", html.alias("html"))
+    pages = I.spread(table(spark, sf_dir, "part"), "p_partkey").select("p_partkey", html.alias("html"))
     found = {
         v: specs.spec_text(specs.dedup_pairs(markup.embedded_pairs(F.col("html"), v), "first"))
         for v in markup.EMBEDDED_PATTERNS
@@ -720,8 +720,7 @@ def store_report(spark, sf_dir):
     names = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "6-NONE"]
     registry = spark.createDataFrame([(n, f"sheet {n}") for n in names], "store string, sheet_name string")
     catalog = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("store"))
-    report = audit.store_report(catalog, registry)
-    return report.join(audit.report_lines(report).drop("is_total"), "sheet_name")
+    return audit.report_lines(audit.store_report(catalog, registry))
 
 
 @query("""

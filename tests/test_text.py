@@ -14,6 +14,13 @@ def test_white_space(spark):
     assert one(spark, "﻿x\x1c", text.jstrim) == "x\x1c"
 
 
+def test_every_space_is_stripped(spark):
+    spaces = [ch for ch in map(chr, range(0x110000)) if ch.isspace()]
+    df = spark.createDataFrame([(f"{ch}{ch}a{ch}b{ch}",) for ch in [*spaces, "\u200b", "\ufeff"]], "v string")
+    rows = df.select("v", text.pystrip(F.col("v")).alias("o"), text.collapse(F.col("v")).alias("c")).collect()
+    assert all(r.o == r.v.strip() and r.c == " ".join(r.v.split()) for r in rows)
+
+
 def test_first_non_empty(spark):
     df = spark.createDataFrame([("  ", None, " b "), ("a", "c", "b"), (None, None, "")], "x string, y string, z string")
     got = df.select(text.first_non_empty(F.col("x"), F.col("y"), F.col("z")).alias("o")).collect()
