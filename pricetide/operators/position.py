@@ -32,6 +32,7 @@ def with_position(
         "ranged",
     )
     keys = [*group, "_part"]
+    # Without a group this window spans the table of counts: one row per range partition.
     by_group = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
     before = by_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -17,6 +17,7 @@ from pricetide.functions.markup import El, rule
 from pricetide.operators import audit, breaker, extract, links, position, records
 from pricetide.operators import specs as spec_ops
 from pricetide.plans import inputs as I
+from pricetide.plans import jobs
 from pricetide.plans.inputs import table
 from pricetide.session import stage_path
 from pricetide.sinks import tables as sink
@@ -898,3 +899,150 @@ def append_stream(spark, sf_dir):
         append.stream_append(kept, target, checkpoint)
     catalog = spark.read.schema("o_orderkey bigint, store string, batch int").parquet(target)
     return catalog.groupBy("store").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("key_sum"))
+
+
+# --- whole jobs ------------------------------------------------------------------------------------------
+
+
+@query("""
+WITH u AS (SELECT 'https://shop.example/laptop/' || CAST(p_partkey AS VARCHAR) AS url, CAST(p_size AS VARCHAR) AS lastmod,
+    CASE WHEN p_size <= 25 THEN 'ok' WHEN p_size BETWEEN 33 AND 36 THEN 'neutral' ELSE 'fail' END AS outcome FROM part),
+n AS (SELECT *, row_number() OVER (ORDER BY url) AS i, CAST(ceil(count(*) OVER () / 20.0) AS BIGINT) AS size FROM u),
+c AS (SELECT *, CAST((i - 1) // size + 1 AS INTEGER) AS chunk, (i - 1) % size + 1 AS idx FROM n),
+g AS (SELECT *, sum(CASE WHEN outcome = 'ok' THEN 1 ELSE 0 END) OVER (PARTITION BY chunk ORDER BY idx) AS island FROM c),
+s AS (SELECT *, sum(CASE WHEN outcome = 'fail' THEN 1 ELSE 0 END) OVER (PARTITION BY chunk, island ORDER BY idx) AS streak FROM g),
+stops AS (SELECT chunk, min(idx) AS stop FROM s WHERE streak >= 3 AND outcome = 'fail' GROUP BY chunk)
+SELECT 'gearvn' AS store, c.chunk, idx, url, lastmod FROM c JOIN stops ON c.chunk = stops.chunk WHERE idx > stop - 3""")
+def shard_run(spark, sf_dir):
+    """A store's run: links cut into shards, captured pages judged, the links left after the breaker."""
+    part = table(spark, sf_dir, "part")
+    url = F.concat(F.lit("https://shop.example/laptop/"), F.col("p_partkey").cast("string"))
+    known = part.select(url.alias("url"), F.col("p_size").cast("string").alias("lastmod"))
+    html = (
+        F.when(
+            F.col("p_size") <= 25,
+            F.concat(
+                F.lit('<title>x</title><script type="application/ld+json">{"@type":"Product","name":"'),
+                F.col("p_name"),
+                F.lit('"}</script>'),
+            ),
+        )
+        .when(F.col("p_size") <= 32, F.lit("<title>Just a moment...</title>"))
+        .when(F.col("p_size") <= 36, F.lit("<title>x</title><h1>y</h1>"))
+    )
+    pages = part.select(url.alias("url"), html.alias("html")).filter(F.col("html").isNotNull())
+    work = jobs.plan_shards(known, "gearvn", 20)
+    return jobs.after_run(jobs.crawl_log(work, pages, "gearvn"))
+
+
+@query(f"""
+WITH {I.PRODUCTS_SQL}
+SELECT name, replace(format('{{:,}}', current), ',', '.') || 'đ' AS price, replace(format('{{:,}}', original), ',', '.') || 'đ' AS list_price,
+  '-' || CAST(p_size AS VARCHAR) || '%' AS discount, 'Giảm - ' || CAST(p_size AS VARCHAR) || '%' AS promos,
+  'CPU: ' || p_brand || ' | RAM: ' || CAST(p_size AS VARCHAR) || ' GB' AS specs,
+  'https://shop.example/laptop/' || CAST(p_partkey AS VARCHAR) AS link,
+  CASE WHEN p_size > 25 THEN 'm' || CAST(p_size AS VARCHAR) ELSE '' END AS lastmod,
+  strftime(TIMESTAMP '2026-07-01 18:00:00' + to_minutes(p_partkey) + INTERVAL 7 HOUR, '%Y-%m-%d %H:%M:%S') AS crawled,
+  'tgdd' AS store, 1 AS chunk, 'r1' AS run FROM products""")
+def shop_table(spark, sf_dir):
+    """Captured pages of one shop to its table, with the sitemap date joined."""
+    pages = I.product_pages(spark, sf_dir, "tgdd").select(
+        "url",
+        "html",
+        F.lit("tgdd").alias("store"),
+        F.lit(1).alias("chunk"),
+        F.lit("r1").alias("run"),
+        (
+            F.lit("2026-07-01 18:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("p_partkey").cast("int"))
+        ).alias("captured_at"),
+    )
+    known = table(spark, sf_dir, "part").filter(F.col("p_size") > 25)
+    lastmods = known.select(
+        F.concat(F.lit("https://shop.example/laptop/"), F.col("p_partkey").cast("string")).alias("url"),
+        F.concat(F.lit("m"), F.col("p_size").cast("string")).alias("lastmod"),
+    )
+    ascii_names = ("name", "price", "list_price", "discount", "promos", "specs", "link", "lastmod", "crawled")
+    rows = jobs.shard_tables(pages, "tgdd", lastmods)
+    return rows.toDF(*ascii_names, "store", "chunk", "run")
+
+
+@query(f"""
+WITH {I.PRODUCTS_SQL}
+SELECT name, 'https://shop.example/laptop/' || CAST(p_partkey AS VARCHAR) AS link, '-' || CAST(p_size AS VARCHAR) || '%' AS discount,
+  'Card đồ họa: ' || p_brand || ' | RAM: ' || CAST(p_size AS VARCHAR) || ' GB' AS specs FROM products WHERE contains(p_brand, '#1')""")
+def topic_table(spark, sf_dir):
+    """Products whose graphics spec mentions a value, as the single-topic table."""
+    rows = jobs.topic_table(I.product_pages(spark, sf_dir, "gearvn_topic"), "#1")
+    return rows.select(
+        F.col(S.NAME).alias("name"), F.col(S.LINK).alias("link"), F.col(S.DISCOUNT).alias("discount"),
+        F.col(S.SPECS).alias("specs"),
+    )
+
+
+@query("""
+SELECT p_partkey // 40 AS page, CASE WHEN p_size > 25 THEN 'Laptop ' || p_name ELSE p_name END AS name,
+  'https://shop.example/products/' || CAST(p_partkey AS VARCHAR) AS link, p_brand AS sku FROM part
+WHERE p_size > 25 OR contains(upper(p_brand), 'D#2')""")
+def product_cards(spark, sf_dir):
+    """Cards of listing pages with 40 products each: laptops, or those with a keyword in the stock number."""
+    name = F.when(F.col("p_size") > 25, F.concat(F.lit(" Laptop "), F.col("p_name"))).otherwise(F.col("p_name"))
+    card = F.concat(
+        F.lit('<div class="proloop-block" data-product-sku="'), F.col("p_brand"),
+        F.lit('"><h3 class="proloop-name"><a href="/products/'), F.col("p_partkey").cast("string"), F.lit('">'), name,
+        F.lit("</a></h3></div>"),
+    )
+    # A listing page holds at most 40 products: part keys are unique.
+    listing = F.floor(F.col("p_partkey") / 40).alias("page")
+    pages = table(spark, sf_dir, "part").groupBy(listing).agg(F.concat_ws("\n", F.collect_list(card)).alias("html"))
+    cards = extract.product_blocks(pages, "https://shop.example")
+    wanted = links.laptop_name(F.col("name")) | links.name_or_sku(F.lit(""), F.col("sku"), "d#2")
+    return cards.filter(links.named(F.col("name")) & wanted).select("page", "name", "link", "sku")
+
+
+@query("""
+WITH f AS (SELECT * FROM lineitem WHERE l_returnflag = 'R'
+  QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_suppkey, l_orderkey, l_linenumber, l_shipdate, l_extendedprice, l_discount) = 1)
+SELECT 'https://cellphones.com.vn/laptop/' || CAST(l_partkey AS VARCHAR) AS link,
+  CASE WHEN l_linenumber <> 1 THEN CAST(round(l_extendedprice * (1 - l_discount)) AS BIGINT) END AS price,
+  CASE WHEN l_linenumber = 1 THEN 'Liên hệ' END AS price_note,
+  CASE WHEN l_linenumber <> 2 THEN CAST(round(l_extendedprice) AS BIGINT) END AS list_price FROM f""")
+def merge_shop(spark, sf_dir):
+    """One shop's shards merged under its own headers, price columns found by name."""
+    merged = records.merge_shop(I.shop_shards(spark, sf_dir)["cellphones"], ["_file", "_row"])
+    return merged.select(
+        F.col(S.LINK).alias("link"), F.col(S.PRICE).alias("price"), F.col(f"`{S.PRICE} (ghi chú)`").alias("price_note"),
+        F.col(S.LIST_PRICE).alias("list_price"),
+    )
+
+
+@query(SQL["merge_report"])
+def publish_catalog(spark, sf_dir):
+    """Shards on disk merged into the per-store table, appended to the catalog and reported."""
+    bronze, silver, catalog = (stage_path(spark, name) for name in ("bronze", "silver", "catalog"))
+    sink.write_shard(_bronze(spark, sf_dir), bronze)
+    return jobs.merge_and_publish(spark, bronze, silver, catalog)
+
+
+@query("""
+SELECT 'tgdd' AS store, count(DISTINCT l_partkey) AS n_products, 0::BIGINT AS left_over FROM lineitem WHERE l_returnflag = 'A'""")
+def compact_shards(spark, sf_dir):
+    """A store's shards merged into its table and removed."""
+    bronze, silver = stage_path(spark, "bronze"), stage_path(spark, "silver")
+    sink.write_shard(_bronze(spark, sf_dir).filter(F.col("store") == "tgdd"), bronze)
+    sink.compact(spark, bronze, lambda df: records.merge_shards(df, source.SHARD_ORDER), silver, "tgdd")
+    merged = source.read_workbook(spark, silver, S.SILVER).groupBy("store").agg(F.count(F.lit(1)).alias("n_products"))
+    left = source.read_shards(spark, bronze).agg(F.count(F.lit(1)).alias("n")).scalar()
+    return merged.withColumn("left_over", left)
+
+
+@query("""
+WITH t AS (SELECT *, row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) AS i FROM part)
+SELECT '[' || CAST(i AS VARCHAR) || '] ' || p_name || chr(10) || 'Khuyến mãi: ' || p_type || chr(10) || 'Giá: '
+  || CAST(CAST(round(p_retailprice) AS BIGINT) AS VARCHAR) || chr(10) || 'Cấu hình: ' AS value FROM t WHERE i <= 3""")
+def sample_lines(spark, sf_dir):
+    """The three dearest products as readable text."""
+    shown = table(spark, sf_dir, "part").select(
+        F.col("p_name").alias(S.NAME), F.col("p_type").alias(S.PROMOS), I.whole(F.col("p_retailprice")).alias(S.PRICE),
+        F.lit(None).cast("string").alias(S.SPECS), "p_retailprice", "p_partkey",
+    )
+    return text_sink.sample_lines(shown, [F.desc("p_retailprice"), "p_partkey"], 3)
