@@ -96,9 +96,10 @@ def rule(*paths, take: str | None = None, parts: tuple[Part, ...] = ()) -> Rule:
 # --- one page ----------------------------------------------------------------------------------
 
 
-# Comment, tag (end mark, name, attributes) or declaration; one attribute.
+# Comment, tag (end mark, name, attributes) or declaration; one attribute. Outside quotes a tag holds no
+# further '<' and the group is possessive, so broken markup costs no repeated scans.
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?][^>]*>""", re.S
+    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>"']|"[^"]*"|'[^']*')*+)>|<[!?][^<>]*>""", re.S
 )
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 # Elements whose content is text up to their end tag.
@@ -126,6 +127,7 @@ class _Page:
         self.by_attr: dict[str, list[int]] = {}
         self.by_class: dict[str, list[int]] = {}
         self._kids: dict[int, int] = {}
+        self._opened: dict[str, int] = {}
         self._classes: dict[int, list[str]] = {}
         self._read()
 
@@ -189,20 +191,19 @@ class _Page:
         if tag in VOID:
             return True
         self.open.append(i)
+        self._opened[tag] = self._opened.get(tag, 0) + 1
         return False
 
     def _end(self, tag: str, token: re.Match) -> None:
-        depth = len(self.open) - 1
-        while depth > 0 and self.tag[self.open[depth]] != tag:
-            depth -= 1
-        if depth:
-            while len(self.open) - 1 > depth:
+        if self._opened.get(tag):
+            while self.tag[self.open[-1]] != tag:
                 self._shut(token.start())
             self._shut(token.end())
 
     def _shut(self, stop: int) -> None:
         i = self.open.pop()
         self.last[i], self.stop[i] = len(self.tag) - 1, stop
+        self._opened[self.tag[i]] -= 1
         self.line += self.tag[i] in BLOCK
 
     # matching

@@ -40,6 +40,8 @@ def _first_full(*lists: Column) -> Column:
     return chosen
 
 
+# Fixed values, here and in the rules below: ids, classes and attributes of the shops' pages.
+
 # --- shop with technical tables and promotion boxes --------------------------------------------
 
 _SPEC_ROW = (

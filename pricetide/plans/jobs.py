@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pricetide import schema as S
 from pricetide.functions import markup
 from pricetide.operators import audit, breaker, extract, links, position, records, specs
+from pricetide.session import stage
 from pricetide.sinks import tables as sink
 from pricetide.sources import tables as source
 
@@ -47,7 +48,9 @@ def crawl_log(work: DataFrame, pages: DataFrame, store: str) -> DataFrame:
     if store == "gearvn":
         outcome = outcome.when(markup.json_ld_product(html).isNull(), "neutral")
     judged = pages.select("url", outcome.otherwise("ok").alias("outcome"))
-    return work.join(judged, "url", "left").withColumn("outcome", F.coalesce("outcome", F.lit("fail")))
+    log = work.join(judged, "url", "left").withColumn("outcome", F.coalesce("outcome", F.lit("fail")))
+    # The log is small next to the pages and read more than once.
+    return stage(log, "crawl-log")
 
 
 def after_run(log: DataFrame, overlap: int = 0) -> DataFrame:

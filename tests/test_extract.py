@@ -255,3 +255,25 @@ def test_challenge(spark):
     )
     got = [r[0] for r in df.select(M.is_challenge(F.col("t"), F.col("h"), "fptshop.com.vn")).collect()]
     assert got == [True, True, False, False]
+
+
+def test_odd_markup():
+    page = M._Page(
+        "<!-- <p>no</p> --><SCRIPT>var t = '</p><p>';</SCRIPT><DIV Class='a  b' data-x=1 hidden title=\"a > b\">1 < 2"
+        "<br/>&lt;i&gt;<?pi?></b></i></DIV><title>a<b>&amp;</title><p>x<!-- open"
+    )
+    tags = [t for t in page.tag if t]
+    assert tags == ["script", "div", "br", "title", "p"]
+    assert [t for t in page.text if t is not None] == ["var t = '</p><p>';", "1 < 2", "<i>", "a<b>&", "x"]
+    div = page.attrs[page.by_tag["div"][0]]
+    assert div == {"class": "a  b", "data-x": "1", "hidden": "", "title": "a > b"}
+    assert page.classes(page.by_class["b"][0]) == ["a", "b"]
+
+
+def test_broken_markup_is_linear():
+    import time
+
+    start = time.perf_counter()
+    for piece in ("<a '", '<a "', "<!", "<", "</b>", "<b>", "<b></i>", "<!--", "&amp", "<script>", "<p class=\"x"):
+        M._Page(piece * 40000)
+    assert time.perf_counter() - start < 60
