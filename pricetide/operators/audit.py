@@ -10,14 +10,16 @@ def _pairs(members: DataFrame) -> DataFrame:
     """Occurrences per (link, page), pre-aggregated: a link's rows are never gathered."""
     return members.groupBy("link", "page_name").agg(
         F.count(F.lit(1)).alias("n_in_page"),
-        F.min_by("name", "seq").alias("_name"),
-        F.min("seq").alias("_seq"),
+        F.min_by("name", "seq").alias("name_in_page"),
+        F.min("seq").alias("seq_in_page"),
     )
 
 
 def _totals(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("link").agg(
-        F.sum("n_in_page").alias("n"), F.min_by("_name", "_seq").alias("first_name"), F.min("_seq").alias("first_seq")
+        F.sum("n_in_page").alias("n"),
+        F.min_by("name_in_page", "seq_in_page").alias("first_name"),
+        F.min("seq_in_page").alias("first_seq"),
     )
 
 
@@ -25,11 +27,14 @@ def overlap_links(members: DataFrame) -> DataFrame:
     """Links that occur more than once, one row per page they occur on.
 
     ``members``: ``page_name, name, link, seq``. Occurrences count, so a link
-    listed twice on one page is shared too.
+    listed twice on one page is shared too. With all columns in use, both sides
+    of the join read the same shuffle of the members.
     """
     pairs = _pairs(members)
     shared = _totals(pairs).filter(F.col("n") > 1)
-    return pairs.join(shared, "link").select("link", "first_name", "first_seq", "n", "page_name", "n_in_page")
+    return pairs.join(shared, "link").select(
+        "link", "first_name", "first_seq", "n", "page_name", "name_in_page", "seq_in_page", "n_in_page"
+    )
 
 
 def overlap_by_page(members: DataFrame) -> DataFrame:

@@ -693,12 +693,16 @@ def _members(spark, sf_dir):
 
 
 @query("""
-WITH p AS (SELECT l_orderkey AS link, l_returnflag AS page_name, count(*) AS n_in_page FROM lineitem GROUP BY ALL),
-t AS (SELECT l_orderkey AS link, count(*) AS n, arg_min('part ' || CAST(l_partkey AS VARCHAR), (l_linenumber, l_partkey, l_suppkey)) AS first_name
-  FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1)
-SELECT link, first_name, n, page_name, n_in_page FROM p JOIN t USING (link)""")
+WITH m AS (SELECT l_orderkey AS link, l_returnflag AS page_name, 'part ' || CAST(l_partkey AS VARCHAR) AS name,
+  l_linenumber AS line, (l_linenumber, l_partkey, l_suppkey) AS seq FROM lineitem),
+p AS (SELECT link, page_name, count(*) AS n_in_page, arg_min(name, seq) AS name_in_page, min(line) AS line_in_page FROM m GROUP BY ALL),
+t AS (SELECT link, count(*) AS n, arg_min(name, seq) AS first_name, min(line) AS first_line FROM m GROUP BY link HAVING count(*) > 1)
+SELECT link, first_name, first_line, n, page_name, name_in_page, line_in_page, n_in_page FROM p JOIN t USING (link)""")
 def overlap_links(spark, sf_dir):
-    return audit.overlap_links(_members(spark, sf_dir)).drop("first_seq")
+    found = audit.overlap_links(_members(spark, sf_dir))
+    return found.withColumns(
+        {"first_line": F.col("first_seq.l_linenumber"), "line_in_page": F.col("seq_in_page.l_linenumber")}
+    ).drop("first_seq", "seq_in_page")
 
 
 @query("""
