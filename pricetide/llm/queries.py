@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricetide.llm import bpe
+from pricetide.llm import bpe, packing
 from pricetide.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -21,6 +21,13 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op3_bpe": op3_bpe}
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), WORDS)
+
+
+QUERIES = {"op3_bpe": op3_bpe, "op9_packing": op9_packing}
 
 SQL: dict[str, str] = {}
