@@ -23,7 +23,8 @@ from pricetide.llm.common import held_out, map_arrow
 
 BUCKETS = 1 << 16
 # Learned from this many documents of each language at most, taken by hash of the id.
-DOCS_PER_LANGUAGE = 1500
+DOCS_PER_LANGUAGE = 1536
+SALTS = 64
 STEPS = 12
 UNDETERMINED = "und"
 
@@ -61,10 +62,10 @@ class Model:
 def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Model:
     """Learn from the rows that are not held out and have a language, at most ``per_language`` of each."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        known.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
-    )
+    # A language is dealt over SALTS windows, so that a common one is not ranked by a single task.
+    salted = known.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
+    order = Window.partitionBy("lang", "salt").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")
+    chosen = salted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= -(-per_language // SALTS))
     # At most per_language ids of each language: a bounded table.
     sample = known.select("doc_id", "text", "lang").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
 
