@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricetide.llm import bpe, langid, packing, toxicity
+from pricetide.llm import bpe, fingerprint, langid, licenses, packing, toxicity
 from pricetide.llm.common import held_out, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -35,12 +35,20 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", predicted, "terms")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited(table(spark, sf_dir, "documents"))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.identify(docs, langid.fit(docs))
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "languages")
 
 
-QUERIES = {"op3_bpe": op3_bpe, "op4_toxicity": op4_toxicity, "op8_langid": op8_langid, "op9_packing": op9_packing}
+QUERIES = {"op3_bpe": op3_bpe, "op4_toxicity": op4_toxicity, "op6_licenses": op6_licenses, "op7_fingerprints": op7_fingerprints, "op8_langid": op8_langid, "op9_packing": op9_packing}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op6_licenses": licenses.scan_sql()}
