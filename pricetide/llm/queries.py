@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricetide.llm import bpe, fingerprint, langid, licenses, packing, toxicity
+from pricetide.llm import bpe, fingerprint, itq, langid, licenses, packing, toxicity
 from pricetide.llm.common import held_out, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -49,6 +49,10 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "languages")
 
 
-QUERIES = {"op3_bpe": op3_bpe, "op4_toxicity": op4_toxicity, "op6_licenses": op6_licenses, "op7_fingerprints": op7_fingerprints, "op8_langid": op8_langid, "op9_packing": op9_packing}
+def op10_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {"op3_bpe": op3_bpe, "op4_toxicity": op4_toxicity, "op6_licenses": op6_licenses, "op7_fingerprints": op7_fingerprints, "op8_langid": op8_langid, "op9_packing": op9_packing, "op10_itq": op10_itq}
 
 SQL: dict[str, str] = {"op6_licenses": licenses.scan_sql()}
