@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricetide.llm import bpe, fingerprint, itq, langid, licenses, packing, toxicity
+from pricetide.llm import bpe, fingerprint, itq, langid, licenses, packing, pii, toxicity
 from pricetide.llm.common import held_out, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -35,6 +35,14 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", predicted, "terms")
 
 
+# Pseudonyms are as secret as this key; a real run passes its own.
+KEY = b"public demonstration key"
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonyms(table(spark, sf_dir, "documents").select("doc_id", "text"), KEY)
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -53,6 +61,6 @@ def op10_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itq.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {"op3_bpe": op3_bpe, "op4_toxicity": op4_toxicity, "op6_licenses": op6_licenses, "op7_fingerprints": op7_fingerprints, "op8_langid": op8_langid, "op9_packing": op9_packing, "op10_itq": op10_itq}
+QUERIES = {"op3_bpe": op3_bpe, "op4_toxicity": op4_toxicity, "op5_pii": op5_pii, "op6_licenses": op6_licenses, "op7_fingerprints": op7_fingerprints, "op8_langid": op8_langid, "op9_packing": op9_packing, "op10_itq": op10_itq}
 
 SQL: dict[str, str] = {"op6_licenses": licenses.scan_sql()}
