@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pricetide.session import stage
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _IN, _OUT = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]", r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -98,7 +100,9 @@ def template_blocks(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATE
     sets = [(label, sorted(set(text.split(" ")))) for label, text in templates]
     vocabulary = sorted({w for _, words in sets for w in words})
     own = F.array(*map(F.lit, vocabulary))
-    lines = blocks(docs).select("*", F.array_intersect("words", own).alias("own")).where(F.size("own") > 0)
+    # The words of a block are found once; its number of words and those of the templates are kept.
+    found = blocks(docs).select("doc_id", "text_key", "block", F.size("words").alias("n"), F.array_intersect("words", own).alias("own"))
+    lines = stage(found.where(F.size("own") > 0), "license-blocks")
     # How many blocks hold each word of the templates; as many rows as the templates have words.
     held = lines.select(F.explode("own").alias("word")).groupBy("word").count().collect()
     frequency = {r["word"]: r["count"] for r in held}
@@ -114,7 +118,7 @@ def template_blocks(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATE
     ranks = F.create_map(*[x for w, k in order.items() for x in (F.lit(w), F.lit(k))])
     starts = F.array(*map(F.lit, sorted({row[0] for row in index})))
     candidates = (
-        lines.select("doc_id", "text_key", "block", F.size("words").alias("n"), "own", F.explode(F.array_intersect("own", starts)).alias("word"))
+        lines.select("doc_id", "text_key", "block", "n", "own", F.explode(F.array_intersect("own", starts)).alias("word"))
         # The index has a row per prefix word of a template: a fixed size.
         .join(F.broadcast(prefixes), "word")
         .where((F.col("n") >= F.col("need")) & (F.size("own") >= F.col("need")))
