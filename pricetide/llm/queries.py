@@ -5,12 +5,22 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricetide.llm import bpe, fingerprint, itq, langid, licenses, ngram_join, packing, pii, toxicity
+from pricetide.llm import bpe, fingerprint, itq, langid, licenses, ngram_join, packing, pii, suffix_dedup, toxicity
 from pricetide.llm.common import held_out, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link(table(spark, sf_dir, "documents"))
 
@@ -65,6 +75,6 @@ def op10_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itq.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {"op2_ngram_join": op2_ngram_join, "op3_bpe": op3_bpe, "op4_toxicity": op4_toxicity, "op5_pii": op5_pii, "op6_licenses": op6_licenses, "op7_fingerprints": op7_fingerprints, "op8_langid": op8_langid, "op9_packing": op9_packing, "op10_itq": op10_itq}
+QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_ngram_join": op2_ngram_join, "op3_bpe": op3_bpe, "op4_toxicity": op4_toxicity, "op5_pii": op5_pii, "op6_licenses": op6_licenses, "op7_fingerprints": op7_fingerprints, "op8_langid": op8_langid, "op9_packing": op9_packing, "op10_itq": op10_itq}
 
 SQL: dict[str, str] = {"op6_licenses": licenses.scan_sql()}
