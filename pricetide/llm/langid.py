@@ -172,3 +172,19 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return map_arrow(narrow, batch, "doc_id long, lang_pred string, score double, languages array<struct<lang:string,share:double>>")
+
+
+def identified(docs: DataFrame, model: Model) -> DataFrame:
+    """The input rows that have a language, all columns as they are; a null ``lang`` is filled in."""
+
+    def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
+        texts = [t or "" for t in rows["text"].to_pylist()]
+        shares = proportions(texts, model)
+        has = [bool(s.sum() > 0) and bool(_LETTER.search(t)) for t, s in zip(texts, shares, strict=True)]
+        best = [model.languages[int(s.argmax())] if h else None for h, s in zip(has, shares, strict=True)]
+        at = rows.schema.get_field_index("lang")
+        columns = list(rows.columns)
+        columns[at] = pa.array([known if known is not None else b for known, b in zip(columns[at].to_pylist(), best, strict=True)], pa.string())
+        return pa.RecordBatch.from_arrays(columns, rows.schema.names).filter(pa.array(has, pa.bool_()))
+
+    return map_arrow(docs, batch, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields))

@@ -323,3 +323,10 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     links = dealt.select("task", "grp", "i", "j", "side", "doc_id", "signature", "hashes").groupBy("task").applyInPandas(solve, "a long, b long")
     joined = components(links.union(copies), "ngram-links").withColumnRenamed("node", "doc_id")
     return summary.join(joined, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def first_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The input without the documents that are linked, directly or not, to one with a smaller id."""
+    linked = link(docs, words, percent)
+    later = linked.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("later")).distinct()
+    return docs.join(later, docs["doc_id"] == later["later"], "left_anti")

@@ -184,9 +184,14 @@ def repeated_windows(docs: DataFrame, places: DataFrame, length: int, shards: in
     return plain.union(runs.select("doc_id", "text_key", F.col("start") + F.col("begin"), F.col("start") + F.col("end")))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
-    """``doc_id``, ``kept`` (the remaining bytes), ``n_bytes`` and ``spans`` (start and end of each removed run)."""
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+def _with_runs(docs: DataFrame, length: int, anchor: int) -> DataFrame:
+    """``doc_id``, ``text``, the other columns as ``rest``, and ``runs`` of repeated windows."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    narrow = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        *([F.struct(*others).alias("rest")] if others else []),
+    )
     keyed = narrow.withColumn("text_key", text_key("text"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,30 +199,71 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
             for rows in slices(whole, "text", 2 << 20):
                 yield _places(rows, length, anchor)
 
-    found = keyed.mapInArrow(find, "anchor long, segment long, doc_id long, text_key long, start int, n int")
+    found = keyed.select("doc_id", "text_key", "text").mapInArrow(find, "anchor long, segment long, doc_id long, text_key long, start int, n int")
     places = stage(found, "suffix-places")
     windows = places.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
     shards = max(8, -(-windows // SHARD_INPUT))
     runs = repeated_windows(keyed, places, length, shards)
     # As many runs as the document has windows at most.
     own = runs.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
+    joined = keyed.join(own, keyed["doc_id"].eqNullSafe(own["doc_id"]) & (keyed["text_key"] == own["text_key"]), "left")
+    return joined.select(keyed["doc_id"], "text", "runs", *(["rest"] if others else []))
+
+
+def _spans(runs: list[dict] | None, length: int) -> list[tuple[int, int]]:
+    return merge([(r["begin"], r["end"] + length - 1) for r in runs or []])
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+    """``doc_id``, ``kept`` (the remaining bytes), ``n_bytes`` and ``spans`` (start and end of each removed run)."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for rows in slices(whole, "text"):
-                kept, spans, sizes = [], [], []
-                for text, own_runs in zip(rows["text"], rows["runs"].to_pylist(), strict=True):
-                    data = text.as_py().encode()
-                    merged = merge([(r["begin"], r["end"] + length - 1) for r in own_runs or []])
-                    kept.append(without(data, merged))
-                    spans.append([{"start": a, "end": b} for a, b in merged])
-                    sizes.append(len(data))
+                texts = [t.as_py().encode() for t in rows["text"]]
+                spans = [_spans(r, length) for r in rows["runs"].to_pylist()]
                 kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-                columns = [rows["doc_id"], pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array(spans, kind)]
+                columns = [
+                    rows["doc_id"],
+                    pa.array([without(t, s) for t, s in zip(texts, spans, strict=True)], pa.binary()),
+                    pa.array([len(t) for t in texts], pa.int64()),
+                    pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], kind),
+                ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "kept", "n_bytes", "spans"])
 
-    joined = keyed.join(own, keyed["doc_id"].eqNullSafe(own["doc_id"]) & (keyed["text_key"] == own["text_key"]), "left")
-    return joined.select(keyed["doc_id"], "text", "runs").mapInArrow(apply, "doc_id long, kept binary, n_bytes long, spans array<struct<start:int,end:int>>")
+    found = _with_runs(docs.select("doc_id", "text"), length, anchor)
+    return found.mapInArrow(apply, "doc_id long, kept binary, n_bytes long, spans array<struct<start:int,end:int>>")
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+    """The input with the repeats taken out of ``text``. A character stays whole: it goes if all its bytes go. A null
+    text becomes an empty one; the other columns pass."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for rows in slices(whole, "text"):
+                texts = []
+                for text, runs in zip(rows["text"], rows["runs"].to_pylist(), strict=True):
+                    data = text.as_py().encode()
+                    texts.append(without(data, [whole_characters(data, a, b) for a, b in _spans(runs, length)]).decode())
+                at, off = rows.schema.get_field_index("text"), rows.schema.get_field_index("runs")
+                columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(rows.columns) if i != off]
+                yield pa.RecordBatch.from_arrays(columns, [n for n in rows.schema.names if n != "runs"])
+
+    found = _with_runs(docs, length, anchor)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema.fields if f.name != "runs")
+    done = found.mapInArrow(apply, kinds)
+    return done.select(*[F.col(c) if c in ("doc_id", "text") else F.col("rest")[c].alias(c) for c in docs.columns])
+
+
+def whole_characters(data: bytes, start: int, end: int) -> tuple[int, int]:
+    """The part of a run that begins and ends between characters of UTF-8."""
+    inside = lambda i: i < len(data) and data[i] & 0xC0 == 0x80
+    while start < end and inside(start):
+        start += 1
+    while end > start and inside(end):
+        end -= 1
+    return start, end
 
 
 def merge(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
