@@ -4,14 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pricetide.llm import langid, ngram_join, packing, pii, queries, suffix_dedup
 from pricetide.llm.common import table
 from pricetide.session import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def _measured(docs: DataFrame) -> DataFrame:
+    """``n_chars`` of the text as it is now."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter or text go: no language can be told."""
+    return langid.identified(docs, langid.fit(docs))
+
+
+def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays."""
+    return ngram_join.first_of_each(docs)
+
+
+def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 200 bytes and more that stand elsewhere too are taken out; the document stays."""
+    return _measured(suffix_dedup.without_repeats(docs))
+
+
+def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal values become pseudonyms of their format."""
+    return _measured(pii.pseudonyms(docs, queries.KEY).select(*[f"`{c}`" for c in docs.columns]))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokens of every document, in sequences that are as full as can be."""
+    return packing.pack_documents(docs, queries.WORDS)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", identify),
+    ("near-copies", join_near_copies),
+    ("repeats", remove_repeats),
+    ("private", replace_private),
+    ("packing", pack),
+]
 
 # The language model, the ciphers and the packing of the stages have no SQL form; tests compare with plain code.
 ORACLE_SQL = None
@@ -21,4 +59,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+    return STAGES[-1][1](spark, docs, sf_dir)
