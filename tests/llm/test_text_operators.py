@@ -1,0 +1,264 @@
+"""BPE, language identification, toxicity, pseudonyms and licenses against plain code and defined cases."""
+
+import hashlib
+import math
+import random
+import re
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+
+from pricetide.llm import bpe, langid, licenses, pii, queries, toxicity
+from pricetide.llm.common import held_out
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+LONG = "word " * 60_000 + "x" * 1000
+
+
+def documents(spark, rows, extra=False):
+    made = [(i, t, lang, "s", len(t or "")) for i, t, lang in rows]
+    df = spark.createDataFrame(made, SCHEMA)
+    if extra:  # names that the operators use themselves
+        for name in ("ids", "spans", "score", "runs", "rest", "shard", "bucket", "signature", "text_key", "languages"):
+            df = df.withColumn(name, df["doc_id"])
+    return df
+
+
+ODD = [(1, None, "en"), (2, "", "en"), (3, "a b", None), (None, "no id", "en"), (4, "same", "en"), (4, "same", "en"), (5, LONG, "en")]
+
+
+# ---- byte-level BPE
+
+
+def test_bpe_round_trip_and_ids(spark):
+    rows = [*ODD, (6, "It's 123abc ½ é 漢字 👍🏽\t\n  end  ", "en"), (7, " " * 120_000 + "x", "en"), (8, "1a" * 90_000, "en"), (9, "'s" * 70_000, "en")]
+    done = bpe.decode(bpe.encode(documents(spark, rows, extra=True), queries.RANKS, public_tokenizers.PATTERN), queries.RANKS, public_tokenizers.PATTERN)
+    coder = bpe.encoding(queries.RANKS, public_tokenizers.PATTERN)
+    got = sorted((r.doc_id or 0, np.frombuffer(r.ids, "<u4").tolist(), bytes(r.bytes)) for r in done.collect())
+    want = sorted((i or 0, coder.encode_ordinary(t or ""), (t or "").encode()) for i, t, _ in rows)
+    assert got == want
+
+
+def test_bpe_runs_cut_where_matches_end():
+    rng = random.Random(3)
+    for _ in range(300):
+        text = "".join(rng.choice("ab1 \n'.é漢 st") for _ in range(rng.randint(0, 400)))
+        cut = [m[0] for run in bpe.runs(text, 20) for m in bpe.regex.finditer(public_tokenizers.PATTERN, run)]
+        assert cut == [m[0] for m in bpe.regex.finditer(public_tokenizers.PATTERN, text)]
+
+
+def test_bpe_query(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    coder = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.encoding(queries.RANKS, public_tokenizers.PATTERN)._mergeable_ranks, special_tokens={})
+    got = queries.op3_bpe(spark, sf).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = coder.encode_ordinary(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_held_out_matches_crc32(spark):
+    import zlib
+
+    rows = spark.createDataFrame([(i,) for i in [*range(50), None]], "doc_id long").select("doc_id", held_out("doc_id").alias("h")).collect()
+    assert all(r.h == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+
+
+# ---- language identification
+
+
+def languages(spark):
+    rng = random.Random(1)
+    words = {"en": "the and of with this that have from".split(), "de": "der und das nicht mit eine für über".split()}
+    rows = [(i, " ".join(rng.choice(words[lang]) for _ in range(40)), lang) for i, lang in enumerate(["en", "de"] * 60)]
+    return rows, words
+
+
+def test_language_mixture(spark):
+    rows, words = languages(spark)
+    model = langid.fit(documents(spark, rows))
+    assert model.languages == ["de", "en"]
+    mixed = " ".join(words["en"] * 9 + words["de"] * 4)
+    asked = documents(spark, [*ODD, (10, mixed, None), (11, "1234 !!", "en"), (12, " ".join(words["de"] * 3), "en")], extra=True)
+    got = {r.doc_id: r for r in langid.identify(asked, model).collect()}
+    assert [got[k].lang_pred for k in (1, 2, 11)] == ["und"] * 3 and got[1].score == 0 and got[1].languages == []
+    assert got[12].lang_pred == "de" and got[12].score > 0.99
+    assert got[10].lang_pred == "en" and {x.lang for x in got[10].languages} == {"en", "de"}
+    assert 0.5 < got[10].score < 0.9 and math.isclose(sum(x.share for x in got[10].languages), 1, abs_tol=1e-5)
+    kept = langid.identified(asked, model)
+    assert kept.columns == asked.columns
+    assert {1, 2, 11} & {r.doc_id for r in kept.collect()} == set()
+    assert langid.identify(asked, langid.fit(asked.limit(0))).where("lang_pred != 'und'").count() == 0
+    assert langid.identify(asked.limit(0), model).count() == 0
+
+
+def test_mixture_steps_never_lose_likelihood():
+    rng = np.random.default_rng(0)
+    p, n = rng.random((50, 3)).astype(np.float32), rng.integers(1, 9, 50).astype(np.float32)
+    starts, owner, share = np.array([0, 20]), np.repeat([0, 1], [20, 30]), np.full((2, 3), 1 / 3, np.float32)
+    before = np.full(2, -np.inf)
+    for _ in range(10):
+        share, fitness = langid._mixture(p, n, starts, owner, share, 1)
+        assert (fitness >= before - 1e-3).all()
+        before = fitness
+
+
+def test_language_accuracy_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    truth = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    rows = queries.op8_langid(spark, sf).where("held_out").join(truth, "doc_id").collect()
+    assert len(rows) > 200 and np.mean([r.lang == r.lang_pred for r in rows]) > 0.97
+
+
+# ---- toxicity
+
+
+def test_toxicity_restores_disguises(spark):
+    rng = random.Random(2)
+    clean = "tree house river stone apple garden window table paper music".split()
+    bad = ["rotter", "villain"]
+    rows, labels = [], []
+    for i in range(400):
+        words = [rng.choice(clean) + rng.choice(["", "s", "ly"]) for _ in range(30)]
+        toxic = i % 5 == 0
+        if toxic:
+            words[rng.randrange(30)] = rng.choice(bad)
+        rows.append((i, " ".join([*words, f"unique{i}word"]), "en"))
+        labels.append((i, 1, int(toxic)))
+    labels += [(None, 1, 1), (7, 1, None), (10**6, 0, 1)]
+    model = toxicity.fit(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    score = lambda t: model.score(t)[0]
+    for text in ("you villain", "v1ll41n!", "V I L L A I N", "v.i.l.l.a.i.n", "viiillaaain", "r0tt3r", "r-o-t-t-e-r", "r@tter villain"):
+        assert score(text) > 0.7, text
+    for text in ("", "tree house", "1234 5678", "a 1 b 2", LONG, "river3 stone!!"):
+        assert score(text) < 0.5, text
+    asked = documents(spark, ODD, extra=True)
+    got = toxicity.score(asked, model)
+    assert got.count() == len(ODD) and {r.score for r in got.where("doc_id IN (1, 2)").collect()} == {score("")}
+    none = toxicity.fit(documents(spark, rows).limit(0), spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    assert 0 < none.score("anything")[0] < 0.5
+
+
+def test_toxicity_restore_is_the_best_path():
+    rng = np.random.default_rng(5)
+    model = np.log(rng.dirichlet(np.ones(toxicity.WIDTH), (toxicity.WIDTH, toxicity.WIDTH)).astype(np.float32) + 1e-9)
+
+    def worth(letters, costs):
+        a = b = 0
+        total = costs
+        for c in letters:
+            k = toxicity.letter_class(ord(c))
+            total, a, b = total + model[a, b, k], b, k
+        return total + model[a, b, 0]
+
+    for word in ("1a6", "6o1", "a11", "9!b"):
+        runs = [m[0] for m in re.finditer(r"(.)\1*", word)]
+        paths = [("", 0.0)]
+        for run in runs:
+            letters = [(c, -1.0) for c in toxicity.LOOKALIKES.get(run[0], "")] + ([(run[0], 0.0)] if run[0].isalpha() else [])
+            paths = [(p + c * n, s + cost) for p, s in paths for c, cost in letters for n in ((1, 2) if len(run) > 1 else (1,))]
+        best = max(paths, key=lambda x: worth(*x))
+        assert math.isclose(worth(*best), worth(toxicity.restore(word, model), next(s for p, s in paths if p == toxicity.restore(word, model))), rel_tol=1e-5)
+
+
+def test_toxicity_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where("toxic IS NOT NULL")
+    rows = queries.op4_toxicity(spark, sf).where("held_out").join(labels, "doc_id").collect()
+    hits = [r.toxic for r in rows if r.predicted]
+    assert np.mean(hits) > 0.85 and sum(hits) / sum(r.toxic for r in rows) > 0.8
+
+
+# ---- pseudonyms
+
+
+def test_permutation_is_one_to_one():
+    for size in (1, 2, 3, 10, 257, 1000):
+        assert sorted(pii.permute(v, size, b"k", "t") for v in range(size)) == list(range(size))
+    assert pii.permute(5, 10**6, b"k", "t") != pii.permute(5, 10**6, b"other", "t")
+
+
+@pytest.mark.parametrize(
+    "kind, value, shape",
+    [
+        ("card", "4111 1111 1111 1111", r"4\d{3} \d{4} \d{4} \d{4}"),
+        ("phone", "+1 (743) 555-3824", r"\+1 \([1-9]\d\d\) \d{3}-\d{4}"),
+        ("ipv4", "227.5.221.1", r"\d{1,3}(\.\d{1,3}){3}"),
+        ("date", "2024-02-29", r"\d{4}-\d\d-\d\d"),
+        ("date", "29.02.2024", r"\d\d\.\d\d\.\d{4}"),
+        ("social", "123-45-6789", r"\d{3}-\d\d-\d{4}"),
+        ("iban", "DE89 3704 0044 0532 0130 00", r"DE\d\d( \d{4}){4} \d\d"),
+        ("email", "ana.42@mail.example.com", r"[a-z]{3}\.\d\d@mail\.example\.com"),
+        ("secret", "password=e3b3ed3cc8548923d6", r"password=[0-9a-f]{18}"),
+    ],
+)
+def test_pseudonyms_keep_format_and_validity(kind, value, shape):
+    out, spans = pii.replace(f"see {value}, please", b"k")
+    assert [s["kind"] for s in spans] == [kind] and value not in out
+    new = out[4 : -len(", please")]
+    assert re.fullmatch(shape, new), new
+    again, found = pii.replace(f"other text {new}.", b"k")
+    assert [s["kind"] for s in found] == [kind]  # still valid
+    assert pii.replace(f"elsewhere: {value}!", b"k")[1][0]["pseudonym"] == new  # linked
+    if kind == "card":
+        d = re.sub(r"\D", "", new)
+        assert int(d[-1]) == pii.luhn(d[:-1])
+
+
+def test_values_that_fail_their_check_stay():
+    for text in ("2023-02-29", "300.1.1.1", "1.2.3.4.5", "000-12-3456", "DE00 3704 0044 0532 0130 00", "version 3.0", "12345", "1234567890123"):
+        assert pii.replace(text, b"k") == (text, [])
+
+
+def test_dates_map_one_to_one():
+    import datetime
+
+    days = [(datetime.date(2000, 1, 1) + datetime.timedelta(k)).strftime(f) for k in range(0, 3000, 7) for f in ("%d/%m/%Y", "%m/%d/%Y")]
+    days = sorted(set(days))
+    assert len({pii.date(d, b"k") for d in days}) == len(days)
+
+
+def test_pseudonyms_frame(spark):
+    rows = [*ODD, (6, "mail ana@example.com and " + "7" * 5000, "en")]
+    df = documents(spark, rows, extra=True)
+    got = pii.pseudonyms(df, b"k")
+    assert got.columns == [*df.columns, "spans_0"]
+    out = {r.doc_id: r for r in got.collect()}
+    assert out[1].text is None and out[2].text == "" and out[5].text == LONG and "ana@" not in out[6].text and len(out[6].spans_0) == 1
+    assert got.count() == len(rows) and pii.pseudonyms(df.limit(0), b"k").count() == 0
+
+
+# ---- licenses
+
+
+def duck(rows):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    return con
+
+
+def test_licenses_match_counting_everything(spark):
+    rng = random.Random(4)
+    words = "the cc by BY all rights reserved general public license gnu mit under released version 3 work is licensed é".split()
+    marks = [" ", "  ", "-", "\n", ", ", "\t", "."]
+    rows = [(i, "".join(rng.choice(words) + rng.choice(marks) for _ in range(rng.randint(0, 60)))) for i in range(120)]
+    rows += [(200, None), (201, ""), (202, "CC BY cc-by xcc by cc byx"), (203, "Released under the MIT License."), (204, "filler " * 50_000 + "all rights reserved")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("text_key", "block", "word", "base", "own", "best"):
+        df = df.withColumn(name, df["doc_id"])
+    got = licenses.scan(df)
+    want = duck(rows).execute(licenses.scan_sql())
+    assert [d[0] for d in want.description] == got.columns
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
+def test_licenses_repeated_null_and_empty(spark):
+    df = spark.createDataFrame([(1, "all rights reserved"), (1, "all rights reserved"), (None, "cc by"), (1, "other")], "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.n_base) for r in licenses.scan(df).collect()) == [(0, 1), (1, 0), (1, 1), (1, 1)]
+    assert licenses.scan(df.limit(0)).count() == 0
