@@ -357,13 +357,10 @@ def joined_text(items: Column, sep: str = " ") -> Column:
     return F.concat_ws(sep, F.filter(F.transform(items, pystrip), lambda t: t != ""))
 
 
-def block_or_body(html: Column, found: list[Column], max_chars: int | None = None) -> Column:
-    """Markup of the first element of the first successful pick (part ``outer``), else the body
-    (its first ``max_chars`` characters when given)."""
+def block_or_body(html: Column, found: list[Column]) -> Column:
+    """Markup of the first element of the first successful pick (part ``outer``), else the whole body."""
     body = F.regexp_replace(F.regexp_extract(html, r"(?is)<body\b[^>]*>(.*)", 1), r"(?is)</body\s*>.*", "")
     body = F.when(body == "", html).otherwise(body)
-    if max_chars is not None:
-        body = F.substring(body, 1, max_chars)
     return F.coalesce(*[first(texts(f)) for f in found], body)
 
 
@@ -390,8 +387,20 @@ def unescape(c: Column) -> Column:
     return F.replace(c, F.lit("&amp;"), F.lit("&"))
 
 
+_ANCHOR = r"""(?is)<a(?=[\s/"'])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
+_ATTRIBUTE = r"""(?is)[^\s"'>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+"""
+
+
 def hrefs(html: Column) -> Column:
-    return F.regexp_extract_all(html, F.lit(r"""(?is)<a\b[^>]*?\bhref="([^"]*)\""""), F.lit(1))
+    """Values of the ``href`` attribute of all anchors, in any quoting, entities resolved."""
+
+    def target(attributes: Column) -> Column:
+        own = F.filter(F.regexp_extract_all(attributes, F.lit(_ATTRIBUTE), F.lit(0)), lambda a: a.rlike(r"(?i)\Ahref\s*="))
+        value = F.regexp_replace(F.get(own, F.lit(0)), r"\A[^=]*=\s*", "")
+        return unescape(F.regexp_replace(value, r"""\A["']|["']\z""", ""))
+
+    anchors = F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(1))
+    return F.filter(F.transform(anchors, target), lambda v: v.isNotNull())
 
 
 LD_SCHEMA = (
@@ -409,10 +418,11 @@ def json_ld_product(html: Column) -> Column:
     return F.from_json(F.get(products, F.lit(0)), LD_SCHEMA)
 
 
-# The three shapes in which page scripts carry name/value pairs.
+# The three shapes in which page scripts carry name/value pairs. In the second, the first name on a
+# line goes with the next value on it, whatever lies between.
 EMBEDDED_PATTERNS = {
     "description": r'"displayName":"([^"]+)","description":"([^"]+)"',
-    "lazy_value": r'"displayName":"([^"]+)".*?"value":"([^"]+)"',
+    "lazy_value": r'"displayName":"([^"]+)(?=")|"value":"([^"]+)"|\n',
     "same_object": r'\{[^{]*?"displayName":"([^"]+)"[^{]*?"value":"([^"]+)"[^{]*?\}',
 }
 
@@ -421,13 +431,37 @@ def embedded_pairs(html: Column, variant: str) -> Column:
     """Name/value pairs from escaped JSON inside page scripts, in page order."""
     plain = F.replace(F.replace(html, F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\"))
     pattern = "(?d)" + EMBEDDED_PATTERNS[variant]
-    # The page is searched once; the groups are read from the short matches.
-    return F.transform(
+    # The page is searched once; the groups are read from the short matches, which end before a looked-ahead quote.
+    own = pattern.replace('(?=")', "")
+    found = F.transform(
         F.regexp_extract_all(plain, F.lit(pattern), F.lit(0)),
         lambda m: F.struct(
-            F.regexp_extract(m, pattern, 1).alias("key"), F.regexp_extract(m, pattern, 2).alias("value")
+            F.regexp_extract(m, own, 1).alias("key"), F.regexp_extract(m, own, 2).alias("value")
         ),
     )
+    return _next_to_each_other(found) if variant == "lazy_value" else found
+
+
+def _next_to_each_other(marks: Column) -> Column:
+    """Pairs from marks that hold a name, a value, or neither (a line's end): the first name after a value or a line's
+    end goes with the next mark, once the names between are left out, if that is a value. A name over a line's end starts
+    anew."""
+
+    def unnamed(m: Column) -> Column:
+        return m["key"] == ""
+
+    def firsts(all_: Column) -> Column:
+        return F.filter(
+            all_, lambda m, i: unnamed(m) | (i == 0) | unnamed(F.get(all_, i - 1)) | F.contains(m["key"], F.lit("\n"))
+        )
+
+    def paired(kept: Column) -> Column:
+        value = lambda i: F.coalesce(F.get(kept, i + 1)["value"], F.lit(""))
+        pairs = F.transform(kept, lambda m, i: F.struct(m["key"].alias("key"), value(i).alias("value")))
+        return F.filter(pairs, lambda m: ~unnamed(m) & (m["value"] != ""))
+
+    # Each list is the element of a list of one, so that it is made once and not for each of its marks.
+    return first(F.transform(F.array(first(F.transform(F.array(marks), firsts))), paired))
 
 
 # Titles of interstitial pages.

@@ -13,22 +13,40 @@ from pyspark.sql import functions as F
 
 from pricetide.functions.text import CONTACT, contains_any, jstrim, mentions, pystrip, text_or_empty
 
-# Decimal digits of other scripts (basic plane), by rule from the Unicode tables.
-_OTHER_DIGITS = "".join(
-    ch for ch in map(chr, range(128, min(sys.maxunicode, 0xFFFF))) if unicodedata.category(ch) == "Nd"
-)
+# Decimal digits of other scripts, in every plane, by rule from the Unicode tables.
+_OTHER_DIGITS = "".join(ch for ch in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(ch) == "Nd")
 _AS_ASCII = "".join(str(unicodedata.digit(ch)) for ch in _OTHER_DIGITS)
 
 
+def is_number(c: Column) -> Column:
+    """True for a column of a numeric type; known when the query is planned, so the other branch falls away."""
+    return F.typeof(c).rlike("^(tinyint|smallint|int|bigint|float|double|decimal)")
+
+
+def _number(c: Column) -> Column:
+    """The finite value of a numeric cell."""
+    return F.when(F.abs(c.try_cast("double")) < float("inf"), c.try_cast("double"))
+
+
+def _whole(c: Column) -> Column:
+    return F.round(_number(c)).try_cast("bigint")
+
+
 def digit_text(c: Column) -> Column:
-    """Digits only, in ASCII; null counts as no digits."""
-    return F.regexp_replace(F.translate(text_or_empty(c), _OTHER_DIGITS, _AS_ASCII), "[^0-9]+", "")
+    """Digits only, in ASCII; null counts as no digits. A number counts by its whole part."""
+    cell = text_or_empty(c)
+    # Few cells hold other digits; only those are translated.
+    ascii_ = F.when(cell.rlike(r"[\p{Nd}&&[^0-9]]"), F.translate(cell, _OTHER_DIGITS, _AS_ASCII)).otherwise(cell)
+    return F.when(is_number(c), F.coalesce(F.abs(_whole(c)).cast("string"), F.lit(""))).otherwise(
+        F.regexp_replace(ascii_, "[^0-9]+", "")
+    )
 
 
 def digits(c: Column) -> Column:
-    """Digits of a text as a whole number; null when there are none."""
+    """Digits of a text as a whole number, null when there are none; a number as it is, rounded."""
     # A cast that fails costs an exception per row, so text without digits becomes null before it.
-    return F.concat(F.lit("0"), F.nullif(digit_text(c), F.lit(""))).try_cast("bigint")
+    parsed = F.concat(F.lit("0"), F.nullif(digit_text(c), F.lit(""))).try_cast("bigint")
+    return F.when(is_number(c), _whole(c)).otherwise(parsed)
 
 
 def price(c: Column) -> Column:
@@ -38,7 +56,7 @@ def price(c: Column) -> Column:
 
 def price_note(c: Column) -> Column:
     """Text of a price cell that holds no number, such as a contact note."""
-    return F.when(digits(c).isNull(), c.cast("string"))
+    return F.when(digits(c).isNull() & ~is_number(c), c.cast("string"))
 
 
 def percent_text(p: Column) -> Column:
@@ -107,7 +125,7 @@ def _plain_number(c: Column) -> Column:
 
 
 def repair_number(c: Column) -> Column:
-    return _plain_number(pystrip(F.translate(c.cast("string"), "₫.,", "")))
+    return F.when(is_number(c), _number(c)).otherwise(_plain_number(pystrip(F.translate(c.cast("string"), "₫.,", ""))))
 
 
 def repaired_discount(current: Column, original: Column) -> Column:
@@ -125,20 +143,22 @@ def repaired_from(cur: Column, orig: Column) -> Column:
 
 
 def final_number(c: Column) -> Column:
-    """Price cell as a number: currency signs, marks and thousands separators removed."""
+    """Price cell as a number: currency signs, marks and thousands separators removed; a number stays."""
     bare = pystrip(F.translate(pystrip(c.cast("string")), "₫đĐ*", ""))
-    return _plain_number(F.translate(bare, ".,", ""))
+    return F.when(is_number(c), _number(c)).otherwise(_plain_number(F.translate(bare, ".,", "")))
 
 
 def plain_number_text(c: Column) -> Column:
-    """Price cell as a number where only separators are removed; text with a currency sign gives null."""
-    return _plain_number(pystrip(F.translate(c.cast("string"), ".,", "")))
+    """Price cell as a number where only separators are removed; text with a currency sign gives null, a number stays."""
+    return F.when(is_number(c), _number(c)).otherwise(_plain_number(pystrip(F.translate(c.cast("string"), ".,", ""))))
 
 
 def strip_currency(c: Column) -> Column:
-    """Price text without the currency sign; null and 'nan' become ''."""
+    """Price text without the currency sign; null and 'nan' become ''. A number is written without an exponent."""
     bare = pystrip(F.translate(text_or_empty(c), "₫đĐ", ""))
-    return F.when(bare == "nan", F.lit("")).otherwise(bare)
+    number = _number(c)
+    written = F.when(number == F.rint(number), number.try_cast("bigint").cast("string")).otherwise(number.cast("string"))
+    return F.when(is_number(c), F.coalesce(written, F.lit(""))).when(bare == "nan", F.lit("")).otherwise(bare)
 
 
 def drop_marks(c: Column) -> Column:

@@ -504,12 +504,12 @@ def selector_hits(pages: DataFrame, selectors: dict) -> DataFrame:
     return found.select(*_carried(pages), *[F.size(name).alias(name) for name in selectors])
 
 
-def page_block(pages: DataFrame, blocks: list, max_chars: int | None = None) -> DataFrame:
+def page_block(pages: DataFrame, blocks: list) -> DataFrame:
     """Adds ``block``: markup of the first element found by the first successful path, else the body."""
     rules = {f"_b{i}": rule(path, take="outer") for i, path in enumerate(blocks)}
     parsed = pages.withColumn("_picks", M.pick(F.col("html"), rules))
     found = [F.col(f"_picks.{name}") for name in rules]
-    return parsed.select(*_carried(pages), M.block_or_body(F.col("html"), found, max_chars).alias("block"))
+    return parsed.select(*_carried(pages), M.block_or_body(F.col("html"), found).alias("block"))
 
 
 def embedded_specs(pages: DataFrame, variant: str) -> DataFrame:

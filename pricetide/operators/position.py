@@ -75,7 +75,12 @@ def assign_chunks(df: DataFrame, key: str, total: int) -> DataFrame:
 
 def shuffled(df: DataFrame, key: str, seed: str) -> DataFrame:
     """Random-looking order that depends only on the key and the seed, not on the partitioning."""
-    return df.orderBy(F.md5(F.concat(F.lit(seed + "/"), F.col(key))), key)
+    return shuffle_key(df, key, seed).orderBy("_hash", key).drop("_hash")
+
+
+def shuffle_key(df: DataFrame, key: str, seed: str) -> DataFrame:
+    """Adds ``_hash``, the place of a row in the shuffled order."""
+    return df.withColumn("_hash", F.md5(F.concat(F.lit(seed + "/"), F.col(key))))
 
 
 def top_rows(df: DataFrame, order: list, n: int) -> DataFrame:

@@ -113,7 +113,11 @@ def merge_shop(df: DataFrame, order: list[str]) -> DataFrame:
 
 
 def silver(bronze: DataFrame) -> DataFrame:
-    """Canonical record from any mix of shop tables; needs ``store``, other columns are optional."""
+    """Canonical record from any mix of shop tables; needs ``store``, other columns are optional.
+
+    Nothing is lost: the spec text stays next to the map, the crawl time as it was written next to the parsed one, and
+    cells under headers that no shop is known to have are kept by header.
+    """
 
     def cell(*names: str) -> Column:
         present = [text.blank_to_null(F.col(f"`{n}`")) for n in names if n in bronze.columns]
@@ -137,12 +141,25 @@ def silver(bronze: DataFrame) -> DataFrame:
         .alias("promos"),
         cell(S.GIFT).alias("gift_note"),
         specs.spec_map(specs.parse_spec_text(F.coalesce(cell(S.SPECS), F.lit("")))).alias("specs"),
+        cell(S.SPECS).alias("specs_text"),
         cell(S.URL, S.LINK).alias("url"),
         cell(S.LASTMOD).alias("source_lastmod"),
         dates.parse_local_time(cell(S.COLLECTED, S.CRAWLED)).alias("crawled_at"),
+        cell(S.COLLECTED, S.CRAWLED).alias("crawled_text"),
+        _other_cells(bronze).alias("other_cells"),
     )
 
 
+def _other_cells(bronze: DataFrame) -> Column:
+    """Filled cells of columns that are neither canonical nor helpers of a job, by header."""
+    known = {h for shop in S.SHOPS.values() for h in shop.headers} | {"store", "chunk", "run"}
+    names = [c for c in bronze.columns if c not in known and not c.startswith("_")]
+    if not names:
+        return F.lit(None).cast("map<string,string>")
+    filled = [F.struct(F.lit(n).alias("key"), text.blank_to_null(F.col(f"`{n}`").cast("string")).alias("value")) for n in names]
+    return F.map_from_entries(F.filter(F.array(*filled), lambda p: p["value"].isNotNull()))
+
+
 def topic_numbers(df: DataFrame) -> DataFrame:
     """Topic workbook sheet: discount column dropped, price columns as numbers."""
     present = [c for c in (S.PRICE, S.LIST_PRICE) if c in df.columns]

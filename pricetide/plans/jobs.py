@@ -65,7 +65,7 @@ def shard_tables(pages: DataFrame, store: str, lastmods: DataFrame | None = None
     ``pages``: ``store, chunk, run, url, html, captured_at``; ``lastmods``: one row per url.
     """
     shop = S.SHOPS[store]
-    usable = extract.drop_challenges(pages, shop.host.split("//")[1])
+    usable = extract.drop_challenges(pages, shop.host.split("//")[1]) if store in S.CHALLENGED else pages
     found = extract.with_discount(extract.extract_fields(usable, store))
     if lastmods is not None and S.LASTMOD in shop.headers:
         found = links.attach_lastmod(found, lastmods)
@@ -79,13 +79,21 @@ def topic_table(pages: DataFrame, value_part: str) -> DataFrame:
     return records.shop_rows(extract.with_discount(clean, keep_scraped=True), S.TOPIC_HEADERS)
 
 
-def merge_and_publish(spark: SparkSession, bronze: str, silver: str, catalog: str) -> DataFrame:
+def merge_and_publish(spark: SparkSession, bronze: str, silver: str, catalog: str, tidy: bool = False, unreadable: str | None = None) -> DataFrame:
     """Merge all shards into the per-store table, append them to the catalog, report the counts.
 
-    All stores go through one job; the tables differ in headers only.
+    All stores go through one job; the tables differ in headers only. Damaged shard files are left out and, with
+    ``unreadable``, listed there (``file, rows, error``). With ``tidy`` the files that were merged are removed.
     """
-    merged = records.merge_shards(source.read_shards(spark, bronze), source.SHARD_ORDER)
+    found = source.shard_files(spark, bronze)
+    if unreadable is not None:
+        found.where("error IS NOT NULL").write.mode("append").parquet(unreadable)
+    merged = records.merge_shards(source.read_shards(spark, bronze, found=found), source.SHARD_ORDER)
+    if tidy:
+        merged = stage(merged, "merged")
     sink.write_stores(merged, silver)
     table = source.read_workbook(spark, silver, S.SILVER)
     sink.write_catalog(table, catalog)
+    if tidy:
+        sink.remove_files(spark, [r["file"] for r in found.where("error IS NULL").select("file").toLocalIterator()])
     return audit.store_report(table, S.registry(spark))

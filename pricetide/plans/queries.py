@@ -179,7 +179,7 @@ def run_positions(spark, sf_dir):
 SELECT page_id, url, row_number() OVER (ORDER BY md5('7/' || url), url) AS place FROM pages""")
 def work_order(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    keyed = pages.withColumn("_hash", F.md5(F.concat(F.lit("7/"), F.col("url"))))
+    keyed = position.shuffle_key(pages, "url", "7")
     return position.with_position(keyed, ["_hash", "url"]).select("page_id", "url", F.col("idx").alias("place"))
 
 
@@ -260,7 +260,7 @@ def _slug_links(spark, sf_dir):
         .otherwise(F.lit("laptop/"))
     )
     title = markup.tag_body(F.col("html"), "title")
-    slug = F.translate(F.substring_index(title, " ", 4), " ", "-")
+    slug = F.translate(title, " ", "-")
     url = F.concat(F.lit("https://shop.example/"), section, slug)
     return table(spark, sf_dir, "pages").select("page_id", url.alias("url"))
 
@@ -268,7 +268,7 @@ def _slug_links(spark, sf_dir):
 SLUG_SQL = r"""
 slugs AS (SELECT page_id, 'https://shop.example/' || CASE WHEN contains(url, '/en/') THEN 'may-tinh-xach-tay/'
     WHEN contains(url, '/fr/') THEN 'may-tinh-xach-tay/linh-kien/' WHEN contains(url, '/es/') THEN 'Products/Laptop-'
-    ELSE 'laptop/' END || array_to_string(string_split(regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1), ' ')[1:4], '-') AS url
+    ELSE 'laptop/' END || array_to_string(string_split(regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1), ' '), '-') AS url
   FROM pages),
 segments AS (SELECT *, list_last(string_split(url, '/')) AS slug FROM slugs)"""
 
@@ -361,12 +361,19 @@ def sitemap_first(spark, sf_dir):
 
 
 @query(r"""
-WITH h AS (SELECT page_id, regexp_extract_all(html, '(?is)<a\b[^>]*?\bhref="([^"]*)"', 1) AS hs FROM pages),
-x AS (SELECT page_id, unnest(hs) AS href, generate_subscripts(hs, 1) AS i FROM h)
+WITH h AS (SELECT page_id, list_filter(string_split(html, '<a '), lambda t, k: k > 1 AND contains(t, 'href="')) AS ts FROM pages),
+x AS (SELECT page_id, string_split(string_split(unnest(ts), 'href="')[2], '"')[1] AS href, generate_subscripts(ts, 1) AS i FROM h)
 SELECT page_id, CAST(i - 1 AS INTEGER) AS pos,
   string_split(CASE WHEN starts_with(href, '/') THEN 'https://shop.example' || href ELSE href END, '?')[1] AS link FROM x""")
 def page_links(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    """The pages' links, after two thirds of the pages had their quoting changed."""
+    html, quoted = F.col("html"), r'href="([^"]*)"'
+    mixed = (
+        F.when(F.col("page_id") % 3 == 1, F.regexp_replace(html, quoted, "data-href=\"/no\" href = '$1'"))
+        .when(F.col("page_id") % 3 == 2, F.regexp_replace(html, quoted, "title=\"a > b href='/no'\" HREF=$1 "))
+        .otherwise(html)
+    )
+    pages = table(spark, sf_dir, "pages").select("page_id", mixed.alias("html"))
     return extract.page_links(pages, "https://shop.example")
 
 
@@ -790,15 +797,29 @@ SELECT store, url, name, price, list_price, CASE WHEN price IS NULL THEN 'Liên
   CASE WHEN store = 'cellphones' AND l_linestatus = 'O' THEN 'SẮP VỀ HÀNG' END AS stock_status,
   'Giảm giá | ' || l_linestatus AS promos, CAST(l_suppkey AS VARCHAR) AS cpu,
   CASE WHEN store = 'tgdd' THEN strftime(l_shipdate, '%Y-%m-%d') END AS source_lastmod,
-  strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS crawled FROM firsts""")
+  strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS crawled, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS crawled_text,
+  'CPU: ' || CAST(l_suppkey AS VARCHAR) || ' | RAM: 16 GB' AS specs_text, 'CPU=' || CAST(l_suppkey AS VARCHAR) || ';RAM=16 GB' AS spec_pairs,
+  CASE WHEN price IS NULL THEN 'Liên hệ' ELSE replace(format('{{:,}}', price), ',', '.') || 'đ' END AS price_text,
+  CASE WHEN list_price IS NOT NULL THEN replace(format('{{:,}}', list_price), ',', '.') || 'đ' END AS list_price_text,
+  CASE WHEN price IS NOT NULL AND price > 0 AND o > price AND round_even((o - price)::DOUBLE / o * 100, 0) <= 70
+    THEN '-' || CAST(CAST(round_even((o - price)::DOUBLE / o * 100, 0) AS INTEGER) AS VARCHAR) || '%' ELSE '' END AS discount_text,
+  NULL::VARCHAR AS gift_note, NULL::VARCHAR AS others FROM firsts""")
 def catalog_merge(spark, sf_dir):
     merged = records.merge_shards(records.union_stores(I.shop_shards(spark, sf_dir)), ["_file", "_row"])
+    return _silver_view(merged)
+
+
+def _silver_view(merged):
+    """Every column of the canonical table, nested ones as text."""
+    pairs = lambda m: F.array_join(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
     return merged.select(
         "store", "url", "name", "price", "list_price", "price_note", "discount_pct", "stock_status",
         text.join_list(F.col("promos")).alias("promos"),
         F.try_element_at("specs", F.lit("CPU")).alias("cpu"),
         "source_lastmod",
         dates.local_time_text(F.col("crawled_at")).alias("crawled"),
+        "crawled_text", "specs_text", pairs(F.col("specs")).alias("spec_pairs"), "price_text", "list_price_text", "discount_text", "gift_note",
+        F.nullif(pairs(F.col("other_cells")), F.lit("")).alias("others"),
     )
 
 
@@ -892,7 +913,7 @@ def sitemap_file(spark, sf_dir):
     return sitemaps.sitemap_links(sitemaps.read_sitemap(spark, [path]), "tgdd")
 
 
-@query("""SELECT o_orderpriority AS store, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders GROUP BY 1""")
+@query("""SELECT o_orderkey, o_orderpriority AS store FROM orders""")
 def append_stream(spark, sf_dir):
     """Available rows appended to a catalog by the stream job, then a second run that finds nothing new."""
     target, checkpoint = stage_path(spark, "catalog"), stage_path(spark, "stream")
@@ -901,8 +922,8 @@ def append_stream(spark, sf_dir):
         rows = append.read_new(spark, sf_dir, schema, glob="orders.parquet")
         kept = rows.select("o_orderkey", F.col("o_orderpriority").alias("store"))
         append.stream_append(kept, target, checkpoint)
-    catalog = spark.read.schema("o_orderkey bigint, store string, batch int").parquet(target)
-    return catalog.groupBy("store").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("key_sum"))
+    catalog = spark.read.schema("o_orderkey bigint, store string, query string, batch int").parquet(target)
+    return catalog.select("o_orderkey", "store")
 
 
 # --- whole jobs ------------------------------------------------------------------------------------------
@@ -1027,14 +1048,16 @@ def publish_catalog(spark, sf_dir):
     return jobs.merge_and_publish(spark, bronze, silver, catalog)
 
 
-@query("""
-SELECT 'tgdd' AS store, count(DISTINCT l_partkey) AS n_products, 0::BIGINT AS left_over FROM lineitem WHERE l_returnflag = 'A'""")
+@query(SQL["catalog_merge"].replace("FROM firsts", ", 0::BIGINT AS left_over FROM firsts WHERE store = 'tgdd'"))
 def compact_shards(spark, sf_dir):
     """A store's shards merged into its table and removed."""
     bronze, silver = stage_path(spark, "bronze"), stage_path(spark, "silver")
-    sink.write_shard(_bronze(spark, sf_dir).filter(F.col("store") == "tgdd"), bronze)
+    first = links.keep_first(I.shop_shards(spark, sf_dir)["tgdd"], [S.LINK], ["_file", "_row"])
+    chunk = F.col("_row.l_linenumber")
+    shards = first.withColumns({"store": F.lit("tgdd"), "chunk": chunk, "run": F.lit("r1")}).drop("_file", "_row")
+    sink.write_shard(shards, bronze)
     sink.compact(spark, bronze, lambda df: records.merge_shards(df, source.SHARD_ORDER), silver, "tgdd")
-    merged = source.read_workbook(spark, silver, S.SILVER).groupBy("store").agg(F.count(F.lit(1)).alias("n_products"))
+    merged = _silver_view(source.read_workbook(spark, silver, S.SILVER))
     left = source.read_shards(spark, bronze).agg(F.count(F.lit(1)).alias("n")).scalar()
     return merged.withColumn("left_over", left)
 

@@ -86,9 +86,12 @@ SILVER = T.StructType(
         T.StructField("promos", T.ArrayType(T.StringType())),
         T.StructField("gift_note", T.StringType()),
         T.StructField("specs", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("specs_text", T.StringType()),
         T.StructField("url", T.StringType()),
         T.StructField("source_lastmod", T.StringType()),
         T.StructField("crawled_at", T.TimestampType()),
+        T.StructField("crawled_text", T.StringType()),
+        T.StructField("other_cells", T.MapType(T.StringType(), T.StringType())),
     ]
 )
 
@@ -102,3 +105,6 @@ def registry(spark: SparkSession) -> DataFrame:
     """One row per shop: ``ord, store, file, sheet_name``."""
     rows = [(i, s.key, f"laptop_{s.key}_all", s.sheet) for i, s in enumerate(SHOPS.values())]
     return spark.createDataFrame(rows, "ord int, store string, file string, sheet_name string")
+
+# Shops that show an interstitial page instead of the product.
+CHALLENGED = ("fptshop", "phongvu")

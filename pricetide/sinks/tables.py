@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricetide.session import stage
-from pricetide.sources.tables import read_shards
+from pricetide.sources.tables import read_shards, shard_files
 
 PARTITIONS = ("store", "chunk", "run")
 
@@ -17,7 +19,8 @@ def write_shard(df: DataFrame, root: str) -> None:
     Only the folders present in ``df`` are replaced, so repeating a run is
     harmless; without rows nothing is written.
     """
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(root)
+    dealt = df.hint("rebalance", *[F.col(c) for c in PARTITIONS])
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(root)
 
 
 def write_stores(df: DataFrame, path: str) -> None:
@@ -30,10 +33,16 @@ def write_stores(df: DataFrame, path: str) -> None:
 
 
 def write_catalog(df: DataFrame, path: str, clear: bool = False) -> None:
-    """Publish rows to a catalog: replace it (``clear``) or append. An empty input is refused."""
+    """Publish rows to a catalog laid out by store: append, or with ``clear`` replace the stores that ``df`` has, and
+    no others. An empty input is refused."""
     if not path or df.isEmpty():
         raise ValueError("target or rows missing")
-    df.write.mode("overwrite" if clear else "append").parquet(path)
+    dealt = df.hint("rebalance", F.col("store")).write
+    if clear:
+        dealt = dealt.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        dealt = dealt.mode("append")
+    dealt.partitionBy("store").parquet(path)
 
 
 def rewrite(df: DataFrame, path: str, partition: str | None = "store") -> None:
@@ -43,19 +52,32 @@ def rewrite(df: DataFrame, path: str, partition: str | None = "store") -> None:
     (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 
-def compact(spark: SparkSession, root: str, transform, path: str, store: str) -> int:
-    """Merge a store's shards into its table, then remove the shard files that were read.
+def compact(spark: SparkSession, root: str, transform, path: str, store: str) -> DataFrame:
+    """Merge a store's shards into its table, then remove the shard files whose rows were merged.
 
-    The rows are staged first, so exactly the files whose rows were merged are
-    removed; files that could not be read stay. Returns the number of files
-    removed. Their names are metadata and are fetched partition by partition.
+    Only files that were decoded to their end are merged and removed; damaged ones stay. Returns ``file, rows, error``
+    of all files that were found. The rows are staged first and counted by file against the check, so a file that
+    changed meanwhile stops the job before anything is removed.
     """
-    shards = stage(read_shards(spark, root, store), "shards")
-    write_stores(transform(shards), path)
-    files = shards.select("_file").distinct()
-    removed = 0
-    hadoop = spark._jsc.hadoopConfiguration()
-    for row in files.toLocalIterator():
-        target = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["_file"]))
-        removed += bool(target.getFileSystem(hadoop).delete(target, False))
-    return removed
+    found = shard_files(spark, root, store)
+    shards = stage(read_shards(spark, root, store, found), "shards")
+    whole = found.where("error IS NULL")
+    expected = whole.agg(F.sum("rows").alias("n")).first()["n"] or 0
+    if shards.count() != expected:
+        raise RuntimeError("shard files changed while they were merged; nothing was removed")
+    if expected:
+        write_stores(transform(shards), path)
+    remove_files(spark, [r["file"] for r in whole.select("file").toLocalIterator()])
+    return found
+
+
+def remove_files(spark: SparkSession, names: list[str]) -> None:
+    """Delete files by name, many calls at a time."""
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def remove(name: str) -> None:
+        target = jvm.org.apache.hadoop.fs.Path(name)
+        target.getFileSystem(hadoop).delete(target, False)
+
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(remove, names))

@@ -20,7 +20,8 @@ def write_pending(pending: DataFrame, path: str) -> None:
     """Pending links by shard, ``url TAB lastmod``; shards without pending rows leave no folder."""
     line = F.concat_ws("\t", "url", F.coalesce("lastmod", F.lit("")))
     (
-        pending.sortWithinPartitions("store", "chunk", "idx")
+        pending.hint("rebalance", F.col("store"), F.col("chunk"))
+        .sortWithinPartitions("store", "chunk", "idx")
         .select("store", "chunk", line.alias("value"))
         .write.mode("overwrite")
         .partitionBy("store", "chunk")

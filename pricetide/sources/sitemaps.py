@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pricetide import schema as S
 from pricetide.functions import markup, text
 from pricetide.operators import links
-from pricetide.sources.files import file_order, with_file_position
+from pricetide.sources.files import with_file_position
 
 POSITION = ["file_rank", "file", "block", "pos"]
 
@@ -18,13 +19,22 @@ POSITION = ["file_rank", "file", "block", "pos"]
 def read_sitemap(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Every ``<url>`` entry of the files: ``loc, lastmod`` ('' if absent) and its position.
 
-    The files count in the order of ``paths``; a path may be a folder or glob.
+    The files count in the order of ``paths``; a path may be a folder or glob. The list is short: one path per
+    published sitemap.
     """
-    rows = spark.read.format("xml").option("rowTag", "url").schema(S.SITEMAP_URL).load(paths)
-    placed = with_file_position(rows).withColumn("file_rank", file_order(F.col("file"), paths))
-    return placed.select(
-        F.coalesce("loc", F.lit("")).alias("loc"), F.coalesce("lastmod", F.lit("")).alias("lastmod"), *POSITION
-    )
+
+    def entries(path: str, rank: int) -> DataFrame:
+        rows = spark.read.format("xml").option("rowTag", "url").schema(S.SITEMAP_URL).load(path)
+        return with_file_position(rows).select(
+            F.coalesce("loc", F.lit("")).alias("loc"),
+            F.coalesce("lastmod", F.lit("")).alias("lastmod"),
+            F.lit(rank).alias("file_rank"),
+            "file",
+            "block",
+            "pos",
+        )
+
+    return reduce(DataFrame.unionAll, [entries(path, rank) for rank, path in enumerate(paths)])
 
 
 def sitemap_links(sitemap: DataFrame, rule: str) -> DataFrame:

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import io
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from pricetide import schema as S
+from pricetide.session import stage
 
 PARTS = [
     T.StructField("store", T.StringType()),
@@ -23,20 +29,46 @@ def shard_schema(store: str | None = None) -> T.StructType:
     return T.StructType([*fields, *PARTS])
 
 
-def read_shards(spark: SparkSession, root: str, store: str | None = None) -> DataFrame:
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of each Parquet file, all of it decoded, or why that failed."""
+    for batch in batches:
+        for file, content in zip(batch["path"].to_pylist(), batch["content"], strict=True):
+            rows, error = 0, None
+            try:
+                for part in pq.ParquetFile(io.BytesIO(content.as_buffer())).iter_batches():
+                    rows += part.num_rows
+            except (OSError, pa.ArrowException, ValueError) as e:
+                rows, error = None, f"{type(e).__name__}: {e}"
+            columns = [pa.array([file]), pa.array([rows], pa.int64()), pa.array([error], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["file", "rows", "error"])
+
+
+def shard_files(spark: SparkSession, root: str, store: str | None = None) -> DataFrame:
+    """``file, rows, error`` of the shard files below ``root``: every file is decoded once, in the tasks."""
+    path = root if store is None else f"{root}/store={store}"
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    try:
+        content = found.load(path).select("path", "content")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e.getCondition()):
+            raise
+        return spark.createDataFrame([], "file string, rows long, error string")
+    return stage(content.mapInArrow(_whole, "file string, rows long, error string"), "shard-files")
+
+
+def read_shards(spark: SparkSession, root: str, store: str | None = None, found: DataFrame | None = None) -> DataFrame:
     """Shard tables below ``root`` (``store=/chunk=/run=``) with their file and row number.
 
-    Unreadable files are skipped; the store filter prunes folders.
+    A file is read whole or not at all: damaged ones are left out and listed by ``shard_files`` (``found``, if it was
+    run before). Their names, which the reader's own file index also holds, go through the driver.
     """
-    df = (
-        spark.read.schema(shard_schema(store))
-        .option("basePath", root)
-        .option("ignoreCorruptFiles", "true")
-        .option("ignoreMissingFiles", "true")
-        .parquet(root)
-        .select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    )
-    return df if store is None else df.filter(F.col("store") == store)
+    found = shard_files(spark, root, store) if found is None else found
+    whole = [r["file"] for r in found.where("error IS NULL").select("file").toLocalIterator()]
+    reader = spark.read.schema(shard_schema(store)).option("basePath", root)
+    if not whole:
+        extra = [T.StructField("_file", T.StringType()), T.StructField("_row", T.LongType())]
+        return spark.createDataFrame([], T.StructType([*shard_schema(store).fields, *extra]))
+    return reader.parquet(*whole).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
 
 
 def read_registered(spark: SparkSession, root: str, stores: dict[str, str], schema=None) -> tuple[dict, list[str]]:

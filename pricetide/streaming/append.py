@@ -9,7 +9,8 @@ from pyspark.sql.types import StructType
 
 
 def read_new(spark: SparkSession, path: str, schema: StructType | str, glob: str | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("ignoreCorruptFiles", "true")
+    """New files as a stream. A damaged file stops the stream, so it is never marked as read when it was read in part."""
+    reader = spark.readStream.schema(schema).option("ignoreCorruptFiles", "false")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.parquet(path)
@@ -26,8 +27,9 @@ def stream_append(
 ) -> StreamingQuery:
     """Append everything that is available now, then stop.
 
-    Each micro-batch is written to its own ``batch`` folder, so a batch that is
-    repeated after a failure replaces itself. Rows are not de-duplicated across
+    Each micro-batch is written to its own folder, named by the stream's id, which
+    its checkpoint keeps, and the batch: a batch that is repeated after a failure
+    replaces itself, and streams into one catalog do not meet. Rows are not de-duplicated across
     runs unless ``dedup`` names key columns (needs ``event_time``).
     """
     if transform is not None:
@@ -36,11 +38,12 @@ def stream_append(
         rows = rows.withWatermark(event_time, within).dropDuplicatesWithinWatermark(dedup)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        own = batch.sparkSession._jsc.sc().getLocalProperty("sql.streaming.queryId")
         (
-            batch.withColumn("batch", F.lit(batch_id))
+            batch.withColumns({"query": F.lit(own), "batch": F.lit(batch_id)})
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch")
+            .partitionBy("query", "batch")
             .parquet(target)
         )
 

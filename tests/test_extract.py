@@ -199,8 +199,8 @@ def test_page_block(spark):
     spec = El(has=(("class", "spec"),))
     got = extract.page_block(p, [El("table"), spec]).orderBy("page_id").collect()
     assert [r.block for r in got] == ["<table><tr></tr></table>", "only"]
-    short = extract.page_block(p, [El(has=(("class", "modal"),))], max_chars=4).orderBy("page_id").collect()
-    assert [r.block for r in short] == ["<div", "only"]
+    short = extract.page_block(p, [El(has=(("class", "modal"),))]).orderBy("page_id").collect()
+    assert [r.block for r in short] == ['<div class="my-spec"><i>1</i></div><table><tr></tr></table>', "only"]
 
 
 def test_embedded_specs(spark):

@@ -5,6 +5,8 @@ import glob
 import json
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -132,6 +134,8 @@ def test_shards_merge_publish(spark, tmp_path):
     jobs.merge_and_publish(spark, bronze, silver, catalog)
     assert spark.read.parquet(catalog).count() == 8  # publishing appends
     table = source.read_workbook(spark, silver, S.SILVER)
+    sink.write_catalog(table.filter("store = 'phongvu'"), catalog, clear=True)
+    assert sorted(r.store for r in spark.read.parquet(catalog).collect()) == ["phongvu", *["tgdd"] * 6]  # the other shop stays
     sink.write_catalog(table, catalog, clear=True)
     assert spark.read.parquet(catalog).count() == 4
     with pytest.raises(ValueError):
@@ -144,13 +148,58 @@ def test_compact_keeps_unreadable(spark, tmp_path):
     sink.write_shard(shard(spark, "gearvn", 2, "r1", ["b"]), bronze)
     sink.write_shard(shard(spark, "tgdd", 1, "r1", ["z"]), bronze)
     broken = put(f"{bronze}/store=gearvn/chunk=3/run=r1/part-0.parquet", "not parquet")
-    removed = sink.compact(spark, bronze, lambda df: records.merge_shards(df, source.SHARD_ORDER), silver, "gearvn")
-    assert removed == 2 and os.path.exists(broken)
+    found = sink.compact(spark, bronze, lambda df: records.merge_shards(df, source.SHARD_ORDER), silver, "gearvn").collect()
+    assert sorted((r.rows or 0, r.error is None) for r in found) == [(0, False), (1, True), (2, True)] and os.path.exists(broken)
     assert glob.glob(f"{bronze}/store=gearvn/chunk=*/run=r1/part-*.parquet") == [broken]
     assert glob.glob(f"{bronze}/store=tgdd/chunk=1/run=r1/part-*.parquet")
     assert sorted(r.url for r in spark.read.parquet(silver).collect()) == ["a", "b"]
 
 
+def half_damaged(path, rows=4000):
+    """A shard of four row groups whose last one is overwritten."""
+    names = [*S.SHOPS["gearvn"].headers]
+    cells = pa.table({n: [f"{n} {i} {i * 7919}" for i in range(rows)] for n in names})
+    os.makedirs(os.path.dirname(path))
+    pq.write_table(cells, path, row_group_size=rows // 4, compression="none", use_dictionary=False)
+    at = pq.ParquetFile(path).metadata.row_group(3).column(0).data_page_offset
+    with open(path, "r+b") as f:
+        f.seek(at)
+        f.write(b"\xff" * 4000)
+
+
+def test_half_readable_shard_is_kept_and_listed(spark, tmp_path):
+    bronze, silver, catalog, bad = (str(tmp_path / d) for d in ("bronze", "silver", "catalog", "bad"))
+    sink.write_shard(shard(spark, "gearvn", 1, "r1", ["a", "b"]), bronze)
+    broken = f"{bronze}/store=gearvn/chunk=2/run=r1/part-0.parquet"
+    half_damaged(broken)
+    assert source.read_shards(spark, bronze, "gearvn").count() == 2  # whole files only
+    report = jobs.merge_and_publish(spark, bronze, silver, catalog, tidy=True, unreadable=bad)
+    assert {(r.sheet_name, r.n_rows) for r in report.collect()} >= {("GearVN", 2)}
+    listed = spark.read.parquet(bad).collect()
+    assert [r.file.endswith("chunk=2/run=r1/part-0.parquet") for r in listed] == [True] and listed[0].error
+    assert glob.glob(f"{bronze}/store=gearvn/chunk=*/run=r1/part-*.parquet") == [broken]  # merged ones went, this stays
+    with pytest.raises(ValueError):
+        jobs.merge_and_publish(spark, bronze, str(tmp_path / "s2"), str(tmp_path / "c2"), tidy=True)
+    assert os.path.exists(broken)
+
+
+def test_two_streams_share_a_catalog(spark, tmp_path):
+    dst = str(tmp_path / "dst")
+    for name in ("one", "two", "one"):  # the third has lost its checkpoint
+        src = str(tmp_path / name)
+        spark.createDataFrame([(name,)], "url string").write.mode("overwrite").parquet(src)
+        append.stream_append(append.read_new(spark, src, "url string"), dst, str(tmp_path / f"ckpt{len(glob.glob(dst + '/*'))}"))
+    assert sorted(r.url for r in spark.read.parquet(dst).collect()) == ["one", "one", "two"]
+
+
+def test_sitemaps_with_equal_file_names_keep_the_order_of_paths(spark, tmp_path):
+    for folder, day in (("z_first", "1"), ("a_second", "2")):
+        put(str(tmp_path / folder / "s.xml"), f"<urlset><url><loc>https://x/products/laptop-1</loc><lastmod>{day}</lastmod></url></urlset>")
+    for paths in ([f"{tmp_path}/z_first/s.xml", f"{tmp_path}/a_second/s.xml"], [f"{tmp_path}/z_first", f"{tmp_path}/a_second"]):
+        found = sitemaps.sitemap_links(sitemaps.read_sitemap(spark, paths), "gearvn").collect()
+        assert [(r.url, r.lastmod) for r in found] == [("https://x/products/laptop-1", "1")]
+
+
 def test_store_overwrite_and_rewrite(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([("x", 1), ("y", 2)], "store string, v int")
@@ -197,7 +246,7 @@ def test_plan_and_resume(spark, tmp_path):
 def test_shard_tables_job(spark):
     html = "<title>t</title><h1>Laptop</h1><p class='box-price-present'>19.000.000₫</p><p class='box-price-old'>20.000.000₫</p>"
     rows = [
-        ("tgdd", 1, "r", "u1", html), ("tgdd", 1, "r", "u2", "<title>Just a moment...</title><h1>x</h1>"),
+        ("tgdd", 1, "r", "u1", html), ("tgdd", 1, "r", "u2", html.replace("<title>t", "<title>Cloudflare gaming laptop")),
         ("tgdd", 1, "r", "u3", html),
     ]
     pages = spark.createDataFrame(rows, "store string, chunk int, run string, url string, html string").withColumn(
@@ -206,10 +255,19 @@ def test_shard_tables_job(spark):
     lastmods = spark.createDataFrame([("u1", "2026-06-01")], "url string, lastmod string")
     got = jobs.shard_tables(pages, "tgdd", lastmods).orderBy(S.LINK).collect()
     assert [(r[S.LINK], r[S.DISCOUNT], r[S.LASTMOD], r[S.CRAWLED], r.chunk) for r in got] == [
-        ("u1", "-5%", "2026-06-01", "2026-07-02 00:00:00", 1), ("u3", "-5%", "", "2026-07-02 00:00:00", 1),
+        ("u1", "-5%", "2026-06-01", "2026-07-02 00:00:00", 1), ("u2", "-5%", "", "2026-07-02 00:00:00", 1), ("u3", "-5%", "", "2026-07-02 00:00:00", 1),
     ]
 
 
+def test_interstitial_pages_of_the_shops_that_show_them(spark):
+    rows = [("fptshop", 1, "r", "u1", "<title>Just a moment...</title><h1>x</h1>"), ("fptshop", 1, "r", "u2", "<title>t</title><h1>L</h1>")]
+    pages = spark.createDataFrame(rows, "store string, chunk int, run string, url string, html string").withColumn(
+        "captured_at", F.lit("2026-07-01 17:00:00").cast("timestamp")
+    )
+    kept = jobs.shard_tables(pages, "fptshop").collect()
+    assert "u1" not in {v for r in kept for v in r if isinstance(v, str)}
+
+
 def test_topic_job(spark):
     row = "<tr class='gvn-spec-row'><th>{}</th><td>{}</td></tr>"
     page = "<div class='product-info'><div class='product-name'><h1>L</h1></div></div><table id='gvn-specs-container-table'>{}</table>"

@@ -119,3 +119,31 @@ def test_digits_random(spark, seed):
     cells = ["".join(rnd.choice("0123456789.,₫đ -xLiên") for _ in range(rnd.randint(0, 15))) for _ in range(300)]
     want = [int(d) if (d := re.sub(r"[^\d]", "", c)) else None for c in cells]
     assert run(column(spark, cells), prices.digits(F.col("v"))) == want
+
+
+def test_numbers_pass_through(spark):
+    df = spark.sql("SELECT 19990000.0D a, 19990000 b, CAST(19990000 AS DECIMAL(12,2)) c, CAST('NaN' AS DOUBLE) n, '19.990.000₫' t")
+    for c in "abc":
+        row = df.select(
+            prices.final_number(F.col(c)), prices.repair_number(F.col(c)), prices.plain_number_text(F.col(c)),
+            prices.price(F.col(c)), prices.price_note(F.col(c)), prices.strip_currency(F.col(c)), prices.valid_price_a(F.col(c)),
+        ).first()
+        assert tuple(row) == (19990000.0, 19990000.0, 19990000.0, 19990000, None, "19990000", True)
+    assert tuple(df.select(prices.final_number(F.col("n")), prices.price(F.col("n")), prices.strip_currency(F.col("n"))).first()) == (None, None, "")
+    assert df.select(prices.price(F.col("t"))).first()[0] == 19990000
+
+
+def test_digits_of_every_plane(spark):
+    wide = "".join(chr(0x1D7CE + int(d)) for d in "19") + "٩" + ".000₫"
+    assert spark.createDataFrame([(wide,)], "p string").select(prices.price(F.col("p"))).first()[0] == 199000
+
+
+def test_topic_steps_chain(spark):
+    from pricetide import schema as S
+    from pricetide.operators import records
+
+    rows = spark.createDataFrame([("tgdd", "19.990.000₫", "24.990.000₫"), ("tgdd", "Liên hệ", None)], ["store", S.PRICE, S.LIST_PRICE])
+    numbers = records.topic_numbers(rows)
+    fixed = records.topic_repair_discount(numbers)
+    assert [(r[S.PRICE], r[S.DISCOUNT]) for r in fixed.collect()] == [(19990000.0, "-20%"), (None, "")]
+    assert [r[S.PRICE] for r in records.topic_clean_text(fixed).collect()] == ["19990000", ""]

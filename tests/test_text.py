@@ -97,3 +97,34 @@ def test_local_time_in_any_zone(spark):
         assert back.s == 1782930605
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_hrefs_in_any_quoting(spark):
+    from pricetide.functions import markup
+
+    html = """<a href="/a?x=1&amp;y=2">1</a><a class='k' href='/b'>2</a><A HREF=/c>3</A><a data-href="/no" href="/d" title="href='/t'">4</a>
+      <a title="x > y" href = "/e">5</a><a name="none">6</a><abbr href="/f">7</abbr><a
+      href="/g">8</a>"""
+    got = spark.createDataFrame([(html,)], "html string").select(markup.hrefs(F.col("html"))).first()[0]
+    assert got == ["/a?x=1&y=2", "/b", "/c", "/d", "/e", "/g"]
+
+
+def test_lazy_pairs_match_the_pattern_and_take_linear_time(spark):
+    import random
+    import re
+    import time
+
+    from pricetide.functions import markup
+
+    rng = random.Random(1)
+    bits = ['"displayName":"A"', '"displayName":"B"', '"value":"1"', '"value":"2"', "\n", ",{}", '"displayName":""', '"value":""', '"displayName":"two\nlines"']
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, html string").select("i", markup.embedded_pairs(F.col("html"), "lazy_value").alias("p"))
+    for r in got.collect():
+        want = re.findall(r'"displayName":"([^"]+)".*?"value":"([^"]+)"', texts[r.i])
+        assert [(p.key, p.value) for p in r.p] == want, texts[r.i]
+    page = spark.createDataFrame([('"displayName":"CPU",' * 50_000,)], "html string")
+    page.select(F.size(markup.embedded_pairs(F.col("html"), "lazy_value"))).first()
+    start = time.perf_counter()
+    assert page.select(F.size(markup.embedded_pairs(F.col("html"), "lazy_value"))).first()[0] == 0
+    assert time.perf_counter() - start < 3
