@@ -4,11 +4,12 @@ A document's set is its distinct word shingles, as 64-bit hashes. All sets share
 trees, first in the prefixes; how common a shingle is comes from a count over all documents in a fixed number of
 buckets, and the hash breaks ties, so the order is total and the join exact whatever the counts are.
 
-1. Two sets that link share a shingle of their prefixes (the rarest fifth and one more). Documents that share one form
-   candidate groups. A shingle leaves a batch of documents once, with the smallest id that holds it, and the others of
-   the batch tied to that id, so a shingle that is common in prefixes sends a row per batch, not per document.
-2. Equal sets are one set from here on. Each set goes to its group once; a group that is large is cut into blocks, and
-   every pair of blocks is a task, so no task holds more than two blocks.
+1. Two sets that link share shingles of their prefixes (the rarest by the bucket counts). The posted shingles are
+   counted exactly, and each set keeps the rarest by that count, as few as leave no link out. Sets that share one of
+   these form candidate groups. Equal sets post once per batch; a shingle that many sets keep leaves a task once, with
+   the smallest key that holds it, and the others of the task tied to that key.
+2. Equal sets are one set. Each set of a group with several goes to its task once; a large group
+   is cut into blocks, and every pair of blocks is a task, so no task holds more than two blocks.
 3. A task stores its sets in a prefix tree. Each set walks the tree with the overlap of the path so far, shared by all
    sets below, and leaves a branch whose remaining length cannot reach the threshold, or whose sets all are in its own
    component already. So links inside a component that are not needed are not listed, and none between components is lost.
@@ -63,6 +64,15 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(_mix(total))
 
 
+def _signature(hashes: np.ndarray) -> bytes:
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+
+
+def _key(hashes: np.ndarray) -> int:
+    """The first half of a set's signature, as a number."""
+    return int.from_bytes(_signature(hashes)[:8], "little", signed=True)
+
+
 def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
 
@@ -80,25 +90,26 @@ def _summaries(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
-        names = ["doc_id", "n", "signature", "bucket", "held"]
+        names = ["doc_id", "n", "signature", "key", "bucket", "held"]
         none = lambda n, kind: pa.nulls(n, kind)
         for whole in batches:
             for rows in slices(whole, "text"):
-                sizes, signatures = [], []
+                sizes, signatures, keys = [], [], []
                 for text in rows["text"]:
                     own = shingles(text.as_py(), words)
                     total += np.bincount(_bucket(own), minlength=BUCKETS)
                     sizes.append(len(own))
-                    signatures.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
+                    signatures.append(_signature(own) if len(own) else None)
+                    keys.append(_key(own) if len(own) else None)
                 n = rows.num_rows
-                columns = [rows["doc_id"], pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), none(n, pa.int32()), none(n, pa.int64())]
+                columns = [rows["doc_id"], pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), pa.array(keys, pa.int64()), none(n, pa.int32()), none(n, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names)
         seen = np.flatnonzero(total)
         n = len(seen)
-        columns = [none(n, pa.int64()), none(n, pa.int64()), none(n, pa.binary()), pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())]
+        columns = [none(n, pa.int64()), none(n, pa.int64()), none(n, pa.binary()), none(n, pa.int64()), pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.mapInArrow(run, "doc_id long, n long, signature binary, bucket int, held long")
+    return docs.mapInArrow(run, "doc_id long, n long, signature binary, key long, bucket int, held long")
 
 
 def _group_runs(tokens: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -111,45 +122,114 @@ def _group_runs(tokens: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.nda
     return tokens[first], ids[first], np.unique(np.stack([least[other], ids[other]], axis=1), axis=0)
 
 
+def _sizes(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """For sets of n shingles: how many of the rarest are looked at, and how many of those a partner shares at least.
+
+    A partner shares ``needed`` shingles, so of the n - needed + common rarest ones it shares ``common``, if it looks
+    as far itself. The smallest partner has ``needed`` shingles, and its own ``common`` is the guaranteed number.
+    """
+    needed = -(-percent * n // 100)
+    return np.minimum(n, n - needed + 1 + n // 5), 1 + needed // 5
+
+
+def _blobs(part: np.ndarray, parts: int, columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
+    """A row per part with its share of every column, packed."""
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(parts + 1))
+    full = np.flatnonzero(cuts[1:] > cuts[:-1])
+    packed = [[c[order[cuts[p] : cuts[p + 1]]].tobytes() for p in full] for c in columns]
+    return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array(b, pa.binary()) for b in packed)], ["part", *names])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], kinds: dict[str, type]) -> list[np.ndarray]:
+    held: dict[str, list[bytes]] = {name: [] for name in kinds}
+    for batch in batches:
+        for name, blobs in held.items():
+            blobs += [b for b in batch[name].to_pylist() if b]
+    return [np.frombuffer(b"".join(held[name]), kind) for name, kind in kinds.items()]
+
+
+def _dealt(df: DataFrame, parts: int) -> DataFrame:
+    return df.repartition(parts, "part")
+
+
 def _candidates(docs: DataFrame, weight: np.ndarray, parts: int, words: int, percent: int) -> DataFrame:
-    """Pairs ``a``, ``b`` of ids that hold documents with a common prefix shingle together."""
+    """Pairs ``a``, ``b`` of set keys that hold sets together which may link.
+
+    The rarest shingles by bucket count are posted and counted exactly, by sets. Among its posted shingles a set then
+    takes the rarest by that count, all but as many as a partner shares for sure, and one more: two sets that link
+    still share one of these. Shingles that no other set posts come first and meet nobody, so a set that is mostly new
+    text has no candidates, and passages that many documents share come last.
+    """
 
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for rows in slices(whole, "text"):
-                tokens, ids = [], []
-                for doc_id, text in zip(rows["doc_id"].to_pylist(), rows["text"], strict=True):
+                tokens, own_keys, totals, seen = [], [], [], set()
+                for text in rows["text"]:
                     own = shingles(text.as_py(), words)
-                    if len(own) and doc_id is not None:
-                        tokens.append(_rare_first(own, weight)[: len(own) - _needed(len(own), percent) + 1])
-                        ids.append(np.full(len(tokens[-1]), doc_id, np.int64))
-                if not tokens:
-                    continue
-                token, least, pairs = _group_runs(np.concatenate(tokens), np.concatenate(ids))
-                part = (token % np.uint64(parts)).astype(np.int32)
-                order = np.argsort(part, kind="stable")
-                cuts = np.searchsorted(part[order], np.arange(parts + 1))
-                out = [(p, token[order[a:b]].tobytes(), least[order[a:b]].tobytes(), b"", b"") for p, a, b in zip(range(parts), cuts, cuts[1:], strict=False) if b > a]
-                if len(pairs):
-                    out.append((int(pairs[0, 0]) % parts, b"", b"", pairs[:, 0].tobytes(), pairs[:, 1].tobytes()))
-                kinds = [pa.int32(), *[pa.binary()] * 4]
-                columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["part", "tokens", "ids", "a", "b"])
+                    key = _key(own)
+                    if not len(own) or key in seen:
+                        continue
+                    seen.add(key)
+                    looked = int(_sizes(np.array([len(own)]), percent)[0][0])
+                    tokens.append(_rare_first(own, weight)[:looked])
+                    own_keys.append(np.full(looked, key, np.int64))
+                    totals.append(np.full(looked, len(own), np.int32))
+                if tokens:
+                    token = np.concatenate(tokens)
+                    yield _blobs((token % np.uint64(parts)).astype(np.int64), parts, [token, np.concatenate(own_keys), np.concatenate(totals)], ["tokens", "keys", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token, key, n = _unpacked(batches, {"tokens": np.uint64, "keys": np.int64, "n": np.int32})
+        order = np.lexsort((key, token))
+        token, key, n = token[order], key[order], n[order]
+        new = np.concatenate([[True], (token[1:] != token[:-1]) | (key[1:] != key[:-1])])[: len(token)]
+        token, key, n = token[new], key[new], n[new]
+        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])[: len(token)])
+        held = np.diff(np.concatenate([first, [len(token)]]))
+        sets = np.repeat(np.minimum(held, 65_535), held).astype(np.uint16)
+        shared = sets > 1
+        token, key, n, sets = token[shared], key[shared], n[shared], sets[shared]
+        by_key = np.argsort(key, kind="stable")
+        token, key, n, sets = token[by_key], key[by_key], n[by_key], sets[by_key]
+        if len(token):
+            yield _blobs((key.view(np.uint64) % np.uint64(parts)).astype(np.int64), parts, [token, key, n, sets], ["tokens", "keys", "n", "sets"])
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token, key, n, sets = _unpacked(batches, {"tokens": np.uint64, "keys": np.int64, "n": np.int32, "sets": np.uint16})
+        if not len(token):
+            return
+        order = np.lexsort((token, sets, key))
+        token, key, n = token[order], key[order], n[order].astype(np.int64)
+        first = np.concatenate([[True], key[1:] != key[:-1]])
+        start = np.flatnonzero(first)
+        shared = np.diff(np.concatenate([start, [len(key)]]))
+        looked, common = _sizes(n[start], percent)
+        wanted = looked - common + 1 - (looked - shared)
+        place = np.arange(len(key)) - np.repeat(start, shared)
+        chosen = place < np.repeat(wanted, shared)
+        token, least, pairs = _group_runs(token[chosen], key[chosen])
+        if len(token):
+            tied = _blobs((pairs[:, 0].view(np.uint64) % np.uint64(parts)).astype(np.int64), parts, [pairs[:, 0], pairs[:, 1]], ["a", "b"])
+            sent = _blobs((token % np.uint64(parts)).astype(np.int64), parts, [token, least], ["tokens", "keys"])
+            for batch in (sent, tied):
+                names = ["part", "tokens", "keys", "a", "b"]
+                columns = [batch[x] if x in batch.schema.names else pa.nulls(batch.num_rows, pa.binary()) for x in names]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[bytes]] = {"tokens": [], "ids": [], "a": [], "b": []}
-        for batch in batches:
-            for name, blobs in held.items():
-                blobs += batch[name].to_pylist()
-        token, ids, a, b = (np.frombuffer(b"".join(held[n]), k) for n, k in (("tokens", np.uint64), ("ids", np.int64), ("a", np.int64), ("b", np.int64)))
-        _, _, pairs = _group_runs(token, ids)
+        token, key, a, b = _unpacked(batches, {"tokens": np.uint64, "keys": np.int64, "a": np.int64, "b": np.int64})
+        _, _, pairs = _group_runs(token, key)
         pairs = np.unique(np.concatenate([pairs.reshape(-1, 2), np.stack([a, b], axis=1)]), axis=0)
         for start in range(0, len(pairs), 100_000):
             part = pairs[start : start + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part[:, 0]), pa.array(part[:, 1])], ["a", "b"])
 
-    sent = docs.mapInArrow(postings, "part int, tokens binary, ids binary, a binary, b binary")
-    return sent.repartition(parts, "part").mapInArrow(meet, "a long, b long")
+    posted = docs.select("text").mapInArrow(postings, "part int, tokens binary, keys binary, n binary")
+    counted = _dealt(posted, parts).mapInArrow(count, "part int, tokens binary, keys binary, n binary, sets binary")
+    chosen = _dealt(counted, parts).mapInArrow(choose, "part int, tokens binary, keys binary, a binary, b binary")
+    return _dealt(chosen, parts).mapInArrow(meet, "a long, b long")
 
 
 class PrefixTree:
@@ -279,16 +359,16 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     # A fixed number of buckets, whatever the input.
     for bucket, held in summary.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("held")).collect():
         weight[bucket] = held
-    summary = summary.where("bucket IS NULL").select("doc_id", "n", "signature")
+    summary = summary.where("bucket IS NULL").select("doc_id", "n", "signature", "key")
     parts = max(16, -(-summary.count() // DOCS_PER_PART))
 
-    groups = components(_candidates(narrow, weight, parts, words, percent), "ngram-groups").withColumnsRenamed({"node": "doc_id", "component": "grp"})
+    groups = components(_candidates(narrow, weight, parts, words, percent), "ngram-groups").withColumnsRenamed({"node": "key", "component": "grp"})
     known = summary.where("doc_id IS NOT NULL AND signature IS NOT NULL")
-    least = known.groupBy("signature").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"))
+    least = known.groupBy("signature").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"), F.max("key").alias("key"))
     copies = known.join(least.select("signature", "least"), "signature").where("doc_id != least").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
     # One document of each distinct set, in groups with at least two sets. An id may have several texts, so a set is
     # named by its signature as well.
-    sets = least.select(F.col("least").alias("doc_id"), "signature", "n").join(groups, "doc_id")
+    sets = least.select(F.col("least").alias("doc_id"), "signature", "n", "key").join(groups, "key")
     total = sets.groupBy("grp").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles")).where("sets > 1")
     wanted = sets.join(total, "grp").withColumn("blocks", F.ceil(F.col("shingles") / BLOCK_SHINGLES).cast("int"))
     wanted = stage(wanted.select("doc_id", "signature", "grp", "blocks"), "ngram-sets")
@@ -298,7 +378,7 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
         for whole in batches:
             for rows in slices(whole, "text"):
                 own = [shingles(t.as_py(), words) for t in rows["text"]]
-                right = [hashlib.blake2b(h.tobytes(), digest_size=16).digest() == s.as_py() for h, s in zip(own, rows["signature"], strict=True)]
+                right = [_signature(h) == s.as_py() for h, s in zip(own, rows["signature"], strict=True)]
                 columns = [rows["doc_id"], rows["signature"], rows["grp"], rows["blocks"], pa.array([h.tobytes() for h in own], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "signature", "grp", "blocks", "hashes"]).filter(pa.array(right))
 
