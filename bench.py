@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -34,7 +35,14 @@ HEADLINE = [
     "promo_clean",
     "listing_json",
     "store_report",
+    "embedded_specs",
+    "shard_run",
+    "publish_catalog",
+    "compact_shards",
+    "append_stream",
 ]
+# Each query runs so often; the median counts.
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 
 def main() -> None:
@@ -48,11 +56,14 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in names:
-        start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 3)
+        runs = []
+        for _ in range(RUNS):
+            start = time.perf_counter()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - start)
+        seconds[name] = round(statistics.median(runs), 3)
     line = {
-        "metric": "total wall time of the queries",
+        "metric": f"total wall time of the queries, median of {RUNS} runs each",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,

@@ -22,9 +22,11 @@ def plan_shards(product_links: DataFrame, store: str, total: int, pending: DataF
     list as it stands, without new shards.
     """
     columns = ["store", "chunk", "idx", "url", "lastmod"]
+    # Discovery and the breaker run once; their rows are looked at more than once.
+    pending = stage(pending, "pending") if pending is not None else None
     if pending is not None and not pending.isEmpty():
         return pending.filter(F.col("store") == store).select(columns)
-    known = links.require_rows(product_links, "links")
+    known = links.require_rows(stage(product_links, "links"), "links")
     chunks = position.assign_chunks(known, "url", total).withColumnRenamed("idx", "_all")
     return (
         chunks.join(known, "url")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricetide import schema as S
+from pricetide.session import stage
 
 
 def read_listing(spark: SparkSession, paths: list[str] | str) -> DataFrame:
@@ -18,18 +19,17 @@ def listing_links(responses: DataFrame, host: str, listing: list[str]) -> DataFr
 
     ``responses``: the listing key columns, ``page`` and ``body``.
     """
-    parsed = responses.select(
-        *listing, "page", F.from_json("body", S.LISTING_BODY)["data"]["products"].alias("products")
-    )
-    empty = F.coalesce(F.size("products"), F.lit(0)) <= 0
-    ends = parsed.groupBy(*listing).agg(F.min(F.when(empty, F.col("page"))).alias("_end"))
+    products = F.from_json("body", S.LISTING_BODY)["data"]["products"]
+    # Bodies are parsed once; only the link names go on.
+    slim = stage(responses.select(*listing, "page", F.transform(products, lambda p: p["canonical"]).alias("names")), "listing")
+    empty = F.coalesce(F.size("names"), F.lit(0)) <= 0
+    ends = slim.groupBy(*listing).agg(F.min(F.when(empty, F.col("page"))).alias("_end"))
     before_end = F.col("_end").isNull() | (F.col("page") < F.col("_end"))
     items = (
-        parsed.join(ends, listing)
+        slim.join(ends, listing)
         .filter(before_end)
-        .select(*listing, "page", F.posexplode("products").alias("pos", "product"))
+        .select(*listing, "page", F.posexplode("names").alias("pos", "canonical"))
     )
-    canonical = F.col("product.canonical")
-    return items.filter(canonical != "").select(
-        *listing, "page", "pos", F.concat(F.lit(host + "/"), canonical).alias("url")
+    return items.filter(F.col("canonical") != "").select(
+        *listing, "page", "pos", F.concat(F.lit(host + "/"), F.col("canonical")).alias("url")
     )
