@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -51,3 +52,21 @@ def map_arrow(
                     yield out
 
     return df.mapInArrow(run, schema)
+
+
+def packed_parts(part: np.ndarray, parts: int, columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
+    """A row per part with its share of every column, packed."""
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(parts + 1))
+    full = np.flatnonzero(cuts[1:] > cuts[:-1])
+    packed = [[c[order[cuts[p] : cuts[p + 1]]].tobytes() for p in full] for c in columns]
+    return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array(b, pa.binary()) for b in packed)], ["part", *names])
+
+
+def unpacked(batches: Iterator[pa.RecordBatch], kinds: dict[str, type]) -> list[np.ndarray]:
+    """The packed columns of all rows, joined."""
+    held: dict[str, list[bytes]] = {name: [] for name in kinds}
+    for batch in batches:
+        for name, blobs in held.items():
+            blobs += [b for b in batch[name].to_pylist() if b]
+    return [np.frombuffer(b"".join(held[name]), kind) for name, kind in kinds.items()]

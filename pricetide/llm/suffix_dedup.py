@@ -25,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricetide.llm import suffix_array
-from pricetide.llm.common import slices
+from pricetide.llm.common import packed_parts, slices, unpacked
 from pricetide.session import stage
 
 LENGTH, ANCHOR = 200, 64
-SHARD_INPUT = 16 << 20  # bytes of text per shard; the part of it that goes to a shard is smaller
+SHARD_INPUT = 12 << 20  # bytes of all places that a shard's segments stand for; the segments themselves are fewer
+DOCS_PER_PART = 4_000
 # Places of an anchor from which its segments are cut under longer anchors, and how long these are.
 COMMON = ((2_000_000, 200), (20_000, 160))
 
@@ -94,21 +95,70 @@ def _first_places(hashes: np.ndarray, best: np.ndarray, width: int) -> np.ndarra
     return least[1:] != least[:-1]
 
 
-def _places(rows: pa.RecordBatch, length: int, anchor: int) -> pa.RecordBatch:
-    """A row per segment: anchor, hash of the whole segment, document, first window, number of windows."""
-    columns: list[list] = [[], [], [], [], [], []]
+PLACE = {"anchor": np.int64, "segment": np.int64, "doc_id": np.int64, "text_key": np.int64, "start": np.int32, "n": np.int32, "kind": np.uint8}
+NORMAL, SPREAD, MARK = 0, 1, 2
+# An anchor in so many places of one batch is common: its places are spread, and a mark goes where it belongs.
+SPREAD_FROM = 64
+
+
+def _places(rows: pa.RecordBatch, length: int, anchor: int) -> dict[str, np.ndarray] | None:
+    """Every segment of the batch: anchor, hash of the whole segment, document, first window, number of windows."""
+    parts: list[tuple] = []
     for doc_id, key, text in zip(rows["doc_id"].to_pylist(), rows["text_key"].to_pylist(), rows["text"], strict=True):
         data = (text.as_py() or "").encode()
         anchors, starts, sizes = segments(data, length, anchor)
-        if not len(anchors):
-            continue
-        own = [hashlib.blake2b(data[a : a + n + length - 1], digest_size=8).digest() for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
-        n = len(anchors)
-        for column, part in zip(columns, (anchors, np.frombuffer(b"".join(own), "<i8"), [doc_id] * n, [key] * n, starts, sizes), strict=True):
-            column.append(part)
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-    merged = [pa.array([x for part in c for x in part] if i == 2 else np.concatenate(c) if c else [], k) for i, (c, k) in enumerate(zip(columns, kinds, strict=True))]
-    return pa.RecordBatch.from_arrays(merged, ["anchor", "segment", "doc_id", "text_key", "start", "n"])
+        if len(anchors):
+            own = [hashlib.blake2b(data[a : a + n + length - 1], digest_size=8).digest() for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
+            n = len(anchors)
+            document = NO_ID if doc_id is None else doc_id
+            parts.append((anchors, np.frombuffer(b"".join(own), "<i8"), np.full(n, document), np.full(n, key), starts, sizes, np.zeros(n)))
+    if not parts:
+        return None
+    return {name: np.concatenate(c).astype(kind) for (name, kind), c in zip(PLACE.items(), zip(*parts, strict=True), strict=True)}
+
+
+# Stands for a null id inside this module.
+NO_ID = -(1 << 63)
+
+
+def _hot_places(docs: DataFrame, parts: int, length: int, anchor: int) -> DataFrame:
+    """Places of anchors that are in several places; ``mixed`` if their segments may differ."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for rows in slices(whole, "text", 2 << 20):
+                found = _places(rows, length, anchor)
+                if found is None:
+                    continue
+                by_anchor, inverse, count = np.unique(found["anchor"], return_inverse=True, return_counts=True)
+                common = count >= SPREAD_FROM
+                found["kind"][common[inverse]] = SPREAD
+                marks = {name: np.zeros(int(common.sum()), kind) for name, kind in PLACE.items()}
+                marks["anchor"], marks["kind"][:] = by_anchor[common], MARK
+                both = {name: np.concatenate([found[name], marks[name]]) for name in PLACE}
+                spread = np.where(both["kind"] == SPREAD, both["text_key"], 0)
+                part = (both["anchor"] ^ spread).view(np.uint64) % np.uint64(parts)
+                yield packed_parts(part.astype(np.int64), parts, list(both.values()), list(PLACE))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = dict(zip(PLACE, unpacked(batches, PLACE), strict=True))
+        if not len(rows["anchor"]):
+            return
+        order = np.lexsort((rows["kind"], rows["anchor"]))
+        rows = {name: c[order] for name, c in rows.items()}
+        first = np.flatnonzero(np.concatenate([[True], rows["anchor"][1:] != rows["anchor"][:-1]]))
+        size = np.diff(np.concatenate([first, [len(order)]]))
+        marked = np.maximum.reduceat(rows["kind"], first) > NORMAL
+        differ = np.maximum.reduceat(rows["segment"], first) != np.minimum.reduceat(rows["segment"], first)
+        hot, mixed = np.repeat((size > 1) | marked, size), np.repeat(differ | marked, size)
+        keep = hot & (rows["kind"] != MARK)
+        columns = [rows[name][keep] for name in list(PLACE)[:-1]] + [mixed[keep]]
+        for start in range(0, len(columns[0]), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c[start : start + 100_000]) for c in columns], [*list(PLACE)[:-1], "mixed"])
+
+    sent = docs.mapInArrow(find, "part int, " + ", ".join(f"{name} binary" for name in PLACE))
+    kinds = "anchor long, segment long, doc_id long, text_key long, start int, n int, mixed boolean"
+    return sent.repartition(parts, "part").mapInArrow(meet, kinds)
 
 
 def _sort_shard(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -118,7 +168,7 @@ def _sort_shard(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.R
         return
     rows = pa.Table.from_batches(held)
     shard = rows["shard"].to_numpy()
-    for number in np.unique(shard):
+    for number in np.unique(shard):  # the shards that were dealt to this task, one after the other
         part = rows.filter(pa.array(shard == number))
         texts = part["bytes"].to_pylist()
         symbols, starts = suffix_array.join(texts)
@@ -142,17 +192,16 @@ def text_key(text: Column | str) -> Column:
     return F.xxhash64(text)
 
 
-def repeated_windows(docs: DataFrame, places: DataFrame, length: int, shards: int) -> DataFrame:
+def repeated_windows(docs: DataFrame, hot: DataFrame, length: int, shards: int) -> DataFrame:
     """``doc_id``, ``text_key``, ``begin``, ``end``: runs of windows that start elsewhere too."""
-    spread = F.max("segment") != F.min("segment")
-    anchors = places.groupBy("anchor").agg(F.count("*").alias("places"), spread.alias("mixed")).where("places > 1")
-    # Both sides are dealt by anchor; an anchor in very many places is a skewed key that the optimizer splits.
-    hot = places.join(anchors, "anchor")
     plain = hot.where("NOT mixed").select("doc_id", "text_key", F.col("start").alias("begin"), (F.col("start") + F.col("n")).alias("end"))
     mixed = hot.where("mixed")
     one = F.struct("doc_id", "text_key", "start", "n")
-    named = mixed.groupBy("anchor", "segment").agg(F.count("*").alias("held"), F.min(one).alias("one"), F.first("places").alias("places"))
-    wanted = named.groupBy("one.doc_id", "one.text_key").agg(F.collect_list(F.struct("anchor", "segment", "places", "one.start", "one.n")).alias("wanted"))
+    named = mixed.groupBy("anchor", "segment").agg(F.count("*").alias("held"), F.min(one).alias("one"))
+    named = stage(named.select("anchor", "segment", "held", "one.*"), "suffix-named")
+    places = named.groupBy("anchor").agg(F.sum("held").alias("places"))
+    piece = F.struct("anchor", "segment", "places", "start", "n")
+    wanted = named.join(places, "anchor").groupBy("doc_id", "text_key").agg(F.collect_list(piece).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -172,13 +221,13 @@ def repeated_windows(docs: DataFrame, places: DataFrame, length: int, shards: in
                 columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 5, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, ["route", "anchor", "segment", "shift", "bytes"])
 
-    same_doc = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_key"] == b["text_key"])
-    texts = docs.join(wanted, same_doc(docs, wanted)).select(docs["text"], "wanted")
+    # The same join at every size: the list of segments grows with the input, so it is never broadcast.
+    texts = docs.select("doc_id", "text_key", "text").join(wanted.hint("merge"), ["doc_id", "text_key"]).select("text", "wanted")
     # A row of one text stands twice in ``docs`` if the row is repeated; one is enough.
     pieces = texts.mapInArrow(cut, "route long, anchor long, segment long, shift int, bytes binary")
     pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards)).cast("int")).dropDuplicates(["shard", "anchor", "segment", "shift"])
     sorted_ = pieces.select("shard", "anchor", "segment", "shift", "bytes").repartition(shards, "shard").mapInArrow(lambda b: _sort_shard(b, length), "anchor long, segment long, begin int, end int")
-    several = named.where("held > 1").select("anchor", "segment", F.lit(0).alias("begin"), F.col("one.n").alias("end"))
+    several = named.where("held > 1").select("anchor", "segment", F.lit(0).alias("begin"), F.col("n").alias("end"))
     single = sorted_.join(named.where("held = 1").select("anchor", "segment"), ["anchor", "segment"], "left_semi")
     runs = mixed.join(several.union(single), ["anchor", "segment"])
     return plain.union(runs.select("doc_id", "text_key", F.col("start") + F.col("begin"), F.col("start") + F.col("end")))
@@ -187,27 +236,22 @@ def repeated_windows(docs: DataFrame, places: DataFrame, length: int, shards: in
 def _with_runs(docs: DataFrame, length: int, anchor: int) -> DataFrame:
     """``doc_id``, ``text``, the other columns as ``rest``, and ``runs`` of repeated windows."""
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
-    narrow = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+    keyed = docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         *([F.struct(*others).alias("rest")] if others else []),
-    )
-    keyed = narrow.withColumn("text_key", text_key("text"))
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for rows in slices(whole, "text", 2 << 20):
-                yield _places(rows, length, anchor)
-
-    found = keyed.select("doc_id", "text_key", "text").mapInArrow(find, "anchor long, segment long, doc_id long, text_key long, start int, n int")
-    places = stage(found, "suffix-places")
-    windows = places.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
+    ).withColumn("text_key", text_key("text"))
+    narrow = keyed.select("doc_id", "text_key", "text")
+    parts = max(16, -(-docs.count() // DOCS_PER_PART))
+    hot = stage(_hot_places(narrow, parts, length, anchor), "suffix-places")
+    windows = hot.where("mixed").agg(F.sum(F.col("n") + F.lit(length).cast("long"))).first()[0] or 0
     shards = max(8, -(-windows // SHARD_INPUT))
-    runs = repeated_windows(keyed, places, length, shards)
+    runs = repeated_windows(narrow, hot, length, shards)
     # As many runs as the document has windows at most.
     own = runs.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
-    joined = keyed.join(own, keyed["doc_id"].eqNullSafe(own["doc_id"]) & (keyed["text_key"] == own["text_key"]), "left")
-    return joined.select(keyed["doc_id"], "text", "runs", *(["rest"] if others else []))
+    joined = keyed.join(own.hint("merge"), ["doc_id", "text_key"], "left")
+    back = F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id")
+    return joined.select(back, "text", "runs", *(["rest"] if others else []))
 
 
 def _spans(runs: list[dict] | None, length: int) -> list[tuple[int, int]]:
