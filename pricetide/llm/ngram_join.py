@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pricetide.llm.common import slices
+from pricetide.llm.common import packed_parts, slices, unpacked
 from pricetide.llm.components import components
 from pricetide.session import stage
 
@@ -132,23 +132,6 @@ def _sizes(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return np.minimum(n, n - needed + 1 + n // 5), 1 + needed // 5
 
 
-def _blobs(part: np.ndarray, parts: int, columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
-    """A row per part with its share of every column, packed."""
-    order = np.argsort(part, kind="stable")
-    cuts = np.searchsorted(part[order], np.arange(parts + 1))
-    full = np.flatnonzero(cuts[1:] > cuts[:-1])
-    packed = [[c[order[cuts[p] : cuts[p + 1]]].tobytes() for p in full] for c in columns]
-    return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array(b, pa.binary()) for b in packed)], ["part", *names])
-
-
-def _unpacked(batches: Iterator[pa.RecordBatch], kinds: dict[str, type]) -> list[np.ndarray]:
-    held: dict[str, list[bytes]] = {name: [] for name in kinds}
-    for batch in batches:
-        for name, blobs in held.items():
-            blobs += [b for b in batch[name].to_pylist() if b]
-    return [np.frombuffer(b"".join(held[name]), kind) for name, kind in kinds.items()]
-
-
 def _dealt(df: DataFrame, parts: int) -> DataFrame:
     return df.repartition(parts, "part")
 
@@ -178,10 +161,10 @@ def _candidates(docs: DataFrame, weight: np.ndarray, parts: int, words: int, per
                     totals.append(np.full(looked, len(own), np.int32))
                 if tokens:
                     token = np.concatenate(tokens)
-                    yield _blobs((token % np.uint64(parts)).astype(np.int64), parts, [token, np.concatenate(own_keys), np.concatenate(totals)], ["tokens", "keys", "n"])
+                    yield packed_parts((token % np.uint64(parts)).astype(np.int64), parts, [token, np.concatenate(own_keys), np.concatenate(totals)], ["tokens", "keys", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, key, n = _unpacked(batches, {"tokens": np.uint64, "keys": np.int64, "n": np.int32})
+        token, key, n = unpacked(batches, {"tokens": np.uint64, "keys": np.int64, "n": np.int32})
         order = np.lexsort((key, token))
         token, key, n = token[order], key[order], n[order]
         new = np.concatenate([[True], (token[1:] != token[:-1]) | (key[1:] != key[:-1])])[: len(token)]
@@ -194,10 +177,10 @@ def _candidates(docs: DataFrame, weight: np.ndarray, parts: int, words: int, per
         by_key = np.argsort(key, kind="stable")
         token, key, n, sets = token[by_key], key[by_key], n[by_key], sets[by_key]
         if len(token):
-            yield _blobs((key.view(np.uint64) % np.uint64(parts)).astype(np.int64), parts, [token, key, n, sets], ["tokens", "keys", "n", "sets"])
+            yield packed_parts((key.view(np.uint64) % np.uint64(parts)).astype(np.int64), parts, [token, key, n, sets], ["tokens", "keys", "n", "sets"])
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, key, n, sets = _unpacked(batches, {"tokens": np.uint64, "keys": np.int64, "n": np.int32, "sets": np.uint16})
+        token, key, n, sets = unpacked(batches, {"tokens": np.uint64, "keys": np.int64, "n": np.int32, "sets": np.uint16})
         if not len(token):
             return
         order = np.lexsort((token, sets, key))
@@ -211,15 +194,15 @@ def _candidates(docs: DataFrame, weight: np.ndarray, parts: int, words: int, per
         chosen = place < np.repeat(wanted, shared)
         token, least, pairs = _group_runs(token[chosen], key[chosen])
         if len(token):
-            tied = _blobs((pairs[:, 0].view(np.uint64) % np.uint64(parts)).astype(np.int64), parts, [pairs[:, 0], pairs[:, 1]], ["a", "b"])
-            sent = _blobs((token % np.uint64(parts)).astype(np.int64), parts, [token, least], ["tokens", "keys"])
+            tied = packed_parts((pairs[:, 0].view(np.uint64) % np.uint64(parts)).astype(np.int64), parts, [pairs[:, 0], pairs[:, 1]], ["a", "b"])
+            sent = packed_parts((token % np.uint64(parts)).astype(np.int64), parts, [token, least], ["tokens", "keys"])
             for batch in (sent, tied):
                 names = ["part", "tokens", "keys", "a", "b"]
                 columns = [batch[x] if x in batch.schema.names else pa.nulls(batch.num_rows, pa.binary()) for x in names]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, key, a, b = _unpacked(batches, {"tokens": np.uint64, "keys": np.int64, "a": np.int64, "b": np.int64})
+        token, key, a, b = unpacked(batches, {"tokens": np.uint64, "keys": np.int64, "a": np.int64, "b": np.int64})
         _, _, pairs = _group_runs(token, key)
         pairs = np.unique(np.concatenate([pairs.reshape(-1, 2), np.stack([a, b], axis=1)]), axis=0)
         for start in range(0, len(pairs), 100_000):
@@ -382,7 +365,8 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
                 columns = [rows["doc_id"], rows["signature"], rows["grp"], rows["blocks"], pa.array([h.tobytes() for h in own], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "signature", "grp", "blocks", "hashes"]).filter(pa.array(right))
 
-    texts = narrow.join(wanted, "doc_id").mapInArrow(gather, "doc_id long, signature binary, grp long, blocks int, hashes binary")
+    # The same join at every size: the list of sets grows with the input, so it is never broadcast.
+    texts = narrow.join(wanted.hint("merge"), "doc_id").mapInArrow(gather, "doc_id long, signature binary, grp long, blocks int, hashes binary")
     own = F.pmod(F.xxhash64("signature"), F.col("blocks")).cast("int")
     dealt = (
         texts.withColumn("own", own)
@@ -409,4 +393,5 @@ def first_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     """The input without the documents that are linked, directly or not, to one with a smaller id."""
     linked = link(docs, words, percent)
     later = linked.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("later")).distinct()
-    return docs.join(later, docs["doc_id"] == later["later"], "left_anti")
+    # The list grows with the input: the same join at every size, never a broadcast.
+    return docs.join(later.hint("merge"), docs["doc_id"] == later["later"], "left_anti")
