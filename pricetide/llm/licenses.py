@@ -1,7 +1,10 @@
 """License scans with DataFrame functions only.
 
 ``base_scan`` finds license phrases as consecutive words. ``template_blocks`` is an exact set-similarity join of text
-blocks (lines) with license templates: every block whose words contain a template's words to the threshold is found.
+blocks with license templates: every block whose words contain a template's words to the threshold is found. Blocks are
+lines and, if asked for, windows over the words of the whole text, which line breaks and comment signs do not cut. A
+template of n words is compared with windows of 2 n words that begin every n / 2 words: it is found if the words that
+reach the threshold lie within 1.5 n words.
 Words are ordered by their frequency over all blocks, rarest first. A template is indexed under its prefix alone (a
 block without any prefix word cannot reach the threshold); candidates then pass a length and a positional filter
 before the overlap is counted.
@@ -93,9 +96,41 @@ def blocks(docs: DataFrame) -> DataFrame:
     return low.select("doc_id", "text_key", "block", F.array_distinct(_words(F.col("line"))).alias("words")).where(F.size("words") > 0)
 
 
-def template_blocks(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, percent: int = THRESHOLD_PERCENT) -> DataFrame:
+def _need(words: list[str], percent: int) -> int:
+    return -(-percent * len(words) // 100)
+
+
+def windows(docs: DataFrame, templates: list[tuple[str, str]], percent: int, order: dict[str, int]) -> DataFrame:
+    """``doc_id``, ``text_key``, ``block``, ``span`` (words of the template), ``n`` and ``own`` of the windows of texts
+    with several lines. Texts that cannot contain a template leave before windows are made: those without any of its
+    first words in the order, and those whose distinct words are too few of its own."""
+    sets = [sorted(set(text.split(" ")), key=order.__getitem__) for _, text in templates]
+    needs = [_need(words, percent) for words in sets]
+    firsts = sorted({w for words, need in zip(sets, needs, strict=True) for w in words[: len(words) - need + 1]})
+    # Before lowering: letters of either case are no borders. Without the u flag only A to Z match in either case.
+    border = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+    some = F.col("text").rlike(rf"(?:^|{border})(?i:{'|'.join(firsts)})(?:\z|{border})")
+    texts = docs.where(F.contains("text", F.lit("\n")) & some).select("doc_id", lowered("text").alias("low"))
+    own = F.array(*map(F.lit, sorted(order)))
+    held = texts.select("doc_id", F.xxhash64("low").alias("text_key"), _words(F.col("low")).alias("words")).withColumn("held", F.array_intersect("words", own))
+    enough = [
+        F.when(F.size(F.array_intersect("held", F.array(*map(F.lit, words)))) >= need, F.lit(len(text.split(" "))))
+        for words, need, (_, text) in zip(sets, needs, templates, strict=True)
+    ]
+    cut = held.select("doc_id", "text_key", "words", F.explode(F.array_distinct(F.array_compact(F.array(*enough)))).alias("span"))
+    step = F.greatest(F.lit(1), F.floor(F.col("span") / 2).cast("int"))
+    # The last window begins where the one before it leaves words over.
+    last = F.greatest(F.lit(0), F.size("words") - 2 * F.col("span") + step - 1)
+    parts = F.transform(F.sequence(F.lit(0), last, step), lambda at: F.array_intersect(F.slice("words", at + 1, 2 * F.col("span")), own))
+    cut = cut.select("doc_id", "text_key", "span", F.explode(parts).alias("own"))
+    return cut.select("doc_id", "text_key", F.lit(-1).alias("block"), "span", F.size("own").alias("n"), "own")
+
+
+def template_blocks(
+    docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, percent: int = THRESHOLD_PERCENT, wrapped: bool = False
+) -> DataFrame:
     """``doc_id``, ``text_key``, ``block``, ``label`` and ``containment`` of every block that contains a template to
-    ``percent`` of its distinct words."""
+    ``percent`` of its distinct words. ``wrapped``: windows (block -1) are blocks as well as lines."""
     spark = docs.sparkSession
     sets = [(label, sorted(set(text.split(" ")))) for label, text in templates]
     vocabulary = sorted({w for _, words in sets for w in words})
@@ -110,17 +145,21 @@ def template_blocks(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATE
     index = []
     for number, (label, words) in enumerate(sets):
         ranked = sorted(words, key=order.__getitem__)
-        need = -(-percent * len(ranked) // 100)
+        need = _need(ranked, percent)
         for place, word in enumerate(ranked[: len(ranked) - need + 1]):
-            index.append((word, order[word], number, label, ranked, need, len(ranked) - place))
-    schema = "word string, rank int, template int, label string, template_words array<string>, need int, left int"
+            index.append((word, order[word], number, label, ranked, need, len(ranked) - place, len(templates[number][1].split(" "))))
+    schema = "word string, rank int, template int, label string, template_words array<string>, need int, left int, length int"
     prefixes = spark.createDataFrame(index, schema)
     ranks = F.create_map(*[x for w, k in order.items() for x in (F.lit(w), F.lit(k))])
     starts = F.array(*map(F.lit, sorted({row[0] for row in index})))
+    every = lines.withColumn("span", F.lit(0))
+    if wrapped:
+        every = every.unionByName(windows(docs, templates, percent, order))
     candidates = (
-        lines.select("doc_id", "text_key", "block", "n", "own", F.explode(F.array_intersect("own", starts)).alias("word"))
+        every.select("doc_id", "text_key", "block", "span", "n", "own", F.explode(F.array_intersect("own", starts)).alias("word"))
         # The index has a row per prefix word of a template: a fixed size.
         .join(F.broadcast(prefixes), "word")
+        .where((F.col("span") == 0) | (F.col("span") == F.col("length")))
         .where((F.col("n") >= F.col("need")) & (F.size("own") >= F.col("need")))
         # Of a block's words only those that follow this one in the order can still be shared, if it is the first.
         .withColumn("ranks", F.array_sort(F.transform("own", lambda w: F.element_at(ranks, w))))
@@ -130,15 +169,18 @@ def template_blocks(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATE
     scored = candidates.select("doc_id", "text_key", "block", "template", "label", overlap.alias("overlap"), F.size("template_words").alias("total"))
     return (
         scored.where(F.col("overlap") * 100 >= F.col("total") * percent)
-        .dropDuplicates(["doc_id", "text_key", "block", "template"])
+        # A line and a template once; of the windows of a text the one that holds most.
+        .groupBy("doc_id", "text_key", "block", "template", "label", "total")
+        .agg(F.max("overlap").alias("overlap"))
         .select("doc_id", "text_key", "block", "label", (F.col("overlap") / F.col("total")).alias("containment"))
     )
 
 
-def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
-    """Phrase columns, base labels, all labels and the score of every row: 1 with a phrase, else the best containment."""
+def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, wrapped: bool = False) -> DataFrame:
+    """Phrase columns, base labels, all labels and the score of every row: 1 with a phrase, else the best containment.
+    ``wrapped``: templates are also found where lines break inside them."""
     found = (
-        template_blocks(docs, templates)
+        template_blocks(docs, templates, wrapped=wrapped)
         .groupBy("doc_id", "text_key")
         .agg(F.array_sort(F.collect_set("label")).alias("own"), F.max("containment").alias("best"))
         .withColumnsRenamed({"doc_id": "d", "text_key": "k"})
@@ -159,7 +201,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataF
 
 
 def scan_sql(templates: list[tuple[str, str]] = TEMPLATES, percent: int = THRESHOLD_PERCENT) -> str:
-    """The same result by counting every word of every line against every template."""
+    """The same result by counting every word of every line against every template; it has no windows."""
     sets = ", ".join("('{}', [{}])".format(label, ", ".join(f"'{w}'" for w in sorted(set(text.split(" "))))) for label, text in templates)
     places = " UNION ALL ".join(
         "SELECT doc_id, low, i - 1 AS pos, '{}' AS label FROM w, unnest(range(1, len(words) + 1)) u(i) WHERE {}".format(

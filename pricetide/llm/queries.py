@@ -58,7 +58,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    return licenses.scan(table(spark, sf_dir, "documents"), wrapped=True)
 
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -262,3 +262,42 @@ def test_licenses_repeated_null_and_empty(spark):
     df = spark.createDataFrame([(1, "all rights reserved"), (1, "all rights reserved"), (None, "cc by"), (1, "other")], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.n_base) for r in licenses.scan(df).collect()) == [(0, 1), (1, 0), (1, 1), (1, 1)]
     assert licenses.scan(df.limit(0)).count() == 0
+
+
+MIT = """# Copyright (c) 2020 A. Person
+#
+# Permission is hereby granted, free of charge, to any person obtaining a copy
+# of this software and associated documentation files (the "Software"), to deal
+# in the Software without restriction."""
+BSD = """/*
+ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions
+ * are met:
+ */"""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version."""
+
+
+def test_licenses_find_wrapped_notices(spark):
+    prose = "\n".join(f"line {k} of some other words that fill the text up" for k in range(40))
+    rows = [(k, start + notice + end) for k, notice in enumerate((MIT, BSD, GPL, MIT.replace("\n", "\r\n"))) for start, end in [("", ""), (prose + "\n", "\n" + prose)]]
+    rows += [(10, prose), (11, "permission is hereby granted\n" + prose + "\nto any person obtaining a copy"), (12, "released\nunder the MIT\nlicense"), (13, None)]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), wrapped=True).collect()
+    assert len(got) == len(rows)
+    label = {0: "mit", 1: "bsd", 2: "gpl", 3: "mit", 10: "", 11: "", 12: "mit", 13: ""}
+    assert [(r.doc_id, r.labels) for r in got if r.labels != label[r.doc_id]] == []
+    assert all((r.score >= 0.8) == bool(label[r.doc_id]) for r in got)
+
+
+def test_license_windows_find_a_notice_at_every_place(spark):
+    notice = MIT.replace("#", "")
+    rows = [(k, "other\n" * k + notice + "\nother" * (150 - k)) for k in range(0, 150)]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), wrapped=True).collect()
+    assert {(r.labels, r.score) for r in got} == {("mit", 1.0)}
+
+
+def test_registered_licenses_query_finds_wrapped_notices(spark, tmp_path):
+    spark.createDataFrame([(1, BSD), (2, "nothing\nhere")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.labels for r in queries.op6_licenses(spark, str(tmp_path)).collect()} == {1: "bsd", 2: ""}
