@@ -73,15 +73,17 @@ def _digits(text: str) -> str:
 
 
 def card(text: str, key: bytes) -> str | None:
-    """Issuer digit and check rule stay. Numbers of a card's length and issuer that fail the check keep failing it."""
+    """Issuer digit (with 2, the range 2221-2720) and check digit stay valid; numbers that fail the check are no cards."""
     d = _digits(text)
-    if d[0] not in "3456" or len(set(d)) == 1:
+    if not 13 <= len(d) <= 19 or len(set(d)) == 1 or luhn(d[:-1]) != int(d[-1]) or not _issuer(d):
         return None
-    off = (int(d[-1]) - luhn(d[:-1])) % 10
-    if off and len(d) != 16:
-        return None
-    body = f"{permute(int(d[1:-1]), 10 ** (len(d) - 2), key, f'card{off}{d[0]}'):0{len(d) - 2}d}"
-    return _refill(text, d[0] + body + str((luhn(d[0] + body) + off) % 10))
+    issued = lambda v: _issuer(f"{d[0]}{v:0{len(d) - 2}d}")
+    body = f"{_walk(int(d[1:-1]), 10 ** (len(d) - 2), key, f'card{d[0]}', issued):0{len(d) - 2}d}"
+    return _refill(text, d[0] + body + str(luhn(d[0] + body)))
+
+
+def _issuer(digits: str) -> bool:
+    return digits[0] in "3456" or 2221 <= int(digits[:4]) <= 2720
 
 
 def phone(text: str, key: bytes) -> str | None:
@@ -200,17 +202,30 @@ def replace(text: str, key: bytes) -> tuple[str, list[dict]]:
         # The first kind in order whose format starts here and whose rules the value meets.
         for kind, (_, renew) in KINDS.items():
             value = _compiled(kind).match(text, found.start())
-            new = renew(value[0], key) if value else None
+            if not value:
+                continue
+            end, new = _shortened(value, key) if kind == "card" else (value.end(), renew(value[0], key))
             if new is not None:
                 out += [text[done : value.start()], new]
-                spans.append({"kind": kind, "start": value.start(), "end": value.end(), "pseudonym": new})
-                done = place = value.end()
+                spans.append({"kind": kind, "start": value.start(), "end": end, "pseudonym": new})
+                done = place = end
                 break
         else:
             place = found.start() + 1
     return "".join([*out, text[done:]]), spans
 
 
+def _shortened(value: re.Match, key: bytes) -> tuple[int, str | None]:
+    """Where the longest part that is a card ends, and its pseudonym. Parts begin where the value does and end
+    where a group of digits does, so an expiry date, a code or an amount behind a number is not taken into it."""
+    text = value[0]
+    for size in [len(text), *(m.start() for m in reversed(list(re.finditer(r"[ -]", text))))]:
+        new = card(text[:size], key)
+        if new is not None:
+            return value.start() + size, new
+    return value.end(), None
+
+
 @functools.lru_cache(maxsize=32)
 def _compiled(kind: str) -> re.Pattern:
     return re.compile(KINDS[kind][0])

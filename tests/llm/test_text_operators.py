@@ -215,6 +215,27 @@ def test_values_that_fail_their_check_stay():
         assert pii.replace(text, b"k") == (text, [])
 
 
+@pytest.mark.parametrize("behind", [" 12/27", " 123", " 12 27", " 12.50", "-1", " 1225 999", " 4111", " 99 EUR"])
+@pytest.mark.parametrize("number", ["4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1111", "378282246310005", "2221000000000009", "2720 9900 0000 0007"])
+def test_cards_are_found_before_other_digits(number, behind):
+    out, spans = pii.replace(f"card {number}{behind} end", b"k")
+    assert [(s["kind"], s["start"]) for s in spans][:1] == [("card", 5)] and number not in out
+    new = re.sub(r"\D", "", spans[0]["pseudonym"])
+    assert pii.luhn(new[:-1]) == int(new[-1]) and (new[0] != "2" or 2221 <= int(new[:4]) <= 2720)
+    if spans[0]["end"] == 5 + len(number):  # a longer part may be a valid number as well
+        assert out.endswith(f"{behind} end")
+
+
+def test_card_ends_where_the_number_does():
+    for behind in (" 12/27", " 123", " 12.50"):
+        assert pii.replace(f"4111 1111 1111 1111{behind}", b"k")[1][0]["end"] == 19
+
+
+def test_numbers_that_fail_the_card_check_stay():
+    for text in ("4111111111111112", "3627072101032238", "6625883203433323", "5927 2430 7427 3351", "2220000000000000", "2721000000000004", "1234567812345670"):
+        assert pii.replace(text, b"k") == (text, [])
+
+
 def test_dates_map_one_to_one():
     import datetime
 
