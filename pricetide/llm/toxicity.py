@@ -26,10 +26,10 @@ from pricetide.llm.common import held_out, map_arrow
 
 # Learned from this many labelled documents at most, taken by hash of the id.
 TRAINING_DOCS = 16_000
-# The model keeps this many words and beginnings at most, the weightiest.
-TERMS = 4_000
-# A term is in this share of the toxic training rows at least, so the words of one topic are no evidence.
-SUPPORT = 0.025
+# The model keeps this many words and beginnings at most, the surest.
+TERMS = 40_000
+# Of all terms compared, so many at most are expected to pass the test of significance by chance.
+CHANCE = 0.05
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.7
 
@@ -226,17 +226,27 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCS, terms: in
 
     counts = map_arrow(chosen, count, "feature string, toxic long, clean long").groupBy("feature")
     counts = counts.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    whole = counts.where("feature = ''").first()
-    if whole is None or not whole["toxic"]:
+    row, rows = F.col("feature") == "", F.col("toxic") + F.col("clean")
+    whole = counts.agg(
+        F.max(F.when(row, F.col("toxic"))).alias("toxic"),
+        F.max(F.when(row, F.col("clean"))).alias("clean"),
+        F.count_if(rows >= 3).alias("compared"),
+    ).first()
+    if not whole["toxic"]:
         return Model(letters, -4.0, {})
     toxic, clean = float(whole["toxic"]), float(whole["clean"])
     weight = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
+    # Chernoff's bound on the chance that so many of a term's rows are toxic if it says nothing, as -log: what a row
+    # adds to it does not depend on how many there are, so a rarer word passes with more rows.
+    share = toxic / (toxic + max(clean, 0.5))
+    part = lambda n, expected: F.when(n > 0, n * F.log(n / (rows * expected))).otherwise(0.0)
+    sure = part(F.col("toxic"), share) + part(F.col("clean"), 1 - share)
     best = (
-        counts.where(F.col("feature") != "")
-        .where(F.col("toxic") >= F.lit(max(2.0, SUPPORT * toxic)))
+        counts.where(~row & (rows >= 3) & (F.col("toxic") > rows * share))
+        .where(sure >= math.log(max(1, whole["compared"]) / CHANCE))
         .where((F.col("toxic") + 0.5) * F.lit((clean + 1) / (toxic + 1)) >= 30 * (F.col("clean") + 0.5))
         .select("feature", "toxic", weight.alias("weight"))
-        .orderBy(F.desc("weight"), "feature")
+        .orderBy(sure.desc(), "feature")
         .limit(terms)
         .collect()
     )

@@ -144,6 +144,26 @@ def test_toxicity_restores_disguises(spark):
     assert 0 < none.score("anything")[0] < 0.5
 
 
+def test_toxicity_learns_many_rare_words(spark):
+    rng = random.Random(6)
+    made = lambda: "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(3))
+    clean, bad = ([made() + end for _ in range(300)] for end in ("", "x"))
+    share = [0.005 if k % 2 else 0.02 for k in range(300)]
+    rows, labels = [], []
+    for i in range(12_000):
+        words = [rng.choice(clean) for _ in range(9)]
+        if i % 6 == 0:
+            words += [w for w, p in zip(bad, share) if rng.random() < p] or [rng.choice(bad)]
+        rows.append((i, " ".join([*words, f"unique{i}word"]), "en"))
+        labels.append((i, 1, int(i % 6 == 0)))
+    df, labels = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.fit(df, labels)
+    asked = toxicity.score(df, model).where(held_out("doc_id")).collect()
+    right = [(r.doc_id % 6 == 0, r.score >= toxicity.THRESHOLD) for r in asked]
+    found = sum(a and b for a, b in right)
+    assert found / sum(a for a, _ in right) > 0.9 and found / sum(b for _, b in right) > 0.95
+
+
 def test_toxicity_restore_is_the_best_path():
     rng = np.random.default_rng(5)
     model = np.log(rng.dirichlet(np.ones(toxicity.WIDTH), (toxicity.WIDTH, toxicity.WIDTH)).astype(np.float32) + 1e-9)
