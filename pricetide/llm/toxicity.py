@@ -1,8 +1,8 @@
 """Toxicity scores on text restored from leetspeak, spacing and repetition.
 
 The noisy channel writes a letter as itself, as a look-alike sign, several times in a row, or with separators around
-it. ``restore`` finds the most likely source of a disguised word by a Viterbi search over the lattice of possible
-letters under a letter-trigram model counted from the whole corpus. The scorer is a list of weighted words and word
+it. ``restore`` finds the most likely source of a disguised word, or of a run of spaced-out words, by a Viterbi search
+over the lattice of possible letters and word borders under a letter-trigram model counted from the whole corpus. The scorer is a list of weighted words and word
 beginnings learned from labelled rows; words are compared with runs of one letter collapsed, on both sides.
 
 Defined results: a null text scores like an empty one (the prior alone); a row without an id or label teaches
@@ -31,6 +31,10 @@ TERMS = 40_000
 # Of all terms compared, so many at most are expected to pass the test of significance by chance.
 CHANCE = 0.05
 PREFIXES = (4, 5, 6)
+# Borders of spaced-out words: paths of the lattice so much less likely (as a logarithm) than the best one count too.
+MARGIN = 20.0
+# Parts between separators in one restored word at most.
+LONGEST = 30
 THRESHOLD = 0.7
 
 # Signs that stand for letters.
@@ -45,7 +49,8 @@ _SPACED = re.compile(rf"(?<![^\W_])[^\W_](?:[ .*_\-]{{1,2}}(?:[^\W_]|[@$!+|(])){
 # A word that holds a look-alike next to a letter, an inner separator or a run of three.
 _DISGUISED = re.compile(rf"(?=.*[^\W\d_])(?:.*[{_SIGNS}].*|.*[^\W\d_][ .*_\-]+[^\W\d_].*|.*(.)\1\1.*)")
 _EDGES = re.compile(r"^[^\w@$!+|(<€£¡#]+|[^\w@$+|]+$")
-_SEPARATORS = re.compile(r"[ .*_\-'’]+")
+_STRIPPED = " .*_-'’"
+_PLACE = re.compile(r"([ .*_\-'’]+)|(.)\2*")
 _RUN = re.compile(r"(.)\1+")
 
 WIDTH = 64  # letter classes: 0 the edge, 1-26 a-z, 27-58 Latin letters with marks, 59 any other letter
@@ -95,21 +100,35 @@ def squeeze(word: str) -> str:
 
 
 def restore(word: str, model: np.ndarray) -> str:
-    """The likeliest letters behind a disguised lower-case word.
+    """The likeliest letters behind a disguised lower-case word, or words with a blank between them."""
+    return decoded(word, model).replace("\0", "")
 
-    Runs of one sign become one place of the lattice, which may stand for one letter or a double one.
+
+def decoded(word: str, model: np.ndarray) -> str:
+    """As ``restore``, with a zero character for each separator that is no border.
+
+    Runs of one sign become one place of the lattice, which may stand for one letter or a double one. Separators become
+    one place each: nothing, or the border of two words.
     """
-    runs = [m[0] for m in re.finditer(r"(.)\1*", _SEPARATORS.sub("", word))]
-    # state: last two classes -> (log-probability, letters)
-    states = {(0, 0): (0.0, "")}
-    for run in runs:
+    # state: last two classes -> (log-probability, letters as a linked list)
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    for place in _PLACE.finditer(word.strip(_STRIPPED)):
+        run = place[0]
         sign = run[0]
+        grown: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        if place[1] is not None:
+            grown |= {k: (fit, ("\0", letters)) for k, (fit, letters) in states.items()}
+            for (a, b), (fit, letters) in states.items():
+                total = fit + float(model[a, b, 0])
+                if b and ((b, 0) not in grown or grown[b, 0][0] < total):
+                    grown[b, 0] = total, (" ", letters)
+            states = grown
+            continue
         choices = [(c, -1.0) for c in LOOKALIKES.get(sign, "")]
         if sign.isalpha():
             choices.append((sign, 0.0))
         elif not choices:
             choices.append(("", -1.0))
-        grown: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (fit, letters) in states.items():
             for letter, cost in choices:
                 for copies in (1, 2) if len(run) > 1 and letter else (1,):
@@ -117,11 +136,41 @@ def restore(word: str, model: np.ndarray) -> str:
                     for _ in range(copies if letter else 0):
                         k = letter_class(ord(letter))
                         total += float(model[x, y, k])
-                        x, y, made = y, k, made + letter
+                        x, y, made = y, k, (letter, made)
                     if (x, y) not in grown or grown[x, y][0] < total:
                         grown[x, y] = total, made
         states = grown
-    return max(((fit + float(model[a, b, 0]), letters) for (a, b), (fit, letters) in states.items()), default=(0, ""))[1]
+    ends = ((fit + (float(model[a, b, 0]) if b else 0.0), made) for (a, b), (fit, made) in states.items())
+    made, out = max(ends, key=lambda x: x[0])[1], []
+    while made:
+        out.append(made[0])
+        made = made[1]
+    return "".join(reversed(out)).strip(" \0")
+
+
+def likely_words(path: str, model: np.ndarray) -> list[str]:
+    """Words between separators of a decoded path, on the best path or on one that is less likely by ``MARGIN`` at most."""
+    parts = [x for x in re.split("[ \0]", path) if x]
+    size = len(parts)
+    fits: dict[tuple[int, int], float] = {}
+    for i in range(size):
+        a = b = 0
+        total = 0.0
+        for j in range(i + 1, min(size, i + LONGEST) + 1):
+            for c in parts[j - 1]:
+                # A word after another one begins behind that one's last letter, the first one behind two edges.
+                k = letter_class(ord(c))
+                x = letter_class(ord(parts[i - 1][-1])) if i and not a and not b else a
+                total += float(model[x, b, k])
+                a, b = b, k
+            fits[i, j] = total + float(model[a, b, 0])
+    before, behind = [-math.inf] * (size + 1), [-math.inf] * (size + 1)
+    before[0] = behind[size] = 0.0
+    for (i, j), fit in sorted(fits.items()):
+        before[j] = max(before[j], before[i] + fit)
+    for (i, j), fit in sorted(fits.items(), reverse=True):
+        behind[i] = max(behind[i], behind[j] + fit)
+    return ["".join(parts[i:j]) for (i, j), fit in fits.items() if before[i] + fit + behind[j] >= before[size] - MARGIN]
 
 
 def words(text: str) -> set[str]:
@@ -131,14 +180,17 @@ def words(text: str) -> set[str]:
     return found
 
 
-def plain(chunk: str, model: np.ndarray) -> str:
-    """A chunk in lower case without signs at its edges, restored if it looks disguised, runs collapsed."""
+def plain(chunk: str, model: np.ndarray) -> list[str]:
+    """The words of a chunk in lower case without signs at its edges, restored if it looks disguised, runs collapsed.
+
+    Where it holds separators, every word counts that they may likely border, and the chunk without separators."""
     word = _EDGES.sub("", chunk.lower())
-    if not word.isalpha() and len(word) <= 60 and _DISGUISED.fullmatch(word):
-        word = restore(word, model)
-    elif len(word) <= 60 and re.search(r"(.)\1\1", word):
-        word = restore(word, model)
-    return squeeze(word)
+    spaced = _SPACED.fullmatch(word) is not None
+    if (spaced or len(word) <= 60) and (re.search(r"(.)\1\1", word) or (not word.isalpha() and _DISGUISED.fullmatch(word))):
+        path = decoded(word, model)
+        made = [re.sub("[ \0]", "", path), *(likely_words(path, model) if re.search("[ \0]", path) else [])]
+        return list(dict.fromkeys(map(squeeze, made)))
+    return [squeeze(word)]
 
 
 def features(word: str) -> list[str]:
@@ -156,7 +208,7 @@ class Model:
     prior: float
     weights: dict[str, float]
     known: set[str] = field(default_factory=set)
-    evidence: dict[str, tuple[str, float]] = field(default_factory=dict)
+    evidence: dict[str, list[tuple[str, float]]] = field(default_factory=dict)
 
     MOST_KNOWN = 600_000
 
@@ -169,13 +221,12 @@ class Model:
         if len(self.known) > self.MOST_KNOWN:
             self.known, self.evidence = set(), {}
         for chunk in chunks - self.known:
-            word = plain(chunk, self.letters)
-            weight = max((self.weights.get(f, 0.0) for f in features(word)), default=0.0)
-            if weight > 0:
-                self.evidence[chunk] = word, weight
+            weighed = [(word, max((self.weights.get(f, 0.0) for f in features(word)), default=0.0)) for word in plain(chunk, self.letters)]
+            if speaking := [x for x in weighed if x[1] > 0]:
+                self.evidence[chunk] = speaking
             if len(chunk) <= 100:
                 self.known.add(chunk)
-        return dict(self.evidence[c] for c in chunks & self.evidence.keys())
+        return dict(x for c in chunks & self.evidence.keys() for x in self.evidence[c])
 
     def score(self, text: str) -> tuple[float, dict[str, float]]:
         terms = self.terms(text)
@@ -217,7 +268,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCS, terms: in
             own = {""}  # stands for the row itself
             for chunk in words(text or ""):
                 if chunk not in memory:
-                    memory[chunk] = features(plain(chunk, letters))
+                    memory[chunk] = [f for word in plain(chunk, letters) for f in features(word)]
                 own.update(memory[chunk])
             seen[int(toxic > 0)].update(own)
         names = list(seen[0].keys() | seen[1].keys())

@@ -144,6 +144,25 @@ def test_toxicity_restores_disguises(spark):
     assert 0 < none.score("anything")[0] < 0.5
 
 
+def test_toxicity_finds_words_next_to_spaced_words(spark):
+    rng = random.Random(8)
+    clean = "he is a man I know y o you and the house river stone garden window table today about".split()
+    bad = ["moron", "idiot", "stupid", "bandit"]
+    rows = [(i, " ".join([*(rng.choice(clean) for _ in range(20)), *([rng.choice(bad)] if i % 5 == 0 else []), f"unique{i}word"]), "en") for i in range(600)]
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(600)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(documents(spark, rows), labels)
+    for word in bad:
+        spaced = " ".join(word)
+        for one in "aIyo":
+            for text in (f"he is {one} {spaced} today", f"know {spaced} {one} today", f"{one} {spaced} {one}"):
+                assert word in model.score(text)[1], text
+        for other in bad:
+            for text in (f"{spaced} {' '.join(other)}", "*".join(word + other), f"{spaced}  {' '.join(other)} a"):
+                assert {word, other} <= set(model.score(text)[1]), text
+    assert "moron" in model.score("h e i s a m o r o n a n d y o u k n o w t h e h o u s e a b o u t t o d a y")[1]
+    assert model.score("t h e h o u s e a n d t h e r i v e r")[0] < 0.5 and model.score("well-known man")[0] < 0.5
+
+
 def test_toxicity_learns_many_rare_words(spark):
     rng = random.Random(6)
     made = lambda: "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(3))
