@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricetide.llm import bpe, fingerprint, itq, langid, licenses, ngram_join, packing, pii, suffix_dedup, toxicity
+from pricetide.llm import bpe, extraction, fingerprint, itq, langid, licenses, ngram_join, packing, pii, prefix_trie, repair, suffix_dedup, toxicity
 from pricetide.llm.common import held_out, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -75,6 +75,24 @@ def op10_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itq.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_ngram_join": op2_ngram_join, "op3_bpe": op3_bpe, "op4_toxicity": op4_toxicity, "op5_pii": op5_pii, "op6_licenses": op6_licenses, "op7_fingerprints": op7_fingerprints, "op8_langid": op8_langid, "op9_packing": op9_packing, "op10_itq": op10_itq}
+def op11_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired(table(spark, sf_dir, "conversations"))
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_suffix_dedup, op2_ngram_join, op3_bpe, op4_toxicity, op5_pii, op6_licenses, op7_fingerprints, op8_langid, op9_packing,
+        op10_itq, op11_extraction, op12_repair, op13_trie,
+    )
+}
 
 SQL: dict[str, str] = {"op6_licenses": licenses.scan_sql()}
