@@ -1,31 +1,48 @@
 """Captured page markup as columns.
 
-Simple fields come from regular expressions (JVM side). Where nesting matters,
-``pick`` parses each page once, in Arrow batches, and hands back only the texts
-of the elements named by a set of rules; choosing between them, cleaning and
-pairing them stay built-in expressions on those short arrays.
+Simple fields come from regular expressions. Where nesting matters, ``nodes`` cuts a page once into tags and texts
+(one ``regexp_extract_all``); the tag names alone are matched, in Arrow batches, which gives nested intervals: for each
+tag the place of its end, its parent and its number among its siblings. A rule names elements by tag, class, attribute and
+the elements around them; "inside" is a test of intervals, and the texts of an element are those in its interval.
+``pick`` gives the elements of each rule, as short arrays that stay built-in expressions.
 """
 
 from __future__ import annotations
 
-import re
-from bisect import bisect_left
+import json
+from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
-from html import unescape as unescape_entities
+from html.entities import name2codepoint
 
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricetide.functions.text import collapsed_sql as _collapsed
 from pricetide.functions.text import pystrip
 
 # Elements without an end tag, and elements that start a new line.
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-BLOCK = frozenset(
+VOID = "area base br col embed hr img input link meta source track wbr".split()
+BLOCK = (
     "address article aside blockquote body br dd div dl dt footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p "
-    "section table td th tr ul".split()
-)
+    "section table td th tr ul"
+).split()
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once: the element of a list of one."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _attribute(n: str, name: str) -> str:
+    """Value of an attribute of node ``n``, '' if it has none, null if it is not there."""
+    return f"get(filter({n}.attrs, a -> a.name = {_quoted(name)}), 0).value"
 
 
 # --- rules -------------------------------------------------------------------------------------
@@ -42,24 +59,16 @@ class El:
     nth: int = 0
     child: bool = False
 
-    def __post_init__(self):
-        object.__setattr__(self, "tags", self.tag.split())
-        object.__setattr__(self, "classes", self.cls.split())
-
-    def fits(self, page: _Page, i: int) -> bool:
-        if self.tags and page.tag[i] not in self.tags:
-            return False
-        attrs = page.attrs[i]
-        if self.classes:
-            present = page.classes(i)
-            if not all(c in present for c in self.classes):
-                return False
-        if self.nth and page.nth[i] != self.nth:
-            return False
+    def fits(self, n: str) -> str:
+        """The test of node ``n``, as SQL."""
+        tests = [f"{n}.tag IN ({', '.join(map(_quoted, self.tag.split()))})" if self.tag else f"{n}.tag != ''"]
+        tests += [f"contains({n}.cls, {_quoted(f' {c} ')})" for c in self.cls.split()]
+        if self.nth:
+            tests.append(f"{n}.nth = {self.nth}")
         for name, value in self.attrs:
-            if name not in attrs or (value is not None and attrs[name] != value):
-                return False
-        return all(part in attrs.get(name, "") for name, part in self.has)
+            tests.append(f"{_attribute(n, name)} IS NOT NULL" if value is None else f"{_attribute(n, name)} = {_quoted(value)}")
+        tests += [f"contains({_attribute(n, name)}, {_quoted(part)})" for name, part in self.has]
+        return f"coalesce({' AND '.join(tests)}, false)"
 
 
 @dataclass(frozen=True)
@@ -93,232 +102,338 @@ def rule(*paths, take: str | None = None, parts: tuple[Part, ...] = ()) -> Rule:
     return Rule(any_of(*paths), parts or ((Part(take),) if take else ()))
 
 
-# --- one page ----------------------------------------------------------------------------------
+# --- a page as nested intervals ----------------------------------------------------------------
 
+# Outside quotes a tag holds no further '<', and the groups are possessive, so broken markup costs no repeated scans.
+_ATTRIBUTES = r"""((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>"""
+_NAME = r"[a-zA-Z][^\s/<>]*+"
+# Elements whose content is text up to their end tag come as one token, tag and content.
+_TEXT_ONLY = rf"<(script|style|textarea|title)(?=[\s/>]){_ATTRIBUTES}.*?(?=</\1\b|\z)"
+_TOKENS = rf"(?si)<!--.*?(?:-->|\z)|{_TEXT_ONLY}|</?{_NAME}{_ATTRIBUTES}|<[!?][^<>]*+>|(?:[^<]++|<(?![a-z/!?]))++|<"
+_ATTRIBUTE = r"""(?is)[^\s"'>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+"""
+OPEN, CLOSE, ALONE, TEXT, OTHER = range(5)
+_BLOCKS = frozenset(BLOCK)
 
-# Comment, tag (end mark, name, attributes) or declaration; one attribute. Outside quotes a tag holds no
-# further '<' and the group is possessive, so broken markup costs no repeated scans.
-_TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>"']|"[^"]*"|'[^']*')*+)>|<[!?][^<>]*>""", re.S
-)
-_ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
-# Elements whose content is text up to their end tag.
-_TEXT_ONLY = {t: re.compile(rf"</{t}\b", re.I) for t in ("script", "style", "textarea", "title")}
-
-
-def _attributes(source: str) -> dict[str, str]:
-    out: dict[str, str] = {}
-    for m in _ATTR.finditer(source):
-        value = m[2] or m[3] or m[4] or ""
-        out.setdefault(m[1].lower(), unescape_entities(value) if "&" in value else value)
-    return out
-
-
-class _Page:
-    """Nodes of one page in document order, as parallel lists; texts have the tag ''."""
-
-    def __init__(self, html: str):
-        self.html, self.line, self.open = html, 0, [-1]
-        self.tag, self.attrs, self.parent, self.last = [], [], [], []
-        self.nth, self.text, self.lines, self.start, self.stop = [], [], [], [], []
-        # Elements by tag, by attribute name and by class, so that a rule looks at few of them.
-        self.all: list[int] = []
-        self.by_tag: dict[str, list[int]] = {}
-        self.by_attr: dict[str, list[int]] = {}
-        self.by_class: dict[str, list[int]] = {}
-        self._kids: dict[int, int] = {}
-        self._opened: dict[str, int] = {}
-        self._classes: dict[int, list[str]] = {}
-        self._read()
-
-    def classes(self, i: int) -> list[str]:
-        return self._classes.get(i, [])
-
-    def _read(self) -> None:
-        html, at = self.html, 0
-        token = _TOKEN.search(html)
-        while token:
-            if token.start() > at:
-                self._words(html[at : token.start()])
-            at, name = token.end(), token[2]
-            if name:
-                name = name.lower()
-                if token[1]:
-                    self._end(name, token)
-                elif not self._begin(name, token) and name in _TEXT_ONLY:
-                    close = _TEXT_ONLY[name].search(html, at)
-                    end = close.start() if close else len(html)
-                    if end > at:
-                        self._words(html[at:end], raw=name in ("script", "style"))
-                    at = end
-            token = _TOKEN.search(html, at)
-        if at < len(html):
-            self._words(html[at:])
-        while len(self.open) > 1:
-            self._shut(len(html))
-
-    def _add(self, tag, attrs, nth, text, start, stop) -> int:
-        i = len(self.tag)
-        self.tag.append(tag)
-        self.attrs.append(attrs)
-        self.parent.append(self.open[-1])
-        self.last.append(i)
-        self.nth.append(nth)
-        self.text.append(text)
-        self.lines.append(self.line)
-        self.start.append(start)
-        self.stop.append(stop)
-        return i
-
-    def _words(self, text: str, raw: bool = False) -> None:
-        self._add("", None, 0, unescape_entities(text) if "&" in text and not raw else text, 0, 0)
-
-    def _begin(self, tag: str, token: re.Match) -> bool:
-        """Opens an element; true if it has no end tag."""
-        self.line += tag in BLOCK
-        above = self.open[-1]
-        self._kids[above] = nth = self._kids.get(above, 0) + 1
-        attrs = _attributes(token[3]) if token[3] else {}
-        i = self._add(tag, attrs, nth, None, token.start(), token.end())
-        self.all.append(i)
-        self.by_tag.setdefault(tag, []).append(i)
-        for name in attrs:
-            self.by_attr.setdefault(name, []).append(i)
-        if attrs.get("class"):
-            self._classes[i] = names = attrs["class"].split()
-            for name in dict.fromkeys(names):
-                self.by_class.setdefault(name, []).append(i)
-        if tag in VOID:
-            return True
-        self.open.append(i)
-        self._opened[tag] = self._opened.get(tag, 0) + 1
-        return False
-
-    def _end(self, tag: str, token: re.Match) -> None:
-        if self._opened.get(tag):
-            while self.tag[self.open[-1]] != tag:
-                self._shut(token.start())
-            self._shut(token.end())
-
-    def _shut(self, stop: int) -> None:
-        i = self.open.pop()
-        self.last[i], self.stop[i] = len(self.tag) - 1, stop
-        self._opened[self.tag[i]] -= 1
-        self.line += self.tag[i] in BLOCK
-
-    # matching
-
-    def on_path(self, path: tuple[El, ...], i: int) -> bool:
-        if not path[-1].fits(self, i):
-            return False
-        step, direct, above = len(path) - 2, path[-1].child, self.parent[i]
-        while step >= 0:
-            if above < 0:
-                return False
-            if path[step].fits(self, above):
-                direct, step = path[step].child, step - 1
-            elif direct:
-                return False
-            above = self.parent[above]
-        return True
-
-    def candidates(self, el: El):
-        """Lists of elements among which are all that fit."""
-        if el.cls:
-            return [self.by_class.get(el.classes[0], ())]
-        if el.attrs or el.has:
-            return [self.by_attr.get((el.attrs or el.has)[0][0], ())]
-        return [self.by_tag.get(t, ()) for t in el.tags] or [self.all]
-
-    def matches(self, paths, low: int, high: int) -> list[int]:
-        found = set()
-        for path in paths:
-            for ids in self.candidates(path[-1]):
-                for i in ids[bisect_left(ids, low) : bisect_left(ids, high)]:
-                    if i not in found and self.on_path(path, i):
-                        found.add(i)
-        return sorted(found)
-
-    # taking
-
-    def take(self, part: Part, i: int) -> list[str] | None:
-        found = [i]
-        if part.paths:
-            found = self.matches(part.paths, i, self.last[i] + 1)
-            if part.child:
-                found = [j for j in found if self.parent[j] == i]
-            if part.at is not None:
-                found = found[part.at : part.at + 1]
-        if not found:
-            return None
-        how = part.take
-        if how.startswith("@"):
-            return [self.attrs[j].get(how[1:], "") for j in found]
-        if how == "outer":
-            return [self.html[self.start[j] : self.stop[j]] for j in found]
-        if how == "raw":
-            return ["".join(self.text[t] for t in self.texts(j, part.without)) for j in found]
-        if how == "lines":
-            return [self.shown(j) for j in found]
-        if how == "own":
-            wanted = set(found)
-            keep = lambda t: self.parent[t] in wanted
-        elif how == "inner":
-            keep = lambda t: any(j < self.parent[t] <= self.last[j] for j in found)
-        else:
-            keep = lambda t: True
-        picked = sorted({t for j in found for t in self.texts(j) if keep(t)})
-        return [self.text[t] for t in picked]
-
-    def texts(self, i: int, without: tuple[El, ...] = ()) -> list[int]:
-        out, j, end = [], i, self.last[i]
-        while j <= end:
-            if not self.tag[j]:
-                out.append(j)
-            elif j > i and any(el.fits(self, j) for el in without):
-                j = self.last[j]
-            j += 1
-        return out
-
-    def shown(self, i: int) -> str:
-        lines: dict[int, list[str]] = {}
-        for t in self.texts(i):
-            lines.setdefault(self.lines[t], []).append(self.text[t])
-        joined = (" ".join("".join(parts).split()) for parts in lines.values())
-        return "\n".join(line for line in joined if line)
-
-
-PICK = T.StructType(
-    [
-        T.StructField("id", T.IntegerType()),  # place in document order
-        T.StructField("last", T.IntegerType()),  # place of the last node inside
-        T.StructField("parts", T.ArrayType(T.ArrayType(T.StringType()))),
-    ]
-)
-_ARROW_PICK = pa.struct([("id", pa.int32()), ("last", pa.int32()), ("parts", pa.list_(pa.list_(pa.string())))])
+
+def _attributes(source: Column) -> Column:
+    """Names (lower case) and values of a tag's attributes."""
+
+    def pair(a: Column) -> Column:
+        value = F.regexp_replace(F.regexp_replace(a, r"(?s)\A[^=]*+=\s*+", ""), r"""\A["']|["']\z""", "")
+        value = F.when(F.contains(a, F.lit("=")), unescape(value)).otherwise("")
+        return F.struct(F.lower(F.rtrim(F.regexp_extract(a, r"\A[^=\s]++", 0))).alias("name"), value.alias("value"))
+
+    return F.transform(F.regexp_extract_all(source, F.lit(_ATTRIBUTE), F.lit(0)), pair)
+
+
+def tokens(html: Column) -> Column:
+    """Tags, texts and the rest of a page: ``kind, tag, attrs, source``, in page order."""
+    name = rf"(?si)\A</?({_NAME})"
+    # Tags whose content is text: the tag, then the content.
+    cut = rf"(?si)\A<(?:script|style|textarea|title)(?=[\s/>]){_ATTRIBUTES}"
+    none = F.array().cast("array<struct<name:string,value:string>>")
+
+    def piece(source: Column, content: bool) -> Column:
+        return F.struct(source.alias("source"), F.lit(content).alias("content"))
+
+    def pieces(t: Column) -> Column:
+        tag = F.regexp_extract(t, cut, 0)
+        whole = F.array(piece(t, False))
+        # Few tokens are searched at all: tags that begin like one of the four names.
+        return F.when(~F.substring(t, 1, 2).isin("<s", "<S", "<t", "<T"), whole).when(tag == "", whole).otherwise(
+            F.array(piece(tag, False), piece(F.substr(t, F.length(tag) + 1), True))
+        )
+
+    def token(cut_: Column) -> Column:
+        t = cut_["source"]
+        is_text = cut_["content"] | ~F.startswith(t, F.lit("<"))
+
+        def known(tag: Column) -> Column:
+            is_end = F.startswith(t, F.lit("</"))
+            kind = (
+                F.when(is_text, TEXT)
+                .when(tag == "", F.when(t.rlike(r"\A<[!?]"), OTHER).otherwise(TEXT))
+                .when(is_end, CLOSE)
+                .when(tag.isin(*VOID), ALONE)
+                .otherwise(OPEN)
+            )
+            source = F.regexp_extract(t, rf"(?si)\A<{_NAME}{_ATTRIBUTES}\z", 1)
+            # A tag longer than its name and two brackets has attributes.
+            attrs = F.when((tag != "") & ~is_end & (F.length(t) > F.length(tag) + 2), _attributes(source)).otherwise(none)
+            return F.struct(kind.alias("kind"), tag.alias("tag"), attrs.alias("attrs"), t.alias("source"))
+
+        return let(F.when(is_text, "").otherwise(F.lower(F.regexp_extract(t, name, 1))), known)
+
+    found = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(_TOKENS), F.lit(0))
+    # An empty content is no text.
+    return F.transform(F.filter(F.flatten(F.transform(found, pieces)), lambda t: t["source"] != ""), token)
+
+
+_PLACE = T.StructType([T.StructField(c, T.IntegerType()) for c in ("last", "parent", "nth", "line")])
+_ARROW_PLACE = pa.struct([(c, pa.int32()) for c in ("last", "parent", "nth", "line")])
+
+
+def nested(marks: list[str]) -> list[tuple[int, int, int, int]]:
+    """Last place inside, parent, number among its siblings and line of every token.
+
+    ``marks``: ``p`` begins an element, ``/p`` ends the nearest open one of its name and all that is open in it, ``p/`` has
+    no end, '' is a text and ``!`` anything else. What is open at the end of the page ends there.
+    """
+    last, parent, nth, lines = list(range(len(marks))), [-2] * len(marks), [0] * len(marks), [0] * len(marks)
+    opened, kids, line, still = [-1], [0], 0, Counter()
+    for i, mark in enumerate(marks):
+        if mark.startswith("/"):
+            if not still[mark[1:]]:
+                continue
+            while True:
+                ended = opened.pop()
+                kids.pop()
+                still[marks[ended]] -= 1
+                line += marks[ended] in _BLOCKS
+                last[ended] = i if marks[ended] == mark[1:] else i - 1
+                if last[ended] == i:
+                    break
+        elif mark != "!":
+            parent[i] = opened[-1]
+            if mark:
+                kids[-1] += 1
+                nth[i] = kids[-1]
+                line += mark.removesuffix("/") in _BLOCKS
+                if not mark.endswith("/"):
+                    opened.append(i)
+                    kids.append(0)
+                    still[mark] += 1
+        lines[i] = line
+    for i in opened[1:]:
+        last[i] = len(marks) - 1
+    return list(zip(last, parent, nth, lines, strict=True))
+
+
+@F.arrow_udf(T.ArrayType(_PLACE))
+def _places(marks: pa.Array) -> pa.Array:
+    """``nested`` of each page. It is all that is left to Python: Spark's folds copy their whole state at every step."""
+    columns = ("last", "parent", "nth", "line")
+    pages = [None if m is None else [dict(zip(columns, row, strict=True)) for row in nested(m)] for m in marks.to_pylist()]
+    return pa.array(pages, pa.list_(_ARROW_PLACE))
+
+
+def nodes(tokens: str) -> Column:
+    """A column of tokens as nested intervals: ``id, last, parent, nth, line, tag, cls, attrs, text, source``.
+
+    ``tag`` is '' for texts and null for end tags, comments and declarations; ``text`` has its references resolved, but
+    in scripts and styles.
+    """
+    all_ = F.col(tokens)
+    ends = {OPEN: lambda t: t["tag"], CLOSE: lambda t: F.concat(F.lit("/"), t["tag"]), ALONE: lambda t: F.concat(t["tag"], F.lit("/"))}
+
+    def mark(t: Column) -> Column:
+        said = F.when(t["kind"] == TEXT, "")
+        for kind, text in ends.items():
+            said = said.when(t["kind"] == kind, text(t))
+        return said.otherwise("!")
+
+    def node(r: Column, i: Column) -> Column:
+        t = F.get(all_, i)
+        is_text = t["kind"] == TEXT
+        raw = F.coalesce(F.get(all_, r["parent"])["tag"].isin("script", "style"), F.lit(False))
+        cls = F.get(F.filter(t["attrs"], lambda a: a["name"] == "class"), F.lit(0))["value"]
+        return F.struct(
+            i.alias("id"),
+            *[r[c].alias(c) for c in ("last", "parent", "nth", "line")],
+            F.when(t["kind"].isin(OPEN, ALONE, TEXT), t["tag"]).alias("tag"),
+            F.concat(F.lit(" "), F.regexp_replace(cls, r"\s+", " "), F.lit(" ")).alias("cls"),
+            t["attrs"].alias("attrs"),
+            F.when(is_text & raw, t["source"]).when(is_text, unescape(t["source"])).alias("text"),
+            t["source"].alias("source"),
+        )
+
+    return F.transform(_places(F.transform(all_, mark)), node)
+
+
+def elements(page: str) -> Column:
+    """The elements among the nodes of a column."""
+    return F.expr(f"filter({page}, n -> n.tag != '')")
+
+
+# --- picking elements --------------------------------------------------------------------------
+
+
+# The column of the markup.
+HTML = "html"
+
+
+class _Names:
+    """Names of lambda variables that do not meet."""
+
+    def __init__(self) -> None:
+        self.last = 0
+
+    def __call__(self) -> str:
+        self.last += 1
+        return f"v{self.last}"
+
+
+def _let(names: _Names, value: str, body: Callable[[str], str]) -> str:
+    """``body`` of a value that is computed once: the element of a list of one."""
+    v = names()
+    return f"get(transform(array({value}), {v} -> {body(v)}), 0)"
+
+
+def _any(tests: list[str]) -> str:
+    return f"({' OR '.join(tests)})"
+
+
+def _inside(n: str, scope: str) -> str:
+    return f"({n}.id > {scope}.id AND {n}.id <= {scope}.last)"
 
 
-def pick(html: Column, rules: dict[str, Rule]) -> Column:
-    """Struct with one array of picked elements per rule; null markup gives empty arrays."""
-    schema = T.StructType([T.StructField(name, T.ArrayType(PICK)) for name in rules])
+def _within(page: str, n: str) -> str:
+    return f"slice({page}, {n}.id + 1, {n}.last - {n}.id + 1)"
 
-    @F.arrow_udf(schema)
-    def picks(pages: pa.Array) -> pa.Array:
-        columns = {name: [] for name in rules}
-        for value in pages:
-            markup = value.as_py()
-            page = None if markup is None else _Page(markup)
-            for name, r in rules.items():
-                ids = [] if page is None else page.matches(r.paths, 0, len(page.tag))
-                columns[name].append(
-                    [{"id": i, "last": page.last[i], "parts": [page.take(p, i) for p in r.parts]} for i in ids]
-                )
-        arrays = [pa.array(columns[name], type=pa.list_(_ARROW_PICK)) for name in rules]
-        return pa.StructArray.from_arrays(arrays, names=list(rules))
 
-    # Parsing is the dear step: as a deterministic function a later filter on a field would be pushed below
-    # it and parse every page twice.
-    return picks.asNondeterministic()(html)
+def _filter(names: _Names, items: str, test: Callable[[str], str]) -> str:
+    n = names()
+    return f"filter({items}, {n} -> {test(n)})"
+
+
+def _transform(names: _Names, items: str, body: Callable[[str], str]) -> str:
+    n = names()
+    return f"transform({items}, {n} -> {body(n)})"
+
+
+Test = Callable[[str], str]
+
+
+def _mentioned(path: tuple[El, ...]) -> str:
+    """Whether the markup has all names that a path asks for: most fallback paths of a shop are in no page, and end here."""
+    words = {w for el in path for w in (*el.cls.split(), *(n for n, _ in el.attrs), *(v for _, v in (*el.attrs, *el.has) if v))}
+    # Attribute names may be written in any case.
+    cased = {n for el in path for n, _ in el.attrs}
+    return " AND ".join(f"contains({f'lower({HTML})' if w in cased else HTML}, {_quoted(w)})" for w in sorted(words)) or "true"
+
+
+def _if_mentioned(paths: tuple[tuple[El, ...], ...], items: str, found: str) -> str:
+    tests = {_mentioned(p) for p in paths}
+    return found if "true" in tests else f"if({' OR '.join(f'({t})' for t in sorted(tests))}, {found}, slice({items}, 1, 0))"
+
+
+def _matching(names: _Names, page: str, paths: tuple[tuple[El, ...], ...], body: Callable[[Test], str]) -> str:
+    """``body`` of the test whether an element is the last step of one of the paths; the steps before are found once."""
+
+    def bound(rest: tuple, tests: list[Test]) -> str:
+        if not rest:
+            return body(lambda n: _any([t(n) for t in tests]))
+        path, *others = rest
+
+        def steps(k: int, scope: str | None) -> str:
+            el = path[k]
+
+            def test(n: str) -> str:
+                if scope is None:
+                    return el.fits(n)
+                around = names()
+                near = f"{n}.parent = {around}.id" if el.child else _inside(n, around)
+                return f"({el.fits(n)} AND exists({scope}, {around} -> {near}))"
+
+            if k == len(path) - 1:
+                return bound(tuple(others), [*tests, test])
+            return _let(names, _if_mentioned((path,), page, _filter(names, page, test)), lambda found: steps(k + 1, found))
+
+        return steps(0, None)
+
+    return bound(paths, [])
+
+
+def _taken(names: _Names, page: str, part: Part, found: str) -> str:
+    """Texts of one part from the elements it found."""
+    how = part.take
+    joined = lambda items, field: f"array_join({_transform(names, items, lambda n: f'{n}.{field}')}, '')"
+    if how.startswith("@"):
+        return _transform(names, found, lambda j: f"coalesce({_attribute(j, how[1:])}, '')")
+    if how == "outer":
+        return _transform(names, found, lambda j: joined(_within(page, j), "source"))
+
+    def texts(items: str, keep: Test | None = None) -> str:
+        return _filter(names, items, lambda n: f"({n}.tag = ''{' AND ' + keep(n) if keep else ''})")
+
+    def raw(j: str) -> str:
+        def content(own: str) -> str:
+            if not part.without:
+                return joined(texts(own), "text")
+            cut = _filter(names, own, lambda n: f"({n}.id > {j}.id AND {_any([el.fits(n) for el in part.without])})")
+
+            def outside(c: str) -> str:
+                around = names()
+                return joined(texts(own, lambda n: f"NOT exists({c}, {around} -> {_inside(n, around)})"), "text")
+
+            return _let(names, cut, outside)
+
+        return _let(names, _within(page, j), content)
+
+    def shown(j: str) -> str:
+        def lines(own: str) -> str:
+            at = f"array_distinct({_transform(names, own, lambda n: f'{n}.line')})"
+            line = lambda k: _collapsed(joined(_filter(names, own, lambda n: f"{n}.line = {k}"), "text"))
+            return f"array_join({_filter(names, _transform(names, at, line), lambda t: f'{t} != {_quoted("")}')}, {_quoted(chr(10))})"
+
+        return _let(names, texts(_within(page, j)), lines)
+
+    if how in ("raw", "lines"):
+        return _transform(names, found, raw if how == "raw" else shown)
+    near = {
+        "own": lambda n, j: f"{n}.parent = {j}.id",
+        "inner": lambda n, j: f"({n}.parent > {j}.id AND {n}.parent <= {j}.last)",
+        "deep": _inside,
+    }[how]
+    # The elements found may lie in each other: a text counts once.
+    low = f"array_min({_transform(names, found, lambda j: f'{j}.id')})"
+    high = f"array_max({_transform(names, found, lambda j: f'{j}.last')})"
+
+    def kept(n: str) -> str:
+        j = names()
+        return f"exists({found}, {j} -> {near(n, j)})"
+
+    span = f"slice({page}, {low} + 1, {high} - {low} + 1)"
+    return _transform(names, texts(span, kept), lambda n: f"{n}.text")
+
+
+def _part(names: _Names, page: str, part: Part, test: Test | None, item: str) -> str:
+    """Texts of one part of a picked element; null if its paths find nothing."""
+    if test is None:
+        return _let(names, f"array({item})", lambda found: _taken(names, page, part, found))
+    near = (lambda n: f"({n}.parent = {item}.id AND {test(n)})") if part.child else test
+    found = _filter(names, _within(page, item), near)
+    chosen = found if part.at is None else f"slice({found}, {part.at + 1}, 1)"
+    return _let(names, chosen, lambda c: f"if(size({c}) > 0, {_taken(names, page, part, c)}, NULL)")
+
+
+def _picked(page: str, elements: str, r: Rule) -> str:
+    names = _Names()
+
+    def bound(k: int, tests: list[Test | None], found: str) -> str:
+        if k < len(r.parts):
+            paths = r.parts[k].paths
+            if not paths:
+                return bound(k + 1, [*tests, None], found)
+            return _matching(names, elements, paths, lambda test: bound(k + 1, [*tests, test], found))
+
+        def one(item: str) -> str:
+            parts = [_part(names, page, p, t, item) for p, t in zip(r.parts, tests, strict=True)]
+            return f"named_struct('id', {item}.id, 'last', {item}.last, 'parts', cast(array({', '.join(parts)}) AS array<array<string>>))"
+
+        return _transform(names, found, one)
+
+    found = _matching(names, elements, r.paths, lambda test: _if_mentioned(r.paths, elements, _filter(names, elements, test)))
+    return _let(names, found, lambda f: bound(0, [], f))
+
+
+def pick(page: str, elements: str, rules: dict[str, Rule]) -> dict[str, Column]:
+    """For each rule the elements it names, in page order: ``id, last, parts``.
+
+    ``page`` and ``elements`` are columns (see ``nodes``), next to the column ``html``. Names of classes and values of
+    attributes in rules stand in the markup as they are, not as character references.
+    """
+    return {name: F.expr(_picked(page, elements, r)) for name, r in rules.items()}
 
 
 # --- choosing among picks ----------------------------------------------------------------------
@@ -380,15 +495,36 @@ def strip_tags(markup: Column) -> Column:
     return F.regexp_replace(markup, r"<[^>]*>", "")
 
 
+# A reference after its '&': decimal, hexadecimal, or a name that may go without its semicolon in the few old cases.
+_REFERENCE = r"\A(?:#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[a-zA-Z][a-zA-Z0-9]*;|(?:amp|lt|gt|quot|nbsp|copy|reg)(?![a-zA-Z0-9=]))"
+
+_NAMES = json.dumps(name2codepoint)
+
+
 def unescape(c: Column) -> Column:
-    """The five predefined entities and the no-break space; ``&amp;`` last."""
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " ")):
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return F.replace(c, F.lit("&amp;"), F.lit("&"))
+    """Character references resolved, named ones by the table of the standard library; unknown ones stay."""
+
+    def one(piece: Column) -> Column:
+        def resolved(found: Column) -> Column:
+            bare = F.rtrim(found, F.lit(";"))
+            number = F.when(F.lower(F.substring(bare, 2, 1)) == "x", F.conv(F.substring(bare, 3, 6), 16, 10)).otherwise(F.substring(bare, 2, 7))
+            named = F.try_element_at(F.from_json(F.lit(_NAMES), "map<string,int>"), bare)
+            code = F.when(F.startswith(bare, F.lit("#")), number.try_cast("int")).otherwise(named)
+            # A number that is no character stands for the replacement character.
+            valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+            char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+            return F.when((found == "") | code.isNull(), F.concat(F.lit("&"), piece)).otherwise(
+                F.concat(char, F.substr(piece, F.length(found) + 1))
+            )
+
+        return let(F.regexp_extract(piece, _REFERENCE, 0), resolved)
+
+    pieces = F.split(c, "&")
+    rest = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), one)
+    return F.when(F.contains(c, F.lit("&")), F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))).otherwise(c)
 
 
 _ANCHOR = r"""(?is)<a(?=[\s/"'])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-_ATTRIBUTE = r"""(?is)[^\s"'>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+"""
 
 
 def hrefs(html: Column) -> Column:

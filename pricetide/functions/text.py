@@ -32,6 +32,11 @@ def collapse(c: Column) -> Column:
     return F.regexp_replace(pystrip(c), rf"(?U){PY_SPACE}+", " ")
 
 
+def collapsed_sql(x: str) -> str:
+    """``collapse`` of an SQL expression."""
+    return f"regexp_replace(btrim({x}, '{_PY_SPACES}'), '(?U)[\\\\s\\\\x1c-\\\\x1f]+', ' ')"
+
+
 def text_or_empty(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 

@@ -2,7 +2,8 @@
 
 ``pages`` has ``url`` and ``html``; other columns are carried along. One page is
 one row all the way, so no shuffle takes place. Each shop has a set of pick
-rules and a function from the picks to field columns.
+rules and a function from the picks to field columns. Each step is the row of an
+``inline`` over a list of one: computed once, and no later filter moves below it.
 """
 
 from __future__ import annotations
@@ -86,7 +87,7 @@ CELLPHONES = {
 }
 
 
-def _cellphones(html: Column, p: Column) -> dict[str, Column]:
+def _cellphones(html: Column, p: dict[str, Column]) -> dict[str, Column]:
     box = M.first(p["box"])
 
     def shown(field: str) -> Column:
@@ -136,13 +137,13 @@ GEARVN = {
 }
 
 
-def _old_promos(p: Column) -> Column:
+def _old_promos(p: dict[str, Column]) -> Column:
     """Titles with notes and the gift list of the older page layout."""
     cards = F.transform(p["card"], lambda c: text.title_with_note(M.first(M.part(c, 0)), M.first(M.part(c, 1))))
     return text.keep_lines(F.concat(cards, M.texts(p["gift"])), distinct=False)
 
 
-def _gearvn(html: Column, p: Column) -> dict[str, Column]:
+def _gearvn(html: Column, p: dict[str, Column]) -> dict[str, Column]:
     ld = M.json_ld_product(html)
     region = M.first(p["region"])
 
@@ -191,7 +192,7 @@ GEARVN_TOPIC = {
 }
 
 
-def _gearvn_topic(html: Column, p: Column) -> dict[str, Column]:
+def _gearvn_topic(html: Column, p: dict[str, Column]) -> dict[str, Column]:
     def pair(row: Column) -> Column:
         return F.when(~M.has_part(row, 0), _pair(M.first_text(F.array(row), 1), M.joined_text(M.part(row, 2))))
 
@@ -239,7 +240,7 @@ TGDD = {
 }
 
 
-def _tgdd(html: Column, p: Column) -> dict[str, Column]:
+def _tgdd(html: Column, p: dict[str, Column]) -> dict[str, Column]:
     def pair(row: Column) -> Column:
         one = F.array(row)
         key = text.first_non_empty(M.first_text(one, 0), M.joined_text(M.part(row, 1)))
@@ -266,7 +267,6 @@ def _tgdd(html: Column, p: Column) -> dict[str, Column]:
 
 # --- shop with utility classes and a spec popup ------------------------------------------------
 
-_OFFER = "text-textOnWhitePrimary"
 _CELLS = any_of(El("td th"))
 FPTSHOP = {
     "name": rule(El("h1"), take="deep"),
@@ -284,12 +284,14 @@ FPTSHOP = {
         take="own",
     ),
     "offers": rule(
-        (El("li", cls="flex items-start"), El("span", cls=_OFFER)), El("span", cls=f"{_OFFER} f1-regular"), take="own"
+        (El("li", cls="flex items-start"), El("span", cls="text-textOnWhitePrimary")),
+        El("span", cls="text-textOnWhitePrimary f1-regular"),
+        take="own",
     ),
     "lines": rule(
         El("p", cls="relative pl-5 f1-regular"),
-        El("p", cls=f"line-clamp-1 {_OFFER}"),
-        El("p", cls=f"{_OFFER} f1-regular pc:b2-regular"),
+        El("p", cls="line-clamp-1 text-textOnWhitePrimary"),
+        El("p", cls="text-textOnWhitePrimary f1-regular pc:b2-regular"),
         take="own",
     ),
     "items": rule((El(cls="promo-item"), El()), (El(cls="promotion-item"), El()), take="own"),
@@ -305,7 +307,7 @@ FPTSHOP = {
 }
 
 
-def _fptshop(html: Column, p: Column) -> dict[str, Column]:
+def _fptshop(html: Column, p: dict[str, Column]) -> dict[str, Column]:
     popup = M.first(p["popup"])
     rows = F.when(popup.isNull(), p["dashed"]).otherwise(M.below(p["dashed"], popup))
 
@@ -355,7 +357,7 @@ PHONGVU = {
 }
 
 
-def _phongvu(html: Column, p: Column) -> dict[str, Column]:
+def _phongvu(html: Column, p: dict[str, Column]) -> dict[str, Column]:
     def glued(item: Column) -> Column:
         return M.joined_text(M.part(item), "")
 
@@ -396,16 +398,28 @@ def _carried(pages: DataFrame) -> list[str]:
     return [c for c in pages.columns if c != "html"]
 
 
+def _picked(pages: DataFrame, rules: dict) -> tuple[DataFrame, dict[str, Column]]:
+    """The pages with the elements of each rule, as columns of their own, and these columns by rule."""
+
+    def once(df: DataFrame, **columns: Column) -> DataFrame:
+        return df.select(*pages.columns, F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+    cut = once(once(pages, _tokens=M.tokens(F.col("html"))), _nodes=M.nodes("_tokens"))
+    cut = cut.select("*", F.inline(F.array(F.struct(M.elements("_nodes").alias("_elements")))))
+    found = once(cut, **{f"_pick_{name}": c for name, c in M.pick("_nodes", "_elements", rules).items()})
+    return found, {name: F.col(f"_pick_{name}") for name in rules}
+
+
 def extract_fields(pages: DataFrame, layout: str) -> DataFrame:
     """One row per page that holds a product, with the raw fields of one shop's layout.
 
     Pages without a product (null name) are dropped.
     """
     rules, assemble = LAYOUTS[layout]
-    parsed = pages.withColumn("_picks", M.pick(F.col("html"), rules))
-    fields = assemble(F.col("html"), F.col("_picks"))
-    found = parsed.select(*_carried(pages), *[c.alias(name) for name, c in fields.items()])
-    return found.filter(F.col("name").isNotNull())
+    parsed, picks = _picked(pages, rules)
+    fields = assemble(F.col("html"), picks)
+    product = F.array(F.struct(*[c.alias(name) for name, c in fields.items()]))
+    return parsed.select(*_carried(pages), F.inline(F.filter(product, lambda x: x["name"].isNotNull())))
 
 
 def with_discount(extracted: DataFrame, keep_scraped: bool = False) -> DataFrame:
@@ -441,19 +455,13 @@ def page_links(pages: DataFrame, base: str) -> DataFrame:
     )
 
 
-def _picked(pages: DataFrame, rules: dict) -> DataFrame:
-    return pages.select(*_carried(pages), M.pick(F.col("html"), rules).alias("_picks")).select(
-        *_carried(pages), "_picks.*"
-    )
-
-
 def product_blocks(pages: DataFrame, base: str) -> DataFrame:
     """Product cards of listing pages: ``pos, name, link, sku``."""
     anchor = any_of((El(cls="proloop-name"), El("a")))
     parts = (Part("own", anchor), Part("@href", anchor), Part("@data-product-sku"))
-    cards = _picked(pages, {"card": rule(El(cls="proloop-block"), parts=parts)})
+    cards, picks = _picked(pages, {"card": rule(El(cls="proloop-block"), parts=parts)})
     c = F.array("card")
-    return cards.select(*_carried(pages), F.posexplode("card").alias("pos", "card")).select(
+    return cards.select(*_carried(pages), F.posexplode(picks["card"]).alias("pos", "card")).select(
         *_carried(pages),
         "pos",
         M.first_text(c, 0).alias("name"),
@@ -465,9 +473,9 @@ def product_blocks(pages: DataFrame, base: str) -> DataFrame:
 def card_links(pages: DataFrame, base: str) -> DataFrame:
     """Links of product cards in the main list of a listing page: ``link, pos``."""
     path = (El(cls="filter-sort__list-product"), El(cls="product-info-container"), El("a", cls="product__link"))
-    anchors = _picked(pages, {"a": rule(path, take="@href")})
+    anchors, picks = _picked(pages, {"a": rule(path, take="@href")})
     return (
-        anchors.select(*_carried(pages), F.posexplode(M.texts(F.col("a"))).alias("pos", "href"))
+        anchors.select(*_carried(pages), F.posexplode(M.texts(picks["a"])).alias("pos", "href"))
         .filter(F.col("href") != "")
         .select(*_carried(pages), "pos", text.absolute_url(F.col("href"), base).alias("link"))
     )
@@ -475,11 +483,11 @@ def card_links(pages: DataFrame, base: str) -> DataFrame:
 
 def element_texts(pages: DataFrame, tags: list[str], words: list[str]) -> DataFrame:
     """Elements of the given kinds whose text contains one of the words (any case): ``tag, id, text``."""
-    found = _picked(pages, {t: rule(El(t), take="raw") for t in tags})
+    found, picks = _picked(pages, {t: rule(El(t), take="raw") for t in tags})
 
     def labelled(t: str) -> Column:
         return F.transform(
-            t,
+            picks[t],
             lambda e: F.struct(
                 F.lit(t).alias("tag"), e["id"].alias("id"), text.pystrip(M.first(M.part(e))).alias("text")
             ),
@@ -492,24 +500,23 @@ def element_texts(pages: DataFrame, tags: list[str], words: list[str]) -> DataFr
 
 def elements_by_class(pages: DataFrame, words: list[str]) -> DataFrame:
     """Elements whose class attribute contains one of the words (any case): ``id, class``."""
-    found = _picked(pages, {"e": rule(El(attrs=(("class", None),)), take="@class")})
-    rows = found.select(*_carried(pages), F.explode("e").alias("e"))
+    found, picks = _picked(pages, {"e": rule(El(attrs=(("class", None),)), take="@class")})
+    rows = found.select(*_carried(pages), F.explode(picks["e"]).alias("e"))
     named = rows.select(*_carried(pages), F.col("e.id").alias("id"), M.first(M.part(F.col("e"))).alias("class"))
     return named.filter(text.mentions_any(F.col("class"), words))
 
 
 def selector_hits(pages: DataFrame, selectors: dict) -> DataFrame:
     """Per page, the number of elements each rule finds."""
-    found = _picked(pages, selectors)
-    return found.select(*_carried(pages), *[F.size(name).alias(name) for name in selectors])
+    found, picks = _picked(pages, selectors)
+    return found.select(*_carried(pages), *[F.size(c).alias(name) for name, c in picks.items()])
 
 
 def page_block(pages: DataFrame, blocks: list) -> DataFrame:
     """Adds ``block``: markup of the first element found by the first successful path, else the body."""
     rules = {f"_b{i}": rule(path, take="outer") for i, path in enumerate(blocks)}
-    parsed = pages.withColumn("_picks", M.pick(F.col("html"), rules))
-    found = [F.col(f"_picks.{name}") for name in rules]
-    return parsed.select(*_carried(pages), M.block_or_body(F.col("html"), found).alias("block"))
+    parsed, picks = _picked(pages, rules)
+    return parsed.select(*_carried(pages), M.block_or_body(F.col("html"), list(picks.values())).alias("block"))
 
 
 def embedded_specs(pages: DataFrame, variant: str) -> DataFrame:

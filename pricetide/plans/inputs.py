@@ -203,9 +203,36 @@ LAYOUTS = {
 }
 
 
+# The same products in the second layouts that the rules fall back on; every other part is shown so.
+FALLBACKS = {
+    "cellphones": """<h1> {name} </h1><div class="box-product-price-wrapper"><b class="sale-price">{current}</b><i class="base-price">{original}</i></div>
+<div class="order-button"><strong>Sắp về hàng</strong></div><div class="item-promotions">Giảm {p_size}%
+ <button>Xem</button>cho <b>{p_type}</b></div><ul class="technical-content"><li><p>CPU</p><p><span>{p_brand}</span></p></li>
+<li><p>RAM</p><div><i>{p_size} GB</i></div></li></ul>""",
+    "gearvn": """<script type="application/ld+json">{"@type":"Product","name":"{name}","offers":{"price":1},"additionalProperty":
+[{"name":"CPU","value":"{p_brand}"},{"name":"RAM","value":"{p_size} GB"}]}</script><span class="line-through">1đ</span>
+<div data-product-summary-region="true"><span class="text-red-700 font-bold">{current}</span><span class="line-through">{original}</span></div>
+<div id="gift-promo--app"><ul class="gift-promo--lists"><li>Giảm {p_size}%</li></ul></div>""",
+    "gearvn_topic": """<div class="product-info"><div class="product-name"><h1>{name}</h1></div><div class="product-price">
+<span class="pro-price">{current}</span><del>{original}</del><span class="pro-percent">-{p_size}%</span></div></div>
+<div id="gvn-promotions"><div class="gvn-promo-item"><b class="gvn-promo-title">Giảm {p_size}%</b></div></div>
+<div id="gvn-specs-container-table"><table><tr class="gvn-spec-row"><th>Card đồ họa</th><td>{p_brand}</td></tr><tr class="gvn-spec-row"><th>RAM</th><td>{p_size} GB</td></tr></table></div>""",
+    "tgdd": """<h1>{name}</h1><p class="box-price-present">{current}*</p><p class="box-price-old">{original}</p><ul class="parameter">
+<li><span class="lileft">CPU</span><span class="liright"><b>{p_brand}</b></span></li><li>RAM: {p_size} GB</li></ul>
+<div class="backtoschool"><div><b>Giảm</b><span>{p_size}%</span></div></div>""",
+    "fptshop": """<h1>{name}</h1><div id="price-product"><span class="text-black-opacity-100">{current}</span></div>
+<p class="text-neutral-gray-5 line-through">{original}</p><div class="promo-item"><i>Giảm {p_size}%</i></div>
+<table><tr><th>CPU</th><td>{p_brand}</td></tr><tr><th>RAM</th><td>{p_size} GB</td></tr></table>""",
+    "phongvu": """<h1>{name}</h1><div type="title" color="primary500">{current}</div><div direction="row">
+<div type="body" color="textSecondary">Giá cũ</div><div type="body" color="textSecondary">{original}₫</div></div>
+<div color="textTitle">Tin mới</div><ul><li><span>Giảm {p_size}%</span><span>x</span></li></ul>
+<div direction="row" width="100%"><div>CPU</div><div>{p_brand}</div></div><div direction="row" width="100%"><div>RAM</div><div>{p_size} GB</div></div>""",
+}
+
+
 def product_pages(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
-    """``p_partkey, url, html``: each part as a product page in one shop's layout."""
-    html = F.lit(LAYOUTS[layout])
+    """``p_partkey, url, html``: each part as a product page in one of a shop's two layouts."""
+    html = F.when(F.col("p_partkey") % 2 == 0, F.lit(LAYOUTS[layout])).otherwise(F.lit(FALLBACKS[layout]))
     marks = {
         "name": F.col("name"),
         "current": prices.vnd_text(F.col("current")),

@@ -427,7 +427,7 @@ SELECT page_id, CAST(len(regexp_extract_all(nav, '<li>')) AS INTEGER) AS nav_ite
 def selector_hits(spark, sf_dir):
     nav, li = El("nav"), El("li")
     return extract.selector_hits(
-        table(spark, sf_dir, "pages").select("page_id", "html"),
+        I.spread(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id"),
         {
             "nav_items": rule((nav, li)),
             "nav_anchors": rule((nav, li, El("a", child=True))),
@@ -442,7 +442,7 @@ WITH t AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="[^"]*">([^<
 SELECT page_id, 'a' AS tag, replace(replace(word, '&quot;', '"'), '&amp;', '&') AS text FROM t
 WHERE contains(lower(word), 'the') OR contains(lower(word), 'ion')""")
 def element_texts(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    pages = I.spread(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
     return extract.element_texts(pages, ["button", "a", "span"], ["the", "ion"]).select("page_id", "tag", "text")
 
 
@@ -450,7 +450,7 @@ def element_texts(spark, sf_dir):
 SELECT page_id, regexp_extract(html, '(?s)<nav>.*?</nav>') AS block, length(regexp_replace(regexp_extract(html, '(?s)<body>(.*)', 1), '(?s)</body>.*', '')) AS body_chars
 FROM pages""")
 def page_block(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    pages = I.spread(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
     found = extract.page_block(pages, [El("table"), El("nav")])
     bodies = extract.page_block(pages, [El(cls="modal")]).select("page_id", F.length("block").cast("bigint").alias("body_chars"))
     return found.join(bodies, "page_id")

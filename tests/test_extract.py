@@ -171,6 +171,11 @@ def test_shop_rows_and_back(spark):
     assert back.at == "2026-07-01 20:30:00"
 
 
+def picked(df, rules):
+    found, columns = extract._picked(df, rules)
+    return found.select(*[c.alias(name) for name, c in columns.items()])
+
+
 def test_takes(spark):
     html = '<div id="a">x\n<br/>y<p>é</p><i> &amp; </i></div><div id="b">z'
     a, b = El(attrs=(("id", "a"),)), El(attrs=(("id", "b"),))
@@ -181,7 +186,7 @@ def test_takes(spark):
         "cut": M.rule(a, parts=(M.Part("raw", without=(El("p"),)), M.Part("own", M.any_of(El("em"))))),
         "child": M.rule((a, El("p i", child=True)), take="own"),
     }
-    row = pages(spark, html).select(M.pick("html", rules).alias("p")).select("p.*").first()
+    row = picked(pages(spark, html), rules).first()
     assert row.a[0].parts == [
         ["x\n", "y"], ["x\n", "y", "é", " & "], ["é", " & "], ["x\nyé & "], ["x\ny\né\n&"],
         ['<div id="a">x\n<br/>y<p>é</p><i> &amp; </i></div>'], ["a"],
@@ -189,8 +194,8 @@ def test_takes(spark):
     assert row.b[0].parts == [['<div id="b">z']]
     assert row.cut[0].parts == [["x\ny & "], None]
     assert [x.parts for x in row.child] == [[["é"]], [[" & "]]]
-    nulls = spark.createDataFrame([(None,), ("<b>x",)], "html string").select(M.pick("html", rules).alias("p")).collect()
-    assert [r.p.a for r in nulls] == [[], []]
+    nulls = picked(spark.createDataFrame([(None,), ("<b>x",)], "html string"), rules).collect()
+    assert [r.a for r in nulls] == [[], []]
 
 
 def test_page_block(spark):
@@ -257,23 +262,44 @@ def test_challenge(spark):
     assert got == [True, True, False, False]
 
 
-def test_odd_markup():
-    page = M._Page(
+def page_nodes(spark, *htmls):
+    cut = spark.createDataFrame([(h,) for h in htmls], "html string").select(M.tokens(F.col("html")).alias("t"))
+    return cut.select(M.nodes("t").alias("n"))
+
+
+def test_odd_markup(spark):
+    html = (
         "<!-- <p>no</p> --><SCRIPT>var t = '</p><p>';</SCRIPT><DIV Class='a  b' data-x=1 hidden title=\"a > b\">1 < 2"
         "<br/>&lt;i&gt;<?pi?></b></i></DIV><title>a<b>&amp;</title><p>x<!-- open"
     )
-    tags = [t for t in page.tag if t]
-    assert tags == ["script", "div", "br", "title", "p"]
-    assert [t for t in page.text if t is not None] == ["var t = '</p><p>';", "1 < 2", "<i>", "a<b>&", "x"]
-    div = page.attrs[page.by_tag["div"][0]]
-    assert div == {"class": "a  b", "data-x": "1", "hidden": "", "title": "a > b"}
-    assert page.classes(page.by_class["b"][0]) == ["a", "b"]
+    nodes = page_nodes(spark, html).first().n
+    assert [n.tag for n in nodes if n.tag] == ["script", "div", "br", "title", "p"]
+    assert [n.text for n in nodes if n.text is not None] == ["var t = '</p><p>';", "1 < 2", "<i>", "a<b>&", "x"]
+    div = next(n for n in nodes if n.tag == "div")
+    assert {a.name: a.value for a in div.attrs} == {"class": "a  b", "data-x": "1", "hidden": "", "title": "a > b"}
+    assert div.cls == " a b "
+    assert [n.source for n in nodes if div.id < n.id <= div.last][-1] == "</DIV>"
 
 
-def test_broken_markup_is_linear():
+def test_nested_tags():
+    marks = ["div", "", "p", "", "p", "br/", "/div", "/p", "!", "ul", "li", "li", "/li", "i", "/ul", ""]
+    places = M.nested(marks)
+    assert [p[0] for p in places] == [6, 1, 5, 3, 5, 5, 6, 7, 8, 14, 13, 12, 12, 13, 14, 15]
+    assert [p[1] for p in places] == [-1, 0, 0, 2, 2, 4, -2, -2, -2, -1, 9, 10, -2, 10, -2, -1]
+    assert [p[2] for p in places] == [1, 0, 1, 0, 1, 1, 0, 0, 0, 2, 1, 1, 0, 2, 0, 0]
+
+
+def test_broken_markup_is_linear(spark):
     import time
 
+    pieces = ("<a '", '<a "', "<!", "<", "</b>", "<b>", "<b></i>", "<!--", "&amp", "<script>", '<p class="x', "<b></b>")
+    page_nodes(spark, "<p>a</p>").collect()
     start = time.perf_counter()
-    for piece in ("<a '", '<a "', "<!", "<", "</b>", "<b>", "<b></i>", "<!--", "&amp", "<script>", "<p class=\"x"):
-        M._Page(piece * 40000)
+    page_nodes(spark, *[piece * 20000 for piece in pieces]).select(F.size("n")).collect()
     assert time.perf_counter() - start < 60
+
+
+def test_character_references(spark):
+    texts = ["a", "&", "&amp;lt;", "&#x2F;&#47;&eacute;", "&#128512;", "&nosuch;&amp", "&#0;&#xD800;", "&copy2&lt", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(M.unescape(F.col("t"))).collect()
+    assert [r[0] for r in got] == ["a", "&", "&lt;", "//é", "😀", "&nosuch;&", "\ufffd\ufffd", "&copy2<", None]
