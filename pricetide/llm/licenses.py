@@ -7,7 +7,8 @@ template of n words is compared with windows of 2 n words that begin every n / 2
 reach the threshold lie within 1.5 n words.
 Words are ordered by their frequency over all blocks, rarest first. A template is indexed under its prefix alone (a
 block without any prefix word cannot reach the threshold); candidates then pass a length and a positional filter
-before the overlap is counted.
+before the overlap is counted: a shared word at places p and q of the two ordered sets leaves at most min(p, q) words
+before and the shorter rest behind. Each text is looked at once; a row per text, with its template words, is staged.
 
 Defined results: a null text is an empty text, without words, places or labels; repeated rows are scanned each for
 itself; ties need no rule, as all results are counts, extremes and sorted sets. Only ``doc_id`` and ``text`` are read.
@@ -54,29 +55,68 @@ def _count_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
-def base_scan(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text_key`` and the phrase columns of every row. No phrase ends as another begins, so a scan for
-    the next phrase behind the last one finds every place."""
+def read(docs: DataFrame, templates: list[tuple[str, str]], percent: int, wrapped: bool) -> DataFrame:
+    """What the scans need of every row, from one look at its text: ``doc_id, text_key, n_words``, the phrases (``hits``,
+    ``first_word``, ``last_word``), ``lines`` (number and template words of each line that has some), and with ``wrapped``
+    the text again (``low``, else null) where it has several lines that hold a template's words together.
+
+    No phrase ends as another begins, so a scan for the next phrase behind the last one finds every place.
+    """
+    sets = [sorted(set(text.split(" "))) for _, text in templates]
+    own = F.array(*map(F.lit, sorted({w for words in sets for w in words})))
     phrases = "|".join(p.replace(" ", f"{_OUT}+") for p in PHRASES)
     pattern = F.lit(f"(?<!{_IN})({phrases})(?!{_IN})")
-    hits = docs.select("doc_id", lowered("text").alias("low")).select(
-        "doc_id",
-        F.xxhash64("low").alias("text_key"),
-        _count_words(F.col("low")).alias("n_words"),
-        F.regexp_extract_all("low", pattern, F.lit(1)).alias("hits"),
-        "low",
+    # A line's words do not cross its end, so a text's words are those of its lines; each is cut into words once.
+    parts = F.transform(F.split("low", "\n", -1), lambda line: _words(line))
+    held = F.transform(
+        "parts", lambda words, i: F.struct(i.alias("block"), F.size(words).alias("n"), F.array_intersect(words, own).alias("own"))
     )
+    some = F.array_distinct(F.flatten(F.transform("lines", lambda line: line["own"])))
+    enough = F.lit(False)
+    for words in sets:
+        enough = enough | (F.size(F.array_intersect("some", F.array(*map(F.lit, words)))) >= _need(words, percent))
+    # Few texts hold a first word of a phrase at all; only those are searched for the phrases.
+    maybe = F.lit(False)
+    for phrase in PHRASES:
+        maybe = maybe | F.contains("low", F.lit(phrase.split(" ")[-1])) & F.contains("low", F.lit(phrase.split(" ")[0]))
+    none = F.array().cast("array<string>")
+    seen = (
+        docs.select("doc_id", lowered("text").alias("low"))
+        .select("doc_id", "low", parts.alias("parts"))
+        .select("doc_id", "low", held.alias("all_lines"))
+        .select(
+            "doc_id", "low", F.aggregate("all_lines", F.lit(0).cast("long"), lambda n, line: n + line["n"]).alias("n_words"),
+            F.size("all_lines").alias("n_lines"), F.filter("all_lines", lambda line: F.size(line["own"]) > 0).alias("lines"),
+            F.when(maybe, F.regexp_extract_all("low", pattern, F.lit(1))).otherwise(none).alias("hits"),
+        )
+        .select("*", some.alias("some"))
+    )
     found = F.size("hits") > 0
     between = F.split("low", pattern, -1)
     last = F.col("n_words") - _count_words(F.element_at(between, -1)) - _count_words(F.element_at("hits", -1))
+    again = (F.col("n_lines") > 1) & enough if wrapped else F.lit(False)
+    return seen.select(
+        "doc_id",
+        F.xxhash64("low").alias("text_key"),
+        "n_words",
+        "hits",
+        F.when(found, _count_words(F.element_at(between, 1))).alias("first_word"),
+        F.when(found, last).alias("last_word"),
+        F.transform("lines", lambda line: F.struct(line["block"].alias("block"), line["own"].alias("own"))).alias("lines"),
+        F.when(again, F.col("low")).alias("low"),
+    )
+
+
+def base_scan(seen: DataFrame) -> DataFrame:
+    """``doc_id``, ``text_key`` and the phrase columns of every row of ``read``."""
     label = F.transform("hits", lambda h: _label(h))
-    return hits.select(
+    return seen.select(
         "doc_id",
         "text_key",
         "n_words",
         F.size("hits").cast("long").alias("n_base"),
-        F.when(found, _count_words(F.element_at(between, 1))).alias("first_word"),
-        F.when(found, last).alias("last_word"),
+        "first_word",
+        "last_word",
         F.array_sort(F.array_distinct(label)).alias("base"),
     )
 
@@ -88,85 +128,74 @@ def _label(hit: Column) -> Column:
     return out
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """One row per line that has words: ``doc_id``, ``text_key``, ``block`` (its number) and its distinct ``words``."""
-    low = docs.select("doc_id", lowered("text").alias("low")).select(
-        "doc_id", F.xxhash64("low").alias("text_key"), F.posexplode(F.split("low", "\n", -1)).alias("block", "line")
-    )
-    return low.select("doc_id", "text_key", "block", F.array_distinct(_words(F.col("line"))).alias("words")).where(F.size("words") > 0)
-
-
 def _need(words: list[str], percent: int) -> int:
     return -(-percent * len(words) // 100)
 
 
-def windows(docs: DataFrame, templates: list[tuple[str, str]], percent: int, order: dict[str, int]) -> DataFrame:
-    """``doc_id``, ``text_key``, ``block``, ``span`` (words of the template), ``n`` and ``own`` of the windows of texts
-    with several lines. Texts that cannot contain a template leave before windows are made: those without any of its
-    first words in the order, and those whose distinct words are too few of its own."""
-    sets = [sorted(set(text.split(" ")), key=order.__getitem__) for _, text in templates]
-    needs = [_need(words, percent) for words in sets]
-    firsts = sorted({w for words, need in zip(sets, needs, strict=True) for w in words[: len(words) - need + 1]})
-    # Before lowering: letters of either case are no borders. Without the u flag only A to Z match in either case.
-    border = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-    some = F.col("text").rlike(rf"(?:^|{border})(?i:{'|'.join(firsts)})(?:\z|{border})")
-    texts = docs.where(F.contains("text", F.lit("\n")) & some).select("doc_id", lowered("text").alias("low"))
-    own = F.array(*map(F.lit, sorted(order)))
-    held = texts.select("doc_id", F.xxhash64("low").alias("text_key"), _words(F.col("low")).alias("words")).withColumn("held", F.array_intersect("words", own))
+def windows(seen: DataFrame, templates: list[tuple[str, str]], percent: int) -> DataFrame:
+    """``doc_id``, ``text_key``, ``block``, ``span`` (words of the template) and ``own`` of the windows of the texts that
+    ``read`` kept, for the templates whose words they hold."""
+    sets = [sorted(set(text.split(" "))) for _, text in templates]
+    own = F.array(*map(F.lit, sorted({w for words in sets for w in words})))
+    held = seen.where("low IS NOT NULL").select("doc_id", "text_key", _words(F.col("low")).alias("words")).withColumn("held", F.array_intersect("words", own))
     enough = [
-        F.when(F.size(F.array_intersect("held", F.array(*map(F.lit, words)))) >= need, F.lit(len(text.split(" "))))
-        for words, need, (_, text) in zip(sets, needs, templates, strict=True)
+        F.when(F.size(F.array_intersect("held", F.array(*map(F.lit, words)))) >= _need(words, percent), F.lit(len(text.split(" "))))
+        for words, (_, text) in zip(sets, templates, strict=True)
     ]
     cut = held.select("doc_id", "text_key", "words", F.explode(F.array_distinct(F.array_compact(F.array(*enough)))).alias("span"))
     step = F.greatest(F.lit(1), F.floor(F.col("span") / 2).cast("int"))
     # The last window begins where the one before it leaves words over.
     last = F.greatest(F.lit(0), F.size("words") - 2 * F.col("span") + step - 1)
     parts = F.transform(F.sequence(F.lit(0), last, step), lambda at: F.array_intersect(F.slice("words", at + 1, 2 * F.col("span")), own))
-    cut = cut.select("doc_id", "text_key", "span", F.explode(parts).alias("own"))
-    return cut.select("doc_id", "text_key", F.lit(-1).alias("block"), "span", F.size("own").alias("n"), "own")
+    return cut.select("doc_id", "text_key", F.lit(-1).alias("block"), "span", F.explode(parts).alias("own"))
 
 
-def template_blocks(
-    docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, percent: int = THRESHOLD_PERCENT, wrapped: bool = False
-) -> DataFrame:
-    """``doc_id``, ``text_key``, ``block``, ``label`` and ``containment`` of every block that contains a template to
-    ``percent`` of its distinct words. ``wrapped``: windows (block -1) are blocks as well as lines."""
-    spark = docs.sparkSession
-    sets = [(label, sorted(set(text.split(" ")))) for label, text in templates]
-    vocabulary = sorted({w for _, words in sets for w in words})
-    own = F.array(*map(F.lit, vocabulary))
-    # The words of a block are found once; its number of words and those of the templates are kept.
-    found = blocks(docs).select("doc_id", "text_key", "block", F.size("words").alias("n"), F.array_intersect("words", own).alias("own"))
-    lines = stage(found.where(F.size("own") > 0), "license-blocks")
-    # How many blocks hold each word of the templates; as many rows as the templates have words.
-    held = lines.select(F.explode("own").alias("word")).groupBy("word").count().collect()
-    frequency = {r["word"]: r["count"] for r in held}
-    order = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (frequency.get(w, 0), w)))}
+def overlap_bound(place: Column, total: Column, at: Column, size: Column) -> Column:
+    """Most words that two ordered sets can share, given that the word at ``place`` of one (of ``total``) is the one ``at`` a
+    place of the other (of ``size``): what lies before both, the word, and what lies behind both."""
+    return F.least(place, at) + 1 + F.least(total - place - 1, size - at - 1)
+
+
+def candidates(every: DataFrame, order: dict[str, int], templates: list[tuple[str, str]], percent: int) -> DataFrame:
+    """Pairs of a block and a template that share a word of the template's prefix and pass the length and the positional
+    filter."""
     index = []
-    for number, (label, words) in enumerate(sets):
-        ranked = sorted(words, key=order.__getitem__)
+    for number, (label, text) in enumerate(templates):
+        ranked = sorted(set(text.split(" ")), key=order.__getitem__)
         need = _need(ranked, percent)
         for place, word in enumerate(ranked[: len(ranked) - need + 1]):
-            index.append((word, order[word], number, label, ranked, need, len(ranked) - place, len(templates[number][1].split(" "))))
-    schema = "word string, rank int, template int, label string, template_words array<string>, need int, left int, length int"
-    prefixes = spark.createDataFrame(index, schema)
+            index.append((word, order[word], number, label, ranked, need, place, len(text.split(" "))))
+    schema = "word string, rank int, template int, label string, template_words array<string>, need int, place int, length int"
+    prefixes = every.sparkSession.createDataFrame(index, schema)
     ranks = F.create_map(*[x for w, k in order.items() for x in (F.lit(w), F.lit(k))])
     starts = F.array(*map(F.lit, sorted({row[0] for row in index})))
-    every = lines.withColumn("span", F.lit(0))
-    if wrapped:
-        every = every.unionByName(windows(docs, templates, percent, order))
-    candidates = (
-        every.select("doc_id", "text_key", "block", "span", "n", "own", F.explode(F.array_intersect("own", starts)).alias("word"))
+    at = F.array_position(F.array_sort(F.transform("own", lambda w: F.element_at(ranks, w))), F.col("rank")).cast("int") - 1
+    return (
+        every.select("doc_id", "text_key", "block", "span", "own", F.explode(F.array_intersect("own", starts)).alias("word"))
         # The index has a row per prefix word of a template: a fixed size.
         .join(F.broadcast(prefixes), "word")
         .where((F.col("span") == 0) | (F.col("span") == F.col("length")))
-        .where((F.col("n") >= F.col("need")) & (F.size("own") >= F.col("need")))
-        # Of a block's words only those that follow this one in the order can still be shared, if it is the first.
-        .withColumn("ranks", F.array_sort(F.transform("own", lambda w: F.element_at(ranks, w))))
-        .where((F.col("left") >= F.col("need")) | (F.array_position("ranks", F.col("rank")) > 1))
+        .where(F.size("own") >= F.col("need"))
+        .where(overlap_bound(F.col("place"), F.size("template_words"), at, F.size("own")) >= F.col("need"))
     )
+
+
+def template_blocks(
+    seen: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, percent: int = THRESHOLD_PERCENT
+) -> DataFrame:
+    """``doc_id``, ``text_key``, ``block``, ``label`` and ``containment`` of every block that contains a template to
+    ``percent`` of its distinct words. Blocks are lines and the windows (block -1) of the texts that ``read`` kept."""
+    vocabulary = sorted({w for _, text in templates for w in text.split(" ")})
+    lines = seen.select("doc_id", "text_key", F.inline("lines"))
+    # How many blocks hold each word of the templates; as many rows as the templates have words.
+    held = lines.select(F.explode("own").alias("word")).groupBy("word").count().collect()
+    frequency = {r["word"]: r["count"] for r in held}
+    order = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (frequency.get(w, 0), w)))}
+    every = lines.withColumn("span", F.lit(0)).unionByName(windows(seen, templates, percent))
     overlap = F.size(F.array_intersect("own", "template_words"))
-    scored = candidates.select("doc_id", "text_key", "block", "template", "label", overlap.alias("overlap"), F.size("template_words").alias("total"))
+    scored = candidates(every, order, templates, percent).select(
+        "doc_id", "text_key", "block", "template", "label", overlap.alias("overlap"), F.size("template_words").alias("total")
+    )
     return (
         scored.where(F.col("overlap") * 100 >= F.col("total") * percent)
         # A line and a template once; of the windows of a text the one that holds most.
@@ -179,13 +208,14 @@ def template_blocks(
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, wrapped: bool = False) -> DataFrame:
     """Phrase columns, base labels, all labels and the score of every row: 1 with a phrase, else the best containment.
     ``wrapped``: templates are also found where lines break inside them."""
+    seen = stage(read(docs, templates, THRESHOLD_PERCENT, wrapped), "license-words")
     found = (
-        template_blocks(docs, templates, wrapped=wrapped)
+        template_blocks(seen, templates)
         .groupBy("doc_id", "text_key")
         .agg(F.array_sort(F.collect_set("label")).alias("own"), F.max("containment").alias("best"))
         .withColumnsRenamed({"doc_id": "d", "text_key": "k"})
     )
-    base = base_scan(docs)
+    base = base_scan(seen)
     joined = base.join(found, base["doc_id"].eqNullSafe(found["d"]) & (base["text_key"] == found["k"]), "left")
     every = F.array_sort(F.array_union("base", F.coalesce("own", F.array().cast("array<string>"))))
     return joined.select(
