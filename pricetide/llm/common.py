@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,19 +41,53 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20) -> Iter
         yield batch.slice(start)
 
 
+def released() -> None:
+    """Give memory that is no longer used back to the machine.
+
+    Python workers are used again by later stages, and Arrow's pool and the C library keep what was freed; over the
+    stages of a long session that adds up in an executor.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(function: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``function`` for ``mapInArrow``, with its memory released when a task's rows are done."""
+
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from function(batches)
+        finally:
+            released()
+
+    return run
+
+
 def map_arrow(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: str = "text"
+    df: DataFrame,
+    function: Callable[[pa.RecordBatch], pa.RecordBatch | None],
+    schema: str,
+    text: str = "text",
+    max_bytes: int = 8 << 20,
+    done: Callable[[], None] = lambda: None,
 ) -> DataFrame:
-    """Apply ``function`` to bounded Arrow batches of ``df``."""
+    """Apply ``function`` to bounded Arrow batches of ``df``; ``done`` is called at the end of a task's rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, max_bytes):
                 out = function(part)
                 if out is not None and out.num_rows:
                     yield out
+        done()
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def packed_parts(part: np.ndarray, parts: int, columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:

@@ -25,6 +25,8 @@ BUCKETS = 1 << 16
 # Learned from this many documents of each language at most, taken by hash of the id.
 DOCS_PER_LANGUAGE = 1536
 SALTS = 64
+# Text that is worked on at once: a text's n-grams take some 20 bytes for each language and byte.
+SLICE_BYTES = 1 << 20
 STEPS = 12
 UNDETERMINED = "und"
 
@@ -83,7 +85,7 @@ def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Model:
         columns = [pa.array(langs, pa.string()), pa.array(np.concatenate(ids), pa.int32()), pa.array(np.concatenate(totals), pa.int64())]
         return pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
 
-    counts = map_arrow(sample, count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).collect()
+    counts = map_arrow(sample, count, "lang string, gram int, n long", max_bytes=SLICE_BYTES).groupBy("lang", "gram").agg(F.sum("n").alias("n")).collect()
     languages = sorted({r["lang"] for r in counts})
     table = np.full((BUCKETS, len(languages)), 0.1)
     place = {lang: k for k, lang in enumerate(languages)}
@@ -171,20 +173,22 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "languages"])
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_arrow(narrow, batch, "doc_id long, lang_pred string, score double, languages array<struct<lang:string,share:double>>")
+    return map_arrow(narrow, batch, "doc_id long, lang_pred string, score double, languages array<struct<lang:string,share:double>>", max_bytes=SLICE_BYTES)
 
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:
-    """The input rows that have a language, all columns as they are; a null ``lang`` is filled in."""
+    """The input rows that have a language, all columns as they are; a null ``lang`` is filled in. Without anything to
+    learn from, the rows that have a letter, as they are."""
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
         texts = [t or "" for t in rows["text"].to_pylist()]
         shares = proportions(texts, model)
-        has = [bool(s.sum() > 0) and bool(_LETTER.search(t)) for t, s in zip(texts, shares, strict=True)]
-        best = [model.languages[int(s.argmax())] if h else None for h, s in zip(has, shares, strict=True)]
+        known = bool(model.languages)
+        has = [(not known or bool(s.sum() > 0)) and bool(_LETTER.search(t)) for t, s in zip(texts, shares, strict=True)]
+        best = [model.languages[int(s.argmax())] if h and known else None for h, s in zip(has, shares, strict=True)]
         at = rows.schema.get_field_index("lang")
         columns = list(rows.columns)
-        columns[at] = pa.array([known if known is not None else b for known, b in zip(columns[at].to_pylist(), best, strict=True)], pa.string())
+        columns[at] = pa.array([given if given is not None else b for given, b in zip(columns[at].to_pylist(), best, strict=True)], pa.string())
         return pa.RecordBatch.from_arrays(columns, rows.schema.names).filter(pa.array(has, pa.bool_()))
 
-    return map_arrow(docs, batch, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields))
+    return map_arrow(docs, batch, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), max_bytes=SLICE_BYTES)

@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pricetide.llm.common import packed_parts, slices, unpacked
+from pricetide.llm.common import packed_parts, slices, tidy, unpacked
 from pricetide.llm.components import components
 from pricetide.session import stage
 
@@ -109,7 +109,7 @@ def _summaries(docs: DataFrame, words: int) -> DataFrame:
         columns = [none(n, pa.int64()), none(n, pa.int64()), none(n, pa.binary()), none(n, pa.int64()), pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.mapInArrow(run, "doc_id long, n long, signature binary, key long, bucket int, held long")
+    return docs.mapInArrow(tidy(run), "doc_id long, n long, signature binary, key long, bucket int, held long")
 
 
 def _group_runs(tokens: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -209,10 +209,10 @@ def _candidates(docs: DataFrame, weight: np.ndarray, parts: int, words: int, per
             part = pairs[start : start + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part[:, 0]), pa.array(part[:, 1])], ["a", "b"])
 
-    posted = docs.select("text").mapInArrow(postings, "part int, tokens binary, keys binary, n binary")
-    counted = _dealt(posted, parts).mapInArrow(count, "part int, tokens binary, keys binary, n binary, sets binary")
-    chosen = _dealt(counted, parts).mapInArrow(choose, "part int, tokens binary, keys binary, a binary, b binary")
-    return _dealt(chosen, parts).mapInArrow(meet, "a long, b long")
+    posted = docs.select("text").mapInArrow(tidy(postings), "part int, tokens binary, keys binary, n binary")
+    counted = _dealt(posted, parts).mapInArrow(tidy(count), "part int, tokens binary, keys binary, n binary, sets binary")
+    chosen = _dealt(counted, parts).mapInArrow(tidy(choose), "part int, tokens binary, keys binary, a binary, b binary")
+    return _dealt(chosen, parts).mapInArrow(tidy(meet), "a long, b long")
 
 
 class PrefixTree:
@@ -366,7 +366,7 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "signature", "grp", "blocks", "hashes"]).filter(pa.array(right))
 
     # The same join at every size: the list of sets grows with the input, so it is never broadcast.
-    texts = narrow.join(wanted.hint("merge"), "doc_id").mapInArrow(gather, "doc_id long, signature binary, grp long, blocks int, hashes binary")
+    texts = narrow.join(wanted.hint("merge"), "doc_id").mapInArrow(tidy(gather), "doc_id long, signature binary, grp long, blocks int, hashes binary")
     own = F.pmod(F.xxhash64("signature"), F.col("blocks")).cast("int")
     dealt = (
         texts.withColumn("own", own)

@@ -41,12 +41,14 @@ def _byte_names() -> list[str]:
 class WordTokens:
     """Ids of white-space separated chunks of text, as packed 32-bit integers; both memories are bounded."""
 
-    MOST_CHUNKS, MOST_WORDS = 300_000, 900_000
+    MOST_CHUNKS, MOST_WORDS = 100_000, 300_000
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.names = _byte_names()
+        self.forget()
+
+    def forget(self) -> None:
         self.chunks: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {"": b""}
 
@@ -111,7 +113,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: int
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + keep_ids])
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_arrow(narrow, batch, PIECE + ", ids binary" * keep_ids)
+    return map_arrow(narrow, batch, PIECE + ", ids binary" * keep_ids, done=lambda: tokens(tokenizer_path).forget())
 
 
 def fill(room: int, left: np.ndarray, distinct: list[int]) -> list[int]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricetide.llm import suffix_array
-from pricetide.llm.common import packed_parts, slices, unpacked
+from pricetide.llm.common import packed_parts, slices, tidy, unpacked
 from pricetide.session import stage
 
 LENGTH, ANCHOR = 200, 64
@@ -156,9 +156,9 @@ def _hot_places(docs: DataFrame, parts: int, length: int, anchor: int) -> DataFr
         for start in range(0, len(columns[0]), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(c[start : start + 100_000]) for c in columns], [*list(PLACE)[:-1], "mixed"])
 
-    sent = docs.mapInArrow(find, "part int, " + ", ".join(f"{name} binary" for name in PLACE))
+    sent = docs.mapInArrow(tidy(find), "part int, " + ", ".join(f"{name} binary" for name in PLACE))
     kinds = "anchor long, segment long, doc_id long, text_key long, start int, n int, mixed boolean"
-    return sent.repartition(parts, "part").mapInArrow(meet, kinds)
+    return sent.repartition(parts, "part").mapInArrow(tidy(meet), kinds)
 
 
 def _sort_shard(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -224,9 +224,9 @@ def repeated_windows(docs: DataFrame, hot: DataFrame, length: int, shards: int)
     # The same join at every size: the list of segments grows with the input, so it is never broadcast.
     texts = docs.select("doc_id", "text_key", "text").join(wanted.hint("merge"), ["doc_id", "text_key"]).select("text", "wanted")
     # A row of one text stands twice in ``docs`` if the row is repeated; one is enough.
-    pieces = texts.mapInArrow(cut, "route long, anchor long, segment long, shift int, bytes binary")
+    pieces = texts.mapInArrow(tidy(cut), "route long, anchor long, segment long, shift int, bytes binary")
     pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards)).cast("int")).dropDuplicates(["shard", "anchor", "segment", "shift"])
-    sorted_ = pieces.select("shard", "anchor", "segment", "shift", "bytes").repartition(shards, "shard").mapInArrow(lambda b: _sort_shard(b, length), "anchor long, segment long, begin int, end int")
+    sorted_ = pieces.select("shard", "anchor", "segment", "shift", "bytes").repartition(shards, "shard").mapInArrow(tidy(lambda b: _sort_shard(b, length)), "anchor long, segment long, begin int, end int")
     several = named.where("held > 1").select("anchor", "segment", F.lit(0).alias("begin"), F.col("n").alias("end"))
     single = sorted_.join(named.where("held = 1").select("anchor", "segment"), ["anchor", "segment"], "left_semi")
     runs = mixed.join(several.union(single), ["anchor", "segment"])
@@ -276,7 +276,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "kept", "n_bytes", "spans"])
 
     found = _with_runs(docs.select("doc_id", "text"), length, anchor)
-    return found.mapInArrow(apply, "doc_id long, kept binary, n_bytes long, spans array<struct<start:int,end:int>>")
+    return found.mapInArrow(tidy(apply), "doc_id long, kept binary, n_bytes long, spans array<struct<start:int,end:int>>")
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
@@ -296,7 +296,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
 
     found = _with_runs(docs, length, anchor)
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema.fields if f.name != "runs")
-    done = found.mapInArrow(apply, kinds)
+    done = found.mapInArrow(tidy(apply), kinds)
     return done.select(*[F.col(c) if c in ("doc_id", "text") else F.col("rest")[c].alias(c) for c in docs.columns])
 
 

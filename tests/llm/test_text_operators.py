@@ -361,3 +361,34 @@ def test_license_windows_find_a_notice_at_every_place(spark):
 def test_registered_licenses_query_finds_wrapped_notices(spark, tmp_path):
     spark.createDataFrame([(1, BSD), (2, "nothing\nhere")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert {r.doc_id: r.labels for r in queries.op6_licenses(spark, str(tmp_path)).collect()} == {1: "bsd", 2: ""}
+
+
+def test_licenses_positional_filter_prunes_and_keeps(spark):
+    """Of the pairs that share a prefix word and pass the length filter some go by place; none that reaches the threshold."""
+    pick = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(30)]
+    templates = [(f"t{k}", " ".join(pick.sample(vocabulary, pick.randrange(4, 12)))) for k in range(12)]
+    own = [pick.sample(vocabulary, pick.randrange(1, 15)) for _ in range(300)]
+    own += [pick.sample(t.split(" "), len(t.split(" ")) - 1) + pick.sample(vocabulary, 2) for _, t in templates]
+    own = [sorted(set(words)) for words in own]
+    rows = [(k, 0, k, 0, words) for k, words in enumerate(own)]
+    every = spark.createDataFrame(rows, "doc_id long, text_key long, block int, span int, own array<string>")
+    held = {w: sum(w in words for words in own) for w in vocabulary}
+    order = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (held[w], w)))}
+    got = {(r.doc_id, r.template) for r in licenses.candidates(every, order, templates, 80).collect()}
+    length = set()
+    for k, words in enumerate(own):
+        for number, (_, text) in enumerate(templates):
+            ranked = sorted(text.split(" "), key=order.__getitem__)
+            need = -(-80 * len(ranked) // 100)
+            if len(words) >= need and set(ranked[: len(ranked) - need + 1]) & set(words):
+                length.add((k, number))
+            if len(set(ranked) & set(words)) >= need:
+                assert (k, number) in got
+    assert got < length
+
+
+def test_pipeline_language_stage_without_labels_keeps_rows_with_letters(spark):
+    docs = spark.createDataFrame([(1, "some text", None), (2, "123", None), (3, None, None)], "doc_id long, text string, lang string")
+    got = langid.identified(docs, langid.fit(docs)).collect()
+    assert [tuple(r) for r in got] == [(1, "some text", None)]
