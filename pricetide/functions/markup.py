@@ -528,14 +528,15 @@ _ANCHOR = r"""(?is)<a(?=[\s/"'])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
 
 
 def hrefs(html: Column) -> Column:
-    """Values of the ``href`` attribute of all anchors, in any quoting, entities resolved."""
+    """Values of the ``href`` attribute of all anchors outside comments, in any quoting, references resolved."""
 
     def target(attributes: Column) -> Column:
         own = F.filter(F.regexp_extract_all(attributes, F.lit(_ATTRIBUTE), F.lit(0)), lambda a: a.rlike(r"(?i)\Ahref\s*="))
         value = F.regexp_replace(F.get(own, F.lit(0)), r"\A[^=]*=\s*", "")
         return unescape(F.regexp_replace(value, r"""\A["']|["']\z""", ""))
 
-    anchors = F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(1))
+    shown = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")
+    anchors = F.regexp_extract_all(shown, F.lit(_ANCHOR), F.lit(1))
     return F.filter(F.transform(anchors, target), lambda v: v.isNotNull())
 
 

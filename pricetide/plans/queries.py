@@ -24,7 +24,8 @@ from pricetide.sinks import tables as sink
 from pricetide.sinks import text as text_sink
 from pricetide.sources import files, listings, sitemaps
 from pricetide.sources import tables as source
-from pricetide.streaming import append
+from pricetide.streaming import append, quarantine
+from pricetide.streaming.first import first_per_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -926,6 +927,39 @@ def append_stream(spark, sf_dir):
     return catalog.select("o_orderkey", "store")
 
 
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_linenumber <> 3")
+def quarantine_stream(spark, sf_dir):
+    """Files with a damaged one among them through the stream job, twice; the damaged one is listed, the others arrive once."""
+    rows = table(spark, sf_dir, "lineitem").select(*I.LINE_KEY)
+    source_, target = stage_path(spark, "arriving"), stage_path(spark, "catalog")
+    listed, checkpoint = stage_path(spark, "quarantine"), stage_path(spark, "stream")
+    dealt = rows.withColumn("n", F.col("l_linenumber"))
+    dealt.where("n <> 3").write.partitionBy("n").parquet(source_)
+    # Text under the name of a table: no reader can decode it.
+    dealt.where("n = 3").select(F.col("l_orderkey").cast("string").alias("value")).write.text(f"{source_}/n=3")
+    for _ in range(2):
+        found = quarantine.new_files(spark, source_, glob="part-*", most=4)
+        quarantine.append_files(found, rows.schema, target, listed, checkpoint)
+    if spark.read.parquet(listed).where(~F.contains("file", F.lit("n=3/"))).count():
+        raise RuntimeError("a whole file was listed as damaged")
+    return spark.read.schema(rows.schema).parquet(target).select(*I.LINE_KEY)
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey % 3, l_orderkey, l_linenumber, l_suppkey) = 1""")
+def first_rows_stream(spark, sf_dir):
+    """First row per product over three runs of the stream, each with what arrived meanwhile."""
+    rows = table(spark, sf_dir, "lineitem").select(*I.LINE_KEY)
+    order = ["l_orderkey", "l_linenumber", "l_suppkey"]
+    source_, target, checkpoint = (stage_path(spark, n) for n in ("arriving", "catalog", "stream"))
+    for k in range(3):
+        rows.where(F.col("l_orderkey") % 3 == k).write.mode("append").parquet(source_)
+        arrived = append.read_new(spark, source_, rows.schema)
+        append.stream_append(first_per_key(arrived, ["l_partkey"], order), target, checkpoint)
+    return spark.read.schema(rows.schema).parquet(target).select(*I.LINE_KEY)
+
+
 # --- whole jobs ------------------------------------------------------------------------------------------
 
 

@@ -303,3 +303,9 @@ def test_character_references(spark):
     texts = ["a", "&", "&amp;lt;", "&#x2F;&#47;&eacute;", "&#128512;", "&nosuch;&amp", "&#0;&#xD800;", "&copy2&lt", None]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select(M.unescape(F.col("t"))).collect()
     assert [r[0] for r in got] == ["a", "&", "&lt;", "//é", "😀", "&nosuch;&", "\ufffd\ufffd", "&copy2<", None]
+
+
+def test_links_outside_comments_with_references_resolved(spark):
+    html = "<a href='/a&#x2F;b&eacute;'>x</a><!-- <a href=/no>y</a> --><a href=/c&amp;d>z</a><!-- <a href=/open>"
+    got = extract.page_links(pages(spark, html), "https://h").orderBy("pos").collect()
+    assert [r.link for r in got] == ["https://h/a/bé", "https://h/c&d"]

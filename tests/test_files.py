@@ -19,7 +19,8 @@ from pricetide.sinks import tables as sink
 from pricetide.sinks import text as text_sink
 from pricetide.sources import files, listings, sitemaps
 from pricetide.sources import tables as source
-from pricetide.streaming import append
+from pricetide.streaming import append, quarantine
+from pricetide.streaming.first import first_per_key
 
 NS = 'xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"'
 
@@ -333,3 +334,40 @@ def test_drop_staged(spark):
     drop_staged(spark)
     with pytest.raises(AnalysisException):
         spark.read.parquet(path)
+
+
+def test_damaged_files_are_listed_and_delay_nothing(spark, tmp_path):
+    src, dst, bad, ckpt = (str(tmp_path / n) for n in ("src", "dst", "bad", "ckpt"))
+
+    def run():
+        quarantine.append_files(quarantine.new_files(spark, src, most=2), "url string, n int", dst, bad, ckpt)
+        rows = spark.read.parquet(dst).select("url", "n").collect()
+        listed = spark.read.parquet(bad).collect() if os.path.isdir(bad) else []
+        return sorted(tuple(r) for r in rows), sorted(os.path.basename(r.file) for r in listed)
+
+    frame = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "url string, n int").repartition(3)
+    frame.write.parquet(src)
+    assert run() == ([("a", 1), ("b", 2), ("c", 3)], [])
+    whole = sorted(glob.glob(src + "/*.parquet"))
+    with open(whole[0], "rb") as f:
+        content = f.read()
+    (tmp_path / "src" / "cut.parquet").write_bytes(content[: len(content) // 2])
+    (tmp_path / "src" / "none.parquet").write_bytes(b"")
+    spark.createDataFrame([("d", 4), ("e", 5)], "url string, n int").repartition(2).write.mode("append").parquet(src)
+    want = [("a", 1), ("b", 2), ("c", 3), ("d", 4), ("e", 5)]
+    assert run() == (want, ["cut.parquet"])
+    assert run() == (want, ["cut.parquet"])
+
+
+def test_first_per_key_over_runs(spark, tmp_path):
+    src, dst, ckpt = (str(tmp_path / n) for n in ("src", "dst", "ckpt"))
+    schema = "url string, n int"
+
+    def run(rows, expiry=None):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(src)
+        append.stream_append(first_per_key(append.read_new(spark, src, schema), ["url"], ["n"], expiry), dst, ckpt)
+        return sorted((r.url or "", r.n) for r in spark.read.parquet(dst).collect())
+
+    assert run([("a", 2), ("a", 1), ("b", 5), (None, 7)]) == [("", 7), ("a", 1), ("b", 5)]
+    assert run([("a", 0), ("c", 1), ("c", 1), (None, 3)]) == [("", 7), ("a", 1), ("b", 5), ("c", 1)]
+    assert run([("b", 1), ("d", 9)]) == [("", 7), ("a", 1), ("b", 5), ("c", 1), ("d", 9)]
