@@ -9,13 +9,14 @@ A pair is counted in the first table where it meets and nowhere else. A table's
 is split into blocks and the pairs of blocks become tasks of their own, so no task holds an unbounded entry, and only a
 count and one spanning edge per vector leave a task.
 
-Defined results: vectors that are null, empty, zero, hold a null or a non-finite component, or are not of the commonest
-length (the shortest of equally common ones), link with nothing. Rows that repeat an id are one vector, the smallest.
+Defined results: vectors that are null, empty, zero, or hold a null or a non-finite component, link with nothing; vectors
+of different lengths have no cosine, and those of each length are compared with each other. Empty tables give no rows. Rows that repeat an id are one vector, the smallest.
 A row without an id is returned without links and is kept. Only ``vec_id`` and ``embedding`` are read.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -174,11 +175,13 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     usable = rows.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & finite & (squares > 0)).withColumn("size", F.size("vector"))
-    commonest = usable.groupBy("size").count().orderBy(F.desc("count"), "size").first()
+    # Vectors of one length are compared; a row for each length that several vectors have.
+    sizes = sorted(r["size"] for r in usable.groupBy("size").count().where("count > 1").collect())
     ids = rows.select("vec_id")
-    if commonest is None:
+    if not sizes:
         return ids.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    found = stage(links(usable.where(F.col("size") == commonest["size"]), cosine=cosine), "itq-links")
+    every = [links(usable.where(F.col("size") == size), cosine=cosine) for size in sizes]
+    found = stage(functools.reduce(DataFrame.union, every), "itq-links")
     counts = found.groupBy("vec_id").agg(F.sum("n").alias("n"))
     groups = components(found.select(F.col("vec_id").alias("a"), F.col("other").alias("b")), "itq-components")
     joined = ids.join(counts, "vec_id", "left").join(groups.withColumnRenamed("node", "vec_id"), "vec_id", "left")

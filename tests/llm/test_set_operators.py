@@ -392,3 +392,13 @@ def test_pipeline_run(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     firsts = {i for i, _, c in jaccard_groups([(i, t) for i, t in texts.items() if re.search(r"[^\W\d_]", t or "")]) if i == c}
     assert set(got.doc_id) == firsts
+
+
+def test_embeddings_of_several_lengths(spark):
+    pick = np.random.default_rng(3)
+    rows = [(i, pick.standard_normal(16).tolist()) for i in range(40)]
+    rows += [(100, [1.0, 2.0, 3.0]), (101, [2.0, 4.0, 6.0]), (102, [3.0, -1.0, 0.0]), (103, [5.0]), (104, [7.0]), (105, [1.0, 1.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in itq.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert len(got) == 46
+    assert (got[100], got[101], got[102]) == ((1, 100), (1, 100), (0, 102))
+    assert (got[103], got[104], got[105]) == ((1, 103), (1, 103), (0, 105))
