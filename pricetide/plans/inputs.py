@@ -209,7 +209,8 @@ FALLBACKS = {
 <div class="order-button"><strong>Sắp về hàng</strong></div><div class="item-promotions">Giảm {p_size}%
  <button>Xem</button>cho <b>{p_type}</b></div><ul class="technical-content"><li><p>CPU</p><p><span>{p_brand}</span></p></li>
 <li><p>RAM</p><div><i>{p_size} GB</i></div></li></ul>""",
-    "gearvn": """<script type="application/ld+json">{"@type":"Product","name":"{name}","offers":{"price":1},"additionalProperty":
+    "gearvn": """<script type="application/ld+json">{"@type":"Product","name":"{name}","offers":{"price":{raw_current},
+"priceSpecification":{"price":"{raw_original}"}},"additionalProperty":
 [{"name":"CPU","value":"{p_brand}"},{"name":"RAM","value":"{p_size} GB"}]}</script><span class="line-through">1đ</span>
 <div data-product-summary-region="true"><span class="text-red-700 font-bold">{current}</span><span class="line-through">{original}</span></div>
 <div id="gift-promo--app"><ul class="gift-promo--lists"><li>Giảm {p_size}%</li></ul></div>""",
