@@ -6,7 +6,7 @@ outcome: ``ok``, ``fail`` or ``neutral`` (neither extends nor ends a streak).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,7 +14,7 @@ def pending_links(
     log: DataFrame,
     shard: list[str],
     limit: int = 3,
-    overlap: int = 0,
+    overlap: int | Column = 0,
     block_rows: int = 1_000_000,
     block: str | None = None,
 ) -> DataFrame:
@@ -22,7 +22,8 @@ def pending_links(
 
     A shard stops at the first position where ``limit`` failures follow each
     other without an ``ok``; the last ``limit + overlap`` positions up to the
-    stop and everything after it are pending. Adds ``stop_idx``.
+    stop and everything after it are pending. Adds ``stop_idx``. ``overlap`` may
+    be a column of the shard.
 
     Positions are cut into blocks (of ``block_rows``, or by the column
     ``block``, which grows with the position), so one shard may hold any share
@@ -66,7 +67,7 @@ def pending_links(
     ).filter(F.col("stop_idx").isNotNull())
 
     # Joined on (shard, block), the key the log is already distributed by.
-    return work.join(stops, block).filter(F.col("idx") > F.col("stop_idx") - limit - overlap).drop("_block")
+    return work.join(stops, block).filter(F.col("idx") > F.col("stop_idx") - F.lit(limit) - overlap).drop("_block")
 
 
 def runnable_shards(shards: DataFrame, pending: DataFrame, shard: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricetide import schema as S
@@ -55,9 +55,18 @@ def crawl_log(work: DataFrame, pages: DataFrame, store: str) -> DataFrame:
     return stage(log, "crawl-log")
 
 
-def after_run(log: DataFrame, overlap: int = 0) -> DataFrame:
-    """Pending links of a crawl log (``store, chunk, idx, url, lastmod, outcome``); finished shards leave none."""
-    left = breaker.pending_links(log, ["store", "chunk"], overlap=overlap)
+def restart_overlap() -> Column:
+    """Links that a store's next run takes again before the last three failures."""
+    cases = [F.when(F.col("store") == store, F.lit(n)) for store, n in S.RESTART_OVERLAP.items()]
+    return F.coalesce(*cases, F.lit(0))
+
+
+def after_run(log: DataFrame, overlap: int | Column | None = None) -> DataFrame:
+    """Pending links of a crawl log (``store, chunk, idx, url, lastmod, outcome``); finished shards leave none.
+
+    The overlap is that of the store unless one is given.
+    """
+    left = breaker.pending_links(log, ["store", "chunk"], overlap=restart_overlap() if overlap is None else overlap)
     return left.select("store", "chunk", "idx", "url", "lastmod")
 
 

@@ -19,12 +19,13 @@ from pricetide.operators import specs as spec_ops
 from pricetide.plans import inputs as I
 from pricetide.plans import jobs
 from pricetide.plans.inputs import table
-from pricetide.session import stage_path
+from pricetide.session import stage, stage_path
 from pricetide.sinks import tables as sink
 from pricetide.sinks import text as text_sink
 from pricetide.sources import files, listings, sitemaps
 from pricetide.sources import tables as source
 from pricetide.streaming import append, quarantine
+from pricetide.streaming.crawl import stream_pending
 from pricetide.streaming.first import first_per_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -960,6 +961,29 @@ def first_rows_stream(spark, sf_dir):
     return spark.read.schema(rows.schema).parquet(target).select(*I.LINE_KEY)
 
 
+def _arriving_log(spark, sf_dir, overlap):
+    """The crawl log through the stream in three runs, cut so that positions arrive out of order, with gaps."""
+    log = _crawl_log(spark, sf_dir).select("user_id", "event_id", "idx", "outcome")
+    source_, target, checkpoint = (stage_path(spark, n) for n in ("arriving", "pending", "stream"))
+    cut = F.pmod(F.floor(F.col("idx") / 3), F.lit(3))
+    staged = stage(log.withColumn("_cut", cut), "log")
+    for k in (1, 0, 2):
+        staged.where(F.col("_cut") == k).drop("_cut").write.mode("append").parquet(source_)
+        stream_pending(append.read_new(spark, source_, log.schema), ["user_id"], target, checkpoint, overlap=overlap)
+    return spark.read.schema("user_id bigint, event_id bigint, idx bigint, stop_idx bigint").parquet(target)
+
+
+@query(SQL["breaker_pending"])
+def breaker_stream(spark, sf_dir):
+    return _arriving_log(spark, sf_dir, 0)
+
+
+@query(SQL["breaker_overlap"])
+def breaker_stream_overlap(spark, sf_dir):
+    pending = _arriving_log(spark, sf_dir, 1)
+    return pending.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_pending"), F.min("idx").alias("first_idx"))
+
+
 # --- whole jobs ------------------------------------------------------------------------------------------
 
 

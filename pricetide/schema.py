@@ -108,3 +108,6 @@ def registry(spark: SparkSession) -> DataFrame:
 
 # Shops that show an interstitial page instead of the product.
 CHALLENGED = ("fptshop", "phongvu")
+
+# Links before the last three failures that a shop's next run takes again.
+RESTART_OVERLAP = {"fptshop": 1}

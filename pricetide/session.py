@@ -55,10 +55,27 @@ def stage_path(spark: SparkSession, label: str) -> str:
     return f"{_stage_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _folder(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names right below a folder; none if it is not there."""
+    root, system = _folder(spark, path)
+    return sorted(f.getPath().getName() for f in system.listStatus(root)) if system.exists(root) else []
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Remove folders with all they hold."""
+    for path in paths:
+        root, system = _folder(spark, path)
+        system.delete(root, True)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Remove the staged tables of this application, once its results are written."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(_stage_root(spark))
-    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+    remove(spark, [_stage_root(spark)])
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
