@@ -76,3 +76,47 @@ def any_spec(pairs: Column, key_words: list[str], value_part: str) -> Column:
         return named & F.contains(p["value"], F.lit(value_part))
 
     return F.coalesce(F.exists(pairs, hit), F.lit(False))
+
+
+MULTIMAP = "array<struct<key:string,values:array<string>>>"
+
+
+def spec_multimap(text: Column, sep: str = " | ") -> Column:
+    """Text form as an ordered multimap: ``key`` and the ``values`` that follow each other under it.
+
+    Nothing is lost: repeated keys keep all their values, a piece without ``: `` behind a key stands under the empty key,
+    and :func:`multimap_text` gives the same text back. A null text is null.
+    """
+
+    def entry(piece: Column) -> Column:
+        at = F.locate(": ", piece)
+        return F.struct(
+            F.when(at > 1, F.substring(piece, F.lit(1), at - 1)).otherwise(F.lit("")).alias("key"),
+            F.when(at > 1, F.substring(piece, at + 2, F.length(piece))).otherwise(piece).alias("value"),
+        )
+
+    entries = F.transform(F.split(text, sep, -1) if len(sep) == 1 else F.split(text, "\\Q" + sep + "\\E", -1), entry)
+    # Each run of one key is cut out by its borders, so a text of n pieces costs n steps and no growing state.
+    places = F.sequence(F.lit(0), F.size(entries) - 1)
+    starts = F.filter(places, lambda i: (i == 0) | (F.get(entries, i)["key"] != F.get(entries, i - 1)["key"]))
+
+    def run(start: Column, k: Column) -> Column:
+        end = F.coalesce(F.get(starts, k + 1), F.size(entries))
+        values = F.transform(F.slice(entries, start + 1, end - start), lambda e: e["value"])
+        return F.struct(F.get(entries, start)["key"].alias("key"), values.alias("values"))
+
+    return F.transform(starts, run)
+
+
+def multimap_text(multimap: Column, sep: str = " | ") -> Column:
+    """Inverse of :func:`spec_multimap`."""
+
+    def pieces(e: Column) -> Column:
+        return F.transform(e["values"], lambda v: F.when(e["key"] == "", v).otherwise(F.concat(e["key"], F.lit(": "), v)))
+
+    return F.when(multimap.isNotNull(), F.array_join(F.flatten(F.transform(multimap, pieces)), sep))
+
+
+def values_of(multimap: Column, key: str) -> Column:
+    """All values of a key, in order."""
+    return F.flatten(F.transform(F.filter(multimap, lambda e: e["key"] == key), lambda e: e["values"]))

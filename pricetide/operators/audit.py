@@ -73,7 +73,11 @@ def store_report(catalog: DataFrame, registry: DataFrame, present: DataFrame | N
     else:
         here = F.col("_n").isNotNull()
     status = F.when(F.col("_n") > 0, "ok").when(here, "empty").otherwise("missing")
-    lines = joined.select("sheet_name", status.alias("status"), F.coalesce("_n", F.lit(0)).alias("n_rows"))
+    return with_total(joined.select("sheet_name", status.alias("status"), F.coalesce("_n", F.lit(0)).alias("n_rows")))
+
+
+def with_total(lines: DataFrame) -> DataFrame:
+    """Report lines (``sheet_name, status, n_rows``) and their total."""
     return (
         lines.rollup("sheet_name")
         .agg(
@@ -91,6 +95,7 @@ def report_lines(report: DataFrame) -> DataFrame:
         F.when(F.col("is_total") == 1, F.format_string("Tổng cộng: %d sản phẩm", "n_rows"))
         .when(F.col("status") == "ok", F.format_string("%s: %d sản phẩm", "sheet_name", "n_rows"))
         .when(F.col("status") == "empty", F.format_string("%s: bảng trống (0 sản phẩm)", "sheet_name"))
+        .when(F.col("status") == "error", F.format_string("%s: lỗi", "sheet_name"))
         .otherwise(F.format_string("%s: không có dữ liệu", "sheet_name"))
     )
     return report.withColumn("value", line).orderBy("is_total", "sheet_name")

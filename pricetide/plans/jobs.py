@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pricetide import schema as S
 from pricetide.functions import markup
 from pricetide.operators import audit, breaker, extract, links, position, records, specs
-from pricetide.session import stage
+from pricetide.session import remove, stage
 from pricetide.sinks import tables as sink
 from pricetide.sources import tables as source
 
@@ -108,3 +111,39 @@ def merge_and_publish(spark: SparkSession, bronze: str, silver: str, catalog: st
     if tidy:
         sink.remove_files(spark, [r["file"] for r in found.where("error IS NULL").select("file").toLocalIterator()])
     return audit.store_report(table, S.registry(spark))
+
+
+def publish_stores(
+    spark: SparkSession, tables: dict[str, str], catalog: str, run: str, schema: StructType | str, sheets: dict[str, str] | None = None
+) -> DataFrame:
+    """Publish each store's table to the catalog on its own and report ``ok``, ``empty``, ``missing`` or ``error``.
+
+    A store that fails leaves nothing in the catalog and does not stop the others. Rows are counted by the write itself.
+    A run has its own folder in each store, so a run that is repeated replaces its rows and none are doubled.
+    ``tables``: path by store (one entry per registered shop); ``sheets``: names in the report, the stores' by default.
+    """
+    lines = []
+    for store, path in tables.items():
+        status, rows = _publish(spark, store, path, catalog, run, schema)
+        lines.append(((sheets or {}).get(store, store), status, rows))
+    return audit.with_total(spark.createDataFrame(lines, "sheet_name string, status string, n_rows long"))
+
+
+def _publish(spark: SparkSession, store: str, path: str, catalog: str, run: str, schema: StructType | str) -> tuple[str, int]:
+    counted = Observation()
+    own = f"{catalog}/store={store}/run={run}"
+    try:
+        table = spark.read.schema(schema).option("ignoreCorruptFiles", "false").parquet(path)
+        table.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(own)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e.getCondition()):
+            raise
+        status, rows = "missing", 0
+    except (PySparkException, Py4JError):
+        status, rows = "error", 0
+    else:
+        rows = counted.get["n"]
+        status = "ok" if rows else "empty"
+    if status != "ok":
+        remove(spark, [own])
+    return status, rows

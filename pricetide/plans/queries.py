@@ -6,6 +6,7 @@ so that values compare plainly.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pricetide.functions.markup import El, rule
 from pricetide.operators import audit, breaker, extract, links, position, records
 from pricetide.operators import specs as spec_ops
 from pricetide.plans import inputs as I
-from pricetide.plans import jobs
+from pricetide.plans import jobs, resume
 from pricetide.plans.inputs import table
 from pricetide.session import stage, stage_path
 from pricetide.sinks import tables as sink
@@ -465,6 +466,11 @@ s AS (SELECT listing, min(page) AS stop FROM e GROUP BY listing)
 SELECT l.listing, CAST(l.page AS INTEGER) AS page, 'https://phongvu.vn/' || replace(p_name, ' ', '-') || '-' || CAST(p_partkey AS VARCHAR) AS url
 FROM l LEFT JOIN s ON l.listing = s.listing WHERE p_size > 10 AND (stop IS NULL OR l.page < stop)""")
 def listing_json(spark, sf_dir):
+    found = listings.listing_links(_responses(spark, sf_dir), "https://phongvu.vn", ["listing"])
+    return found.select("listing", "page", "url")
+
+
+def _responses(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     slug = F.concat(F.translate("p_name", " ", "-"), F.lit("-"), F.col("p_partkey").cast("string"))
     product = F.struct(F.when(F.col("p_size") > 10, slug).alias("canonical"))
@@ -476,8 +482,20 @@ def listing_json(spark, sf_dir):
     )
     body = F.to_json(F.struct(F.struct("products").alias("data")))
     broken = F.when(F.col("top") < 47, F.lit("<html>busy")).when(F.col("top") < 48, F.lit('{"data":{"products":[]}}'))
-    captured = responses.select("listing", "page", F.coalesce(broken, body).alias("body"))
-    return listings.listing_links(captured, "https://phongvu.vn", ["listing"]).select("listing", "page", "url")
+    return responses.select("listing", "page", F.coalesce(broken, body).alias("body"))
+
+
+@query(SQL["listing_json"])
+def listing_scan(spark, sf_dir):
+    """The same responses as folders by page, read page after page until every listing has ended."""
+    root = stage_path(spark, "responses")
+    captured = _responses(spark, sf_dir)
+    # An empty page behind the last one ends every listing; what stands behind it does not count.
+    last = captured.select("listing").distinct().select("listing", F.lit(26).alias("page"), F.lit("").alias("body"))
+    late = captured.select("listing", F.col("page") + 30, "body").toDF("listing", "page", "body")
+    captured.unionByName(last).unionByName(late).write.partitionBy("page").json(root)
+    found = listings.scan_listing(spark, root, "https://phongvu.vn", ["listing"], "listing bigint, body string")
+    return found.select("listing", "page", "url")
 
 
 @query("""SELECT event_id, json_extract_string(props, '$.k') AS k FROM events""")
@@ -970,7 +988,7 @@ def _arriving_log(spark, sf_dir, overlap):
     for k in (1, 0, 2):
         staged.where(F.col("_cut") == k).drop("_cut").write.mode("append").parquet(source_)
         stream_pending(append.read_new(spark, source_, log.schema), ["user_id"], target, checkpoint, overlap=overlap)
-    return spark.read.schema("user_id bigint, event_id bigint, idx bigint, stop_idx bigint").parquet(target)
+    return spark.read.schema("user_id bigint, event_id bigint, idx bigint, stop_idx bigint").parquet(target).select("user_id", "event_id", "idx", "stop_idx")
 
 
 @query(SQL["breaker_pending"])
@@ -1131,3 +1149,128 @@ def sample_lines(spark, sf_dir):
         F.lit(None).cast("string").alias(S.SPECS), "p_retailprice", "p_partkey",
     )
     return text_sink.sample_lines(shown, [F.desc("p_retailprice"), "p_partkey"], 3)
+
+
+# --- runs that follow each other -------------------------------------------------------------------------
+
+
+def _run_sql(run: int, work: str) -> str:
+    """Links of a work list left after a run, in which a link fails by its size and the run's number."""
+    fails = f"(p_size * 7 + {13 * run}) % 50 < {_FAILING[run]}"
+    return f"""
+o{run} AS (SELECT chunk, idx, w.url, w.lastmod, {fails} AS bad FROM {work} w JOIN u ON w.url = u.url),
+g{run} AS (SELECT *, sum(CASE WHEN bad THEN 0 ELSE 1 END) OVER (PARTITION BY chunk ORDER BY idx) AS island FROM o{run}),
+s{run} AS (SELECT *, sum(CASE WHEN bad THEN 1 ELSE 0 END) OVER (PARTITION BY chunk, island ORDER BY idx) AS streak FROM g{run}),
+p{run} AS (SELECT s.chunk, idx, url, lastmod FROM s{run} s
+  JOIN (SELECT chunk, min(idx) AS stop FROM s{run} WHERE streak >= 3 AND bad GROUP BY chunk) e ON s.chunk = e.chunk WHERE idx > stop - 3)"""
+
+
+# Of 50 sizes, those that fail in each run.
+_FAILING = {1: 30, 2: 25, 3: 15}
+RECENT_SQL = """
+u AS (SELECT 'https://shop.example/laptop/' || CAST(p_partkey AS VARCHAR) AS url, CAST(p_size AS VARCHAR) AS lastmod, p_size FROM part
+  WHERE p_partkey % 6 + 1 >= 3),
+n AS (SELECT *, row_number() OVER (ORDER BY url) AS i, CAST(ceil(count(*) OVER () / 20.0) AS BIGINT) AS size FROM u),
+c AS (SELECT CAST((i - 1) // size + 1 AS INTEGER) AS chunk, (i - 1) % size + 1 AS idx, url, lastmod FROM n)"""
+
+
+def _sitemaps(spark, sf_dir, root):
+    """The parts as monthly sitemaps of half a year and their index; the oldest two are damaged."""
+    part = table(spark, sf_dir, "part")
+    url = F.concat(F.lit("https://shop.example/laptop/"), F.col("p_partkey").cast("string"))
+    entries = part.select(url.alias("loc"), F.col("p_size").cast("string").alias("lastmod"), (F.col("p_partkey") % 6 + 1).alias("month"))
+    for month in range(1, 7):
+        of_month = entries.where(F.col("month") == month).drop("month")
+        path = f"{root}/sitemap-product-2026-{month}"
+        if month < 3:
+            of_month.select(F.concat("loc", F.lit("<url><loc>")).alias("value")).write.text(path)
+            continue
+        of_month.write.format("xml").option("rootTag", "urlset").option("rowTag", "url").save(path)
+        # Entries of another kind, which no rule of the shop takes.
+        other = of_month.select(F.replace("loc", F.lit("/laptop/"), F.lit("/tv/")).alias("loc"), "lastmod")
+        other.write.format("xml").option("rootTag", "urlset").option("rowTag", "url").mode("append").save(path)
+    names = spark.range(1, 7).select(F.concat(F.lit("https://shop.example/sitemap-product-2026-"), F.col("id").cast("string")).alias("loc"))
+    names.coalesce(1).write.format("xml").option("rootTag", "sitemapindex").option("rowTag", "sitemap").save(f"{root}/index")
+    return lambda loc: f"{root}/{loc.rsplit('/', 1)[1]}"
+
+
+@query(f"WITH {RECENT_SQL} SELECT chunk, idx, url, lastmod FROM c")
+def discovery(spark, sf_dir):
+    """Index, recent months, their sitemaps, links and shards; done again it reads the links kept by the first time."""
+    root, kept = stage_path(spark, "sitemaps"), stage_path(spark, "steps")
+    locate = _sitemaps(spark, sf_dir, root)
+    day = dt.date(2026, 6, 15)
+
+    def find():
+        return resume.discover(spark, [f"{root}/index"], "tgdd", day, locate=locate)
+
+    def never():
+        raise RuntimeError("a finished step was done again")
+
+    for make in (find, never):
+        inputs = {"index": resume.file_key(spark, f"{root}/index", "part-*"), "day": day, "rule": "tgdd"}
+        found = resume.step(spark, kept, "links", inputs, make)
+        work = resume.work_list(spark, "tgdd", 20, f"{root}/pending", None, lambda found=found: found)
+    return work.select("chunk", "idx", "url", "lastmod")
+
+
+@query(f"""
+WITH {RECENT_SQL},{_run_sql(1, 'c')},{_run_sql(2, 'p1')},{_run_sql(3, 'p2')}
+SELECT 1 AS run, * FROM p1 UNION ALL SELECT 2, * FROM p2 UNION ALL SELECT 3, * FROM p3""")
+def pending_runs(spark, sf_dir):
+    """Three runs of a store: all links, then what the run before left, with the pending table after each."""
+    part = table(spark, sf_dir, "part")
+    url = F.concat(F.lit("https://shop.example/laptop/"), F.col("p_partkey").cast("string"))
+    known = part.where(F.col("p_partkey") % 6 + 1 >= 3).select(url.alias("url"), F.col("p_size").cast("string").alias("lastmod"))
+    root, after = stage_path(spark, "pending"), []
+    for run, failing in _FAILING.items():
+        shown = (F.col("p_size") * 7 + 13 * run) % 50 >= failing
+        pages = part.where(shown).select(url.alias("url"), F.lit("<title>t</title><h1>Laptop</h1>").alias("html"))
+        work = resume.work_list(spark, "tgdd", 20, root, None, lambda: known)
+        left = resume.crawl_run(work, pages, "tgdd", root)
+        after.append(stage(left.select(F.lit(run).alias("run"), "chunk", "idx", "url", "lastmod"), "run"))
+    return records.union_tables(after)
+
+
+@query("""
+WITH n AS (SELECT o_orderpriority AS p, count(*) AS n FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') GROUP BY 1),
+r AS (SELECT s.store, s.status, coalesce(n, 0) AS n FROM (VALUES ('1-URGENT', 'ok'), ('2-HIGH', 'ok'), ('3-MEDIUM', 'empty'),
+  ('4-NOT SPECIFIED', 'error'), ('5-LOW', 'missing')) s(store, status) LEFT JOIN n ON n.p = s.store)
+SELECT 'sheet ' || store AS sheet_name, status, n AS n_rows, 0 AS is_total, n AS n_published,
+  'sheet ' || store || CASE status WHEN 'ok' THEN ': ' || CAST(n AS VARCHAR) || ' sản phẩm' WHEN 'empty' THEN ': bảng trống (0 sản phẩm)'
+    WHEN 'error' THEN ': lỗi' ELSE ': không có dữ liệu' END AS value FROM r
+UNION ALL SELECT 'TOTAL', 'total', CAST(sum(n) AS BIGINT), 1, CAST(sum(n) AS BIGINT), 'Tổng cộng: ' || CAST(CAST(sum(n) AS BIGINT) AS VARCHAR) || ' sản phẩm' FROM r""")
+def store_states(spark, sf_dir):
+    """Five stores published one by one, twice: two good ones, an empty, a damaged and a missing one."""
+    orders = table(spark, sf_dir, "orders")
+    root, catalog = stage_path(spark, "tables"), stage_path(spark, "catalog")
+    names = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    paths = {name: f"{root}/{name[0]}" for name in names}
+    for name in names[:2]:
+        orders.where(F.col("o_orderpriority") == name).write.parquet(paths[name])
+    orders.limit(0).write.parquet(paths[names[2]])
+    orders.select(F.col("o_orderkey").cast("string").alias("value")).write.text(paths[names[3]])
+    for _ in range(2):
+        report = jobs.publish_stores(spark, paths, catalog, "r1", orders.schema, {n: f"sheet {n}" for n in names})
+    published = spark.read.parquet(catalog).groupBy(F.concat(F.lit("sheet "), "store").alias("sheet_name")).agg(F.count(F.lit(1)).alias("n"))
+    total = published.agg(F.lit("TOTAL").alias("sheet_name"), F.sum("n").alias("n"))
+    lines = audit.report_lines(report).join(published.unionByName(total), "sheet_name", "left")
+    return lines.select("sheet_name", "status", "n_rows", "is_total", "value", F.coalesce("n", F.lit(0)).alias("n_published"))
+
+
+@query("""
+SELECT p_partkey, 'CPU: ' || p_brand || ' | CPU: ' || p_type || ' | ' || p_name || ' | RAM: ' || CAST(p_size AS VARCHAR) || ' GB | CPU: x: y' AS back,
+  p_brand || ',' || p_type || ',x: y' AS cpus, p_name AS loose, CAST(4 AS INTEGER) AS n_runs FROM part""")
+def spec_multimap(spark, sf_dir):
+    """Specs with a repeated key and a piece without one, as an ordered multimap and back."""
+    shown = F.concat(
+        F.lit("CPU: "), "p_brand", F.lit(" | CPU: "), "p_type", F.lit(" | "), "p_name", F.lit(" | RAM: "),
+        F.col("p_size").cast("string"), F.lit(" GB | CPU: x: y"),
+    )
+    multimap = specs.spec_multimap(shown)
+    df = table(spark, sf_dir, "part").select("p_partkey", multimap.alias("m"))
+    m = F.col("m")
+    return df.select(
+        "p_partkey", specs.multimap_text(m).alias("back"), F.array_join(specs.values_of(m, "CPU"), ",").alias("cpus"),
+        F.array_join(specs.values_of(m, ""), ",").alias("loose"), F.size("m").alias("n_runs"),
+    )

@@ -43,10 +43,10 @@ def sitemap_links(sitemap: DataFrame, rule: str) -> DataFrame:
     return links.keep_first(kept, ["loc"], POSITION).select(F.col("loc").alias("url"), "lastmod")
 
 
-def read_sitemap_index(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Sub-sitemap addresses of an index: ``loc``."""
+def read_sitemap_index(spark: SparkSession, paths: list[str], position: bool = False) -> DataFrame:
+    """Sub-sitemap addresses of an index: ``loc``, with ``position`` also where they stand."""
     rows = spark.read.format("xml").option("rowTag", "sitemap").schema(S.SITEMAP_INDEX).load(paths)
-    return rows.filter(F.col("loc") != "")
+    return (with_file_position(rows) if position else rows).filter(F.col("loc") != "")
 
 
 def recent_sitemaps(index: DataFrame, as_of: dt.date | Column, months: int = 3) -> DataFrame:
