@@ -3,7 +3,8 @@
 A value is found by its format and validated (check digits, ranges, calendar), read as a number below the size of its
 format's domain, permuted there by a keyed Feistel network and written in the same format. The permutation depends on
 the key and the kind of value alone, so equal values get equal pseudonyms in every document and different values of a
-format get different ones. Mail addresses and assigned secrets go the same way, letter by letter class.
+format get different ones; no value stays as it is where its format has another one. A date is the same value in every
+format. Mail addresses, assigned secrets, access keys and bearer tokens go the same way, letter by letter class.
 
 Defined results: a null text stays null, without findings; an empty text stays empty; repeated rows give repeated
 results. Where two findings overlap the one that starts first counts, then the order of ``KINDS``. Only ``doc_id`` and
@@ -17,6 +18,7 @@ import datetime
 import functools
 import hashlib
 import hmac
+import math
 import re
 import string
 from collections.abc import Callable
@@ -27,29 +29,42 @@ from pyspark.sql import DataFrame, functions as F
 from pricetide.llm.common import map_arrow
 
 ROUNDS = 8
-_HINT = re.compile(r"[0-9@]|(?i:passw|secret|token|key)")
+_HINT = re.compile(r"[0-9@]|AKIA|ASIA|(?i:passw|secret|token|key|bearer)")
 
 
-@functools.lru_cache(maxsize=50_000)
-def permute(value: int, size: int, key: bytes, kind: str) -> int:
-    """Keyed permutation of 0 .. size - 1: a balanced Feistel network over bits, walked until it falls inside."""
+def permute(value: int, size: int, key: bytes, kind: str, back: bool = False) -> int:
+    """Keyed permutation of 0 .. size - 1, or its inverse: a balanced Feistel network over bits, walked until it falls inside."""
     half = max(1, (size - 1).bit_length() + 1 >> 1)
     mask = (1 << half) - 1
+
+    def mixed(turn: int, part: int) -> int:
+        message = f"{kind}|{size}|{turn}|{part}".encode()
+        return int.from_bytes(hmac.digest(key, message, "sha256"), "big") & mask
+
     while True:
         left, right = value >> half, value & mask
-        for turn in range(ROUNDS):
-            message = f"{kind}|{size}|{turn}|{right}".encode()
-            left, right = right, left ^ (int.from_bytes(hmac.digest(key, message, "sha256"), "big") & mask)
+        for turn in reversed(range(ROUNDS)) if back else range(ROUNDS):
+            left, right = (right ^ mixed(turn, left), left) if back else (right, left ^ mixed(turn, right))
         value = left << half | right
         if value < size:
             return value
 
 
+@functools.lru_cache(maxsize=50_000)
+def move(value: int, size: int, key: bytes, kind: str) -> int:
+    """A permutation that is one cycle through all values: permuted, moved on by a keyed step, permuted back."""
+    step = int.from_bytes(hmac.digest(key, f"{kind}|{size}|step".encode(), "sha256"), "big") % size
+    while math.gcd(step, size) != 1:
+        step += 1
+    return permute((permute(value, size, key, kind) + step) % size, size, key, kind, back=True)
+
+
 def _walk(value: int, size: int, key: bytes, kind: str, allowed: Callable[[int], object]) -> int:
-    """Permutation of the allowed values: repeated until it is on one again."""
-    value = permute(value, size, key, kind)
+    """Permutation of the allowed values: moved until it is on one again. As all values are one cycle, it is another one
+    unless there is no other."""
+    value = move(value, size, key, kind)
     while not allowed(value):
-        value = permute(value, size, key, kind)
+        value = move(value, size, key, kind)
     return value
 
 
@@ -87,8 +102,11 @@ def _issuer(digits: str) -> bool:
 
 
 def phone(text: str, key: bytes) -> str | None:
-    """The country code, if there is one, and the separators stay; a number starts with no 0 where it had none."""
-    head = re.match(r"\+[0-9]{1,3}(?=[ .\-(])", text)
+    """The country code, if there is one, and the separators stay; a number starts with no 0 where it had none.
+
+    Without a separator the first two digits count as country code.
+    """
+    head = re.match(r"\+[0-9]{1,3}(?=[ .\-(])|\+[0-9]{2}", text)
     prefix, rest = (head[0], text[head.end() :]) if head else ("", text)
     d = _digits(rest)
     if not 7 <= len(d) <= 14 or len(set(d)) == 1:
@@ -130,7 +148,12 @@ FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1), datetime.date(2099, 12, 31)
 
 
 def date(text: str, key: bytes) -> str | None:
-    """Year first, or last with the day before the month, or the month first where only that is a date."""
+    """Year first, or last with the day before the month, or the month first where only that is a date.
+
+    Days after the 12th are permuted among themselves, and so are the others, so that a date can be written in any of the
+    formats and is read back the same way: one day has one pseudonym, whatever its format. Without leading zeros if the
+    input has none.
+    """
     parts, marks = re.split(r"[-/.]", text), re.findall(r"[-/.]", text)
     if marks[0] != marks[1]:
         return None
@@ -142,16 +165,33 @@ def date(text: str, key: bytes) -> str | None:
     else:
         return None
     size = (LAST_DAY - FIRST_DAY).days + 1
-    # A day-first date must not come back as one that is read month first, nor the reverse.
-    allowed = lambda v: order != "mdy" or (FIRST_DAY + datetime.timedelta(v)).day > 12
-    day = FIRST_DAY + datetime.timedelta(_walk((datetime.date(f["y"], f["m"], f["d"]) - FIRST_DAY).days, size, key, f"date{order == 'mdy'}", allowed))
-    new = {"y": f"{day.year:04d}", "m": f"{day.month:02d}", "d": f"{day.day:02d}"}
+    late = f["d"] > 12
+    value = (datetime.date(f["y"], f["m"], f["d"]) - FIRST_DAY).days
+    day = FIRST_DAY + datetime.timedelta(_walk(value, size, key, "date", lambda v: ((FIRST_DAY + datetime.timedelta(v)).day > 12) == late))
+    width = 1 if any(len(p) == 1 for p in parts) else 2
+    new = {"y": f"{day.year:04d}", "m": f"{day.month:0{width}d}", "d": f"{day.day:0{width}d}"}
     return marks[0].join(new[c] for c in order)
 
 
+BLOCK = 64
+
+
 def _by_class(text: str, key: bytes, kind: str) -> str:
-    """Permute a text among the texts with the same class (digit, lower, upper, hexadecimal) in every place."""
-    hexadecimal = len(text) >= 12 and re.fullmatch(r"[0-9a-f]*[a-f][0-9a-f]*", text)
+    """Permute a text among the texts with the same class (digit, lower, upper, hexadecimal) in every place.
+
+    Long texts go block by block, each under all that stands before it.
+    """
+    hexadecimal = len(text) >= 12 and re.fullmatch(r"[0-9a-f]*[a-f][0-9a-f]*", text) is not None
+    out, before = [], hashlib.sha256()
+    for at in range(0, len(text), BLOCK):
+        part = text[at : at + BLOCK]
+        tweak = f"{kind}|{before.hexdigest()[:32]}" if at else kind
+        out.append(_block(part, key, tweak, hexadecimal and re.search("[a-f]", part) is not None))
+        before.update(part.encode())
+    return "".join(out)
+
+
+def _block(text: str, key: bytes, kind: str, hexadecimal: bool) -> str:
     classes = ["0123456789abcdef" if hexadecimal else next((s for s in (string.digits, string.ascii_lowercase, string.ascii_uppercase) if c in s), c) for c in text]
     value, size = 0, 1
     for c, letters in zip(text, classes, strict=True):
@@ -179,15 +219,31 @@ def secret(text: str, key: bytes) -> str | None:
     return text[:place] + _by_class(text[place:], key, "secret")
 
 
+def access_key(text: str, key: bytes) -> str | None:
+    """The four letters that say what it is stay."""
+    return text[:4] + _by_class(text[4:], key, "access_key")
+
+
+def bearer(text: str, key: bytes) -> str | None:
+    """The word stays, the token changes; a token holds a digit and a letter."""
+    place = re.search(r"\S+$", text).start()
+    token = text[place:]
+    if not (re.search("[0-9]", token) and re.search("[A-Za-z]", token)):
+        return None
+    return text[:place] + _by_class(token, key, "bearer")
+
+
 KINDS: dict[str, tuple[str, Callable[[str, bytes], str | None]]] = {
     "email": (r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}(?![\w-])", email),
     "secret": (r"(?i:password|passwd|secret|token|api[_-]?key|access[_-]?key)\s?[=:]\s?[\"']?[0-9A-Za-z_\-]{8,}", secret),
+    "access_key": (r"(?<!\w)A[KS]IA[A-Z2-7]{16}(?!\w)", access_key),
+    "bearer": (r"(?<!\w)(?i:bearer) {1,3}[0-9A-Za-z_\-.~+/]{20,}=*(?![\w])", bearer),
     "iban": (r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)", iban),
     "ipv4": (r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])", ipv4),
-    "date": (r"(?<![\w./-])(?:[0-9]{4}[-/.][0-9]{2}[-/.][0-9]{2}|[0-9]{2}[-/.][0-9]{2}[-/.][0-9]{4})(?![\w]|[./-][0-9])", date),
+    "date": (r"(?<![\w./-])(?:[0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{4})(?![\w]|[./-][0-9])", date),
     "social": (r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])", social),
     "card": (r"(?<![\w])[0-9](?:[ -]?[0-9]){12,18}(?![\w])", card),
-    "phone": (r"(?<![\w.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{3}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?!\w)|(?<!\w)\+[0-9]{1,3}(?:[ .-][0-9]{2,8}){1,5}(?!\w)", phone),
+    "phone": (r"(?<![\w.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{3}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?!\w)|(?<!\w)\+[0-9]{1,3}(?:[ .-][0-9]{2,8}){1,5}(?!\w)|(?<![\w+])\+[1-9][0-9]{8,14}(?!\w)", phone),
 }
 _ANY = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, (pattern, _) in KINDS.items()))
 
