@@ -34,8 +34,13 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal values become pseudonyms of their format."""
-    return _measured(pii.pseudonyms(docs, queries.KEY).select(*[f"`{c}`" for c in docs.columns]))
+    """Personal values become pseudonyms of their format, under the session's key (``spark.pricetide.key``).
+
+    Without one the key of the test queries is taken, which is public: anyone can undo those pseudonyms.
+    """
+    own = spark.conf.get("spark.pricetide.key", None)
+    key = own.encode() if own else queries.KEY
+    return _measured(pii.pseudonyms(docs, key).select(*[f"`{c}`" for c in docs.columns]))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
