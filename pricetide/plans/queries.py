@@ -28,6 +28,7 @@ from pricetide.sources import tables as source
 from pricetide.streaming import append, quarantine
 from pricetide.streaming.crawl import stream_pending
 from pricetide.streaming.first import first_per_key
+from pricetide.streaming.snapshot import captured, snapshot_run
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -991,6 +992,26 @@ def _arriving_log(spark, sf_dir, overlap):
     return spark.read.schema("user_id bigint, event_id bigint, idx bigint, stop_idx bigint").parquet(target).select("user_id", "event_id", "idx", "stop_idx")
 
 
+@query(f"""
+WITH {I.PRODUCTS_SQL}
+SELECT 'https://shop.example/laptop/' || CAST(p_partkey AS VARCHAR) AS link, name,
+  replace(format('{{:,}}', current), ',', '.') || 'đ' AS price, CAST(p_size % 4 AS INTEGER) AS chunk FROM products""")
+def snapshot_stream(spark, sf_dir):
+    """Captured pages as they arrive, two files at a time, to the shard tables of a run; the second run finds what came since."""
+    source_, root, checkpoint = (stage_path(spark, n) for n in ("pages", "bronze", "stream"))
+    pages = I.product_pages(spark, sf_dir, "tgdd").join(table(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey")
+    shown = pages.select(
+        F.lit("tgdd").alias("store"), (F.col("p_size") % 4).cast("int").alias("chunk"), F.lit("r1").alias("run"), "url", "html",
+        F.lit(None).cast("timestamp").alias("captured_at"), (F.col("p_size") % 2).alias("_later"),
+    )
+    for k in range(2):
+        arrived = shown.where(F.col("_later") == k).drop("_later")
+        arrived.repartition(3).write.mode("append").parquet(source_)
+        snapshot_run(captured(spark, source_, arrived.schema, 2), lambda batch: jobs.shard_tables(batch, "tgdd"), root, checkpoint)
+    rows = source.read_shards(spark, root, "tgdd")
+    return rows.select(F.col(S.LINK).alias("link"), F.col(S.NAME).alias("name"), F.col(S.PRICE).alias("price"), "chunk")
+
+
 @query(SQL["breaker_pending"])
 def breaker_stream(spark, sf_dir):
     return _arriving_log(spark, sf_dir, 0)
