@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -11,7 +13,7 @@ from pyspark.sql.types import StructType
 from pricetide import schema as S
 from pricetide.functions import markup
 from pricetide.operators import audit, breaker, extract, links, position, records, specs
-from pricetide.session import remove, stage
+from pricetide.session import folders, remove, stage
 from pricetide.sinks import tables as sink
 from pricetide.sources import tables as source
 
@@ -97,22 +99,53 @@ def merge_and_publish(spark: SparkSession, bronze: str, silver: str, catalog: st
     """Merge all shards into the per-store table, append them to the catalog, report the counts.
 
     All stores go through one job; the tables differ in headers only. Damaged shard files are left out and, with
-    ``unreadable``, listed there (``file, rows, error``). With ``tidy`` the files that were merged are removed.
+    ``unreadable``, listed there (``file, rows, modified, error``). With ``tidy`` the files that were merged are removed.
     """
-    found = source.shard_files(spark, bronze)
+    shards, found = source.checked_shards(spark, bronze)
     if unreadable is not None:
         found.where("error IS NOT NULL").write.mode("append").parquet(unreadable)
-    merged = records.merge_shards(source.read_shards(spark, bronze, found=found), source.SHARD_ORDER)
-    if tidy:
-        merged = stage(merged, "merged")
-    sink.write_stores(merged, silver)
+    sink.write_stores(records.merge_shards(shards, source.SHARD_ORDER), silver)
     table = source.read_workbook(spark, silver, S.SILVER)
     sink.write_catalog(table, catalog)
     if tidy:
-        sink.remove_files(spark, [r["file"] for r in found.where("error IS NULL").select("file").toLocalIterator()])
+        sink.remove_merged(found)
     return audit.store_report(table, S.registry(spark))
 
 
+def build_workbook(spark: SparkSession, root: str, path: str) -> list[str]:
+    """The topic workbook anew from the shops' topic tables: a sheet per shop, prices as numbers, no discount column.
+
+    Returns the sheets whose shop has no table below ``root``; they are not in the workbook.
+    """
+    found, missing = source.read_registered(spark, root, {s.key: s.topic_file for s in S.SHOPS.values()})
+    if found:
+        sheets = {S.SHOPS[store].topic_sheet: records.topic_numbers(df) for store, df in found.items()}
+        sink.rewrite(records.union_stores(sheets), path)
+    return [S.SHOPS[store].topic_sheet for store in missing]
+
+
+def repair_workbook(spark: SparkSession, root: str, path: str, store: str = "tgdd") -> list[str]:
+    """A shop's discounts computed anew, in its topic table and in its sheet; other sheets are not touched.
+
+    What is not there is passed over; returns the paths that were repaired.
+    """
+    shop, done = S.SHOPS[store], []
+    found, _ = source.read_registered(spark, root, {store: shop.topic_file})
+    if found:
+        done.append(f"{root}/{shop.topic_file}")
+        sink.rewrite(records.topic_repair_discount(found[store]), done[-1], None)
+    if shop.topic_sheet in {unquote(name.removeprefix("store=")) for name in folders(spark, path)}:
+        sheet = source.read_workbook(spark, path, S.WORKBOOK).where(F.col("store") == shop.topic_sheet)
+        sink.write_stores(stage(records.topic_repair_discount(sheet), "sheet"), path)
+        done.append(path)
+    return done
+
+
+def clean_workbook(spark: SparkSession, path: str) -> None:
+    """The workbook without its discount column, prices as text without a currency sign."""
+    sink.rewrite(records.topic_clean_text(source.read_workbook(spark, path, S.WORKBOOK)), path)
+
+
 def publish_stores(
     spark: SparkSession, tables: dict[str, str], catalog: str, run: str, schema: StructType | str, sheets: dict[str, str] | None = None
 ) -> DataFrame:

@@ -20,7 +20,7 @@ from pricetide.operators import specs as spec_ops
 from pricetide.plans import inputs as I
 from pricetide.plans import jobs, resume
 from pricetide.plans.inputs import table
-from pricetide.session import stage, stage_path
+from pricetide.session import put, stage, stage_path
 from pricetide.sinks import tables as sink
 from pricetide.sinks import text as text_sink
 from pricetide.sources import files, listings, sitemaps
@@ -1172,6 +1172,128 @@ def sample_lines(spark, sf_dir):
     return text_sink.sample_lines(shown, [F.desc("p_retailprice"), "p_partkey"], 3)
 
 
+@query(f"""
+WITH {I.SHOP_SHARDS_SQL}
+SELECT store, l_linenumber AS chunk, 'r 1:00' AS run, name, url, CASE WHEN price IS NULL THEN 'Liên hệ' ELSE replace(format('{{:,}}', price), ',', '.') || 'đ' END AS price_text,
+  CASE WHEN list_price IS NULL THEN 'N/A' ELSE replace(format('{{:,}}', list_price), ',', '.') || 'đ' END AS list_price_text,
+  CASE WHEN price IS NOT NULL AND price > 0 AND o > price AND round_even((o - price)::DOUBLE / o * 100, 0) <= 70
+    THEN '-' || CAST(CAST(round_even((o - price)::DOUBLE / o * 100, 0) AS INTEGER) AS VARCHAR) || '%' ELSE '' END AS discount_text,
+  CASE WHEN store = 'cellphones' THEN CASE WHEN l_linestatus = 'O' THEN 'SẮP VỀ HÀNG' ELSE '' END END AS stock_status,
+  'Giảm giá | ' || l_linestatus AS promos, 'CPU: ' || CAST(l_suppkey AS VARCHAR) || ' | RAM: 16 GB' AS specs_text,
+  CASE WHEN store = 'tgdd' THEN strftime(l_shipdate, '%Y-%m-%d') END AS source_lastmod, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS crawled_text,
+  CAST(3 AS BIGINT) AS n_damaged FROM shards""")
+def shard_rows(spark, sf_dir):
+    """All rows and columns of shards with a damaged file in every store, which is listed and left out."""
+    root = stage_path(spark, "bronze")
+    bronze = _bronze(spark, sf_dir).withColumn("run", F.lit("r 1:00"))
+    sink.write_shard(bronze, root)
+    for store in I.SHOP_OF_FLAG.values():
+        put(spark, f"{root}/store={store}/chunk=99/run=r1/part-0.parquet", b"not a table")
+    rows, found = source.checked_shards(spark, root)
+    shown = {
+        "name": S.NAME, "price_text": S.PRICE, "list_price_text": S.LIST_PRICE, "discount_text": S.DISCOUNT, "stock_status": S.STOCK,
+        "promos": S.PROMOS, "specs_text": S.SPECS, "source_lastmod": S.LASTMOD,
+    }
+    return rows.select(
+        "store", "chunk", "run", F.coalesce(F.col(S.URL), F.col(S.LINK)).alias("url"), *[F.col(f"`{c}`").alias(n) for n, c in shown.items()],
+        F.coalesce(F.col(S.CRAWLED), F.col(S.COLLECTED)).alias("crawled_text"), found.agg(F.count_if(F.col("error").isNotNull())).scalar().alias("n_damaged"),
+    )
+
+
+@query(SQL["catalog_merge"])
+def published_rows(spark, sf_dir):
+    """All rows of a catalog after shards were merged and published, merged files removed."""
+    bronze, silver, catalog = (stage_path(spark, name) for name in ("bronze", "silver", "catalog"))
+    for store, df in I.shop_shards(spark, sf_dir).items():
+        first = links.keep_first(df, [records.key_column(df.columns)], ["_file", "_row"])
+        own = {"store": F.lit(store), "chunk": F.col("_row.l_linenumber"), "run": F.lit("r 1:00")}
+        sink.write_shard(first.withColumns(own).drop("_file", "_row"), bronze)
+    jobs.merge_and_publish(spark, bronze, silver, catalog, tidy=True)
+    if not source.shard_files(spark, bronze).isEmpty():
+        raise RuntimeError("merged files are still there")
+    return _silver_view(source.read_workbook(spark, catalog, S.SILVER))
+
+
+@query(f"""
+WITH {I.SHOP_SHARDS_SQL},
+sheets AS (SELECT CASE store WHEN 'tgdd' THEN 'The Gioi Di Dong' WHEN 'fptshop' THEN 'FPT Shop' ELSE 'CellphoneS' END AS sheet, name, price, list_price,
+  CASE WHEN list_price > 0 AND price < list_price
+    THEN '-' || CAST(CAST(round_even((list_price - price)::DOUBLE / list_price * 100, 0) AS BIGINT) AS VARCHAR) || '%' ELSE '' END AS repaired FROM shards)
+SELECT 'numbers' AS step, sheet, name, CAST(price AS VARCHAR) AS current, CAST(list_price AS VARCHAR) AS original, NULL AS discount FROM sheets
+UNION ALL SELECT 'sheet', sheet, name, CAST(price AS VARCHAR), CAST(list_price AS VARCHAR), CASE sheet WHEN 'The Gioi Di Dong' THEN repaired END FROM sheets
+UNION ALL SELECT 'table', sheet, name, CASE WHEN price IS NULL THEN 'Liên hệ' ELSE replace(format('{{:,}}', price), ',', '.') || '₫' END,
+  CASE WHEN list_price IS NULL THEN 'N/A' ELSE replace(format('{{:,}}', list_price), ',', '.') || '₫' END, repaired FROM sheets WHERE sheet = 'The Gioi Di Dong'
+UNION ALL SELECT 'clean', sheet, name, coalesce(CAST(price AS VARCHAR), ''), coalesce(CAST(list_price AS VARCHAR), ''), NULL FROM sheets
+UNION ALL SELECT 'missing', sheet, NULL, NULL, NULL, NULL FROM (VALUES ('Phong Vu'), ('GearVN')) v(sheet)""")
+def topic_chain(spark, sf_dir):
+    """Topic tables of the registry to a workbook, one sheet repaired, then all cleaned; two shops have no table."""
+    root, path = stage_path(spark, "topic"), stage_path(spark, "workbook")
+    for store, df in I.shop_shards(spark, sf_dir).items():
+        signed = df.withColumns({c: F.replace(F.col(c), F.lit("đ"), F.lit("₫")) for c in (S.PRICE, S.LIST_PRICE)})
+        signed.drop("_file", "_row").write.parquet(f"{root}/{S.SHOPS[store].topic_file}")
+
+    def shown(step, df):
+        number = {c: F.col(c).cast("bigint").cast("string") if t == "double" else F.col(c) for c, t in df.dtypes}
+        discount = F.col(S.DISCOUNT) if S.DISCOUNT in df.columns else F.lit(None).cast("string")
+        cells = [F.col("store").alias("sheet"), F.col(S.NAME).alias("name"), number[S.PRICE].alias("current"), number[S.LIST_PRICE].alias("original")]
+        return stage(df.select(F.lit(step).alias("step"), *cells, discount.alias("discount")), step)
+
+    missing = jobs.build_workbook(spark, root, path)
+    steps = [shown("numbers", source.read_workbook(spark, path, S.WORKBOOK))]
+    jobs.repair_workbook(spark, root, path)
+    steps.append(shown("sheet", source.read_workbook(spark, path, S.WORKBOOK)))
+    own, _ = source.read_registered(spark, root, {"tgdd": S.SHOPS["tgdd"].topic_file})
+    steps.append(shown("table", own["tgdd"].withColumn("store", F.lit(S.SHOPS["tgdd"].topic_sheet))))
+    jobs.clean_workbook(spark, path)
+    steps.append(shown("clean", source.read_workbook(spark, path)))
+    left = spark.createDataFrame([("missing", sheet) for sheet in missing], "step string, sheet string")
+    return records.union_tables([*steps, left])
+
+
+@query("""
+WITH s AS (SELECT s_suppkey, s_name FROM supplier)
+SELECT s_suppkey, 'button' AS tag, 'Xem cấu hình ' || s_name AS text FROM s
+UNION ALL SELECT s_suppkey, 'a', 'Thông số' || chr(10) || 'kỹ thuật' FROM s
+UNION ALL SELECT s_suppkey, 'span', 'CHI TIẾT ' || CAST(s_suppkey AS VARCHAR) FROM s WHERE s_suppkey % 2 = 0""")
+def page_files(spark, sf_dir):
+    """Pages saved one to a file, read whole, and their buttons and links that mention specifications."""
+    root = stage_path(spark, "saved")
+    last = F.when(F.col("s_suppkey") % 2 == 0, F.lit("CHI TIẾT ")).otherwise(F.lit("Giá "))
+    html = F.concat(
+        F.lit("<html><body>\n<button> Xem cấu hình "), F.col("s_name"), F.lit("</button>\n<a href='#'>Thông số\nkỹ thuật</a><a>Mua</a>\n<span>"),
+        last, F.col("s_suppkey").cast("string"), F.lit("</span><p>cấu hình</p></body></html>"),
+    )
+    pages = table(spark, sf_dir, "supplier").select("s_suppkey", html.alias("value"))
+    pages.write.partitionBy("s_suppkey").text(root)
+    # The folder of a file is taken from its name, as with pages saved by hand; the reader's own column is not used.
+    saved = files.read_page_files(spark, root).withColumn("s_suppkey", F.regexp_extract("url", r"s_suppkey=(\d+)/", 1).cast("bigint"))
+    found = extract.element_texts(saved, ["button", "a", "span"], ["cấu hình", "thông số", "kỹ thuật", "chi tiết"])
+    return found.select("s_suppkey", "tag", "text")
+
+
+@query("""
+WITH p AS (SELECT p_partkey FROM part WHERE p_partkey % 5 <> 0)
+SELECT p_partkey, 'gearvn' AS layout FROM p UNION ALL SELECT p_partkey, 'gearvn_topic' FROM p""")
+def no_product(spark, sf_dir):
+    """Every fifth page has no product: structured data of another type, or no product block. Its record is dropped."""
+    lost = {"gearvn": ('"@type":"Product"', '"@type":"WebPage"'), "gearvn_topic": ('class="product-info"', 'class="other-info"')}
+    kept = []
+    for layout, (mark, other) in lost.items():
+        html = F.when(F.col("p_partkey") % 5 == 0, F.replace(F.col("html"), F.lit(mark), F.lit(other))).otherwise(F.col("html"))
+        pages = I.product_pages(spark, sf_dir, layout).withColumn("html", html)
+        kept.append(extract.extract_fields(pages, layout).select("p_partkey", F.lit(layout).alias("layout")))
+    return records.union_tables(kept)
+
+
+@query(f"WITH {PAIRS_SQL} SELECT key || ': ' || value AS line, count(*) AS n FROM pairs GROUP BY 1")
+def pair_dump(spark, sf_dir):
+    """Spec pairs dumped as lines of text, read back and counted."""
+    path = stage_path(spark, "dump")
+    kept = specs.clean_pairs(F.col("specs"), ["xem thêm", "thông số kỹ thuật"])
+    text_sink.write_lines(text_sink.pair_lines(_part_pairs(spark, sf_dir).select(kept.alias("specs"))), path)
+    return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- runs that follow each other -------------------------------------------------------------------------
 
 

@@ -32,6 +32,11 @@ class Shop:
     headers: tuple[str, ...]
     spec_sep: str = " | "
 
+    @property
+    def topic_file(self) -> str:
+        """Name of its topic table."""
+        return f"laptop_rtx3050_{self.key}"
+
 
 # The five shops and the columns of their tables, in order.
 SHOPS = {
@@ -71,6 +76,12 @@ BRONZE = T.StructType(
     ]
 )
 
+# Sheets of the topic workbook while their prices are numbers; a sheet leaves what it does not have null.
+WORKBOOK = T.StructType(
+    [T.StructField(f.name, T.DoubleType() if f.name in (PRICE, LIST_PRICE) else f.dataType) for f in BRONZE.fields]
+    + [T.StructField("store", T.StringType())]
+)
+
 SILVER = T.StructType(
     [
         T.StructField("store", T.StringType()),

@@ -66,6 +66,16 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in system.listStatus(root)) if system.exists(root) else []
 
 
+def put(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write a small file."""
+    target, system = _folder(spark, path)
+    out = system.create(target, True)
+    try:
+        out.write(content)
+    finally:
+        out.close()
+
+
 def remove(spark: SparkSession, paths: list[str]) -> None:
     """Remove folders with all they hold."""
     for path in paths:

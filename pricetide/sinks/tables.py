@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricetide.session import stage
-from pricetide.sources.tables import read_shards, shard_files
+from pricetide.sources.tables import checked_shards
 
 PARTITIONS = ("store", "chunk", "run")
 
@@ -55,29 +56,32 @@ def rewrite(df: DataFrame, path: str, partition: str | None = "store") -> None:
 def compact(spark: SparkSession, root: str, transform, path: str, store: str) -> DataFrame:
     """Merge a store's shards into its table, then remove the shard files whose rows were merged.
 
-    Only files that were decoded to their end are merged and removed; damaged ones stay. Returns ``file, rows, error``
-    of all files that were found. The rows are staged first and counted by file against the check, so a file that
-    changed meanwhile stops the job before anything is removed.
+    Only whole files are merged and removed; damaged ones stay. Returns all files that were found (see
+    ``checked_shards``). The rows that are merged are the staged ones that were counted.
     """
-    found = shard_files(spark, root, store)
-    shards = stage(read_shards(spark, root, store, found), "shards")
-    whole = found.where("error IS NULL")
-    expected = whole.agg(F.sum("rows").alias("n")).first()["n"] or 0
-    if shards.count() != expected:
-        raise RuntimeError("shard files changed while they were merged; nothing was removed")
-    if expected:
+    shards, found = checked_shards(spark, root, store)
+    if not found.where("error IS NULL").isEmpty():
         write_stores(transform(shards), path)
-    remove_files(spark, [r["file"] for r in whole.select("file").toLocalIterator()])
+    remove_merged(found)
     return found
 
 
-def remove_files(spark: SparkSession, names: list[str]) -> None:
-    """Delete files by name, many calls at a time."""
+def remove_merged(found: DataFrame) -> None:
+    """Delete the whole files among ``found``, but none that was changed since it was read.
+
+    Tasks in Python have no access to the cluster's file systems, so the calls are made here: one partition of names
+    is held at a time, many calls at once.
+    """
+    spark = found.sparkSession
     jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
 
-    def remove(name: str) -> None:
-        target = jvm.org.apache.hadoop.fs.Path(name)
-        target.getFileSystem(hadoop).delete(target, False)
+    def remove(row) -> None:
+        target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row["file"]))
+        system = target.getFileSystem(hadoop)
+        if system.exists(target) and system.getFileStatus(target).getModificationTime() == row["modified"]:
+            system.delete(target, False)
 
+    names = found.where("error IS NULL").select("file", "modified").toLocalIterator()
     with ThreadPoolExecutor(16) as pool:
-        list(pool.map(remove, names))
+        while part := list(islice(names, 1000)):
+            list(pool.map(remove, part))

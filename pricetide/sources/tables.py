@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import io
-from collections.abc import Iterator
-
-import pyarrow as pa
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +17,7 @@ PARTS = [
 ]
 # Order of shard rows when shards are concatenated.
 SHARD_ORDER = ["_file", "_row"]
+FILES = "file string, rows long, modified long, error string"
 
 
 def shard_schema(store: str | None = None) -> T.StructType:
@@ -29,46 +25,52 @@ def shard_schema(store: str | None = None) -> T.StructType:
     return T.StructType([*fields, *PARTS])
 
 
-def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of each Parquet file, all of it decoded, or why that failed."""
-    for batch in batches:
-        for file, content in zip(batch["path"].to_pylist(), batch["content"], strict=True):
-            rows, error = 0, None
-            try:
-                for part in pq.ParquetFile(io.BytesIO(content.as_buffer())).iter_batches():
-                    rows += part.num_rows
-            except (OSError, pa.ArrowException, ValueError) as e:
-                rows, error = None, f"{type(e).__name__}: {e}"
-            columns = [pa.array([file]), pa.array([rows], pa.int64()), pa.array([error], pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["file", "rows", "error"])
+def checked_shards(spark: SparkSession, root: str, store: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows of the whole shard files below ``root`` (``store=/chunk=/run=``), and all its files.
 
+    Rows have their file and row number (``_file``, ``_row``). Files are ``file, rows, modified, error``: a file is whole if
+    Spark's scan decoded as many rows as its footer states, else ``error`` says what was read and no row of it is taken. A
+    file that holds no row cannot be told from one without a footer: it is listed as well, and gives nothing either way.
 
-def shard_files(spark: SparkSession, root: str, store: str | None = None) -> DataFrame:
-    """``file, rows, error`` of the shard files below ``root``: every file is decoded once, in the tasks."""
-    path = root if store is None else f"{root}/store={store}"
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    Each file is decoded once, by blocks, in all columns of the schema, into a staged table; the footers are counted by a
+    scan without columns. Nothing passes through the driver but the reader's own file index.
+    """
+    path = f"{root}/store={'*' if store is None else store}/chunk=*/run=*"
+    reader = spark.read.schema(shard_schema(store)).option("basePath", root).option("pathGlobFilter", "*.parquet")
+    names = spark.read.format("binaryFile").option("basePath", root).option("pathGlobFilter", "*.parquet")
     try:
-        content = found.load(path).select("path", "content")
+        # What cannot be decoded ends its block here, and shows as rows that are missing.
+        shards = reader.option("ignoreCorruptFiles", "true").parquet(path)
+        listed = names.load(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e.getCondition()):
             raise
-        return spark.createDataFrame([], "file string, rows long, error string")
-    return stage(content.mapInArrow(_whole, "file string, rows long, error string"), "shard-files")
+        extra = [T.StructField("_file", T.StringType()), T.StructField("_row", T.LongType())]
+        none = spark.createDataFrame([], T.StructType([*shard_schema(store).fields, *extra]))
+        return none, spark.createDataFrame([], FILES)
+    file = F.col("_metadata.file_path")
+    decoded = stage(shards.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_row")), "shards")
+    modified = F.unix_millis("_metadata.file_modification_time")
+    stated = shards.select(file.alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("stated"))
+    counted = decoded.groupBy(F.col("_file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    found = listed.select(file.alias("file"), modified.alias("modified")).join(stated, "file", "left").join(counted, "file", "left")
+    read, footer = F.coalesce("rows", F.lit(0)), F.col("stated")
+    error = F.when(footer.isNull(), "no footer with rows").when(
+        read != footer, F.concat(read.cast("string"), F.lit(" of "), footer.cast("string"), F.lit(" rows decoded"))
+    )
+    files = stage(found.select("file", read.alias("rows"), "modified", error.alias("error")), "shard-files")
+    whole = files.where("error IS NULL").select(F.col("file").alias("_file"))
+    return decoded.join(whole, "_file", "left_semi").select(decoded.columns), files
 
 
-def read_shards(spark: SparkSession, root: str, store: str | None = None, found: DataFrame | None = None) -> DataFrame:
-    """Shard tables below ``root`` (``store=/chunk=/run=``) with their file and row number.
+def shard_files(spark: SparkSession, root: str, store: str | None = None) -> DataFrame:
+    """``file, rows, modified, error`` of the shard files below ``root``."""
+    return checked_shards(spark, root, store)[1]
 
-    A file is read whole or not at all: damaged ones are left out and listed by ``shard_files`` (``found``, if it was
-    run before). Their names, which the reader's own file index also holds, go through the driver.
-    """
-    found = shard_files(spark, root, store) if found is None else found
-    whole = [r["file"] for r in found.where("error IS NULL").select("file").toLocalIterator()]
-    reader = spark.read.schema(shard_schema(store)).option("basePath", root)
-    if not whole:
-        extra = [T.StructField("_file", T.StringType()), T.StructField("_row", T.LongType())]
-        return spark.createDataFrame([], T.StructType([*shard_schema(store).fields, *extra]))
-    return reader.parquet(*whole).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+def read_shards(spark: SparkSession, root: str, store: str | None = None) -> DataFrame:
+    """Shard tables below ``root`` with their file and row number; damaged files are left out."""
+    return checked_shards(spark, root, store)[0]
 
 
 def read_registered(spark: SparkSession, root: str, stores: dict[str, str], schema=None) -> tuple[dict, list[str]]:

@@ -150,7 +150,7 @@ def test_compact_keeps_unreadable(spark, tmp_path):
     sink.write_shard(shard(spark, "tgdd", 1, "r1", ["z"]), bronze)
     broken = put(f"{bronze}/store=gearvn/chunk=3/run=r1/part-0.parquet", "not parquet")
     found = sink.compact(spark, bronze, lambda df: records.merge_shards(df, source.SHARD_ORDER), silver, "gearvn").collect()
-    assert sorted((r.rows or 0, r.error is None) for r in found) == [(0, False), (1, True), (2, True)] and os.path.exists(broken)
+    assert sorted((r.rows, r.error is None) for r in found) == [(0, False), (1, True), (2, True)] and os.path.exists(broken)
     assert glob.glob(f"{bronze}/store=gearvn/chunk=*/run=r1/part-*.parquet") == [broken]
     assert glob.glob(f"{bronze}/store=tgdd/chunk=1/run=r1/part-*.parquet")
     assert sorted(r.url for r in spark.read.parquet(silver).collect()) == ["a", "b"]
@@ -184,6 +184,67 @@ def test_half_readable_shard_is_kept_and_listed(spark, tmp_path):
     assert os.path.exists(broken)
 
 
+def test_files_of_every_kind_are_judged(spark, tmp_path):
+    bronze = str(tmp_path / "a b")
+    sink.write_shard(shard(spark, "tgdd", 1, "2026-07-01 10:00", ["a", "b"]), bronze)
+    good = glob.glob(f"{bronze}/store=tgdd/chunk=1/*/part-*.parquet")[0]
+    with open(good, "rb") as f:
+        whole = f.read()
+    cut = f"{bronze}/store=tgdd/chunk=2/run=r/part-0.parquet"
+    os.makedirs(os.path.dirname(cut))
+    with open(cut, "wb") as f:
+        f.write(whole[: len(whole) // 2])
+    none = f"{bronze}/store=tgdd/chunk=3/run=r/part-0.parquet"
+    os.makedirs(os.path.dirname(none))
+    pq.write_table(pa.table({S.NAME: pa.array([], pa.string())}), none)
+    put(f"{bronze}/store=tgdd/chunk=1/notes.txt", "x")
+    rows, found = source.checked_shards(spark, bronze)
+    assert sorted(r[S.LINK] for r in rows.collect()) == ["a", "b"] and {r.run for r in rows.collect()} == {"2026-07-01 10:00"}
+    judged = {os.path.basename(os.path.dirname(os.path.dirname(r.file))): (r.rows, r.error) for r in found.collect()}
+    assert judged == {"chunk=1": (2, None), "chunk=2": (0, "no footer with rows"), "chunk=3": (0, "no footer with rows")}
+    assert source.read_shards(spark, str(tmp_path / "nothing")).count() == 0
+    assert source.shard_files(spark, str(tmp_path / "nothing")).columns == found.columns
+
+
+def test_a_file_changed_since_it_was_read_is_not_removed(spark, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    sink.write_shard(shard(spark, "tgdd", 1, "r1", ["a"]), bronze)
+    sink.write_shard(shard(spark, "tgdd", 2, "r:2", ["b"]), bronze)
+    found = source.shard_files(spark, bronze)
+    changed = glob.glob(f"{bronze}/store=tgdd/chunk=1/*/part-*.parquet")[0]
+    os.utime(changed, (1, 1))
+    sink.remove_merged(found)
+    sink.remove_merged(found)  # done again after a failure: what is gone stays gone
+    assert glob.glob(f"{bronze}/store=tgdd/chunk=*/*/part-*.parquet") == [changed]
+
+
+def test_workbook_steps(spark, tmp_path):
+    root, path = str(tmp_path / "root"), str(tmp_path / "book")
+    assert jobs.build_workbook(spark, root, path) == [s.topic_sheet for s in S.SHOPS.values()] and not os.path.exists(path)
+    assert jobs.repair_workbook(spark, root, path) == []
+    cells = f"`{S.NAME}` string, `{S.PRICE}` string, `{S.LIST_PRICE}` string, `{S.DISCOUNT}` string"
+    texts = [("x", "8.000.000₫", "10.000.000₫", ""), ("y", None, "1đ*", "-9%"), ("z", "5", "5", None)]
+    spark.createDataFrame(texts, cells).write.parquet(f"{root}/laptop_rtx3050_tgdd")
+    numbers = [("n", 8000000.0, 10000000.0), ("m", None, float("nan"))]
+    spark.createDataFrame(numbers, f"`{S.NAME}` string, `{S.PRICE}` double, `{S.LIST_PRICE}` double").write.parquet(f"{root}/laptop_rtx3050_gearvn")
+
+    assert jobs.build_workbook(spark, root, path) == ["FPT Shop", "Phong Vu", "CellphoneS"]
+    book = lambda: {r[S.NAME]: r for r in source.read_workbook(spark, path, S.WORKBOOK).collect()}
+    first = book()
+    assert {n: r[S.PRICE] for n, r in first.items()} == {"x": 8e6, "y": None, "z": 5.0, "n": 8e6, "m": None}
+    assert {r[S.DISCOUNT] for r in first.values()} == {None} and first["y"][S.LIST_PRICE] == 1.0
+    for _ in range(2):  # a step done again changes nothing
+        assert len(jobs.repair_workbook(spark, root, path)) == 2
+    assert {n: r[S.DISCOUNT] for n, r in book().items()} == {"x": "-20%", "y": "", "z": "", "n": None, "m": None}
+    assert {r[S.NAME]: r[S.DISCOUNT] for r in spark.read.parquet(f"{root}/laptop_rtx3050_tgdd").collect()} == {"x": "-20%", "y": "", "z": ""}
+    jobs.clean_workbook(spark, path)
+    clean = source.read_workbook(spark, path)
+    assert S.DISCOUNT not in clean.columns
+    assert {r[S.NAME]: (r[S.PRICE], r[S.LIST_PRICE]) for r in clean.collect()} == {
+        "x": ("8000000", "10000000"), "y": ("", "1"), "z": ("5", "5"), "n": ("8000000", "10000000"), "m": ("", ""),
+    }
+
+
 def test_two_streams_share_a_catalog(spark, tmp_path):
     dst = str(tmp_path / "dst")
     for name in ("one", "two", "one"):  # the third has lost its checkpoint
