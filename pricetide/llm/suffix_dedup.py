@@ -97,8 +97,29 @@ def _first_places(hashes: np.ndarray, best: np.ndarray, width: int) -> np.ndarra
 
 PLACE = {"anchor": np.int64, "segment": np.int64, "doc_id": np.int64, "text_key": np.int64, "start": np.int32, "n": np.int32, "kind": np.uint8}
 NORMAL, SPREAD, MARK = 0, 1, 2
-# An anchor in so many places of one batch is common: its places are spread, and a mark goes where it belongs.
+# An anchor in so many places of one task's input is common: its later places are spread, and a mark goes where it belongs.
+# So a task sends fewer than this many places of an anchor, and one mark, to the part that the anchor belongs to.
 SPREAD_FROM = 64
+# Counters of a task; anchors that share one are common a little sooner, which costs time and changes nothing else.
+COUNTERS = 1 << 21
+# Joins by a common anchor are dealt by so many remainders of the segment's hash as well.
+SALTS = 64
+
+
+class _Common:
+    """Anchors that are common in what a task has read so far."""
+
+    def __init__(self) -> None:
+        self.seen, self.marked = np.zeros(COUNTERS, np.uint32), np.zeros(0, np.int64)
+
+    def add(self, anchors: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the distinct ``anchors`` are common, and those of them that were not marked before."""
+        slot = anchors.view(np.uint64) % np.uint64(COUNTERS)
+        self.seen[slot] = np.minimum(self.seen[slot] + counts, SPREAD_FROM)
+        common = (self.seen[slot] >= SPREAD_FROM) | (counts >= SPREAD_FROM)
+        fresh = np.setdiff1d(anchors[common], self.marked, assume_unique=True)
+        self.marked = np.union1d(self.marked, fresh)
+        return common, fresh
 
 
 def _places(rows: pa.RecordBatch, length: int, anchor: int) -> dict[str, np.ndarray] | None:
@@ -121,22 +142,29 @@ def _places(rows: pa.RecordBatch, length: int, anchor: int) -> dict[str, np.ndar
 NO_ID = -(1 << 63)
 
 
+def _spread(places: dict[str, np.ndarray]) -> np.ndarray:
+    """A number by document, text and place, so that copies of one text are dealt to different parts."""
+    h = (places["doc_id"].view(np.uint64) + places["start"].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    return places["text_key"] ^ (h ^ (h >> np.uint64(32))).view(np.int64)
+
+
 def _hot_places(docs: DataFrame, parts: int, length: int, anchor: int) -> DataFrame:
     """Places of anchors that are in several places; ``mixed`` if their segments may differ."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Common()
         for whole in batches:
             for rows in slices(whole, "text", 2 << 20):
                 found = _places(rows, length, anchor)
                 if found is None:
                     continue
                 by_anchor, inverse, count = np.unique(found["anchor"], return_inverse=True, return_counts=True)
-                common = count >= SPREAD_FROM
+                common, fresh = known.add(by_anchor, count)
                 found["kind"][common[inverse]] = SPREAD
-                marks = {name: np.zeros(int(common.sum()), kind) for name, kind in PLACE.items()}
-                marks["anchor"], marks["kind"][:] = by_anchor[common], MARK
+                marks = {name: np.zeros(len(fresh), kind) for name, kind in PLACE.items()}
+                marks["anchor"], marks["kind"][:] = fresh, MARK
                 both = {name: np.concatenate([found[name], marks[name]]) for name in PLACE}
-                spread = np.where(both["kind"] == SPREAD, both["text_key"], 0)
+                spread = np.where(both["kind"] == SPREAD, _spread(both), 0)
                 part = (both["anchor"] ^ spread).view(np.uint64) % np.uint64(parts)
                 yield packed_parts(part.astype(np.int64), parts, list(both.values()), list(PLACE))
 
@@ -199,9 +227,12 @@ def repeated_windows(docs: DataFrame, hot: DataFrame, length: int, shards: int)
     one = F.struct("doc_id", "text_key", "start", "n")
     named = mixed.groupBy("anchor", "segment").agg(F.count("*").alias("held"), F.min(one).alias("one"))
     named = stage(named.select("anchor", "segment", "held", "one.*"), "suffix-named")
-    places = named.groupBy("anchor").agg(F.sum("held").alias("places"))
-    piece = F.struct("anchor", "segment", "places", "start", "n")
-    wanted = named.join(places, "anchor").groupBy("doc_id", "text_key").agg(F.collect_list(piece).alias("wanted"))
+    # Only common anchors need their number of places; each stands here once for every salt.
+    common = named.groupBy("anchor").agg(F.sum("held").alias("places")).where(F.col("places") >= COMMON[-1][0])
+    common = common.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = named.withColumn("salt", F.pmod(F.xxhash64("segment"), F.lit(SALTS)).cast("int")).join(common, ["anchor", "salt"], "left")
+    piece = F.struct("anchor", "segment", F.coalesce("places", F.lit(0)).alias("places"), "start", "n")
+    wanted = salted.groupBy("doc_id", "text_key").agg(F.collect_list(piece).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

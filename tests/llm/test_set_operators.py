@@ -127,6 +127,31 @@ def test_suffix_dedup_cuts_common_anchors_alike(spark, monkeypatch):
     assert found(documents(spark, rows)) == removed(rows, 200)
 
 
+def test_suffix_dedup_counts_common_anchors_over_slices():
+    known, first = suffix_dedup._Common(), np.array([3, 9])
+    for i in range(suffix_dedup.SPREAD_FROM):
+        common, fresh = known.add(first, np.array([1, 0 if i else 1]))
+        last = i == suffix_dedup.SPREAD_FROM - 1
+        assert common.tolist() == [last, False] and fresh.tolist() == ([3] if last else [])
+    same_slot = np.array([3 + suffix_dedup.COUNTERS])  # shares the counter, so it is common at once, with a mark of its own
+    assert [x.tolist() for x in known.add(same_slot, np.array([1]))] == [[True], [3 + suffix_dedup.COUNTERS]]
+    common, fresh = known.add(first, np.array([1, 500]))
+    assert common.tolist() == [True, True] and fresh.tolist() == [9]
+
+
+def test_suffix_dedup_spreads_copies_of_one_text(spark):
+    rng = random.Random(8)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(600))
+    docs = spark.range(0, 3000, 1, 4).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"), F.lit(5).cast("long").alias("text_key"))
+    hot = suffix_dedup._hot_places(docs, 16, 200, 64)
+    held = hot.groupBy(F.spark_partition_id().alias("part")).count().collect()
+    total = sum(r["count"] for r in held)
+    assert total == 3000 * hot.select("anchor").distinct().count()
+    assert max(r["count"] for r in held) < total / 4
+    rows = [(i, text) for i in range(200)] + [(200, "x" + text[:210]), (201, prose(rng, 60, 10**6))]
+    assert found(documents(spark, rows)) == removed(rows, 200)
+
+
 def test_suffix_dedup_stage_keeps_characters_and_columns(spark):
     rows = [(1, "é" * 150), (2, "x" + "é" * 150), (3, "clean text"), (4, None)]
     df = documents(spark, rows, ("runs", "spans"))
