@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: names of monthly sitemaps.
 PERIOD = r"sitemap-product-(\d{4})-(\d{1,2})"
 
 

@@ -32,7 +32,7 @@ def starts_with_any(href: Column, prefixes: list[str]) -> Column:
     return ok
 
 
-# Which links of a shop are product pages.
+# Which links of a shop are product pages.
 URL_RULES = {
     "gearvn": lambda c: contains_path(c, "/products/laptop"),
     "tgdd": lambda c: contains_path(c, "/laptop/"),

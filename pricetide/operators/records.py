@@ -12,6 +12,11 @@ from pricetide.functions import dates, prices, specs, text
 from pricetide.operators.links import keep_first
 
 
+# Words by which price columns are told from others.
+PRICE_WORD = "giá"
+NO_PRICE_WORDS = ("giảm", "khuyến")
+
+
 def add_discount(
     df: DataFrame, current: str, original: str, scraped: str | None = None, cap: int | None = 70
 ) -> DataFrame:
@@ -39,9 +44,8 @@ def add_discount(
 
 
 def price_columns(columns: list[str]) -> list[str]:
-    """Columns that hold a price, found by name."""
-    lowered = [(c, c.lower()) for c in columns]
-    return [c for c, low in lowered if "giá" in low and "giảm" not in low and "khuyến" not in low]
+    """Columns that hold a price: the name has the wanted word and none of those excluded."""
+    return [c for c in columns if PRICE_WORD in c.lower() and not any(word in c.lower() for word in NO_PRICE_WORDS)]
 
 
 def key_column(columns: list[str]) -> str | None:

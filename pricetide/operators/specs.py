@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pricetide.functions import specs
 
+# Words in the names of graphics specs.
 GPU_KEYS = ["card", "đồ họa", "vga", "gpu"]
 
 
