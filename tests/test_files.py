@@ -432,3 +432,35 @@ def test_first_per_key_over_runs(spark, tmp_path):
     assert run([("a", 2), ("a", 1), ("b", 5), (None, 7)]) == [("", 7), ("a", 1), ("b", 5)]
     assert run([("a", 0), ("c", 1), ("c", 1), (None, 3)]) == [("", 7), ("a", 1), ("b", 5), ("c", 1)]
     assert run([("b", 1), ("d", 9)]) == [("", 7), ("a", 1), ("b", 5), ("c", 1), ("d", 9)]
+
+
+def test_first_per_key_of_many_keys(spark, tmp_path):
+    """Keys and numbers beyond the doubles, nulls among them, more rows than are reduced at once; no call per key."""
+    src, dst, ckpt = (str(tmp_path / n) for n in ("src", "dst", "ckpt"))
+    schema = "k bigint, n bigint, m int"
+    big = 2**60
+    for run in range(2):
+        key = F.when(F.col("id") % 1000 != 0, F.col("id") % 40_000 + big + run * 20_000)
+        order = F.when(F.col("id") % 7 != 0, big - F.col("id"))
+        rows = spark.range(0, 300_000, 1, 4).select(key.alias("k"), order.alias("n"), (F.col("id") % 11).cast("int").alias("m"))
+        rows.write.mode("append").parquet(src)
+        append.stream_append(first_per_key(append.read_new(spark, src, schema), ["k"], ["n", "m"]), dst, ckpt)
+        if run == 0:
+            want = rows.groupBy("k").agg(F.min(F.struct("n", "m")).alias("r"))
+        else:
+            want = want.unionByName(rows.join(want, rows["k"].eqNullSafe(want["k"]), "left_anti").groupBy("k").agg(F.min(F.struct("n", "m")).alias("r")))
+    got = sorted(map(tuple, spark.read.schema(schema).parquet(dst).select(F.coalesce("k", F.lit(-1)), F.coalesce("n", F.lit(-1)), "m").collect()))
+    assert got == sorted(map(tuple, want.select(F.coalesce("k", F.lit(-1)), F.coalesce("r.n", F.lit(-1)), "r.m").collect()))
+    assert len(got) > 59_000
+
+
+def test_first_per_key_with_expiry(spark, tmp_path):
+    """One batch per run: a state with a timeout asks for batches without end."""
+    src, dst, ckpt = (str(tmp_path / n) for n in ("src", "dst", "ckpt"))
+    schema = "url string, n int"
+    for rows in ([("a", 2), ("a", 1), (None, 7)], [("a", 0), ("b", 1)]):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(src)
+        firsts = first_per_key(append.read_new(spark, src, schema), ["url"], ["n"], 10**9)
+        save = lambda batch, _: batch.write.mode("append").parquet(dst)
+        firsts.writeStream.foreachBatch(save).option("checkpointLocation", ckpt).trigger(once=True).start().awaitTermination()
+    assert sorted((r.url or "", r.n) for r in spark.read.parquet(dst).collect()) == [("", 7), ("a", 1), ("b", 1)]
