@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pricetide.functions.text import pystrip
+from pricetide.functions.text import let, pystrip
 
 PAIRS = "array<struct<key:string,value:string>>"
 
@@ -95,17 +95,23 @@ def spec_multimap(text: Column, sep: str = " | ") -> Column:
             F.when(at > 1, F.substring(piece, at + 2, F.length(piece))).otherwise(piece).alias("value"),
         )
 
-    entries = F.transform(F.split(text, sep, -1) if len(sep) == 1 else F.split(text, "\\Q" + sep + "\\E", -1), entry)
-    # Each run of one key is cut out by its borders, so a text of n pieces costs n steps and no growing state.
-    places = F.sequence(F.lit(0), F.size(entries) - 1)
-    starts = F.filter(places, lambda i: (i == 0) | (F.get(entries, i)["key"] != F.get(entries, i - 1)["key"]))
+    def runs(entries: Column, starts: Column) -> Column:
+        # Each run of one key is cut out by its borders, so a text of n pieces costs n steps and no growing state.
+        def run(start: Column, k: Column) -> Column:
+            end = F.coalesce(F.get(starts, k + 1), F.size(entries))
+            values = F.transform(F.slice(entries, start + 1, end - start), lambda e: e["value"])
+            return F.struct(F.get(entries, start)["key"].alias("key"), values.alias("values"))
 
-    def run(start: Column, k: Column) -> Column:
-        end = F.coalesce(F.get(starts, k + 1), F.size(entries))
-        values = F.transform(F.slice(entries, start + 1, end - start), lambda e: e["value"])
-        return F.struct(F.get(entries, start)["key"].alias("key"), values.alias("values"))
+        return F.transform(starts, run)
 
-    return F.transform(starts, run)
+    def cut(entries: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(entries) - 1)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(entries, i)["key"] != F.get(entries, i - 1)["key"]))
+        return let(starts, lambda s: runs(entries, s))
+
+    # The entries and the borders are made once per text, not once for each piece that looks at them.
+    pieces = F.split(text, sep, -1) if len(sep) == 1 else F.split(text, "\\Q" + sep + "\\E", -1)
+    return F.when(text.isNotNull(), let(F.transform(pieces, entry), cut))
 
 
 def multimap_text(multimap: Column, sep: str = " | ") -> Column:

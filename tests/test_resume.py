@@ -152,3 +152,10 @@ def test_spec_multimap(spark):
 def test_spec_multimap_round_trip(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert all(r.t == r.back for r in df.select("t", specs.multimap_text(specs.spec_multimap(F.col("t"))).alias("back")).collect())
+
+
+def test_spec_multimap_cuts_a_text_once(spark):
+    df = spark.createDataFrame([("a: 1 | a: 2 | b | a: 3",), (None,), ("",)], "t string").select(specs.spec_multimap(F.col("t")).alias("m"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    got = [r.m and [(e.key, e["values"]) for e in r.m] for r in df.collect()]
+    assert got == [[("a", ["1", "2"]), ("", ["b"]), ("a", ["3"])], None, [("", [""])]]
