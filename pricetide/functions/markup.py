@@ -10,18 +10,20 @@ the elements around them; "inside" is a test of intervals, and the texts of an e
 from __future__ import annotations
 
 import json
+from array import array
 from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 from html.entities import name2codepoint
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricetide.functions.text import collapsed_sql as _collapsed
-from pricetide.functions.text import pystrip
+from pricetide.functions.text import let, pystrip
 
 # Elements without an end tag, and elements that start a new line.
 VOID = "area base br col embed hr img input link meta source track wbr".split()
@@ -31,11 +33,6 @@ BLOCK = (
 ).split()
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once: the element of a list of one."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _quoted(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -174,7 +171,12 @@ _ARROW_PLACE = pa.struct([(c, pa.int32()) for c in ("last", "parent", "nth", "li
 
 
 def nested(marks: list[str]) -> list[tuple[int, int, int, int]]:
-    """Last place inside, parent, number among its siblings and line of every token.
+    """``nested_columns``, token by token."""
+    return list(zip(*nested_columns(marks), strict=True))
+
+
+def nested_columns(marks: list[str]) -> tuple[list[int], list[int], list[int], list[int]]:
+    """Last place inside, parent, number among its siblings and line of every token, a list of each.
 
     ``marks``: ``p`` begins an element, ``/p`` ends the nearest open one of its name and all that is open in it, ``p/`` has
     no end, '' is a text and ``!`` anything else. What is open at the end of the page ends there.
@@ -206,15 +208,24 @@ def nested(marks: list[str]) -> list[tuple[int, int, int, int]]:
         lines[i] = line
     for i in opened[1:]:
         last[i] = len(marks) - 1
-    return list(zip(last, parent, nth, lines, strict=True))
+    return last, parent, nth, lines
 
 
 @F.arrow_udf(T.ArrayType(_PLACE))
 def _places(marks: pa.Array) -> pa.Array:
-    """``nested`` of each page. It is all that is left to Python: Spark's folds copy their whole state at every step."""
-    columns = ("last", "parent", "nth", "line")
-    pages = [None if m is None else [dict(zip(columns, row, strict=True)) for row in nested(m)] for m in marks.to_pylist()]
-    return pa.array(pages, pa.list_(_ARROW_PLACE))
+    """``nested_columns`` of each page. It is all that is left to Python: Spark's folds copy their whole state at every step.
+
+    One page at a time is made of Python's objects; what is gathered for a batch is 16 bytes a token.
+    """
+    ends, rows = [0], [array("i") for _ in _ARROW_PLACE]
+    for m in marks:
+        page = m.as_py()
+        for column, found in zip(rows, nested_columns(page) if page is not None else ((),) * len(rows), strict=True):
+            column.extend(found)
+        ends.append(len(rows[0]))
+    columns = [pa.array(np.frombuffer(c, np.int32)) for c in rows]
+    places = pa.StructArray.from_arrays(columns, fields=list(_ARROW_PLACE))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), places, mask=marks.is_null() if marks.null_count else None)
 
 
 def nodes(tokens: str) -> Column:

@@ -2,6 +2,7 @@
 
 import json
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from pricetide import schema as S
@@ -309,3 +310,17 @@ def test_links_outside_comments_with_references_resolved(spark):
     html = "<a href='/a&#x2F;b&eacute;'>x</a><!-- <a href=/no>y</a> --><a href=/c&amp;d>z</a><!-- <a href=/open>"
     got = extract.page_links(pages(spark, html), "https://h").orderBy("pos").collect()
     assert [r.link for r in got] == ["https://h/a/bé", "https://h/c&d"]
+
+
+def test_places_of_a_batch_are_plain_numbers():
+    """Many tokens in one batch: what is held for it does not grow by an object for each."""
+    import tracemalloc
+
+    pages = pa.array([["ul", *["li", "", "/li"] * 30, "/ul"], None, []] * 1000, pa.list_(pa.string()))
+    tracemalloc.start()
+    got = M._places.func(pages)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8e6
+    want = [dict(zip(("last", "parent", "nth", "line"), r)) for r in M.nested(pages[0].as_py())]
+    assert [len(got), got[2997].as_py(), got[2998].as_py(), got[2999].as_py()] == [3000, want, None, []]
