@@ -24,11 +24,13 @@ def snapshot_run(pages: DataFrame, transform: Callable[[DataFrame], DataFrame],
     ``transform`` makes shop rows with ``store, chunk, run`` of pages. After each batch the shard tables below ``root`` hold
     all rows so far. A batch has its own part of the run (``run`` and the batch's number), so none before it is read or
     written again, and a batch that was stopped midway replaces itself: a run that is started again goes on at the first
-    batch that was not finished, and no row comes twice.
+    batch that was not finished, and no row comes twice. A batch of few files is dealt over all tasks before ``transform``,
+    since parsing a page costs far more than moving it.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        rows = transform(batch)
+        tasks = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = transform(batch.repartition(tasks))
         write_shard(rows.withColumn("run", F.concat("run", F.lit(f"-{batch_id:06d}"))), root)
 
     query = pages.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -75,3 +75,18 @@ def test_snapshots_go_on_where_a_run_stopped(spark, tmp_path):
     assert urls() == [f"u{i}" for i in range(7)] and len(seen) == 5
     run()
     assert len(urls()) == 7 and len(seen) == 5
+
+
+def test_pages_of_few_files_meet_all_tasks(spark, tmp_path):
+    source, root, checkpoint = (str(tmp_path / n) for n in ("pages", "bronze", "state"))
+    rows = [("tgdd", 1, "r1", f"u{i}", "<h1>Laptop</h1>", None) for i in range(40)]
+    spark.createDataFrame(rows, PAGES).coalesce(1).write.parquet(source)
+    dealt = []
+
+    def transform(pages):
+        dealt.append(pages.groupBy(F.spark_partition_id()).count().count())
+        return jobs.shard_tables(pages, "tgdd")
+
+    snapshot_run(captured(spark, source, PAGES, 2), transform, root, checkpoint)
+    assert dealt == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
+    assert read_shards(spark, root, "tgdd").count() == 40
