@@ -58,7 +58,8 @@ class El:
 
     def fits(self, n: str) -> str:
         """The test of node ``n``, as SQL."""
-        tests = [f"{n}.tag IN ({', '.join(map(_quoted, self.tag.split()))})" if self.tag else f"{n}.tag != ''"]
+        # Not ``IN``: outside generated code Spark ends its search by throwing, which costs microseconds a match.
+        tests = [_any([f"{n}.tag = {_quoted(t)}" for t in self.tag.split()]) if self.tag else f"{n}.tag != ''"]
         tests += [f"contains({n}.cls, {_quoted(f' {c} ')})" for c in self.cls.split()]
         if self.nth:
             tests.append(f"{n}.nth = {self.nth}")
@@ -115,12 +116,21 @@ _BLOCKS = frozenset(BLOCK)
 def _attributes(source: Column) -> Column:
     """Names (lower case) and values of a tag's attributes."""
 
+    # The pattern has seen to the form of each; plain searches take it apart.
+    space = F.lit(" \t\n\x0b\f\r")
+
     def pair(a: Column) -> Column:
-        value = F.regexp_replace(F.regexp_replace(a, r"(?s)\A[^=]*+=\s*+", ""), r"""\A["']|["']\z""", "")
-        value = F.when(F.contains(a, F.lit("=")), unescape(value)).otherwise("")
-        return F.struct(F.lower(F.rtrim(F.regexp_extract(a, r"\A[^=\s]++", 0))).alias("name"), value.alias("value"))
+        named = F.substring_index(a, "=", 1)
+        return F.struct(F.lower(F.rtrim(named, space)).alias("name"), F.ltrim(F.substr(a, F.length(named) + 2), space).alias("value"))
+
+    def resolved(p: Column) -> Column:
+        given = p["value"]
+        quoted = F.startswith(given, F.lit('"')) | F.startswith(given, F.lit("'"))
+        inner = F.when(quoted, F.substr(given, F.lit(2), F.length(given) - 2)).otherwise(given)
+        value = F.when(F.contains(given, F.lit("&")), unescape(inner)).otherwise(inner)
+        return F.struct(p["name"].alias("name"), value.alias("value"))
 
-    return F.transform(F.regexp_extract_all(source, F.lit(_ATTRIBUTE), F.lit(0)), pair)
+    return F.transform(F.transform(F.regexp_extract_all(source, F.lit(_ATTRIBUTE), F.lit(0)), pair), resolved)
 
 
 def tokens(html: Column) -> Column:
@@ -137,7 +147,8 @@ def tokens(html: Column) -> Column:
         tag = F.regexp_extract(t, cut, 0)
         whole = F.array(piece(t, False))
         # Few tokens are searched at all: tags that begin like one of the four names.
-        return F.when(~F.substring(t, 1, 2).isin("<s", "<S", "<t", "<T"), whole).when(tag == "", whole).otherwise(
+        letter = F.lower(F.substring(t, 2, 1))
+        return F.when(~((letter == "s") | (letter == "t")), whole).when(tag == "", whole).otherwise(
             F.array(piece(tag, False), piece(F.substr(t, F.length(tag) + 1), True))
         )
 
@@ -246,12 +257,13 @@ def nodes(tokens: str) -> Column:
     def node(r: Column, i: Column) -> Column:
         t = F.get(all_, i)
         is_text = t["kind"] == TEXT
-        raw = F.coalesce(F.get(all_, r["parent"])["tag"].isin("script", "style"), F.lit(False))
+        around = F.get(all_, r["parent"])["tag"]
+        raw = F.coalesce((around == "script") | (around == "style"), F.lit(False))
         cls = F.get(F.filter(t["attrs"], lambda a: a["name"] == "class"), F.lit(0))["value"]
         return F.struct(
             i.alias("id"),
             *[r[c].alias(c) for c in ("last", "parent", "nth", "line")],
-            F.when(t["kind"].isin(OPEN, ALONE, TEXT), t["tag"]).alias("tag"),
+            F.when((t["kind"] != CLOSE) & (t["kind"] != OTHER), t["tag"]).alias("tag"),
             F.concat(F.lit(" "), F.regexp_replace(cls, r"\s+", " "), F.lit(" ")).alias("cls"),
             t["attrs"].alias("attrs"),
             F.when(is_text & raw, t["source"]).when(is_text, unescape(t["source"])).alias("text"),
@@ -298,8 +310,17 @@ def _inside(n: str, scope: str) -> str:
     return f"({n}.id > {scope}.id AND {n}.id <= {scope}.last)"
 
 
+def _span(page: str, low: str, high: str) -> str:
+    """Nodes from one place to another, each fetched by its place: ``slice`` unpacks the whole page every time."""
+    return f"transform(sequence({low}, {high}), at -> get({page}, at))"
+
+
 def _within(page: str, n: str) -> str:
-    return f"slice({page}, {n}.id + 1, {n}.last - {n}.id + 1)"
+    return _span(page, f"{n}.id", f"{n}.last")
+
+
+def _none_of(items: str) -> str:
+    return f"transform(cast(array() AS array<int>), at -> get({items}, at))"
 
 
 def _filter(names: _Names, items: str, test: Callable[[str], str]) -> str:
@@ -320,12 +341,14 @@ def _mentioned(path: tuple[El, ...]) -> str:
     words = {w for el in path for w in (*el.cls.split(), *(n for n, _ in el.attrs), *(v for _, v in (*el.attrs, *el.has) if v))}
     # Attribute names may be written in any case.
     cased = {n for el in path for n, _ in el.attrs}
-    return " AND ".join(f"contains({f'lower({HTML})' if w in cased else HTML}, {_quoted(w)})" for w in sorted(words)) or "true"
+    # Lower-casing a page costs most and comes last.
+    ordered = sorted(words, key=lambda w: (w in cased, w))
+    return " AND ".join(f"contains({f'lower({HTML})' if w in cased else HTML}, {_quoted(w)})" for w in ordered) or "true"
 
 
 def _if_mentioned(paths: tuple[tuple[El, ...], ...], items: str, found: str) -> str:
     tests = {_mentioned(p) for p in paths}
-    return found if "true" in tests else f"if({' OR '.join(f'({t})' for t in sorted(tests))}, {found}, slice({items}, 1, 0))"
+    return found if "true" in tests else f"if({' OR '.join(f'({t})' for t in sorted(tests))}, {found}, {_none_of(items)})"
 
 
 def _matching(names: _Names, page: str, paths: tuple[tuple[El, ...], ...], body: Callable[[Test], str]) -> str:
@@ -404,8 +427,7 @@ def _taken(names: _Names, page: str, part: Part, found: str) -> str:
         j = names()
         return f"exists({found}, {j} -> {near(n, j)})"
 
-    span = f"slice({page}, {low} + 1, {high} - {low} + 1)"
-    return _transform(names, texts(span, kept), lambda n: f"{n}.text")
+    return _transform(names, texts(_span(page, low, high), kept), lambda n: f"{n}.text")
 
 
 def _part(names: _Names, page: str, part: Part, test: Test | None, item: str) -> str:

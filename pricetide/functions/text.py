@@ -55,7 +55,9 @@ def blank_to_null(c: Column) -> Column:
 
 def first_non_empty(*candidates: Column) -> Column:
     """First candidate with text left after stripping, else ''."""
-    return F.coalesce(*[F.nullif(pystrip(c), F.lit("")) for c in candidates], F.lit(""))
+    # Each is stripped once; as ``nullif`` it would be computed again to be compared.
+    full = F.filter(F.transform(F.array(*candidates), pystrip), lambda t: t != "")
+    return F.coalesce(F.get(full, F.lit(0)), F.lit(""))
 
 
 def mentions(c: Column, word: str) -> Column:

@@ -324,3 +324,19 @@ def test_places_of_a_batch_are_plain_numbers():
     assert peak < 8e6
     want = [dict(zip(("last", "parent", "nth", "line"), r)) for r in M.nested(pages[0].as_py())]
     assert [len(got), got[2997].as_py(), got[2998].as_py(), got[2999].as_py()] == [3000, want, None, []]
+
+
+def test_rules_fetch_nodes_by_place():
+    """No rule unpacks the whole page for each element it picks, nor ends a search by throwing."""
+    for layout, (rules, _) in extract.LAYOUTS.items():
+        for r in rules.values():
+            sql = M._picked("_nodes", "_elements", r)
+            assert "slice(_nodes" not in sql and "slice(_elements" not in sql and " IN (" not in sql, layout
+
+
+def test_attribute_forms(spark):
+    source = "<p A=\"'x'\" b = '\"y\"' c\n=\tz=1 d e=\"\" f='a&amp;b &lt;' g=&amp;>t</p>"
+    row = spark.createDataFrame([(source,)], "html string").select(F.get(M.tokens(F.col("html")), F.lit(0))["attrs"].alias("a")).first()
+    assert [tuple(a) for a in row.a] == [
+        ("a", "'x'"), ("b", '"y"'), ("c", "z=1"), ("d", ""), ("e", ""), ("f", "a&b <"), ("g", "&"),
+    ]
