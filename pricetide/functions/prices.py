@@ -37,16 +37,28 @@ def digit_text(c: Column) -> Column:
     cell = text_or_empty(c)
     # Few cells hold other digits; only those are translated.
     ascii_ = F.when(cell.rlike(r"[\p{Nd}&&[^0-9]]"), F.translate(cell, _OTHER_DIGITS, _AS_ASCII)).otherwise(cell)
-    return F.when(is_number(c), F.coalesce(F.abs(_whole(c)).cast("string"), F.lit(""))).otherwise(
-        F.regexp_replace(ascii_, "[^0-9]+", "")
-    )
+    bare = _bare(cell)
+    read = F.when(_plain(bare), bare).otherwise(F.regexp_replace(ascii_, "[^0-9]+", ""))
+    return F.when(is_number(c), F.coalesce(F.abs(_whole(c)).cast("string"), F.lit(""))).otherwise(read)
+
+
+def _bare(cell: Column) -> Column:
+    return _without(cell, ".,đ₫")
+
+
+def _plain(bare: Column) -> Column:
+    """True when nothing but ASCII digits is left, as in most price cells: byte searches tell, without regular expressions."""
+    return F.ltrim(bare, F.lit("0123456789")) == ""
 
 
 def digits(c: Column) -> Column:
     """Digits of a text as a whole number, null when there are none; a number as it is, rounded."""
     # A cast that fails costs an exception per row, so text without digits becomes null before it.
     parsed = F.concat(F.lit("0"), F.nullif(digit_text(c), F.lit(""))).try_cast("bigint")
-    return F.when(is_number(c), _whole(c)).otherwise(parsed)
+    # The plain cell has a branch of its own: only cheap searches are repeated in it.
+    bare = _bare(text_or_empty(c))
+    plain = F.when(_plain(bare), F.when(bare != "", bare.try_cast("bigint"))).otherwise(parsed)
+    return F.when(is_number(c), _whole(c)).otherwise(plain)
 
 
 def price(c: Column) -> Column:

@@ -57,7 +57,7 @@ def compact(spark: SparkSession, root: str, transform, path: str, store: str) ->
     """Merge a store's shards into its table, then remove the shard files whose rows were merged.
 
     Only whole files are merged and removed; damaged ones stay. Returns all files that were found (see
-    ``checked_shards``). The rows that are merged are the staged ones that were counted.
+    ``checked_shards``). Rows are merged from files that were counted as whole; should one break meanwhile, the merge fails.
     """
     shards, found = checked_shards(spark, root, store)
     if not found.where("error IS NULL").isEmpty():

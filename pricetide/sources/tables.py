@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -32,8 +34,9 @@ def checked_shards(spark: SparkSession, root: str, store: str | None = None) ->
     Spark's scan decoded as many rows as its footer states, else ``error`` says what was read and no row of it is taken. A
     file that holds no row cannot be told from one without a footer: it is listed as well, and gives nothing either way.
 
-    Each file is decoded once, by blocks, in all columns of the schema, into a staged table; the footers are counted by a
-    scan without columns. Nothing passes through the driver but the reader's own file index.
+    Each file is decoded by blocks in all columns of the schema, and only counts per file are kept; the footers are counted by a
+    scan without columns. If all files are whole, the rows are read from them by a scan that fails on any damage; else from a
+    staged table of what was decoded. Nothing passes through the driver but the reader's own file index.
     """
     path = f"{root}/store={'*' if store is None else store}/chunk=*/run=*"
     reader = spark.read.schema(shard_schema(store)).option("basePath", root).option("pathGlobFilter", "*.parquet")
@@ -48,19 +51,43 @@ def checked_shards(spark: SparkSession, root: str, store: str | None = None) ->
         extra = [T.StructField("_file", T.StringType()), T.StructField("_row", T.LongType())]
         none = spark.createDataFrame([], T.StructType([*shard_schema(store).fields, *extra]))
         return none, spark.createDataFrame([], FILES)
-    file = F.col("_metadata.file_path")
-    decoded = stage(shards.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_row")), "shards")
+    found = _judged(shards, listed, shards.select(F.col(_FILE).alias("file"), _cell_bytes(shards).alias("bytes")))
+    if found.where("error IS NOT NULL").isEmpty():
+        rows = _placed(reader.option("ignoreCorruptFiles", "false").parquet(path))
+    else:
+        # The rows that are taken must be those that were counted, or a file that breaks later would be read in part.
+        rows = stage(_placed(shards), "shards")
+        found = _judged(shards, listed, rows.select(F.col("_file").alias("file"), F.lit(0).alias("bytes")))
+    # Files that came meanwhile are not among those found: no row of them is taken.
+    whole = found.where("error IS NULL").select(F.col("file").alias("_file"))
+    return rows.join(whole, "_file", "left_semi").select(rows.columns), found
+
+
+_FILE = "_metadata.file_path"
+
+
+def _placed(shards: DataFrame) -> DataFrame:
+    return shards.select("*", F.col(_FILE).alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+
+def _cell_bytes(shards: DataFrame) -> Column:
+    """Size of a row's cells: every cell of the files has to be decoded for it."""
+    sizes = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in shards.schema.fields if f.name not in {p.name for p in PARTS}]
+    return reduce(lambda x, y: x + y, sizes)
+
+
+def _judged(shards: DataFrame, listed: DataFrame, read_rows: DataFrame) -> DataFrame:
+    """``file, rows, modified, error`` of the listed files, from ``file, bytes`` of the rows that were decoded."""
     modified = F.unix_millis("_metadata.file_modification_time")
-    stated = shards.select(file.alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("stated"))
-    counted = decoded.groupBy(F.col("_file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
-    found = listed.select(file.alias("file"), modified.alias("modified")).join(stated, "file", "left").join(counted, "file", "left")
-    read, footer = F.coalesce("rows", F.lit(0)), F.col("stated")
+    stated = shards.select(F.col(_FILE).alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("stated"))
+    # The sum is looked at below, or no cell would be decoded.
+    counted = read_rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("bytes").cast("bigint")).alias("bytes"))
+    found = listed.select(F.col(_FILE).alias("file"), modified.alias("modified")).join(stated, "file", "left").join(counted, "file", "left")
+    read, footer = F.when(F.col("bytes") >= 0, F.col("rows")).otherwise(F.lit(0)), F.col("stated")
     error = F.when(footer.isNull(), "no footer with rows").when(
         read != footer, F.concat(read.cast("string"), F.lit(" of "), footer.cast("string"), F.lit(" rows decoded"))
     )
-    files = stage(found.select("file", read.alias("rows"), "modified", error.alias("error")), "shard-files")
-    whole = files.where("error IS NULL").select(F.col("file").alias("_file"))
-    return decoded.join(whole, "_file", "left_semi").select(decoded.columns), files
+    return stage(found.select("file", read.alias("rows"), "modified", error.alias("error")), "shard-files")
 
 
 def shard_files(spark: SparkSession, root: str, store: str | None = None) -> DataFrame:

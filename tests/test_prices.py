@@ -147,3 +147,16 @@ def test_topic_steps_chain(spark):
     fixed = records.topic_repair_discount(numbers)
     assert [(r[S.PRICE], r[S.DISCOUNT]) for r in fixed.collect()] == [(19990000.0, "-20%"), (None, "")]
     assert [r[S.PRICE] for r in records.topic_clean_text(fixed).collect()] == ["19990000", ""]
+
+
+def test_plain_cells_need_no_regular_expression(spark):
+    cells = ["19.990.000đ", "1,5", "đ", ".,₫", "", None, "12 34", "-5", "+7", "٣.000đ", "1.0٣0", "Liên hệ 9", "9" * 18, "9" * 19, "9" * 30, "0", "007", "Đ5", "१२"]
+    df = spark.createDataFrame([(c,) for c in cells], "v string")
+    rows = df.select("v", prices.digits(F.col("v")).alias("n"), prices.digit_text(F.col("v")).alias("t")).collect()
+    for r in rows:
+        text = "".join(str(int(ch)) for ch in r.v or "" if ch.isdecimal())
+        assert r.t == text
+        assert r.n == (int(text) if text and int(text) < 2**63 else None)
+    # The plain cell is told before any expression that matches a pattern.
+    plan = df.select(prices.digits(F.col("v")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("ltrim(") < plan.index("regexp_replace(")
