@@ -29,14 +29,19 @@ def clean_pairs(pairs: Column, drop_keys: list[str] | None = None) -> Column:
 
 def dedup_pairs(pairs: Column, keep: str = "last") -> Column:
     """One pair per key, at the place of its first occurrence, with the first or last value."""
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["key"]))
 
-    def pick(k: Column) -> Column:
-        same = F.filter(pairs, lambda p: p["key"] == k)
-        chosen = F.get(same, F.lit(0)) if keep == "first" else F.element_at(same, -1)
-        return F.struct(k.alias("key"), chosen["value"].alias("value"))
+    def picked(pairs: Column) -> Column:
+        keys = F.array_distinct(F.transform(pairs, lambda p: p["key"]))
 
-    return F.transform(keys, pick)
+        def pick(k: Column) -> Column:
+            same = F.filter(pairs, lambda p: p["key"] == k)
+            chosen = F.get(same, F.lit(0)) if keep == "first" else F.element_at(same, -1)
+            return F.struct(k.alias("key"), chosen["value"].alias("value"))
+
+        return F.transform(keys, pick)
+
+    # The pairs are made once per record, not once more for each key that looks at them.
+    return let(pairs, picked)
 
 
 def spec_map(pairs: Column, keep: str = "last") -> Column:
@@ -59,7 +64,7 @@ def parse_spec_text(text: Column, sep: str = PIECE_BORDER) -> Column:
     pairs = F.transform(
         pieces,
         lambda t: F.struct(
-            F.substring_index(t, ":", 1).alias("key"), F.element_at(F.split(t, ":", 2), 2).alias("value")
+            F.substring_index(t, ":", 1).alias("key"), F.substring(t, F.locate(":", t) + 1, F.length(t)).alias("value")
         ),
     )
     return clean_pairs(pairs)

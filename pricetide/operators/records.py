@@ -128,7 +128,8 @@ def silver(bronze: DataFrame) -> DataFrame:
         return F.coalesce(*present) if present else F.lit(None).cast("string")
 
     price, original, shown = cell(S.PRICE), cell(S.LIST_PRICE), cell(S.DISCOUNT)
-    pct = F.regexp_extract(F.coalesce(shown, F.lit("")), r"\A-(\d+)%\z", 1).try_cast("int")
+    # A cast that fails costs an exception per row, so a cell without a discount becomes null before it.
+    pct = F.nullif(F.regexp_extract(F.coalesce(shown, F.lit("")), r"\A-(\d+)%\z", 1), F.lit("")).try_cast("int")
     return bronze.select(
         F.col("store"),
         cell(S.NAME).alias("name"),

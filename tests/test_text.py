@@ -128,3 +128,11 @@ def test_lazy_pairs_match_the_pattern_and_take_linear_time(spark):
     start = time.perf_counter()
     assert page.select(F.size(markup.embedded_pairs(F.col("html"), "lazy_value"))).first()[0] == 0
     assert time.perf_counter() - start < 3
+
+
+def test_spec_pairs_are_made_once(spark):
+    df = spark.createDataFrame([("CPU: i7: x | RAM: 8 | y | CPU: i9",), ("A:\nB: b",), ("",), (None,)], "v string")
+    got = df.select(specs.spec_map(specs.parse_spec_text(F.col("v"))).alias("m"))
+    assert [r.m for r in got.collect()] == [{"CPU": "i9", "RAM": "8 | y"}, {"B": "b"}, {}, None]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
