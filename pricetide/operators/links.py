@@ -69,10 +69,12 @@ def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """First row per key in the given total order; null keys equal each other.
 
     A rank limit of 1 is applied on the map side before the shuffle, so a key
-    that holds much of the data sends one row per task.
+    that holds much of the data sends one row per task. Rows are sorted by a hash
+    of the keys before the keys themselves: links differ late, a number at once.
     """
-    first = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") == 1).drop("_rank")
+    first = Window.partitionBy("_key_hash", *keys).orderBy(*order)
+    hashed = df.withColumn("_key_hash", F.xxhash64(*keys))
+    return hashed.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") == 1).drop("_rank", "_key_hash")
 
 
 def last_value_by_url(links: DataFrame, order: str = "pos") -> DataFrame:

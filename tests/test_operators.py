@@ -236,3 +236,15 @@ def test_top_rows(spark):
     df = spark.createDataFrame([(i,) for i in itertools.chain(range(9), range(3))], "v int")
     got = position.top_rows(df.distinct(), [F.desc("v")], 3).orderBy("idx").collect()
     assert [(r.v, r.idx) for r in got] == [(8, 1), (7, 2), (6, 3)]
+
+
+def test_keep_first_sorts_by_a_number(spark):
+    rows = [("u2", None, 2), ("u1", "x", 5), ("u2", None, 1), ("u1", "x", 4), (None, None, 9), (None, None, 8), ("u1", None, 7), ("u1", None, 7)]
+    df = spark.createDataFrame(rows, "url string, store string, at int")
+    first = links.keep_first(df, ["store", "url"], ["at"])
+    assert sorted(map(str, first.collect())) == sorted(
+        map(str, [r for r in df.distinct().collect() if (r.url, r.at) in {("u2", 1), ("u1", 4), (None, 8), ("u1", 7)}])
+    )
+    assert first.columns == df.columns
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [_key_hash" in plan and "Sort [store" not in plan
